@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration"]
+_MODULES = ["exploration", "features"]
 
 
 def load_all() -> None:
