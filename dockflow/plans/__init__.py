@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration", "features"]
+_MODULES = ["exploration", "features", "evaluation"]
 
 
 def load_all() -> None:
