@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration", "features", "evaluation"]
+_MODULES = ["exploration", "features", "evaluation", "ingest"]
 
 
 def load_all() -> None:
