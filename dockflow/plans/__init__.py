@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration", "features", "evaluation", "ingest"]
+_MODULES = ["exploration", "features", "evaluation", "ingest", "streams"]
 
 
 def load_all() -> None:

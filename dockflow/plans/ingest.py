@@ -112,14 +112,14 @@ def ingest_landed(spark: SparkSession, paths: dict[str, str], events: DataFrame)
     return build_records(status, info, weather, vac, hol)
 
 
-RECORDS_SQL = f"""WITH {Q.READINGS}
-SELECT station_id, coalesce(name, '') AS name, 0e0 AS lat, 0e0 AS lon, coalesce(capacity, 0) AS capacity,
+RECORDS_BODY = f"""SELECT station_id, coalesce(name, '') AS name, 0e0 AS lat, 0e0 AS lon, coalesce(capacity, 0) AS capacity,
   datetime, bikes_mechanical, bikes_ebike, numdocksavailable, {Q.truthy('is_renting')} AS is_renting,
   CASE WHEN bikes_mechanical + bikes_ebike + numdocksavailable > 0
        THEN (bikes_mechanical + bikes_ebike) / (bikes_mechanical + bikes_ebike + numdocksavailable) * 100e0
        ELSE 0e0 END AS capacity_status,
   is_holiday = 't' AS is_holiday, is_vacation = 't' AS is_vacation, apparent_temperature, weather_code
 FROM readings"""
+RECORDS_SQL = f"WITH {Q.READINGS}\n{RECORDS_BODY}"
 
 
 @register("ingest_snapshots", RECORDS_SQL)
