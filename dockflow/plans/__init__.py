@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration", "features", "evaluation", "ingest", "streams"]
+_MODULES = ["exploration", "features", "evaluation", "ingest", "streams", "models"]
 
 
 def load_all() -> None:

@@ -84,6 +84,11 @@ BASELINE_MAE_FALLBACK = 99.0
 RIDGE_ALPHA = 990.4792
 RF_PARAMS = {"n_estimators": 468, "max_depth": 15, "min_samples_leaf": 146,
              "max_features": 0.9825487423645705}
-GBT_PARAMS = {"n_estimators": 237, "max_depth": 7, "learning_rate": 0.012,
-              "subsample": 0.965}
+GBT_PARAMS = {"n_estimators": 237, "max_depth": 7, "learning_rate": 0.011993285040303257,
+              "subsample": 0.9654593914385029, "min_samples_leaf": 97,
+              "max_features": 0.9991537490907574}
+# XGBoost settings mapped onto Spark's GBT (no counterpart for the column
+# sampling and L1/L2 terms; min_child_weight -> minimum rows per node).
+XGB_PARAMS = {"n_estimators": 232, "max_depth": 6, "learning_rate": 0.12272662063860754,
+              "subsample": 0.9372938568071518, "min_child_weight": 21}
 RANDOM_SEED = 42
