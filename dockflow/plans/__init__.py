@@ -2,7 +2,7 @@
 
 import importlib
 
-_MODULES = ["exploration", "features", "evaluation", "ingest", "streams", "models"]
+_MODULES = ["exploration", "features", "evaluation", "ingest", "streams", "models", "rowops"]
 
 
 def load_all() -> None:
