@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import (abs_error, band_verdict, clip, round_half_even, round6,
+from ..functions import (abs_error, band_verdict, clip, round_half_even, round6, safe_ratio,
                          severity_label)
 from ..functions.numeric import col_
 from ..schema import BASELINE_MAE_FALLBACK, BASELINE_NAME, ERROR_EDGES, TARGET_RAW
@@ -50,9 +50,10 @@ def metric_aggs(y: str, p: str, exact: bool = True, digits: int = 4) -> list[Col
         sy, syy = F.sum(y), F.sum(F.col(y) * F.col(y))
     n = F.count(F.lit(1))
     sst = syy - sy * sy / n
-    return [round_half_even(sae / n, digits).alias("MAE"),
-            round_half_even(F.sqrt(sse / n), digits).alias("RMSE"),
-            round_half_even(F.lit(1.0) - sse / sst, digits).alias("R2")]
+    # Zero rows or a constant truth leave a ratio undefined: NULL, not an error.
+    return [round_half_even(safe_ratio(sae, n), digits).alias("MAE"),
+            round_half_even(F.sqrt(safe_ratio(sse, n)), digits).alias("RMSE"),
+            round_half_even(F.lit(1.0) - safe_ratio(sse, sst), digits).alias("R2")]
 
 
 def regression_metrics(df: DataFrame, y: str, p: str, exact: bool = True,
@@ -90,7 +91,7 @@ def gain_vs_mean_baseline(df: DataFrame, y: str = TARGET_RAW, p: str = "taux_pre
     d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     base = mean_baseline_mae(d, y)
     mae = d.agg((F.sum(F.abs(_dec(y) - _dec(p))).cast("double") / F.count(F.lit(1))).alias("m")).first()["m"]
-    gain = None if not base or mae is None else (base - mae) / base * 100.0
+    gain = None if not base or mae is None else (base - mae) / base * 100.0  # base 0 -> NULL
     out = spark.createDataFrame([(mae, base, gain)], "mae double, baseline_mae double, gain_pct double")
     return out.select(round_half_even("mae", 4).alias("mae"),
                       round_half_even("baseline_mae", 4).alias("baseline_mae"),
@@ -137,7 +138,7 @@ def error_histogram(df: DataFrame, y: str = TARGET_RAW, p: str = "taux_pred") ->
     frame = spark.createDataFrame(list(enumerate(labels)), "bin int, label string")
     total = F.sum("n").over(Window.partitionBy())     # one row per bin (12 rows)
     out = frame.join(F.broadcast(counts), "bin", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return out.withColumn("share", F.col("n") / total * F.lit(100.0))
+    return out.withColumn("share", safe_ratio(F.col("n"), total) * F.lit(100.0))
 
 
 def error_by_weather(df: DataFrame, err: str = "erreur_absolue") -> DataFrame:
@@ -159,7 +160,7 @@ def leaderboard(results: DataFrame, baseline_name: str = BASELINE_NAME,
     base = F.coalesce(base, F.lit(fallback))
     return (results.withColumn("rank", F.row_number().over(w))
             .withColumn("is_best", F.col("rank") == 1)
-            .withColumn("gain_pct", round_half_even((base - F.col("MAE")) / base * F.lit(100.0), 2)))
+            .withColumn("gain_pct", round_half_even(safe_ratio(base - F.col("MAE"), base) * F.lit(100.0), 2)))
 
 
 def gap_to_second(board: DataFrame) -> DataFrame:
@@ -212,6 +213,6 @@ def constant_metrics(df: DataFrame, y: str, m: float, digits: int = 4) -> DataFr
     sae = (F.col("s_hi") - F.col("n_hi") * mm) + (F.col("n_lo") * mm - F.col("s_lo"))
     sse = syy - F.lit(2.0) * mm * sy + n * mm * mm
     sst = syy - sy * sy / n
-    return g.select(round_half_even(sae / n, digits).alias("MAE"),
-                    round_half_even(F.sqrt(sse / n), digits).alias("RMSE"),
-                    round_half_even(F.lit(1.0) - sse / sst, digits).alias("R2"))
+    return g.select(round_half_even(safe_ratio(sae, n), digits).alias("MAE"),
+                    round_half_even(F.sqrt(safe_ratio(sse, n)), digits).alias("RMSE"),
+                    round_half_even(F.lit(1.0) - safe_ratio(sse, sst), digits).alias("R2"))

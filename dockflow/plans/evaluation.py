@@ -114,8 +114,9 @@ def _metrics_sql(y: str, p: str) -> str:
     e = f"({_dec(y)} - {_dec(p)})"
     sae, sse = f"CAST(sum(abs({e})) AS DOUBLE)", f"CAST(sum({e} * {e}) AS DOUBLE)"
     sy, syy = f"CAST(sum({_dec(y)}) AS DOUBLE)", f"CAST(sum({_dec(y)} * {_dec(y)}) AS DOUBLE)"
-    return (f"{Q.r(f'{sae} / count(*)', 4)} AS MAE, {Q.r(f'sqrt({sse} / count(*))', 4)} AS RMSE, "
-            f"{Q.r(f'1e0 - {sse} / ({syy} - {sy} * {sy} / count(*))', 4)} AS R2")
+    return (f"{Q.r(f'{sae} / nullif(count(*), 0)', 4)} AS MAE, "
+            f"{Q.r(f'sqrt({sse} / nullif(count(*), 0))', 4)} AS RMSE, "
+            f"{Q.r(f'1e0 - {sse} / nullif({syy} - {sy} * {sy} / count(*), 0)', 4)} AS R2")
 
 
 _EVAL_CTES = f"""te AS (SELECT * FROM ft WHERE split = 'test'),
@@ -129,15 +130,15 @@ cs AS (SELECT count(*) AS n, CAST(sum({_dec('residual')}) AS DOUBLE) AS sy,
        FROM te, bm WHERE residual IS NOT NULL),
 mres AS (
   SELECT '{BASELINE_NAME}' AS Modele,
-         {Q.r('((s_hi - n_hi * m) + (n_lo * m - s_lo)) / n', 4)} AS MAE,
-         {Q.r('sqrt((syy - 2e0 * m * sy + n * m * m) / n)', 4)} AS RMSE,
-         {Q.r('1e0 - (syy - 2e0 * m * sy + n * m * m) / (syy - sy * sy / n)', 4)} AS R2 FROM cs
+         {Q.r('((s_hi - n_hi * m) + (n_lo * m - s_lo)) / nullif(n, 0)', 4)} AS MAE,
+         {Q.r('sqrt((syy - 2e0 * m * sy + n * m * m) / nullif(n, 0))', 4)} AS RMSE,
+         {Q.r('1e0 - (syy - 2e0 * m * sy + n * m * m) / nullif(syy - sy * sy / n, 0)', 4)} AS R2 FROM cs
   UNION ALL SELECT '{TREND_ONLY}', {_metrics_sql('residual', '0e0')} FROM te
   UNION ALL SELECT '{PERSISTENCE}', {_metrics_sql('residual', 'lag_res_240min')} FROM te
      WHERE lag_res_240min IS NOT NULL),
 board AS (SELECT *, CAST(row_number() OVER (ORDER BY MAE, Modele) AS INT) AS rank,
                  row_number() OVER (ORDER BY MAE, Modele) = 1 AS is_best,
-                 {Q.r(f"(coalesce((SELECT max(MAE) FROM mres WHERE Modele = '{BASELINE_NAME}'), 99e0) - MAE) / coalesce((SELECT max(MAE) FROM mres WHERE Modele = '{BASELINE_NAME}'), 99e0) * 100e0")} AS gain_pct
+                 {Q.r(f"(coalesce((SELECT max(MAE) FROM mres WHERE Modele = '{BASELINE_NAME}'), 99e0) - MAE) / nullif(coalesce((SELECT max(MAE) FROM mres WHERE Modele = '{BASELINE_NAME}'), 99e0), 0) * 100e0")} AS gain_pct
           FROM mres),
 pr AS (SELECT te.*, CASE (SELECT Modele FROM board WHERE rank = 1)
                       WHEN '{BASELINE_NAME}' THEN (SELECT m FROM bm)
@@ -204,20 +205,20 @@ def q_reconstructed_metrics(spark, sf_dir):
     return E.regression_metrics(_best_preds(spark, sf_dir), TARGET_RAW, "taux_pred")
 
 
-_MBASE = f"""mb AS (SELECT CAST(sum({_dec('capacity_status_calc')}) AS DOUBLE) / count(*) AS m FROM preds),
+_MBASE = f"""mb AS (SELECT CAST(sum({_dec('capacity_status_calc')}) AS DOUBLE) / nullif(count(*), 0) AS m FROM preds),
 mb2 AS (SELECT count(*) AS n,
      coalesce(CAST(sum(CASE WHEN capacity_status_calc > m THEN {_dec('capacity_status_calc')} END) AS DOUBLE), 0e0) AS s_hi,
      count_if(capacity_status_calc > m) AS n_hi,
      coalesce(CAST(sum(CASE WHEN capacity_status_calc < m THEN {_dec('capacity_status_calc')} END) AS DOUBLE), 0e0) AS s_lo,
      count_if(capacity_status_calc < m) AS n_lo, any_value(m) AS m,
-     CAST(sum(abs({_dec('capacity_status_calc')} - {_dec('taux_pred')})) AS DOUBLE) / count(*) AS mae
+     CAST(sum(abs({_dec('capacity_status_calc')} - {_dec('taux_pred')})) AS DOUBLE) / nullif(count(*), 0) AS mae
      FROM preds, mb),
-g AS (SELECT mae, ((s_hi - n_hi * m) + (n_lo * m - s_lo)) / n AS base FROM mb2)"""
+g AS (SELECT mae, ((s_hi - n_hi * m) + (n_lo * m - s_lo)) / nullif(n, 0) AS base FROM mb2)"""
 
 
 @register("gain_vs_mean_baseline", _ev(
     f"SELECT {Q.r('mae', 4)} AS mae, {Q.r('base', 4)} AS baseline_mae, "
-    f"{Q.r('(base - mae) / base * 100e0')} AS gain_pct FROM g", _MBASE))
+    f"{Q.r('(base - mae) / nullif(base, 0) * 100e0')} AS gain_pct FROM g", _MBASE))
 def q_gain(spark, sf_dir):
     return E.gain_vs_mean_baseline(_best_preds(spark, sf_dir))
 
@@ -232,7 +233,7 @@ def q_p90(spark, sf_dir):
 
 
 @register("error_histogram", _ev("""SELECT b.bin, b.label, coalesce(h.n, 0) AS n,
-       coalesce(h.n, 0) / (SELECT count(*) FROM preds WHERE taux_pred IS NOT NULL) * 100e0 AS share
+       coalesce(h.n, 0) / nullif((SELECT count(*) FROM preds WHERE taux_pred IS NOT NULL), 0) * 100e0 AS share
 FROM (VALUES """ + ", ".join(f"({i}, '{lab}')" for i, lab in enumerate(E.error_bin_labels())) + """) b(bin, label)
 LEFT JOIN (SELECT CASE """ + " ".join(
     [f"WHEN capacity_status_calc - taux_pred < {E.ERROR_EDGES[0]} THEN 0"]
@@ -293,7 +294,7 @@ def q_clip_residual(spark, sf_dir):
     return ft.select("reading_id", clip("residual", -50.0, 50.0).alias("residual_clipped"))
 
 
-_GAIN = Q.r('(base - mae) / base * 100e0')
+_GAIN = Q.r('(base - mae) / nullif(base, 0) * 100e0')
 
 
 @register("verdict_bands", _ev(
@@ -302,9 +303,3 @@ _GAIN = Q.r('(base - mae) / base * 100e0')
 def q_verdicts(spark, sf_dir):
     g = E.gain_vs_mean_baseline(_best_preds(spark, sf_dir)).select("gain_pct")
     return E.verdicts(g)
-
-
-@register("evaluation_report", None)
-def q_report(spark, sf_dir):
-    _, train, test = _tables(spark, sf_dir)
-    return report_tables(spark, train, test)

@@ -219,9 +219,9 @@ REPORT_FINAL = ("""SELECT 'benchmark' AS section, rank AS ord, Modele AS label,
 UNION ALL SELECT 'fill_rate', 1, 'MAE', MAE FROM fr
 UNION ALL SELECT 'fill_rate', 2, 'R2', R2 FROM fr
 UNION ALL SELECT 'fill_rate', 3, 'P90', p90 FROM p9
-UNION ALL SELECT 'fill_rate', 4, 'gain_pct', """ + Q.r('(base - mae) / base * 100e0') + """ FROM g
+UNION ALL SELECT 'fill_rate', 4, 'gain_pct', """ + Q.r('(base - mae) / nullif(base, 0) * 100e0') + """ FROM g
 UNION ALL SELECT 'error_histogram', b.bin, b.label,
-  coalesce(h.n, 0) / (SELECT count(*) FROM preds WHERE taux_pred IS NOT NULL) * 100e0
+  coalesce(h.n, 0) / nullif((SELECT count(*) FROM preds WHERE taux_pred IS NOT NULL), 0) * 100e0
   FROM (VALUES """ + ", ".join(f"({i}, '{lab}')" for i, lab in enumerate(E.error_bin_labels())) + """) b(bin, label)
   LEFT JOIN (SELECT CASE """ + " ".join(
     [f"WHEN capacity_status_calc - taux_pred < {E.ERROR_EDGES[0]} THEN 0"]
@@ -246,3 +246,9 @@ def _report_sql() -> str:
 def q_report_tables(spark, sf_dir):
     _, train, test = _tables(spark, sf_dir)
     return report_tables(spark, train, test)
+
+
+@register("evaluation_report", _report_sql())
+def q_evaluation_report(spark, sf_dir):
+    """C7 = T2 T4 A25-A29 -> K6 for the deterministic predictors."""
+    return q_report_tables(spark, sf_dir)
