@@ -70,14 +70,19 @@ def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
     first_b = F.floor((u + F.lit(lmin * _US_PER_MIN)) / F.lit(width))
     last_b = F.floor((u + F.lit(lmax * _US_PER_MIN)) / F.lit(width))
 
-    targets = base.withColumns({"_b": own, "_src_only": F.lit(False)})
-    # Copies: only rows whose reach crosses into another bucket, one row per
-    # extra bucket. Only key, time and value travel with them.
-    reach = F.filter(F.sequence(first_b, last_b), lambda b: b != own)
-    copies = (base.where(u.isNotNull() & ((last_b > own) | (first_b < own)))
-              .select(key, value, "_us", F.explode(reach).alias("_b"))
-              .withColumn("_src_only", F.lit(True)))
-    both = targets.unionByName(copies, allowMissingColumns=True)
+    # One scan: each row expands to its own bucket (target and source) plus,
+    # only when its reach crosses a bucket edge, one source-only copy per
+    # extra bucket. Copies keep key, time and value; other columns are NULL.
+    extra = F.filter(F.sequence(first_b, last_b), lambda b: b != own)
+    entries = F.concat(
+        F.array(F.struct(own.alias("b"), F.lit(False).alias("c"))),
+        F.when(u.isNotNull(), F.transform(extra, lambda b: F.struct(b.alias("b"), F.lit(True).alias("c"))))
+        .otherwise(F.array().cast("array<struct<b:bigint,c:boolean>>")))
+    keep = {key, value, "_us"}
+    exploded = base.withColumn("_e", F.explode(entries))
+    both = exploded.select(
+        *[F.col(c) if c in keep else F.when(~F.col("_e.c"), F.col(c)).alias(c) for c in base.columns],
+        F.col("_e.b").alias("_b"), F.col("_e.c").alias("_src_only"))
     w = Window.partitionBy(key, "_b").orderBy("_us")
     cols = {}
     for name, minutes in lags.items():

@@ -34,6 +34,7 @@ class Profiles:
     normal: DataFrame        # month, monthly_temp
     global_mean: float | None
     support: DataFrame       # all level-1 combinations with n (for A24)
+    sizes: dict | None = None  # row counts of the lookup tables (broadcast bound)
 
 
 def fit_profiles(train: DataFrame, value: str = TARGET_RAW, temp: str = "apparent_temperature",
@@ -68,15 +69,33 @@ def fit_profiles(train: DataFrame, value: str = TARGET_RAW, temp: str = "apparen
              .where(F.col("ratio").isNotNull()))
     normal = (g.where((gid == 14) & F.col("month").isNotNull())
               .select("month", F.col("temp_mean").alias("monthly_temp")))
-    gm = g.where(gid == 15).select("mean").first()
     support = lvl1_all.select(*L1, "n")
-    return Profiles(level1, level2, ratio, normal, gm["mean"] if gm else None, support)
+    # One job over the small fitted table: exact sizes of every lookup (the
+    # broadcast bound used by the joins) and the global mean scalar.
+    keys_ok = {0: L1, 1: L2, 7: ["station_id"], 14: ["month"]}
+
+    def nonnull(cols):
+        c = F.lit(True)
+        for k in cols:
+            c = c & F.col(k).isNotNull()
+        return c
+    row = g.agg(
+        F.count_if((gid == 0) & nonnull(keys_ok[0]) & (F.col("n") >= min_support)).alias("level1"),
+        F.count_if((gid == 1) & nonnull(keys_ok[1])).alias("level2"),
+        F.count_if((gid == 7) & nonnull(keys_ok[7]) & safe_ratio(F.col("morning"), F.col("evening")).isNotNull())
+        .alias("ratio"),
+        F.count_if((gid == 14) & nonnull(keys_ok[14])).alias("normal"),
+        F.max(F.when(gid == 15, F.col("mean"))).alias("global_mean"),
+    ).first()
+    sizes = {k: row[k] for k in ("level1", "level2", "ratio", "normal")}
+    return Profiles(level1, level2, ratio, normal, row["global_mean"], support, sizes)
 
 
 def apply_trend(df: DataFrame, p: Profiles) -> DataFrame:
     """J2 + J5 + P19: level 1, else level 2, else the global train mean."""
-    out = join_bounded(df, p.level1, L1, "left", proven_rows=None)
-    out = join_bounded(out, p.level2, L2, "left", proven_rows=None)
+    sz = p.sizes or {}
+    out = join_bounded(df, p.level1, L1, "left", proven_rows=sz.get("level1"))
+    out = join_bounded(out, p.level2, L2, "left", proven_rows=sz.get("level2"))
     gm = F.lit(p.global_mean).cast("double")
     return (out.withColumn("station_trend_avg",
                            F.coalesce(F.col("station_trend_avg"), F.col("station_trend_fallback"), gm))
@@ -85,7 +104,7 @@ def apply_trend(df: DataFrame, p: Profiles) -> DataFrame:
 
 def apply_ratio(df: DataFrame, p: Profiles, default: float = 1.0) -> DataFrame:
     """Station -> ratio, 1.0 when unknown, rounded to 3 digits."""
-    out = join_bounded(df, p.ratio, "station_id", "left", proven_rows=None)
+    out = join_bounded(df, p.ratio, "station_id", "left", proven_rows=(p.sizes or {}).get("ratio"))
     return (out.withColumn("morning_evening_ratio",
                            round_half_even(F.coalesce(F.col("ratio"), F.lit(default)), 3))
             .drop("ratio"))

@@ -25,53 +25,60 @@ def micros(ts: str = "datetime") -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+def _stats(df: DataFrame, x: Column):
+    v = df.select(x.cast("long").alias("_x")).where(F.col("_x").isNotNull())
+    return v.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+
+
 def order_statistics(df: DataFrame, x: Column, ranks: Sequence[int],
-                     max_collect: int = 20_000, fanout: int = 4096) -> dict[int, int]:
+                     max_collect: int = 20_000, fanout: int = 4096, stats=None) -> dict[int, int]:
     """Exact k-th smallest values (0-based ranks) of an integral column."""
     v = df.select(x.cast("long").alias("_x")).where(F.col("_x").isNotNull())
     out: dict[int, int] = {}
     todo = sorted(set(int(r) for r in ranks))
     if not todo:
         return out
-    st = v.agg(F.count(F.lit(1)).alias("n"), F.min("_x").alias("lo"),
-               F.max("_x").alias("hi")).first()
+    st = stats if stats is not None else _stats(df, x)
     n = st["n"]
     if any(r < 0 or r >= n for r in todo):
         raise ValueError(f"rank outside [0, {n})")
-    # Each pending search: (rank, lo, hi, rows below lo, rows in [lo, hi]).
-    pending = [(r, st["lo"], st["hi"], 0, n) for r in todo]
+    # Pending searches grouped by bracket: (lo, hi, rows below lo, rows inside) -> ranks.
+    pending = {(st["lo"], st["hi"], 0, n): todo}
     while pending:
-        nxt = []
-        for r, lo, hi, below, inside in pending:
+        nxt: dict = {}
+        for (lo, hi, below, inside), rs in pending.items():
             rng = v.where(F.col("_x").between(lo, hi))
             if inside <= max_collect or hi - lo < fanout:
                 pairs = (rng.groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
                          .orderBy("_x").limit(max_collect + fanout + 1).collect())
                 if len(pairs) <= max_collect + fanout:
-                    acc = below
-                    for p in pairs:
-                        acc += p["c"]
-                        if acc > r:
-                            out[r] = p["_x"]
-                            break
+                    for r in rs:
+                        acc = below
+                        for p in pairs:
+                            acc += p["c"]
+                            if acc > r:
+                                out[r] = p["_x"]
+                                break
                     continue
             width = max(1, math.ceil((hi - lo + 1) / fanout))
             bins = (rng.groupBy(F.floor((F.col("_x") - F.lit(lo)) / F.lit(width)).alias("b"))
                     .agg(F.count(F.lit(1)).alias("c")).orderBy("b").collect())
-            acc = below
-            for p in bins:
-                if acc + p["c"] > r:
-                    b_lo = lo + p["b"] * width
-                    nxt.append((r, b_lo, min(hi, b_lo + width - 1), acc, p["c"]))
-                    break
-                acc += p["c"]
+            for r in rs:
+                acc = below
+                for p in bins:
+                    if acc + p["c"] > r:
+                        b_lo = lo + p["b"] * width
+                        nxt.setdefault((b_lo, min(hi, b_lo + width - 1), acc, p["c"]), []).append(r)
+                        break
+                    acc += p["c"]
         pending = nxt
     return out
 
 
 def exact_quantiles(df: DataFrame, x: Column, probs: Sequence[float], **kw) -> dict[float, float]:
     """Linear-interpolated quantiles (pandas ``quantile``/DuckDB ``quantile_cont``)."""
-    n = df.where(x.isNotNull()).count()
+    st = _stats(df, x)
+    n = st["n"]
     if n == 0:
         return {p: None for p in probs}
     need = {}
@@ -79,7 +86,7 @@ def exact_quantiles(df: DataFrame, x: Column, probs: Sequence[float], **kw) -> d
         pos = p * (n - 1)
         k = math.floor(pos)
         need[p] = (k, min(k + 1, n - 1), pos - k)
-    stats = order_statistics(df, x, [r for k, k1, _ in need.values() for r in (k, k1)], **kw)
+    stats = order_statistics(df, x, [r for k, k1, _ in need.values() for r in (k, k1)], stats=st, **kw)
     res = {}
     for p, (k, k1, frac) in need.items():
         a, b = float(stats[k]), float(stats[k1])
@@ -122,13 +129,14 @@ def expanding_time_folds(df: DataFrame, ts: str = "datetime", n_splits: int = 3)
     rows), with columns ``fold`` and ``role``; no join, no global row number.
     """
     x = micros(ts)
-    n = df.where(x.isNotNull()).count()
+    st = _stats(df, x)
+    n = st["n"]
     size = n // (n_splits + 1)
     if size == 0:
         raise ValueError("too few rows for the folds")
     starts = [n - (n_splits - i) * size for i in range(n_splits)]
     ranks = starts + [s + size for s in starts if s + size < n]
-    v = order_statistics(df, x, ranks)
+    v = order_statistics(df, x, ranks, stats=st)
     entries = []
     for i, s in enumerate(starts):
         lo = float(v[s])
@@ -145,9 +153,10 @@ def early_stop_split(df: DataFrame, ts: str = "datetime", ratio: float = 0.85,
                      out: str = "is_validation") -> DataFrame:
     """First ``int(n * ratio)`` rows by time train, the rest validate."""
     x = micros(ts)
-    n = df.where(x.isNotNull()).count()
+    st = _stats(df, x)
+    n = st["n"]
     k = int(n * ratio)
     if k >= n:
         return df.withColumn(out, F.lit(False))
-    cut = float(order_statistics(df, x, [k])[k])
+    cut = float(order_statistics(df, x, [k], stats=st)[k])
     return df.withColumn(out, x >= F.lit(cut))
