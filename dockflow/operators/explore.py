@@ -146,7 +146,7 @@ def boxplot_by_station(df: DataFrame, stations: DataFrame, value: str = TARGET_R
     q = q.select("station_id", round6(F.col("_q")[0]).alias("q1"),
                  round6(F.col("_q")[1]).alias("median"), round6(F.col("_q")[2]).alias("q3"))
     q = q.withColumn("_iqr", F.col("q3") - F.col("q1"))
-    fenced = triples.join(q, "station_id")
+    fenced = triples.join(F.broadcast(q), "station_id")      # q: <= one row per chosen station
     v = F.col(value)
     inside = (v >= F.col("q1") - F.lit(1.5) * F.col("_iqr")) & (v <= F.col("q3") + F.lit(1.5) * F.col("_iqr"))
     whiskers = fenced.where(inside).groupBy("station_id").agg(

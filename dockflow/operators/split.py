@@ -3,7 +3,7 @@
 Cutoffs are exact order statistics of integer microseconds. They are found
 by histogram refinement: each pass is one distributed aggregation into at
 most ``fanout`` bins restricted to the current bracket, and only when the
-bracket holds at most ``max_collect`` distinct values are those (value,
+bracket holds at most ``max_collect`` (100k) rows are those (value,
 count) pairs brought to the driver. Memory is bounded at any data size and a
 pass count of about log_fanout(range) (4-5 for a year of microseconds); no
 global sort, no single-task window, no percentile buffer of all distinct
@@ -31,7 +31,7 @@ def _stats(df: DataFrame, x: Column):
 
 
 def order_statistics(df: DataFrame, x: Column, ranks: Sequence[int],
-                     max_collect: int = 20_000, fanout: int = 4096, stats=None) -> dict[int, int]:
+                     max_collect: int = 100_000, fanout: int = 4096, stats=None) -> dict[int, int]:
     """Exact k-th smallest values (0-based ranks) of an integral column."""
     v = df.select(x.cast("long").alias("_x")).where(F.col("_x").isNotNull())
     out: dict[int, int] = {}
@@ -116,7 +116,7 @@ def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:
     total = F.sum("n").over(Window.partitionBy())  # <= 2 rows
     ncols = len([c for c in df.columns if c != split_col])
     return g.select(split_col, "n", round_half_even(F.col("n") / total * F.lit(100.0), 1)
-                    .alias("share"), F.lit(ncols).alias("n_columns"))
+                    .alias("share"), F.lit(ncols).cast("bigint").alias("n_columns"))
 
 
 def expanding_time_folds(df: DataFrame, ts: str = "datetime", n_splits: int = 3) -> DataFrame:

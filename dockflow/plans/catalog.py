@@ -6,6 +6,7 @@ tables. SQL texts are ANSI-ish and run in DuckDB against the same tables.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,29 @@ QUERIES: dict[str, QueryFn] = {}
 SQL: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Engine requirements for any session that runs a registered query.
+
+    Hours, days and calendar dates are UTC in the reference, so the session
+    zone is pinned to UTC; the shared checkpoint folder is resolved (see
+    ``dockflow.session.ensure_checkpoint_dir``).
+    """
+    from ..session import ensure_checkpoint_dir
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def register(key: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if key in QUERIES:
             raise KeyError(f"duplicate query key {key}")
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            prepare(spark)
+            return fn(spark, sf_dir)
+        QUERIES[key] = run
         if sql is not None:
             SQL[key] = sql
         return fn

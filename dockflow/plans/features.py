@@ -143,8 +143,8 @@ def q_asof_lag(spark, sf_dir):
 @register("lag_audit", f"""WITH {Q.ROWFEAT},
 withus AS (SELECT *, epoch_us(datetime) AS us FROM feat),
 l AS (SELECT {Q.lag_expr(60, 'lag_60min')}, {Q.lag_expr(240, 'lag_240min')} FROM withus)
-SELECT count_if(lag_60min IS NULL OR lag_240min IS NULL) AS rows_dropped,
-       count_if(lag_60min IS NOT NULL AND lag_240min IS NOT NULL) AS rows_remaining FROM l""")
+SELECT CAST(count_if(lag_60min IS NULL OR lag_240min IS NULL) AS BIGINT) AS rows_dropped,
+       CAST(count_if(lag_60min IS NOT NULL AND lag_240min IS NOT NULL) AS BIGINT) AS rows_remaining FROM l""")
 def q_lag_audit(spark, sf_dir):
     feats = row_features(clean_readings(readings(spark, sf_dir)))
     return asof.lag_audit(asof.asof_lag(feats))
@@ -206,7 +206,7 @@ def q_monthly_normal(spark, sf_dir):
 
 
 @register("trend_support_audit", _ft_sql(
-    "SELECT count_if(n < 3) AS n_ignored, count_if(n >= 3) AS n_valid FROM l1all"))
+    "SELECT CAST(count_if(n < 3) AS BIGINT) AS n_ignored, CAST(count_if(n >= 3) AS BIGINT) AS n_valid FROM l1all"))
 def q_trend_support(spark, sf_dir):
     return profiles.trend_support_audit(profiles.fit_profiles(_train(spark, sf_dir)))
 

@@ -292,7 +292,7 @@ b AS (SELECT 0 AS batch_id, count_if(dayofmonth(datetime) <= 15) AS n_batch,
              count_if(dayofmonth(datetime) <= 15) AS n_new FROM readings
       UNION ALL SELECT 1, count_if(dayofmonth(datetime) >= 12), count_if(dayofmonth(datetime) > 15) FROM readings
       UNION ALL SELECT 2, count_if(dayofmonth(datetime) >= 12), 0 FROM readings)
-SELECT CAST(batch_id AS BIGINT) AS batch_id, n_batch, CAST(n_new AS BIGINT) AS n_new,
+SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(n_batch AS BIGINT) AS n_batch, CAST(n_new AS BIGINT) AS n_new,
        CAST(n_batch - n_new AS BIGINT) AS n_dup,
        CAST(sum(n_new) OVER (ORDER BY batch_id) AS BIGINT) AS n_total FROM b""")
 def q_ingest_metrics(spark, sf_dir):
