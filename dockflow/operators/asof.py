@@ -7,11 +7,13 @@ microseconds, so all lags share one partitioning and one sort.
 
 Scale: a plain ``partitionBy(key)`` window puts every row of a key into one
 task, which breaks when one station holds a large share of the data. The
-default plan partitions by ``(key, time bucket)`` instead. A row is needed by
-targets at most ``max(L)`` later, so each row is also copied (as a source
-only) into the following bucket(s) it can serve; those copies are the only
-extra rows (about ``max(L) / bucket`` of the input) and they are dropped
-after the window. Results are identical to the plain window.
+default plan partitions by ``(key, time bucket)`` instead, with a bucket
+width chosen per key from its density (one day for ordinary keys, down to the
+tolerance for very hot ones). A row is needed by targets in
+``[s + L - tol, s + L]`` for each lag, so it is also copied (as a source only)
+into the other buckets those windows touch; the copies are the only extra
+rows and are dropped after the window. Results are identical to the plain
+window for any width.
 """
 
 from __future__ import annotations
@@ -32,14 +34,26 @@ def _frame_bounds(minutes: int, tolerance: int) -> tuple[int, int]:
     return -minutes * _US_PER_MIN, (-minutes + tolerance) * _US_PER_MIN
 
 
+# Adaptive bucketing: aim at this many rows per (key, bucket) window partition.
+TARGET_ROWS_PER_BUCKET = 500_000
+# Keys denser than the default width allows get their own width; at most this
+# many exceptions travel in a broadcast table (a proven size bound).
+MAX_HOT_KEYS = 1_000
+MAX_BUCKET_MINUTES = 24 * 60
+
+
 def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
              value: str = TARGET_RAW, lags: Mapping[str, int] | None = None,
              tolerance_minutes: int = LAG_TOLERANCE_MINUTES,
-             bucket_minutes: int | None = 24 * 60) -> DataFrame:
+             bucket_minutes: int | str | None = "auto",
+             target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
     """Add one column per entry of ``lags`` (name -> minutes).
 
-    ``bucket_minutes=None`` uses the plain per-key window (fine when no key is
-    hot); otherwise the bucketed plan described in the module docstring.
+    ``bucket_minutes``: ``"auto"`` (default) picks the time-bucket width per
+    key from its density, so no (key, bucket) holds much more than
+    ``TARGET_ROWS_PER_BUCKET`` rows; an int fixes the width for all keys;
+    ``None`` is the plain per-key window (only for data without hot keys).
+    Every choice gives the same values.
     """
     lags = dict(lags or DEFAULT_LAGS)
     if not lags:
@@ -56,32 +70,77 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
             cols[name] = F.when(F.col("_us").isNotNull(),
                                 F.first(value).over(w.rangeBetween(lo, hi)))
         return base.withColumns(cols).drop("_us")
-    return _bucketed(base, key, value, lags, tolerance_minutes, bucket_minutes)
+    if bucket_minutes == "auto":
+        base, width = _adaptive_width(base, key, tolerance_minutes, target_rows, max_hot)
+    else:
+        width = F.lit(int(bucket_minutes) * _US_PER_MIN)
+    return _bucketed(base, key, value, lags, tolerance_minutes, width)
+
+
+def _adaptive_width(base: DataFrame, key: str, tolerance: int,
+                    target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS):
+    """Per-key bucket width (microseconds) from row density.
+
+    One partial aggregation gives (count, first, last) per key; only the
+    ``max_hot + 1`` densest keys reach the driver. The default width is what
+    the (max_hot + 1)-th densest key needs, so every key outside the
+    exception list is at most that dense; the exceptions get their own
+    width through a broadcast table of at most ``max_hot`` rows. Widths stay
+    within [tolerance, 1 day]: narrower buckets would only multiply copies.
+    """
+    lo_w = max(tolerance, 1) * _US_PER_MIN
+    hi_w = MAX_BUCKET_MINUTES * _US_PER_MIN
+
+    def width_for(n, span):
+        if not n:
+            return hi_w
+        w = int(target_rows * max(span, 1) / n)
+        return max(lo_w, min(hi_w, w))
+
+    u = F.col("_us")
+    stats = (base.where(u.isNotNull() & F.col(key).isNotNull()).groupBy(key)
+             .agg(F.count(F.lit(1)).alias("n"), (F.max(u) - F.min(u) + 1).alias("span")))
+    dens = F.col("n") / F.col("span")
+    top = stats.orderBy(dens.desc(), F.col(key)).limit(max_hot + 1).collect()
+    default = hi_w if len(top) <= max_hot else width_for(top[-1]["n"], top[-1]["span"])
+    hot = [(r[key], width_for(r["n"], r["span"])) for r in top[:max_hot]]
+    hot = [(k, w) for k, w in hot if w < default]
+    if not hot:
+        return base, F.lit(default)
+    kt = base.schema[key].dataType.simpleString()
+    widths = base.sparkSession.createDataFrame(hot, f"{key} {kt}, _width long")
+    joined = base.join(F.broadcast(widths), key, "left")
+    return joined, F.coalesce(F.col("_width"), F.lit(default))
 
 
 def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
-              tolerance: int, bucket_minutes: int) -> DataFrame:
-    width = bucket_minutes * _US_PER_MIN
-    lmin = min(lags.values()) - tolerance
-    lmax = max(lags.values())
+              tolerance: int, width) -> DataFrame:
     u = F.col("_us")
-    own = F.floor(u / F.lit(width))
-    # Targets served by a source at s lie in [s + lmin, s + lmax].
-    first_b = F.floor((u + F.lit(lmin * _US_PER_MIN)) / F.lit(width))
-    last_b = F.floor((u + F.lit(lmax * _US_PER_MIN)) / F.lit(width))
-
-    # One scan: each row expands to its own bucket (target and source) plus,
-    # only when its reach crosses a bucket edge, one source-only copy per
-    # extra bucket. Copies keep key, time and value; other columns are NULL.
-    extra = F.filter(F.sequence(first_b, last_b), lambda b: b != own)
+    base = base.withColumn("_w", width)
+    wcol = F.col("_w")
+    own = F.floor(u / wcol)
+    # A source at s serves targets in [s + L - tol, s + L] for each lag L:
+    # the buckets of those windows, without its own one, get a copy.
+    reach = None
+    for minutes in lags.values():
+        lo_b = F.floor((u + F.lit((minutes - tolerance) * _US_PER_MIN)) / wcol)
+        hi_b = F.floor((u + F.lit(minutes * _US_PER_MIN)) / wcol)
+        seq = F.sequence(lo_b, hi_b)
+        reach = seq if reach is None else F.array_union(reach, seq)
+    extra = F.filter(reach, lambda b: b != own)
+
+    # One scan: each row expands to its own bucket (target and source) plus
+    # one source-only copy per extra bucket. Copies keep key, time and value;
+    # other columns are NULL in them.
     entries = F.concat(
         F.array(F.struct(own.alias("b"), F.lit(False).alias("c"))),
         F.when(u.isNotNull(), F.transform(extra, lambda b: F.struct(b.alias("b"), F.lit(True).alias("c"))))
         .otherwise(F.array().cast("array<struct<b:bigint,c:boolean>>")))
     keep = {key, value, "_us"}
+    out_cols = [c for c in base.columns if c not in ("_w", "_width")]
     exploded = base.withColumn("_e", F.explode(entries))
     both = exploded.select(
-        *[F.col(c) if c in keep else F.when(~F.col("_e.c"), F.col(c)).alias(c) for c in base.columns],
+        *[F.col(c) if c in keep else F.when(~F.col("_e.c"), F.col(c)).alias(c) for c in out_cols],
         F.col("_e.b").alias("_b"), F.col("_e.c").alias("_src_only"))
     w = Window.partitionBy(key, "_b").orderBy("_us")
     cols = {}

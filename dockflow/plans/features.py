@@ -19,7 +19,7 @@ from .catalog import output, register
 NO_ROUND = ("lat", "lon", "latitude", "longitude")
 
 
-def lagged_features(raw: DataFrame, bucket_minutes: int | None = 24 * 60) -> DataFrame:
+def lagged_features(raw: DataFrame, bucket_minutes: int | str | None = "auto") -> DataFrame:
     """C3 = C1 + C2 + J1 x 2 + P20."""
     feats = row_features(clean_readings(raw))
     with_lags = asof.asof_lag(feats, bucket_minutes=bucket_minutes)
@@ -34,7 +34,7 @@ def final_rounding(df: DataFrame, digits: int = 2, skip=NO_ROUND) -> DataFrame:
 
 
 def feature_table(raw: DataFrame, q: float = 0.80, persist: bool = True,
-                  bucket_minutes: int | None = 24 * 60) -> tuple[DataFrame, profiles.Profiles, float]:
+                  bucket_minutes: int | str | None = "auto") -> tuple[DataFrame, profiles.Profiles, float]:
     """Lagged features -> temporal split -> fitted profiles -> residual target -> K1.
 
     The lagged frame is written once to the shared checkpoint folder: the

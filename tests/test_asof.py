@@ -17,7 +17,7 @@ def _frame(spark, rows):
     return spark.createDataFrame(rows, "station_id int, datetime timestamp, v double")
 
 
-@pytest.mark.parametrize("bucket", [None, 24 * 60, 45, 7])
+@pytest.mark.parametrize("bucket", [None, 24 * 60, 45, 7, "auto"])
 def test_edges(spark, bucket):
     t = T0
     rows = [
@@ -62,8 +62,13 @@ def _merge_asof(pdf, minutes, name):
     return pd.concat(res).set_index("rid")[name]
 
 
-@pytest.mark.parametrize("bucket", [None, 24 * 60, 90, 20])
-def test_matches_merge_asof(spark, bucket):
+@pytest.mark.parametrize("bucket,target_rows,max_hot", [
+    (None, 0, 0), (24 * 60, 0, 0), (90, 0, 0), (20, 0, 0),
+    ("auto", 500_000, 1000),      # ordinary keys: one-day buckets
+    ("auto", 40, 2),              # two hot keys get narrow widths, the rest a derived default
+    ("auto", 5, 10),              # every key narrower than a day, clamped at the tolerance
+])
+def test_matches_merge_asof(spark, bucket, target_rows, max_hot):
     rng = np.random.default_rng(7)
     n = 3000
     sid = rng.integers(0, 6, n)
@@ -73,7 +78,8 @@ def test_matches_merge_asof(spark, bucket):
     pdf = pd.DataFrame({"rid": np.arange(n), "station_id": sid.astype(int), "datetime": ts,
                         "v": np.round(rng.uniform(0, 100, n), 2)})
     sdf = spark.createDataFrame(pdf, "rid long, station_id int, datetime timestamp, v double")
-    out = asof_lag(sdf, value="v", lags={"lag_60min": 60, "lag_240min": 240}, bucket_minutes=bucket)
+    kw = {"target_rows": target_rows, "max_hot": max_hot} if bucket == "auto" else {}
+    out = asof_lag(sdf, value="v", lags={"lag_60min": 60, "lag_240min": 240}, bucket_minutes=bucket, **kw)
     got = out.toPandas().set_index("rid").sort_index()
     for name, minutes in (("lag_60min", 60), ("lag_240min", 240)):
         exp = _merge_asof(pdf, minutes, name).sort_index()
