@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from ..functions import round_half_even
 from ..operators import evaluate as E
 from ..operators import split as SP
-from ..schema import (BASELINE_NAME, FEATURES, GBT_PARAMS, RANDOM_SEED, RF_PARAMS, RIDGE_ALPHA,
-                      TARGET, TARGET_RAW, XGB_PARAMS)
+from ..schema import (BASELINE_NAME, GBT_PARAMS, RANDOM_SEED, RF_PARAMS, RIDGE_ALPHA, TARGET,
+                      TARGET_RAW, XGB_PARAMS)
 
 PREFIX = "f__"
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions import (exact_mean, profile_class, round6, round_half_even, safe_ratio,
                          truthy_flag)
 from ..schema import EVENING_HOURS, FILL_BANDS, MORNING_HOURS, TARGET_RAW
-from .features import date_parts
 from .joins import fitted_scalars, join_bounded
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exact_mean, profile_class, weekday_label
 from ..operators import evaluate as E
-from ..operators.explore import equiwidth_histogram, profile_by_weekday
+from ..operators.explore import profile_by_weekday
 from ..functions import clip
 from ..schema import BASELINE_NAME, TARGET, TARGET_RAW
 from ..sources.tables import readings
@@ -25,9 +25,6 @@ from .features import _ft_sql, feature_table
 TREND_ONLY = "Tendance seule"
 PERSISTENCE = "Persistance residu 240min"
 
-# Predictors: name -> SQL / Column for residual_pred (the baseline uses the train mean).
-PREDICTORS = [BASELINE_NAME, TREND_ONLY, PERSISTENCE]
-
 
 def _tables(spark: SparkSession, sf_dir: str):
     ft, _, _ = feature_table(readings(spark, sf_dir))

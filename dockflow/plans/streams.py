@@ -19,7 +19,7 @@ from ..sources.tables import readings, table
 from ..streaming import ingest as ST
 from . import sqltext as Q
 from .catalog import output, register
-from .features import FEATURE_TABLE_SQL, _ft_sql, final_rounding, lagged_features
+from .features import _ft_sql, final_rounding, lagged_features
 from .ingest import RECORDS_BODY, RECORDS_SQL, info_documents, land_text, status_documents, weather_documents
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import join_bounded
+
 # ``station_id`` rule: the correctness fixture folds users onto 10 stations;
 # the bench uses one station per user to have many keys.
 STATION_RULES = ("mod10", "user")
@@ -29,7 +31,10 @@ def readings(spark: SparkSession, sf_dir: str, stations: str = "mod10") -> DataF
     p = (table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
          .where(F.col("p_partkey").between(-8, 10)))
     sid = (F.col("user_id") % 10) if stations == "mod10" else F.col("user_id")
-    joined = e.join(p, (F.col("user_id") % 10 + 1) == F.col("p_partkey"), "left")
+    # Broadcast after a measured bound (part's key is unique, so this is <= 19
+    # rows); without it a large ``part`` could turn this into a shuffle of events.
+    joined = join_bounded(e, p, (F.col("user_id") % 10 + 1) == F.col("p_partkey"), "left",
+                          proven_rows=None)
     day = F.dayofmonth("ts")
     return joined.select(
         F.col("event_id").alias("reading_id"),
