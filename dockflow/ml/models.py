@@ -218,7 +218,7 @@ def feature_importance(model: PipelineModel, features: Sequence[str]) -> DataFra
 
 def score_and_reconstruct(model: PipelineModel, test: DataFrame) -> DataFrame:
     """residual_pred, taux_pred = clip(trend + residual_pred), erreur_absolue."""
-    return E.with_abs_error(E.reconstruct(predict(model, test)))
+    return E.prediction_columns(predict(model, test))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -36,6 +36,15 @@ def with_abs_error(df: DataFrame, truth: str = TARGET_RAW, pred: str = "taux_pre
     return df.withColumn(out, abs_error(truth, pred))
 
 
+def prediction_columns(df: DataFrame, truth: str = TARGET_RAW, trend: str = "station_trend_avg") -> DataFrame:
+    """M13 output columns from ``residual_pred``: taux_pred = clip(trend + pred),
+    erreur_absolue from the unrounded prediction, then both predictions
+    rounded to 2 digits (the order the exported predictions use)."""
+    out = with_abs_error(reconstruct(df, trend), truth)
+    return out.withColumns({"residual_pred": round_half_even("residual_pred", 2),
+                            "taux_pred": round_half_even("taux_pred", 2)})
+
+
 def metric_aggs(y: str, p: str, exact: bool = True, digits: int = 4) -> list[Column]:
     """A25 aggregate expressions: MAE, RMSE, R2 (1 - SSE / SST, not squared corr)."""
     if exact:

@@ -16,7 +16,7 @@ from ..functions import exact_mean, profile_class, weekday_label
 from ..operators import evaluate as E
 from ..operators.explore import profile_by_weekday
 from ..functions import clip
-from ..schema import BASELINE_NAME, TARGET, TARGET_RAW
+from ..schema import BASELINE_NAME, SEVERITY_LABELS, TARGET, TARGET_RAW, WEEKDAY_LABELS
 from ..sources.tables import readings
 from . import sqltext as Q
 from .catalog import output, register
@@ -48,8 +48,7 @@ def predictions(test: DataFrame, model: str, baseline_mean: float | None = None)
         pred = F.col("lag_res_240min")
     else:
         raise KeyError(model)
-    out = test.withColumn("residual_pred", pred)
-    return E.with_abs_error(E.reconstruct(out))
+    return E.prediction_columns(test.withColumn("residual_pred", pred))
 
 
 def results_table(train: DataFrame, test: DataFrame) -> DataFrame:
@@ -142,7 +141,8 @@ pr AS (SELECT te.*, CASE (SELECT Modele FROM board WHERE rank = 1)
                       WHEN '{TREND_ONLY}' THEN 0e0 ELSE lag_res_240min END AS residual_pred FROM te),
 pr2 AS (SELECT *, CASE WHEN station_trend_avg + residual_pred IS NULL THEN NULL
                        ELSE greatest(0e0, least(100e0, station_trend_avg + residual_pred)) END AS taux_pred FROM pr),
-preds AS (SELECT *, {Q.r('abs(capacity_status_calc - taux_pred)')} AS erreur_absolue FROM pr2)"""
+preds AS (SELECT * REPLACE ({Q.r('residual_pred')} AS residual_pred, {Q.r('taux_pred')} AS taux_pred),
+                 {Q.r('abs(capacity_status_calc - taux_pred)')} AS erreur_absolue FROM pr2)"""
 
 
 def _ev(final: str, extra: str = "") -> str:
@@ -242,9 +242,12 @@ def q_error_histogram(spark, sf_dir):
     return E.error_histogram(_best_preds(spark, sf_dir))
 
 
-_SEV_MAP = "CASE weather_severity " + " ".join(
-    f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(["Clair", "Nuageux", "Pluie légère", "Pluie forte", "Extrême"])
-) + " ELSE CAST(weather_severity AS VARCHAR) END"
+def _label_sql(c: str, labels) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{lab}'" for i, lab in enumerate(labels))
+    return f"CASE {c} {whens} ELSE CAST({c} AS VARCHAR) END"
+
+
+_SEV_MAP = _label_sql("weather_severity", SEVERITY_LABELS)
 
 
 @register("error_by_weather", _ev(f"""SELECT weather_severity,
@@ -256,8 +259,7 @@ def q_error_by_weather(spark, sf_dir):
 
 @register("code_labels", f"""WITH {Q.VIZ}
 SELECT day_of_week, {Q.exact_mean('capacity_status_calc')} AS mean_fill,
-  CASE day_of_week {' '.join(f"WHEN {i} THEN '{d}'" for i, d in enumerate(['Lun', 'Mar', 'Mer', 'Jeu', 'Ven', 'Sam', 'Dim']))}
-  ELSE CAST(day_of_week AS VARCHAR) END AS label FROM viz GROUP BY day_of_week""")
+  {_label_sql('day_of_week', WEEKDAY_LABELS)} AS label FROM viz GROUP BY day_of_week""")
 def q_code_labels(spark, sf_dir):
     from .exploration import _viz
     return profile_by_weekday(_viz(spark, sf_dir)).withColumn("label", weekday_label("day_of_week"))
