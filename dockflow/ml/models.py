@@ -70,6 +70,60 @@ def fit_scaling(train: DataFrame, features: Sequence[str], medians: dict) -> dic
     return out
 
 
+LABEL_KEY = "__label__"
+ROWS_KEY = "__rows__"
+
+
+def fit_preprocessing(train: DataFrame, features: Sequence[str], label: str | None = None,
+                      scale: bool = True):
+    """M1 + M2 (+ label moments) in one aggregation.
+
+    Rows are unpivoted to (feature, value) and reduced to (feature, value,
+    count) map-side; one group-by per feature then gives the exact median
+    (percentile over counts) and the moments of the non-NULL values.
+    Mean and population sigma after median imputation follow from those:
+    the NULLs contribute ``n_null`` copies of the median. Returns
+    ``(medians, scaling or None, (n, sigma_label) or None)``.
+    """
+    cols = [F.col(c) for c in features] + ([F.col(label)] if label else []) + [F.lit(1.0)]
+    keys = list(features) + ([LABEL_KEY] if label else []) + [ROWS_KEY]
+    stack = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), c.cast("double").alias("v"))
+                                for k, c in zip(keys, cols)]))
+    pairs = (train.select(stack.alias("p")).select("p.*").where(F.col("v").isNotNull())
+             .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c")))
+    v = F.col("v")
+    stats = pairs.groupBy("feature").agg(
+        F.percentile("v", F.lit(0.5), F.col("c")).alias("median"),
+        F.sum("c").alias("k"),
+        F.sum(v * F.col("c")).alias("s1"),
+        F.sum(v * v * F.col("c")).alias("s2"))
+    rows = {r["feature"]: r for r in stats.collect()}          # one row per feature
+    n = rows[ROWS_KEY]["k"] if ROWS_KEY in rows else 0   # all rows (constant pseudo-feature)
+    medians = {f: (rows[f]["median"] if f in rows else None) for f in features}
+    scaling = None
+    if scale:
+        scaling = {}
+        for f in features:
+            r = rows.get(f)
+            if r is None or not n:
+                scaling[f] = (0.0, 1.0)
+                continue
+            m, nn = medians[f], n - r["k"]
+            s1 = r["s1"] + nn * m
+            s2 = r["s2"] + nn * m * m
+            mean = s1 / n
+            var = max(s2 / n - mean * mean, 0.0)
+            scaling[f] = (mean, math.sqrt(var) if var > 0 else 1.0)
+    label_stats = None
+    if label:
+        r = rows.get(LABEL_KEY)
+        if r is not None and r["k"]:
+            k = r["k"]
+            var = max(r["s2"] / k - (r["s1"] / k) ** 2, 0.0)
+            label_stats = (k, math.sqrt(var))
+    return medians, scaling, label_stats
+
+
 def preprocess_stage(features: Sequence[str], medians: dict, scaling: dict | None) -> SQLTransformer:
     """Frozen M1 (+ M2) as a SQL stage producing ``f__<feature>`` columns."""
     exprs = []
@@ -122,14 +176,17 @@ def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params:
                    label: str = TARGET, seed: int = RANDOM_SEED) -> Pipeline:
     """Imputer (+ scaler for the linear model) -> assembler -> regressor."""
     params = dict(params or {})
-    medians = fit_medians(train, features)
-    scaling = fit_scaling(train, features, medians) if kind == "ridge" else None
+    ridge = kind == "ridge"
+    medians, scaling, label_stats = fit_preprocessing(train, features, label if ridge else None,
+                                                      scale=ridge)
     stages = [preprocess_stage(features, medians, scaling), assembler(features)]
-    if kind == "ridge":
+    if ridge:
         alpha = params.get("alpha", RIDGE_ALPHA)
+        n_y, s_y = label_stats if label_stats else (1, 1.0)
+        # sklearn Ridge(alpha) = Spark regParam alpha / n * sigma_pop(y) (see ridge_reg_param).
         reg = LinearRegression(labelCol=label, featuresCol="features", solver="normal",
                                elasticNetParam=0.0, standardization=False, fitIntercept=True,
-                               regParam=ridge_reg_param(train, alpha, label))
+                               regParam=alpha / n_y * (s_y or 1.0))
     elif kind == "rf":
         p = {**RF_PARAMS, **params}
         reg = RandomForestRegressor(labelCol=label, featuresCol="features", seed=seed,
