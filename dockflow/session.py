@@ -41,6 +41,50 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of parquet.
+
+    Shuffle partitions are sized so that each holds about ``partition_bytes``
+    (AQE coalesces smaller ones and splits skewed ones above 4x that size);
+    scan splits use the same size. At 100 TB this gives ~400k shuffle
+    partitions, below 1 GB each even when a stage doubles the data.
+    """
+    parts = max(200, int(input_bytes // partition_bytes))
+    size = f"{partition_bytes // (1 << 20)}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * partition_bytes // (1 << 20)}m",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def cluster_session(app_name: str = "dockflow", input_bytes: int | None = None) -> SparkSession:
+    """Session on the cluster the launcher configured (no master is set here).
+
+    ``spark.checkpoint.dir`` must name shared storage; sizing follows
+    ``scale_settings`` when ``input_bytes`` is given.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    for k, v in (scale_settings(input_bytes) if input_bytes else
+                 {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.enabled": "true"}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of ``path`` (HDFS, S3, local)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import resolve_alias
 from ..operators.setops import dedup_keep_first
+from ..session import path_exists
 from ..schema import KEY
 
 LAT_ALIASES = ["lat", "latitude", "Lat"]
@@ -22,10 +23,7 @@ LON_ALIASES = ["lon", "lng", "longitude", "Lon"]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return path_exists(spark, path)
 
 
 def export_feature_tables(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -131,9 +129,10 @@ def export_results(results: DataFrame, importance: DataFrame | None, path: str)
 
 def export_full_history(df: DataFrame, path: str, ts: str = "datetime") -> None:
     """K7: consolidated history partitioned by date, sorted by station and time
-    inside each file (range-partitioned, no global single-task sort)."""
+    inside each file. Range partitioning on (date, station, time) keeps a
+    hot station-day splittable; no global single-task sort."""
     (df.withColumn("date", F.to_date(ts))
-     .repartitionByRange("date", "station_id")
+     .repartitionByRange("date", "station_id", ts)
      .sortWithinPartitions("station_id", ts)
      .write.mode("overwrite").partitionBy("date").parquet(path))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.setops import dedup_keep_first
+from ..session import path_exists
 from ..schema import KEY, READINGS_SCHEMA
 
 # ISO-8601 with microseconds and offset, as the collector writes ``datetime``.
@@ -29,9 +30,7 @@ def scan_readings(spark: SparkSession, path: str, fmt: str = "csv",
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return path_exists(spark, path)
 
 
 def rotated_paths(spark: SparkSession, base: str, prefix: str, suffix: str = "",
