@@ -150,7 +150,8 @@ def boxplot_by_station(df: DataFrame, stations: DataFrame, value: str = TARGET_R
     inside = (v >= F.col("q1") - F.lit(1.5) * F.col("_iqr")) & (v <= F.col("q3") + F.lit(1.5) * F.col("_iqr"))
     whiskers = fenced.where(inside).groupBy("station_id").agg(
         F.min(value).alias("whisker_lo"), F.max(value).alias("whisker_hi"))
-    return q.drop("_iqr").join(whiskers, "station_id", "left")
+    # Both sides hold one row per chosen station (top-k, e.g. 20).
+    return q.drop("_iqr").join(F.broadcast(whiskers), "station_id", "left")
 
 
 def top_stations_by_count(df: DataFrame, n: int = 20) -> DataFrame:
