@@ -75,7 +75,11 @@ def main() -> None:
 
     times: dict[str, float] = {}
 
+    only = {x for x in os.environ.get("BENCH_ONLY", "").split(",") if x}
+
     def run(name, fn):
+        if only and name not in only:
+            return
         sc.setJobGroup(name, name)
         t0 = time.time()
         fn()
@@ -139,15 +143,35 @@ def main() -> None:
     shuffle = _shuffle_bytes(log_dir)
     headline = ["c5_feature_table", "j1_asof_lag", "a1_a2_trend_profiles", "a4_morning_evening_ratio",
                 "a12_histogram", "a25_regression_metrics"]
-    print(json.dumps({
+    result = {
         "metric": "headline_total_sec",
-        "value": round(sum(times[k] for k in headline), 3),
+        "value": round(sum(times.get(k, 0.0) for k in headline), 3),
         "unit": "sec",
         "queries": times,
         "shuffle_bytes": shuffle,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
-    }))
+    }
+    if not only and os.environ.get("BENCH_SCALING", "1") == "1":
+        result["c5_scaling_sec"] = _scaling(sf_dir)
+    print(json.dumps(result))
+
+
+def _scaling(sf_dir: str) -> dict[str, float | None]:
+    """C5 feature table at local[1] and local[4], one subprocess each."""
+    import subprocess
+    out: dict[str, float | None] = {}
+    for n in (1, 4):
+        env = dict(os.environ, BENCH_CPUS=str(n), BENCH_ONLY="c5_feature_table", BENCH_SCALING="0",
+                   BENCH_SF_DIR=sf_dir)
+        try:
+            p = subprocess.run([sys.executable, os.path.abspath(__file__)], env=env, capture_output=True,
+                               text=True, timeout=900)
+            line = [x for x in p.stdout.splitlines() if x.startswith("{")][-1]
+            out[f"local[{n}]"] = json.loads(line)["queries"]["c5_feature_table"]
+        except Exception:  # noqa: BLE001 - the headline result must still print
+            out[f"local[{n}]"] = None
+    return out
 
 
 if __name__ == "__main__":
