@@ -104,7 +104,9 @@ def temporal_split(df: DataFrame, ts: str = "datetime", q: float = TRAIN_QUANTIL
     cutoff = exact_quantiles(df, micros(ts), [q])[q]
     if cutoff is None:
         return df.withColumn(split_col, F.lit(None).cast("string")), None
-    label = F.when(micros(ts) <= F.lit(cutoff), F.lit("train")).otherwise(F.lit("test"))
+    # A missing timestamp is in neither split (NULL label), as with NaT in the reference.
+    x = micros(ts)
+    label = F.when(x <= F.lit(cutoff), F.lit("train")).when(x > F.lit(cutoff), F.lit("test"))
     return df.withColumn(split_col, label), cutoff
 
 

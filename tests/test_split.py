@@ -65,3 +65,10 @@ def test_early_stop_split(spark):
     out = SP.early_stop_split(df).collect()
     val = sorted(r.rid for r in out if r.is_validation)
     assert val == list(range(int(200 * 0.85), 200))
+
+
+def test_null_time_in_no_split(spark):
+    rows = [(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 2)), (3, None)]
+    df = spark.createDataFrame(rows, "rid long, datetime timestamp")
+    out = {r.rid: r.split for r in SP.temporal_split(df)[0].collect()}
+    assert out == {1: "train", 2: "test", 3: None}
