@@ -123,7 +123,7 @@ def equiwidth_histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
            if hi > lo else F.lit(0))
     counts = (df.where(x.isNotNull()).groupBy(idx.cast("int").alias("bin"))
               .agg(F.count(F.lit(1)).alias("n")))
-    out = join_bounded(frame, counts, "bin", "left", max_rows=bins)
+    out = join_bounded(frame, counts, "bin", "left", proven_rows=bins)
     return out.select(
         "bin",
         (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_lo"),

@@ -64,5 +64,5 @@ def monthly_anomaly_transform(df: DataFrame, value: str = "apparent_temperature"
     from ..functions import exact_mean
     from ..operators.joins import join_bounded
     means = df.groupBy("month").agg(exact_mean(value).alias("_month_mean"))
-    out_df = join_bounded(df, means, ["month"], "left", max_rows=13)   # 12 months + NULL
+    out_df = join_bounded(df, means, ["month"], "left", proven_rows=13)   # 12 months + NULL
     return out_df.withColumn(out, F.col(value) - F.col("_month_mean")).drop("_month_mean")

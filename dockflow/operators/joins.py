@@ -1,10 +1,11 @@
 """Join helpers: broadcast only behind a size bound, shuffle join beyond it.
 
 Lookup joins (J2-J7) attach small fitted tables to data-sized frames. A table
-is broadcast when its row count is bounded either by construction
-(``proven_rows``: e.g. a group-by on month has at most 13 keys) or by a
-measured count below ``max_rows``. Anything larger falls back to a shuffle
-join that AQE can split when keys are skewed.
+is broadcast when its size is bounded either by construction (``proven_rows``:
+e.g. a group-by on month has at most 13 keys, fitted profiles report their
+exact row counts) or by a measured count, and rows x row width stays below
+``BROADCAST_MAX_BYTES``. Anything larger falls back to a shuffle join that
+AQE can split when keys are skewed.
 """
 
 from __future__ import annotations
@@ -14,29 +15,40 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Default ceiling for broadcasting a measured lookup table (rows). 2M rows of a
-# few numeric columns stay well below the 8 GB broadcast limit.
-BROADCAST_MAX_ROWS = 2_000_000
+# Ceiling for broadcasting a lookup table: its estimated size in bytes
+# (rows x schema row width). Well below Spark's 8 GB broadcast limit, and
+# cheap to ship to a thousand executors.
+BROADCAST_MAX_BYTES = 256 << 20
+
+_TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "int": 4, "date": 4, "float": 4,
+               "long": 8, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row (UnsafeRow-like: 8-byte header + fields; strings 32)."""
+    width = 8
+    for f in df.schema.fields:
+        width += _TYPE_BYTES.get(f.dataType.typeName(), 32)
+    return width
 
 
 def is_broadcastable(small: DataFrame, proven_rows: int | None = None,
-                     max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+                     max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``small`` fits ``max_bytes``: from a proven row count, or by
+    counting at most the first ``max_rows + 1`` rows."""
+    max_rows = max(1, max_bytes // row_width(small))
     if proven_rows is not None:
         return proven_rows <= max_rows
-    # Measured bound: count the first max_rows + 1 rows only.
     return small.limit(max_rows + 1).count() <= max_rows
 
 
 def join_bounded(big: DataFrame, small: DataFrame, on: Sequence[str] | str | object,
-                 how: str = "left", max_rows: int | None = None,
-                 proven_rows: int | None = None) -> DataFrame:
+                 how: str = "left", proven_rows: int | None = None) -> DataFrame:
     """``big JOIN small`` broadcasting ``small`` only when its size is bounded.
 
-    ``max_rows`` given alone is treated as a proven structural bound (e.g. 12
-    months); ``proven_rows=None, max_rows=None`` measures the table.
+    ``proven_rows`` is a bound known by construction (e.g. 13 for a month
+    key); without it the table is measured.
     """
-    if max_rows is not None and proven_rows is None:
-        proven_rows = max_rows
     if is_broadcastable(small, proven_rows):
         small = F.broadcast(small)
     return big.join(small, on, how)

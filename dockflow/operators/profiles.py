@@ -112,7 +112,7 @@ def apply_ratio(df: DataFrame, p: Profiles, default: float = 1.0) -> DataFrame:
 
 def apply_normal(df: DataFrame, p: Profiles, temp: str = "apparent_temperature") -> DataFrame:
     """J4 + W2: temp_anomalie = round(temp - normal of the month, 2); unseen month -> NULL."""
-    out = join_bounded(df, p.normal, "month", "left", max_rows=13)
+    out = join_bounded(df, p.normal, "month", "left", proven_rows=13)
     return (out.withColumn("temp_anomalie", round_half_even(F.col(temp) - F.col("monthly_temp"), 2))
             .drop("monthly_temp"))
 
