@@ -68,3 +68,18 @@ def test_trees_beat_baseline_and_reload(spark):
     imp = M.feature_importance(rf.model, FEATS).collect()
     assert imp[0].feature == "x3" or imp[0].feature == "x2"
     assert sum(r.importance for r in imp) == pytest.approx(100.0, abs=0.05)
+
+
+def test_best_rounds_patience():
+    assert M.best_rounds([5, 4, 3, 3.5, 3.2, 3.1, 2.9], 50) == 7
+    assert M.best_rounds([5, 4, 3, 3.5, 3.6, 3.7, 2.0], 3) == 3     # stopped before the late dip
+    assert M.best_rounds([1.0], 50) == 1
+
+
+def test_gbt_early_stopping_keeps_best_count(spark):
+    df, _, _ = _planted(spark)
+    df = df.withColumn("datetime", F.timestamp_seconds(F.monotonically_increasing_id()))
+    m = M.fit("gbt_es", df, FEATS, {"n_estimators": 30, "max_depth": 3, "learning_rate": 0.3,
+                                    "subsample": 1.0, "min_child_weight": 5, "early_stopping_rounds": 5})
+    assert 1 <= m.info["n_trees"] <= m.info["n_max"] == 30
+    assert len(m.model.stages[-1].trees) == m.info["n_trees"]
