@@ -68,6 +68,8 @@ def append_sink(stream: DataFrame, target: str, metrics_path: str, checkpoint: s
             done = spark.read.parquet(metrics_path).where(F.col("batch_id") == batch_id).limit(1).count()
             if done:
                 return
+        if batch.limit(1).count() == 0:      # no-data batch (watermark advance): nothing to record
+            return
         res = W.append_dedup(batch, target, max_records_per_file=max_records_per_file)
         W.metrics_row(spark, batch_id, res).write.mode("append").parquet(metrics_path)
 
