@@ -18,7 +18,7 @@ window for any width.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,7 +46,8 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
              value: str = TARGET_RAW, lags: Mapping[str, int] | None = None,
              tolerance_minutes: int = LAG_TOLERANCE_MINUTES,
              bucket_minutes: int | str | None = "auto",
-             target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS) -> DataFrame:
+             target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS,
+             dedup_order: Sequence[str] | None = None) -> DataFrame:
     """Add one column per entry of ``lags`` (name -> minutes).
 
     ``bucket_minutes``: ``"auto"`` (default) picks the time-bucket width per
@@ -54,6 +55,11 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
     ``TARGET_ROWS_PER_BUCKET`` rows; an int fixes the width for all keys;
     ``None`` is the plain per-key window (only for data without hot keys).
     Every choice gives the same values.
+
+    ``dedup_order``: keep one row per (key, time), the first by these columns
+    (U2 before J1, so duplicate polls cannot make the lag ambiguous). It runs
+    as a ``row_number`` over (key, bucket, time) on the lag's own exchange:
+    no extra shuffle.
     """
     lags = dict(lags or DEFAULT_LAGS)
     if not lags:
@@ -63,6 +69,10 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     base = df.withColumn("_us", us)
     if bucket_minutes is None:
+        if dedup_order:
+            base = base.repartition(key)
+            wd = Window.partitionBy(key, "_us").orderBy(*dedup_order)
+            base = base.withColumn("_rn", F.row_number().over(wd)).where(F.col("_rn") == 1).drop("_rn")
         w = Window.partitionBy(key).orderBy("_us")
         cols = {}
         for name, minutes in lags.items():
@@ -74,7 +84,7 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
         base, width = _adaptive_width(base, key, tolerance_minutes, target_rows, max_hot)
     else:
         width = F.lit(int(bucket_minutes) * _US_PER_MIN)
-    return _bucketed(base, key, value, lags, tolerance_minutes, width)
+    return _bucketed(base, key, value, lags, tolerance_minutes, width, dedup_order)
 
 
 def _adaptive_width(base: DataFrame, key: str, tolerance: int,
@@ -114,7 +124,7 @@ def _adaptive_width(base: DataFrame, key: str, tolerance: int,
 
 
 def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
-              tolerance: int, width) -> DataFrame:
+              tolerance: int, width, dedup_order: Sequence[str] | None = None) -> DataFrame:
     u = F.col("_us")
     base = base.withColumn("_w", width)
     wcol = F.col("_w")
@@ -142,6 +152,13 @@ def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
     both = exploded.select(
         *[F.col(c) if c in keep else F.when(~F.col("_e.c"), F.col(c)).alias(c) for c in out_cols],
         F.col("_e.b").alias("_b"), F.col("_e.c").alias("_src_only"))
+    if dedup_order:
+        # Same (key, time) -> same bucket for targets and for copies: the
+        # partitioning of the lag window already clusters the duplicates.
+        # One explicit exchange on (key, bucket) serves both windows.
+        both = both.repartition(key, "_b")
+        wd = Window.partitionBy(key, "_b", "_us").orderBy(*dedup_order)
+        both = both.withColumn("_rn", F.row_number().over(wd)).where(F.col("_rn") == 1).drop("_rn")
     w = Window.partitionBy(key, "_b").orderBy("_us")
     cols = {}
     for name, minutes in lags.items():

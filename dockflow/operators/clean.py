@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import round_half_even, truthy
+from ..functions import capacity_group, round_half_even, truthy
 from ..schema import TARGET_RAW
 
 
@@ -45,7 +45,8 @@ def clean_readings(df: DataFrame) -> DataFrame:
 
 
 def cleaning_audit(df: DataFrame) -> DataFrame:
-    """Rows in, zero-capacity removed, out-of-service removed, rows kept (one pass)."""
+    """Rows in, zero-capacity removed, out-of-service removed, rows kept, and kept
+    rows with a capacity outside the bins (one pass)."""
     t = bike_totals(df)
     positive = F.col("total_capacity") > 0
     in_service = truthy("is_renting") if "is_renting" in df.columns else F.lit(True)
@@ -54,4 +55,6 @@ def cleaning_audit(df: DataFrame) -> DataFrame:
         F.count_if(F.col("total_capacity") == 0).alias("zero_capacity_removed"),
         F.count_if(positive & ~in_service).alias("out_of_service_removed"),
         F.count_if(positive & in_service).alias("rows_kept"),
+        # kept rows whose capacity lies outside the size bins (NULL group, §8.2 #5)
+        F.count_if(positive & in_service & capacity_group("capacity").isNull()).alias("capacity_out_of_bins"),
     )

@@ -172,7 +172,9 @@ def q_monthly_anomaly(spark, sf_dir):
 t AS (SELECT *, bikes_mechanical + bikes_ebike + numdocksavailable AS total_capacity FROM readings)
 SELECT count(*) AS rows_in, CAST(count_if(total_capacity = 0) AS BIGINT) AS zero_capacity_removed,
        CAST(count_if(total_capacity > 0 AND NOT {Q.truthy('is_renting')}) AS BIGINT) AS out_of_service_removed,
-       CAST(count_if(total_capacity > 0 AND {Q.truthy('is_renting')}) AS BIGINT) AS rows_kept FROM t""")
+       CAST(count_if(total_capacity > 0 AND {Q.truthy('is_renting')}) AS BIGINT) AS rows_kept,
+       CAST(count_if(total_capacity > 0 AND {Q.truthy('is_renting')} AND ({Q.capacity_group()}) IS NULL) AS BIGINT)
+         AS capacity_out_of_bins FROM t""")
 def q_cleaning_audit(spark, sf_dir):
     return C.cleaning_audit(readings(spark, sf_dir))
 

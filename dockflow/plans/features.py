@@ -20,9 +20,11 @@ NO_ROUND = ("lat", "lon", "latitude", "longitude")
 
 
 def lagged_features(raw: DataFrame, bucket_minutes: int | str | None = "auto") -> DataFrame:
-    """C3 = C1 + C2 + J1 x 2 + P20."""
+    """C3 = C1 + C2 + U2 + J1 x 2 + P20 (one row per station and time, SURVEY §8.2 #13)."""
     feats = row_features(clean_readings(raw))
-    with_lags = asof.asof_lag(feats, bucket_minutes=bucket_minutes)
+    order = [c for c, t in feats.dtypes if c not in ("station_id", "datetime")
+             and not t.startswith(("array", "map", "struct"))]
+    with_lags = asof.asof_lag(feats, bucket_minutes=bucket_minutes, dedup_order=order)
     return asof.drop_incomplete(with_lags, asof.DEFAULT_LAGS)
 
 

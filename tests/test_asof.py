@@ -87,3 +87,13 @@ def test_matches_merge_asof(spark, bucket, target_rows, max_hot):
         assert np.array_equal(np.isnan(a), np.isnan(b)), name
         assert np.allclose(a[~np.isnan(a)], b[~np.isnan(b)], rtol=0, atol=0), name
     assert len(got) == n
+
+
+@pytest.mark.parametrize("bucket", [None, "auto"])
+def test_duplicates_dropped_before_lag(spark, bucket):
+    t = T0
+    rows = [(1, t - 60 * MIN, 5.0), (1, t - 60 * MIN, 2.0),      # duplicate poll: keep the first by v
+            (1, t, 9.0), (1, t, 9.0)]
+    out = asof_lag(_frame(spark, rows), value="v", lags={"lag": 60}, bucket_minutes=bucket,
+                   dedup_order=["v"]).collect()
+    assert sorted((r.v, r.lag) for r in out) == [(2.0, None), (9.0, 2.0)]
