@@ -47,7 +47,7 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
              tolerance_minutes: int = LAG_TOLERANCE_MINUTES,
              bucket_minutes: int | str | None = "auto",
              target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS,
-             dedup_order: Sequence[str] | None = None) -> DataFrame:
+             dedup_order: Sequence | None = None) -> DataFrame:
     """Add one column per entry of ``lags`` (name -> minutes).
 
     ``bucket_minutes``: ``"auto"`` (default) picks the time-bucket width per
@@ -56,10 +56,10 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
     ``None`` is the plain per-key window (only for data without hot keys).
     Every choice gives the same values.
 
-    ``dedup_order``: keep one row per (key, time), the first by these columns
+    ``dedup_order``: keep one row per (key, time), the first by these columns or expressions
     (U2 before J1, so duplicate polls cannot make the lag ambiguous). It runs
-    as a ``row_number`` over (key, bucket, time) on the lag's own exchange:
-    no extra shuffle.
+    on the lag's own exchange and sort (previous-row time comparison): no
+    extra shuffle.
     """
     lags = dict(lags or DEFAULT_LAGS)
     if not lags:
@@ -71,8 +71,10 @@ def asof_lag(df: DataFrame, key: str = "station_id", ts: str = "datetime",
     if bucket_minutes is None:
         if dedup_order:
             base = base.repartition(key)
-            wd = Window.partitionBy(key, "_us").orderBy(*dedup_order)
-            base = base.withColumn("_rn", F.row_number().over(wd)).where(F.col("_rn") == 1).drop("_rn")
+            wd = Window.partitionBy(key).orderBy("_us", *dedup_order)
+            base = base.withColumn("_prev", F.lag("_us").over(wd))
+            base = (base.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_us"))
+                               | F.col("_us").isNull()).drop("_prev"))
         w = Window.partitionBy(key).orderBy("_us")
         cols = {}
         for name, minutes in lags.items():
@@ -124,7 +126,7 @@ def _adaptive_width(base: DataFrame, key: str, tolerance: int,
 
 
 def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
-              tolerance: int, width, dedup_order: Sequence[str] | None = None) -> DataFrame:
+              tolerance: int, width, dedup_order: Sequence | None = None) -> DataFrame:
     u = F.col("_us")
     base = base.withColumn("_w", width)
     wcol = F.col("_w")
@@ -155,10 +157,13 @@ def _bucketed(base: DataFrame, key: str, value: str, lags: Mapping[str, int],
     if dedup_order:
         # Same (key, time) -> same bucket for targets and for copies: the
         # partitioning of the lag window already clusters the duplicates.
-        # One explicit exchange on (key, bucket) serves both windows.
+        # One exchange on (key, bucket) and one sort by (time, order...) serve
+        # both windows; a row is kept when the previous row has another time.
         both = both.repartition(key, "_b")
-        wd = Window.partitionBy(key, "_b", "_us").orderBy(*dedup_order)
-        both = both.withColumn("_rn", F.row_number().over(wd)).where(F.col("_rn") == 1).drop("_rn")
+        wd = Window.partitionBy(key, "_b").orderBy("_us", *dedup_order)
+        both = both.withColumn("_prev", F.lag("_us").over(wd))
+        both = (both.where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_us")) | F.col("_us").isNull())
+                .drop("_prev"))
     w = Window.partitionBy(key, "_b").orderBy("_us")
     cols = {}
     for name, minutes in lags.items():

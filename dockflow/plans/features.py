@@ -12,6 +12,7 @@ from ..operators.clean import clean_readings
 from ..operators.explore import trend_correlation, variance_reduction
 from ..operators.features import row_features
 from ..session import materialize
+from ..schema import TARGET_RAW
 from ..sources.tables import readings
 from . import sqltext as Q
 from .catalog import output, register
@@ -22,8 +23,9 @@ NO_ROUND = ("lat", "lon", "latitude", "longitude")
 def lagged_features(raw: DataFrame, bucket_minutes: int | str | None = "auto") -> DataFrame:
     """C3 = C1 + C2 + U2 + J1 x 2 + P20 (one row per station and time, SURVEY §8.2 #13)."""
     feats = row_features(clean_readings(raw))
-    order = [c for c, t in feats.dtypes if c not in ("station_id", "datetime")
-             and not t.startswith(("array", "map", "struct"))]
+    # Deterministic keep-first among duplicate polls: by value, then a row hash
+    # (one long instead of a sort over every column).
+    order = [F.col(TARGET_RAW), F.xxhash64(*[c for c in feats.columns if c not in ("station_id", "datetime")])]
     with_lags = asof.asof_lag(feats, bucket_minutes=bucket_minutes, dedup_order=order)
     return asof.drop_incomplete(with_lags, asof.DEFAULT_LAGS)
 
