@@ -296,9 +296,39 @@ def q_clip_residual(spark, sf_dir):
 _GAIN = Q.r('(base - mae) / nullif(base, 0) * 100e0')
 
 
-@register("verdict_bands", _ev(
-    f"SELECT {_GAIN} AS gain_pct, CASE WHEN {_GAIN} >= 60 THEN 'good' WHEN {_GAIN} >= 30 THEN 'fair' "
-    f"WHEN {_GAIN} IS NOT NULL THEN 'weak' END AS gain_pct_verdict FROM g", _MBASE))
+def _band_sql(expr: str, good: float, fair: float) -> str:
+    return (f"CASE WHEN {expr} >= {good} THEN 'good' WHEN {expr} >= {fair} THEN 'fair' "
+            f"WHEN {expr} IS NOT NULL THEN 'weak' END")
+
+
+_VERDICT_FINAL = f"""SELECT gain_pct, corr, variance_reduction, r2, gap,
+  {_band_sql('gain_pct', 60.0, 30.0)} AS gain_pct_verdict, {_band_sql('corr', 0.85, 0.7)} AS corr_verdict,
+  {_band_sql('variance_reduction', 2.5, 1.5)} AS variance_reduction_verdict,
+  {_band_sql('r2', 0.85, 0.7)} AS r2_verdict, gap < 0.1 AS near_tie
+FROM (SELECT {_GAIN} AS gain_pct,
+  (SELECT {Q.r('corr(station_trend_avg, capacity_status_calc)', 6)} FROM ft WHERE split = 'train') AS corr,
+  (SELECT {Q.r('stddev_samp(capacity_status_calc) / stddev_samp(residual)', 6)} FROM ft WHERE split = 'train')
+    AS variance_reduction,
+  (SELECT R2 FROM fr) AS r2,
+  (SELECT {Q.r('max(CASE WHEN rank = 2 THEN MAE END) - max(CASE WHEN rank = 1 THEN MAE END)', 4)} FROM board) AS gap
+  FROM g)"""
+
+
+@register("verdict_bands", _ev(_VERDICT_FINAL, _MBASE + ",\nfr AS (SELECT "
+                               + _metrics_sql("capacity_status_calc", "taux_pred")
+                               + " FROM preds WHERE taux_pred IS NOT NULL)"))
 def q_verdicts(spark, sf_dir):
-    g = E.gain_vs_mean_baseline(_best_preds(spark, sf_dir)).select("gain_pct")
-    return E.verdicts(g)
+    """P27 over the one-row frame of A26 gain, A6 corr, A7 ratio, reconstructed R2 and T3 gap."""
+    from ..operators.explore import trend_correlation, variance_reduction
+    _, train, test = _tables(spark, sf_dir)
+    board = E.leaderboard(results_table(train, test))
+    preds = predictions(test, best_model(board), train_mean(train))
+    vals = {
+        "gain_pct": E.gain_vs_mean_baseline(preds).first()["gain_pct"],
+        "corr": trend_correlation(train).first()["corr"],
+        "variance_reduction": variance_reduction(train, anomaly=None).first()["reduction"],
+        "r2": E.regression_metrics(preds, TARGET_RAW, "taux_pred").first()["R2"],
+        "gap": E.gap_to_second(board).first()["gap"],
+    }
+    row = spark.createDataFrame([tuple(vals.values())], ", ".join(f"{k} double" for k in vals))
+    return E.verdicts(row)

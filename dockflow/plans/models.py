@@ -13,7 +13,7 @@ from ..functions import round6
 from ..ml import models as M
 from ..operators import evaluate as E
 from ..operators import split as SP
-from ..schema import FEATURES
+from ..schema import FEATURES, FEATURES_SEARCH
 from ..session import scratch_path
 from ..sinks import writers as W
 from . import sqltext as Q
@@ -122,13 +122,13 @@ def q_cv_baseline(spark, sf_dir):
 @register("param_search")
 def q_param_search(spark, sf_dir):
     _, train, _ = _tables(spark, sf_dir)
-    return M.param_search("ridge", train, FEATURES, n_trials=3, parallelism=2)
+    return M.param_search("ridge", train, FEATURES_SEARCH, n_trials=3, parallelism=2)
 
 
 @register("best_trial_per_model")
 def q_best_trial(spark, sf_dir):
     _, train, _ = _tables(spark, sf_dir)
-    trials = M.param_search("ridge", train, FEATURES, n_trials=3, parallelism=2)
+    trials = M.param_search("ridge", train, FEATURES_SEARCH, n_trials=3, parallelism=2)
     return M.best_trial_per_model(trials)
 
 
