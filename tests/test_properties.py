@@ -73,3 +73,20 @@ def test_dedup_keeps_first_and_is_idempotent(spark, rows):
     assert got == exp
     twice = dedup_keep_first(once, ["k", "t"], ["o", "v"])
     assert sorted(twice.collect()) == sorted(once.collect())
+
+
+@SETTINGS
+@given(st.integers(min_value=4, max_value=120), st.integers(min_value=2, max_value=4))
+def test_expanding_folds_positional(spark, n, n_splits):
+    rows = [(i, T0 + dt.timedelta(seconds=7 * i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "rid long, datetime timestamp")
+    size = n // (n_splits + 1)
+    if size == 0:
+        return
+    got = {}
+    for r in SP.expanding_time_folds(df, n_splits=n_splits).collect():
+        got.setdefault((r.fold, r.role), []).append(r.rid)
+    for i in range(n_splits):
+        start = n - (n_splits - i) * size
+        assert sorted(got.get((i, "train"), [])) == list(range(start))
+        assert sorted(got.get((i, "test"), [])) == list(range(start, start + size))
