@@ -238,6 +238,8 @@ def main(argv=None) -> int:
     handlers = {"features": cmd_features, "explore": cmd_explore, "tune": cmd_tune, "train": cmd_train,
                 "predict": cmd_predict, "report": cmd_report, "ingest": cmd_ingest}
     out = handlers[args.cmd](spark, args)
+    from .session import release_tables
+    release_tables(spark)          # outputs are written; intermediates can go
     print(json.dumps(out, default=str))
     return 0
 

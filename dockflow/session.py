@@ -114,6 +114,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_WRITTEN: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process wrote with ``materialize``.
+
+    Call once the results that read them have been consumed (written or
+    collected); returns the number of tables removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        p = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` as parquet into the shared checkpoint folder and read it back.
 
@@ -125,6 +146,7 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 

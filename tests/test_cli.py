@@ -28,3 +28,12 @@ def test_phases_end_to_end(spark, capsys):
     assert outs[3]["rows"] >= 3 + 12 + 4 - 1
     sections = {r.section for r in spark.read.parquet(f"{base}/k").collect()}
     assert {"benchmark", "fill_rate", "error_histogram"} <= sections
+
+
+def test_release_tables(spark):
+    from dockflow.session import materialize, path_exists, release_tables, _WRITTEN
+    df = materialize(spark.range(10), "t-release")
+    path = _WRITTEN[-1]
+    assert df.count() == 10 and path_exists(spark, path)
+    assert release_tables(spark) >= 1
+    assert not path_exists(spark, path)
