@@ -224,6 +224,18 @@ def q_scan_rotated(spark, sf_dir):
     return output(FS.scan_rotated_files(spark, base, "readings_raw_", key=["station_id", "datetime"]))
 
 
+@register("rotated_summary", f"""WITH {Q.READINGS}
+SELECT count(*) AS n_rows, min(datetime) AS first_ts, max(datetime) AS last_ts,
+       count(DISTINCT station_id) AS n_stations FROM readings""")
+def q_rotated_summary(spark, sf_dir):
+    """S2 report: rows, period and stations of the consolidated history."""
+    r = readings(spark, sf_dir)
+    base = scratch_path(spark, "rotated")
+    _land_rotated(spark, r, base, "readings_raw_")
+    hist = FS.scan_rotated_files(spark, base, "readings_raw_", key=["station_id", "datetime"])
+    return output(FS.rotated_summary(hist))
+
+
 @register("scan_readings_csv", f"""WITH {Q.READINGS}
 SELECT station_id, name, NULL::DOUBLE AS lat, NULL::DOUBLE AS lon, capacity, datetime, bikes_mechanical,
   bikes_ebike, numdocksavailable, is_renting, NULL::DOUBLE AS capacity_status, is_holiday, is_vacation,
