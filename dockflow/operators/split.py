@@ -110,6 +110,17 @@ def temporal_split(df: DataFrame, ts: str = "datetime", q: float = TRAIN_QUANTIL
     return df.withColumn(split_col, label), cutoff
 
 
+def train_condition(cutoff: float, ts: str = "datetime") -> Column:
+    """``ts <= cutoff`` as a plain timestamp comparison.
+
+    Timestamps are whole microseconds, so ``x <= cutoff`` equals
+    ``x <= floor(cutoff)``; the literal form reaches the parquet scan as a
+    pushed filter (row groups outside the range are skipped).
+    """
+    lit_ts = F.timestamp_micros(F.lit(int(math.floor(cutoff))))
+    return F.col(ts) <= lit_ts
+
+
 def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows and share (%) per split, plus the number of columns."""
     from pyspark.sql import Window

@@ -49,7 +49,9 @@ def feature_table(raw: DataFrame, q: float = 0.80, persist: bool = True,
     if persist:
         lagged = materialize(lagged, "lagged")
     with_split, cutoff = split.temporal_split(lagged, q=q)
-    train = with_split.where(F.col("split") == "train")
+    # Same rows as split == 'train', written so that the filter is pushed to the scan.
+    train = lagged.where(split.train_condition(cutoff)) if cutoff is not None \
+        else with_split.where(F.col("split") == "train")
     prof = profiles.fit_profiles(train, persist=persist)
     out = profiles.apply_ratio(with_split, prof)
     out = profiles.apply_normal(out, prof)
@@ -177,8 +179,8 @@ def q_split_summary(spark, sf_dir):
 
 def _train(spark, sf_dir):
     lagged = materialize(lagged_features(readings(spark, sf_dir)), "lagged")
-    out, _ = split.temporal_split(lagged)
-    return out.where(F.col("split") == "train")
+    out, cutoff = split.temporal_split(lagged)
+    return out.where(split.train_condition(cutoff))
 
 
 @register("trend_level1", _ft_sql("SELECT station_id, day_of_week, hour, month, n, "
