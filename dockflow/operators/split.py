@@ -31,9 +31,16 @@ def _stats(df: DataFrame, x: Column):
 
 
 def order_statistics(df: DataFrame, x: Column, ranks: Sequence[int],
-                     max_collect: int = 100_000, fanout: int = 4096, stats=None) -> dict[int, int]:
-    """Exact k-th smallest values (0-based ranks) of an integral column."""
-    v = df.select(x.cast("long").alias("_x")).where(F.col("_x").isNotNull())
+                     max_collect: int = 100_000, fanout: int = 4096, stats=None,
+                     pushdown_ts: str | None = None) -> dict[int, int]:
+    """Exact k-th smallest values (0-based ranks) of an integral column.
+
+    ``pushdown_ts``: when ``x`` is the microseconds of that timestamp column,
+    each bracket is also stated as a timestamp range, which reaches the
+    parquet scan: later passes read only the row groups inside the bracket.
+    """
+    v = df.select(x.cast("long").alias("_x"), *([pushdown_ts] if pushdown_ts else [])) \
+        .where(F.col("_x").isNotNull())
     out: dict[int, int] = {}
     todo = sorted(set(int(r) for r in ranks))
     if not todo:
@@ -48,6 +55,9 @@ def order_statistics(df: DataFrame, x: Column, ranks: Sequence[int],
         nxt: dict = {}
         for (lo, hi, below, inside), rs in pending.items():
             rng = v.where(F.col("_x").between(lo, hi))
+            if pushdown_ts:
+                rng = rng.where(F.col(pushdown_ts).between(F.timestamp_micros(F.lit(int(lo))),
+                                                           F.timestamp_micros(F.lit(int(hi)))))
             if inside <= max_collect or hi - lo < fanout:
                 pairs = (rng.groupBy("_x").agg(F.count(F.lit(1)).alias("c"))
                          .orderBy("_x").limit(max_collect + fanout + 1).collect())
@@ -101,7 +111,7 @@ def temporal_split(df: DataFrame, ts: str = "datetime", q: float = TRAIN_QUANTIL
     Returns the frame with a ``split`` column ('train'/'test') and the cutoff
     in microseconds.
     """
-    cutoff = exact_quantiles(df, micros(ts), [q])[q]
+    cutoff = exact_quantiles(df, micros(ts), [q], pushdown_ts=ts)[q]
     if cutoff is None:
         return df.withColumn(split_col, F.lit(None).cast("string")), None
     # A missing timestamp is in neither split (NULL label), as with NaT in the reference.

@@ -47,7 +47,8 @@ def feature_table(raw: DataFrame, q: float = 0.80, persist: bool = True,
     """
     lagged = lagged_features(raw, bucket_minutes)
     if persist:
-        lagged = materialize(lagged, "lagged")
+        # Time-ordered files: the split filter and the cutoff search skip row groups.
+        lagged = materialize(lagged.sortWithinPartitions("datetime"), "lagged")
     with_split, cutoff = split.temporal_split(lagged, q=q)
     # Same rows as split == 'train', written so that the filter is pushed to the scan.
     train = lagged.where(split.train_condition(cutoff)) if cutoff is not None \
