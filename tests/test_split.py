@@ -72,3 +72,11 @@ def test_null_time_in_no_split(spark):
     df = spark.createDataFrame(rows, "rid long, datetime timestamp")
     out = {r.rid: r.split for r in SP.temporal_split(df)[0].collect()}
     assert out == {1: "train", 2: "test", 3: None}
+
+
+def test_train_condition_equals_label(spark):
+    df, us = _times(spark, n=777, seed=9)
+    labelled, cutoff = SP.temporal_split(df, q=0.37)
+    a = sorted(r.rid for r in labelled.where(F.col("split") == "train").collect())
+    b = sorted(r.rid for r in df.where(SP.train_condition(cutoff)).collect())
+    assert a == b and len(a) == int(np.sum(us <= np.quantile(us, 0.37)))
