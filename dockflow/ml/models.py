@@ -266,6 +266,8 @@ def _fit_early_stopped(train: DataFrame, features: Sequence[str], params: dict |
     data = SP.early_stop_split(train, ratio=ratio)
     fit_rows = data.where(~F.col("is_validation")).drop("is_validation")
     holdout = data.where(F.col("is_validation")).drop("is_validation")
+    if fit_rows.limit(1).count() == 0:
+        raise ValueError("too few training rows for the 85/15 early-stopping split")
     model = build_pipeline("gbt_es", fit_rows, features, p, label).fit(fit_rows)
     gbt = model.stages[-1]
     prepared = PipelineModel(stages=model.stages[:-1]).transform(holdout)

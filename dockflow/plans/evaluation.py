@@ -306,7 +306,7 @@ _VERDICT_FINAL = f"""SELECT gain_pct, corr, variance_reduction, r2, gap,
   {_band_sql('variance_reduction', 2.5, 1.5)} AS variance_reduction_verdict,
   {_band_sql('r2', 0.85, 0.7)} AS r2_verdict, gap < 0.1 AS near_tie
 FROM (SELECT {_GAIN} AS gain_pct,
-  (SELECT {Q.r('corr(station_trend_avg, capacity_status_calc)', 6)} FROM ft WHERE split = 'train') AS corr,
+  (SELECT {Q.r(Q.no_nan('corr(station_trend_avg, capacity_status_calc)'), 6)} FROM ft WHERE split = 'train') AS corr,
   (SELECT {Q.r('stddev_samp(capacity_status_calc) / stddev_samp(residual)', 6)} FROM ft WHERE split = 'train')
     AS variance_reduction,
   (SELECT R2 FROM fr) AS r2,

@@ -239,7 +239,8 @@ def q_residual(spark, sf_dir):
 
 
 @register("trend_correlation", _ft_sql(
-    f"SELECT {Q.r('corr(station_trend_avg, capacity_status_calc)', 6)} AS corr FROM ft WHERE split = 'train'"))
+    f"SELECT {Q.r(Q.no_nan('corr(station_trend_avg, capacity_status_calc)'), 6)} AS corr "
+    "FROM ft WHERE split = 'train'"))
 def q_trend_corr(spark, sf_dir):
     return trend_correlation(_ft(spark, sf_dir).where(F.col("split") == "train"))
 

@@ -16,6 +16,11 @@ def r(x: str, digits: int = 2) -> str:
     return f"(round_even(({x}) * {s}, 0) / {s} + 0e0)"
 
 
+def no_nan(x: str) -> str:
+    """DuckDB gives NaN where Spark gives NULL (e.g. corr of one row)."""
+    return f"(CASE WHEN isnan({x}) THEN NULL ELSE {x} END)"
+
+
 def truthy(c: str) -> str:
     return f"coalesce(lower(CAST({c} AS VARCHAR)) IN ('true','t','1'), false)"
 
