@@ -9,7 +9,8 @@ from .conftest import SF_CHECK, SF_SMALL
 
 SUBSET = ["profile_by_hour", "cleaning_audit", "equiwidth_histogram", "boxplot_by_station",
           "asof_lag", "feature_table", "leaderboard", "error_histogram", "ingest_snapshots",
-          "append_dedup_rotate", "median_impute", "time_series_cv_mae", "report_tables"]
+          "append_dedup_rotate", "median_impute", "time_series_cv_mae", "report_tables",
+          "trend_correlation", "verdict_bands"]      # one training row: NULL, not NaN
 # Keys that need more than the handful of sf0.001 training rows (3 time folds).
 NEEDS_SF01 = {"time_series_cv_mae", "expanding_time_folds", "param_search", "best_trial_per_model"}
 
