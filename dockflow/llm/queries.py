@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import prepare
+from . import ngram_join as NJ
 from . import quality_rules as QR
 from .frames import table
 
@@ -33,3 +34,8 @@ def op3(spark, sf_dir):
     return QR.judged(docs, rules).select(
         "doc_id", *[F.col(q + c).alias(c) for c in QR.COUNTS[:5]],
         F.col(q + "base_failed").alias("base_failed"), F.col(q + "kept").alias("kept"))
+
+
+@query("op10_ngram_join")
+def op10(spark, sf_dir):
+    return NJ.jaccard_components(table(spark, sf_dir, "documents"))
