@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import prepare
+from . import decontaminate as DC
 from . import ngram_join as NJ
 from . import quality_rules as QR
 from .frames import table
@@ -39,3 +40,8 @@ def op3(spark, sf_dir):
 @query("op10_ngram_join")
 def op10(spark, sf_dir):
     return NJ.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontaminate")
+def op4(spark, sf_dir):
+    return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
