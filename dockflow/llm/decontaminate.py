@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .frames import ship, unpack
 
 MAX_RATE = 0.15
 REPETITIONS = 6
@@ -209,7 +210,7 @@ def _blocks(items: DataFrame, item_id: str, text: str, max_rate: float):
     for b in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("t"), F.lit(n)) == b)
         got = sorted(part.collect(), key=lambda r: (r.i is None, r.i or 0, r.t))
-        yield spark.sparkContext.broadcast(ItemIndex([(r.i, r.t) for r in got], max_rate))
+        yield ship(spark, ItemIndex([(r.i, r.t) for r in got], max_rate))
 
 
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
@@ -219,15 +220,17 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str =
     schema = "doc_id long, item_id long, distance int, first_word long, span_words int"
     out = docs.sparkSession.createDataFrame([], schema)
     for held in _blocks(items, item_id, item_text, max_rate):
-        def fn(batch, held=held):
-            ids = batch.column(0).to_pylist()
-            rows = []
-            for i, _, data, off in K.slices(batch):
-                rows += [(ids[i + d], held.value.items[it][0], *v) for d, it, *v in held.value.matches(data, off)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
-                names=["doc_id", "item_id", "distance", "first_word", "span_words"])
-        out = out.unionByName(own.mapInArrow(K.arrow_map(fn), schema))
+        def run(batches, held=held):
+            index = unpack(held)
+            for batch in batches:
+                ids = batch.column(0).to_pylist()
+                rows = []
+                for i, _, data, off in K.slices(batch):
+                    rows += [(ids[i + d], index.items[it][0], *v) for d, it, *v in index.matches(data, off)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
+                    names=["doc_id", "item_id", "distance", "first_word", "span_words"])
+        out = out.unionByName(own.mapInArrow(run, schema))
     return out
 
 
@@ -235,11 +238,13 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
                max_rate: float = MAX_RATE) -> DataFrame:
     """The rows of ``docs`` into which no item leaks, columns unchanged."""
     for held in _blocks(items, item_id, item_text, max_rate):
-        def fn(batch, held=held):
-            keep = np.ones(batch.num_rows, bool)
-            for i, _, data, off in K.slices(batch, text):
-                for d, *_ in held.value.matches(data, off):
-                    keep[i + d] = False
-            yield batch.filter(pa.array(keep))
-        docs = docs.mapInArrow(K.arrow_map(fn), docs.schema)
+        def run(batches, held=held):
+            index = unpack(held)
+            for batch in batches:
+                keep = np.ones(batch.num_rows, bool)
+                for i, _, data, off in K.slices(batch, text):
+                    for d, *_ in index.matches(data, off):
+                        keep[i + d] = False
+                yield batch.filter(pa.array(keep))
+        docs = docs.mapInArrow(run, docs.schema)
     return docs

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession, obj: object) -> Broadcast:
+    """Broadcast an object of a class of this package by value; read it with ``unpack``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(obj))
+
+
+def unpack(held: Broadcast) -> object:
+    return pickle.loads(held.value)
+
+
 def partitions_for(spark: SparkSession, n_bytes: int, target: int = 16 << 20) -> int:
     """Buckets that hold about ``target`` bytes each, never fewer than the shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), int(n_bytes // target) + 1)

@@ -21,7 +21,9 @@ signatures:
 * Small sets (up to 24, signing up to 30) use the domain's finest partition,
   one element each: all 3-element subsets of the first s - ceil(0.8 s) + 3.
 
-No link can be missed; every candidate is verified on the full sets. Equal
+No link can be missed. A candidate pair is first held against sketches of the
+two sets (element counts in 128 bins, whose distance can't exceed the number
+of differing elements), then verified on the full sets. Equal
 sets are one *node* (a fingerprint of the set) before signing, so copies never
 form pairs. Nodes under one signature are not expanded into all pairs: first
 each node is checked against the smallest node it meets, then against the
@@ -55,6 +57,8 @@ WIDTH = 5
 SMALL, SMALL_PARTNER = 24, 30
 GROUP = 7
 FLUSH = 1 << 20
+#: Bins of a set's sketch, one byte each.
+BINS = 128
 #: Bits of the membership filter that keeps sets of nodes without candidates out of the shuffle.
 FILTER_BITS = 1 << 23
 _TAG = K.seeds(8, 901)
@@ -149,14 +153,22 @@ def _keep(h, d, sizes, which):
     return h[m], (np.cumsum(which) - 1)[d[m]], sizes[which]
 
 
+def sketches(h: np.ndarray, d: np.ndarray, n_docs: int) -> np.ndarray:
+    """Counts of each set's elements in ``BINS`` bins of the hash space, saturated at 255:
+    the distance of two sketches never exceeds the number of differing elements."""
+    c = np.bincount(d * BINS + (h % K.U(BINS)).astype(np.int64), minlength=n_docs * BINS)
+    return np.minimum(c, 255).astype(np.uint8).reshape(n_docs, BINS)
+
+
 def _sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node): set size and fingerprint of every row; node null for an empty set."""
+    """(doc_id, n, node, sketch) of every row: set size, fingerprint and bin counts; node null for an empty set."""
     def fn(batch):
         for i, j, data, off in K.slices(batch):
             h, d, n = slice_sets(data, off)
             f = pa.array(K.as_i64(fingerprints(h, d, n)), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), f], names=["doc_id", "n", "node"])
-    return docs.mapInArrow(K.arrow_map(fn), "doc_id long, n long, node long")
+            sk = pa.array([x.tobytes() for x in sketches(h, d, j - i)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), f, sk], names=["doc_id", "n", "node", "sketch"])
+    return docs.mapInArrow(K.arrow_map(fn), "doc_id long, n long, node long, sketch binary")
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -265,8 +277,26 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, hashes binary").join(needed, "node", "left_semi").dropDuplicates(["node"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets really reach the similarity."""
+def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
+    """The pairs whose sizes and sketches do not rule the similarity out (a necessary condition, so no link is lost)."""
+    side = lambda x: info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+
+    def fn(batch):
+        na, nb = (batch.column(k).to_numpy().astype(np.int64) for k in (2, 4))
+        sa, sb = (K.text_views(batch.column(k))[0].reshape(-1, BINS).astype(np.int16) for k in (3, 5))
+        ok = (9 * np.abs(sa - sb).sum(1, dtype=np.int64) <= na + nb) & (5 * np.minimum(na, nb) >= 4 * np.maximum(na, nb))
+        keep = pa.array(ok)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+    return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "sa", "nb", "sb")
+            .mapInArrow(K.arrow_map(fn), "a long, b long"))
+
+
+def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame | None:
+    """The pairs (a, b) whose whole sets reach the similarity; None when sketches rule all of them out."""
+    pairs = materialize(_possible(pairs, info), "pairs")
+    if pairs.isEmpty():
+        return None
+    sets = materialize(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b"))
 
@@ -276,8 +306,6 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         for k in range(batch.num_rows):
             x = np.frombuffer(ha[k].as_buffer(), K.U)
             y = np.frombuffer(hb[k].as_buffer(), K.U)
-            if 5 * min(len(x), len(y)) < 4 * max(len(x), len(y)):
-                continue
             if len(x) > len(y):
                 x, y = y, x
             at = np.minimum(np.searchsorted(y, x), len(y) - 1)
@@ -285,7 +313,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             ok[k] = 100 * common >= 80 * (len(x) + len(y) - common)
         keep = pa.array(ok)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
-    return both.select("a", "b", "ha", "hb").mapInArrow(K.arrow_map(fn), "a long, b long")
+    return materialize(both.select("a", "b", "ha", "hb").mapInArrow(K.arrow_map(fn), "a long, b long"), "links")
 
 
 def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -298,34 +326,31 @@ def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
-    """(node, comp) of every node linked with another one; None when no signature is shared."""
+    """(node, comp) of every node linked with another one; None when there is no link."""
     spark = docs.sparkSession
     total = info.agg(F.sum("n")).first()[0] or 0
     buckets = partitions_for(spark, int(total * 0.7 * 16))
     hits = materialize(_packed(docs, buckets).groupBy("bucket").applyInArrow(_bucket_groups, "grp long, node long, center long")
                        .dropDuplicates(["grp", "node"]), "hits")
-    if hits.isEmpty():
-        return None
-    sets = materialize(_sets(docs, hits.select("node").distinct()), "sets")
+    facts = info.where("node IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"])
+    links, labels = None, None
+
+    def add(pairs: DataFrame) -> None:
+        nonlocal links, labels
+        more = _verified(pairs, facts, docs)
+        if more is not None:
+            links = more if links is None else links.unionByName(more)
+            labels = components(links)
     first = materialize(hits.where("center <> node").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"), "pairs")
-    links = materialize(_verified(first, sets), "links")
-    labels = components(links)
-    open_ = _labelled(hits, labels)
-    second = materialize(open_.where("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b"), "comp")
-                         .join(labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a", "left")
-                         .where(F.coalesce("ca", "a") != F.col("comp")).select("a", "b").distinct()
-                         .join(first, ["a", "b"], "left_anti"), "pairs")
-    if not second.isEmpty():
-        links = links.unionByName(materialize(_verified(second, sets), "links"))
-        labels = components(links)
-    open_ = _labelled(hits, labels).where("node <> center").select("grp", "node", "comp")
-    x, y = open_.alias("x"), open_.alias("y")
-    rest = materialize(x.join(y, F.col("x.grp") == F.col("y.grp"))
-                       .where("x.node < y.node AND x.comp <> y.comp")
-                       .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
-    if not rest.isEmpty():
-        links = links.unionByName(materialize(_verified(rest, sets), "links"))
-        labels = components(links)
+    add(first)
+    mixed = _labelled(hits, labels)
+    heads = mixed.where("center = node").select("grp", F.col("comp").alias("head"))
+    add(mixed.where("center <> node").join(heads, "grp").where("comp <> head")
+        .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
+    mixed = _labelled(hits, labels).where("center <> node").select("grp", "node", "comp")
+    x, y = mixed.alias("x"), mixed.alias("y")
+    add(x.join(y, F.col("x.grp") == F.col("y.grp")).where("x.node < y.node AND x.comp <> y.comp")
+        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     return labels
 
 

@@ -9,6 +9,7 @@ from ..plans.catalog import prepare
 from . import decontaminate as DC
 from . import ngram_join as NJ
 from . import quality_rules as QR
+from . import sentencepiece_scan as SP
 from .frames import table
 
 QUERIES: dict = {}
@@ -45,3 +46,13 @@ def op10(spark, sf_dir):
 @query("op4_decontaminate")
 def op4(spark, sf_dir):
     return DC.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_sentencepiece")
+def op1(spark, sf_dir):
+    ids = SP.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    back = SP.decode(ids)
+    return back.select(
+        "doc_id", F.size("_ids").cast("long").alias("n_tokens"), F.col("_score").alias("score"),
+        F.sha2(F.concat_ws(",", "_ids"), 256).alias("ids_sha256"),
+        (F.col("_decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(SP.SPACE), F.lit(" "))).alias("round_trip"))

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import kernels as K
-from .frames import materialize
+from .frames import materialize, ship, unpack
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 14
@@ -323,7 +323,7 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
     schema = T.StructType(docs.schema.fields + [T.StructField("_ids", T.ArrayType(T.IntegerType())), T.StructField("_score", T.LongType())])
 
     def run(batches):
-        lat = Lattice(held.value)
+        lat = Lattice(unpack(held))
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(text))
             for i, j, _, _ in K.slices(batch, text):
@@ -337,7 +337,7 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
 def _chunks(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
     """(row, k, last, lo, hi, s): chunks of the marked text with context on both sides."""
     def run(batches):
-        ctx = held.value.longest
+        ctx = unpack(held).longest
         for batch in batches:
             for row, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 s = marked(t)
@@ -378,7 +378,7 @@ def _encode_long(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
     chunks = materialize(_chunks(rows, held, text, chunk), "sp_chunks")
 
     def matrices(batches):
-        lat = Lattice(held.value)
+        lat = Lattice(unpack(held))
         for batch in batches:
             out = [_pack(lat.matrix(r["s"], r["lo"], r["hi"], r["k"] == 0, r["last"])) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["row", "k", "m"])
@@ -401,7 +401,7 @@ def _encode_long(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
             _descend, "row long, k long, entry int, leave int")
 
     def trace(batches):
-        lat = Lattice(held.value)
+        lat = Lattice(unpack(held))
         for batch in batches:
             out = [lat.backtrace(r["s"], r["lo"], r["hi"], r["k"] == 0, r["last"], r["entry"], r["leave"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _list_array(out)], names=["row", "k", "ids"])
@@ -418,7 +418,7 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH, ch
     pieces = load(model_path)
     if chunk < 2 * pieces.longest:
         raise ValueError(f"chunk must be at least {2 * pieces.longest} characters")
-    held = docs.sparkSession.sparkContext.broadcast(pieces)
+    held = ship(docs.sparkSession, pieces)
     size = F.coalesce(F.length(text), F.lit(0))
     return _encode_short(docs.where(size < chunk), held, text).unionByName(_encode_long(docs.where(size >= chunk), held, text, chunk))
 
