@@ -8,8 +8,12 @@ stages but the last return the columns of ``docs``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from dockflow.llm import decontaminate as DC
+from dockflow.llm import ngram_join as NJ
 from dockflow.llm import quality_rules as QR
+from dockflow.llm import sentencepiece_scan as SP
 from dockflow.llm.frames import materialize, table
 from dockflow.plans.catalog import prepare
 
@@ -19,8 +23,29 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return QR.keep_good(docs, QR.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: of each group of documents linked by similar shingle sets the smallest id stays."""
+    return NJ.one_per_component(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: drop the documents that hold a benchmark item."""
+    return DC.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: the training view of the kept documents: their ids, checked to decode to the text."""
+    back = SP.decode(SP.encode(docs))
+    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(SP.SPACE), F.lit(" "))
+    return back.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"),
+                       F.col("_ids").alias("ids"), (F.col("_decoded") == plain).alias("round_trip"))
+
+
 STAGES = [
     ("quality_rules", quality_stage),
+    ("ngram_join", near_duplicate_stage),
+    ("decontaminate", decontamination_stage),
+    ("sentencepiece", token_stage),
 ]
 
 #: The learned list and the similarity joins are not SQL; tests hold run() against brute force.
