@@ -10,6 +10,7 @@ from . import decontaminate as DC
 from . import ngram_join as NJ
 from . import quality_rules as QR
 from . import sentencepiece_scan as SP
+from . import shards as SH
 from .frames import table
 
 QUERIES: dict = {}
@@ -56,3 +57,10 @@ def op1(spark, sf_dir):
         "doc_id", F.size("_ids").cast("long").alias("n_tokens"), F.col("_score").alias("score"),
         F.sha2(F.concat_ws(",", "_ids"), 256).alias("ids_sha256"),
         (F.col("_decoded") == F.replace(F.coalesce("text", F.lit("")), F.lit(SP.SPACE), F.lit(" "))).alias("round_trip"))
+
+
+@query("op8_shards")
+def op8(spark, sf_dir):
+    placed = SH.assign(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
