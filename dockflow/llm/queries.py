@@ -11,7 +11,9 @@ from . import ngram_join as NJ
 from . import quality_rules as QR
 from . import sentencepiece_scan as SP
 from . import shards as SH
-from .frames import table
+from . import token_rollups as TR
+from . import warc as WA
+from .frames import scratch_path, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -64,3 +66,35 @@ def op8(spark, sf_dir):
     placed = SH.assign(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op7_token_rollups")
+def op7(spark, sf_dir):
+    """Three batches over the whole tables: all documents arrive; toxic ones go; labelled good ones
+    are revised under a second tokenizer. The second batch is committed twice."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    store = TR.RollupStore(spark, scratch_path(spark, "rollups"))
+    store.commit(1, TR.inserts(TR.count_tokens(docs, "byte_bpe_50k")))
+    toxic = TR.deletes(labels.where("toxic = 1"))
+    store.commit(2, toxic)
+    good = labels.where("quality = 1 AND toxic = 0").select("doc_id")
+    store.commit(3, TR.revisions(TR.count_tokens(docs.join(good, "doc_id", "left_semi"), "byte_bpe_multi_50k", TR.TOKENIZER_PATH_MULTI)))
+    store.commit(2, toxic)
+    return store.totals()
+
+
+@query("op5_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+     d AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+     g AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN g USING (payload_digest)
+""")
+def op5(spark, sf_dir):
+    back = WA.round_trip(table(spark, sf_dir, "pages")).where("kind = 'record'")
+    body = F.col("record_type") == "response"
+    return back.select(
+        "page_id", F.when(body, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(body, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
