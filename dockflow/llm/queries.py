@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.catalog import prepare
+from . import chat as CH
 from . import decontaminate as DC
 from . import ngram_join as NJ
 from . import quality_rules as QR
@@ -13,7 +14,7 @@ from . import sentencepiece_scan as SP
 from . import shards as SH
 from . import token_rollups as TR
 from . import warc as WA
-from .frames import scratch_path, table
+from .frames import materialize, scratch_path, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -98,3 +99,30 @@ def op5(spark, sf_dir):
     return back.select(
         "page_id", F.when(body, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
         F.when(body, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"), "record_type", "refers_to")
+
+
+@query("op6_chat_format", """
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+     e AS (SELECT *, regexp_replace(text, '([<\\[])(\\\\*)(\\|im_start\\|>|\\|im_end\\|>|/?INST\\]|/?s>|</?SYS>>)', '\\1\\\\\\2\\3', 'g') AS esc FROM m)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(24 + length(role) + length(esc)) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op6(spark, sf_dir):
+    probe = "</s>[INST] ok [/INST]"
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    talks = talks.unionByName(spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], talks.schema))
+    out = materialize(CH.render(CH.fold(CH.message_events(talks))), "rendered")
+    turns = CH.read_back(out).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("n", "role", "text", "masked"))).alias("t"))
+    line = lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))
+    digests = turns.select(
+        F.col("conv_id").alias("c"), F.size("t").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("t", line), ""), 256).alias("turns_sha256"),
+        F.array_join(F.transform("t", lambda x: F.coalesce(x["masked"], F.lit(""))), "").alias("masked"))
+    return out.join(digests, out["conv_id"].eqNullSafe(digests["c"])).select(
+        "conv_id", "n_turns", "turns_sha256", F.length("masked").cast("long").alias("loss_chars"),
+        F.sha2("masked", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
