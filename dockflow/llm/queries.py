@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..plans.catalog import prepare
 from . import chat as CH
 from . import decontaminate as DC
+from . import html_text as HT
 from . import ngram_join as NJ
 from . import quality_rules as QR
 from . import sentencepiece_scan as SP
@@ -126,3 +127,8 @@ def op6(spark, sf_dir):
     return out.join(digests, out["conv_id"].eqNullSafe(digests["c"])).select(
         "conv_id", "n_turns", "turns_sha256", F.length("masked").cast("long").alias("loss_chars"),
         F.sha2("masked", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op9_html_text")
+def op9(spark, sf_dir):
+    return HT.extract(table(spark, sf_dir, "pages"))
