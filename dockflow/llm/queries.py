@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..plans.catalog import prepare
 from . import chat as CH
+from . import ctw as CT
 from . import decontaminate as DC
 from . import html_text as HT
 from . import ngram_join as NJ
@@ -132,3 +133,8 @@ def op6(spark, sf_dir):
 @query("op9_html_text")
 def op9(spark, sf_dir):
     return HT.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_ctw_score")
+def op2(spark, sf_dir):
+    return CT.score(table(spark, sf_dir, "documents"))
