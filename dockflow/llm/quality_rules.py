@@ -29,7 +29,7 @@ from . import kernels as K
 #: Bound of the labelled rows that reach the driver for fitting (smallest hashes of the id).
 MAX_FIT_ROWS = 20_000
 #: A rule enters the list when at least this share of the pruning rows it covers is bad.
-MIN_PRECISION = 0.9
+MIN_PRECISION = 0.95
 MIN_COVER = 5
 MAX_CONDITIONS = 4
 MAX_RULES = 24
@@ -220,7 +220,8 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, grow: np.ndarray, min_preci
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
     cuts = {}
-    for name, v in x.items():
+    for name, v in x.items():  # midpoints between growing rows, so a clean gap is cut in its middle
+        v = v[grow]
         u = np.unique(v)
         u = u if len(u) <= 256 else np.unique(np.quantile(v, np.linspace(0, 1, 257), method="inverted_cdf"))
         cuts[name] = (u[:-1] + u[1:]) / 2 if len(u) > 1 else u

@@ -173,8 +173,8 @@ def salvage(b: bytes) -> Iterator[dict]:
         except Damage as e:
             if gap < 0:
                 gap, why = at, str(e)
-            ahead = [x for x in (b.find(b"\nWARC/", at), b.find(MAGIC, at + 1)) if x >= 0]
-            at = min((x + (b[x] == 10) for x in ahead), default=len(b))
+            ahead = [x for x in (b.find(b"WARC/", at + 1), b.find(MAGIC, at + 1)) if x >= 0]
+            at = min(ahead, default=len(b))
             continue
         if gap >= 0:
             yield {"kind": "gap", "reason": why, "start": gap, "past": at}
