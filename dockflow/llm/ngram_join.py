@@ -13,6 +13,11 @@ signatures:
   other group agrees on at least two of its three parts. For each group the
   three subsets of two parts are enumerated; the contents of a subset (plus
   band, group and subset number) are one signature.
+* Shingles that several different texts of one task share (passages that many
+  documents hold) are *common*. They are left out of the partitioned domain,
+  which changes nothing in the bounds: differing elements only get fewer. The
+  set of common shingles is a bit table of fixed size, the same for all tasks;
+  which shingles it flags only decides how well signatures separate.
 * Empty subsets sign nothing, so a group only counts as *good* when all its
   subsets are non-empty. A set signs groups in order until it has more than
   s // 8 good ones: one of those agrees with any linked set. A set that never
@@ -28,7 +33,8 @@ sets are one *node* (a fingerprint of the set) before signing, so copies never
 form pairs. Nodes under one signature are not expanded into all pairs: first
 each node is checked against the smallest node it meets, then against the
 smallest node of each of its groups, and only nodes that are still in
-different components after that are checked against each other.
+different components after that are compared with each other, by size and
+sketch first, inside the group.
 
 Signatures leave a task as packed blocks per hash bucket, the bucket count
 follows the number of shingles, and a task sends a node once however many
@@ -51,12 +57,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .frames import components, materialize, partitions_for
+from .frames import components, materialize, partitions_for, ship, unpack
 
 WIDTH = 5
 SMALL, SMALL_PARTNER = 24, 30
 GROUP = 7
 FLUSH = 1 << 20
+#: A shingle that so many different sets of one task share is common: it signs only where rare ones don't suffice.
+COMMON = 3
+COUNTED = 1 << 22
+COMMON_BITS = 1 << 25
 #: Bins of a set's sketch, one byte each.
 BINS = 128
 #: Bits of the membership filter that keeps sets of nodes without candidates out of the shuffle.
@@ -100,7 +110,7 @@ def _small(h, first, sizes, out):
             out.append((K.mix(m[:, x[0]] + m[:, x[1]] + m[:, x[2]] + _TAG[2]), docs))
 
 
-def _large(h, first, sizes, out):
+def _large(h, common, first, sizes, out):
     if not len(sizes) or sizes.max() <= SMALL:
         return
     tops = np.array(band_tops(int(sizes.max())))
@@ -113,6 +123,7 @@ def _large(h, first, sizes, out):
     base = np.concatenate([[0], np.cumsum(groups)])
     task = np.repeat(np.arange(len(docs)), s)
     at = np.arange(len(task)) - np.repeat(np.cumsum(s) - s, s) + first[docs][task]
+    task, at = task[~common[at]], at[~common[at]]
     el = h[at]
     m = K.mix(el + K.mix(band.astype(K.U) + _TAG[3])[task])
     g = ((m >> K.U(32)) * groups.astype(K.U)[task] >> K.U(32)).astype(np.int64) + base[task]
@@ -136,12 +147,15 @@ def _large(h, first, sizes, out):
         out.append((K.mix(p + K.mix(np.array([band[t]], K.U) + _TAG[6])), np.full(len(p), docs[t])))
 
 
-def signatures(h: np.ndarray, d: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """PartEnum signatures of the sets of a slice: (signature, document)."""
+def signatures(h: np.ndarray, d: np.ndarray, sizes: np.ndarray, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """PartEnum signatures of the sets of a slice: (signature, document). ``common`` flags elements."""
+    common = np.zeros(len(h), bool) if common is None else common
+    o = np.lexsort((h, common, d))  # the global order of elements: rare ones first, then by hash
+    h, common = h[o], common[o]
     first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     out: list[tuple[np.ndarray, np.ndarray]] = []
     _small(h, first, sizes, out)
-    _large(h, first, sizes, out)
+    _large(h, common, first, sizes, out)
     if not out:
         return np.zeros(0, K.U), np.zeros(0, np.int64)
     return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
@@ -161,18 +175,79 @@ def sketches(h: np.ndarray, d: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sketch) of every row: set size, fingerprint and bin counts; node null for an empty set."""
+    """(doc_id, n, node, sketch, common): set size, fingerprint and bin counts of every row (node null for an
+    empty set), and rows with ``common`` alone: shingles that ``COMMON`` or more different sets of one task share."""
+    names = ["doc_id", "n", "node", "sketch", "common"]
+
+    def shared(parts):
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
+        h = h[n >= COMMON]
+        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
+                                           pa.nulls(1, pa.binary()), pa.array([h.tobytes()], pa.binary())], names=names)
+
+    def run(batches):
+        seen: set[int] = set()
+        parts, held = [], 0
+        for batch in batches:
+            for i, j, data, off in K.slices(batch):
+                h, d, n = slice_sets(data, off)
+                f = fingerprints(h, d, n)
+                sk = pa.array([x.tobytes() for x in sketches(h, d, j - i)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(K.as_i64(f), mask=n == 0), sk,
+                                                  pa.nulls(j - i, pa.binary())], names=names)
+                parts.append(_keep(h, d, n, _unseen(f, n, seen))[0])
+                held += len(parts[-1])
+                if held >= COUNTED:
+                    yield shared(parts)
+                    parts, held = [], 0
+        if held:
+            yield shared(parts)
+    return docs.mapInArrow(run, "doc_id long, n long, node long, sketch binary, common binary")
+
+
+def _unseen(f: np.ndarray, n: np.ndarray, seen: set[int]) -> np.ndarray:
+    """Flags of the non-empty sets whose fingerprint this task meets for the first time."""
+    new = np.zeros(len(n), bool)
+    for k in np.flatnonzero(n > 0):
+        if int(f[k]) not in seen:
+            seen.add(int(f[k]))
+            new[k] = True
+    return new
+
+
+class BitFilter:
+    """A set of 64-bit hashes as a bit table of fixed size; a false hit is possible, a miss is not."""
+
+    def __init__(self, bits: int, words: dict[int, int]):
+        self.words = np.zeros(bits // 64, np.int64)
+        if words:
+            self.words[np.fromiter(words.keys(), np.int64)] = np.fromiter(words.values(), np.int64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        h = K.as_i64(h)
+        return (self.words[(h >> 6) % len(self.words)] >> (h % 64)) & 1 == 1
+
+
+def bit_filter(hashes: DataFrame, bits: int) -> BitFilter:
+    """Filter of the column ``h``: OR-ed per word in Spark, at most bits / 64 rows reach the driver."""
+    rows = (hashes.select(F.expr(f"pmod(shiftright(h, 6), {bits // 64})").alias("w"),
+                          F.expr("shiftleft(1L, CAST(pmod(h, 64) AS INT))").alias("b"))
+            .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
+    return BitFilter(bits, {r["w"]: r["b"] for r in rows})
+
+
+def _common(info: DataFrame) -> DataFrame:
+    """(h): the shingles that some task reported as common."""
     def fn(batch):
-        for i, j, data, off in K.slices(batch):
-            h, d, n = slice_sets(data, off)
-            f = pa.array(K.as_i64(fingerprints(h, d, n)), mask=n == 0)
-            sk = pa.array([x.tobytes() for x in sketches(h, d, j - i)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), f, sk], names=["doc_id", "n", "node", "sketch"])
-    return docs.mapInArrow(K.arrow_map(fn), "doc_id long, n long, node long, sketch binary")
+        h = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)])
+        yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
+    return info.where("common IS NOT NULL").select("common").mapInArrow(K.arrow_map(fn), "h long")
 
 
-def _packed(docs: DataFrame, buckets: int) -> DataFrame:
+def _packed(docs: DataFrame, buckets: int, common: BitFilter) -> DataFrame:
     """(bucket, block): signatures and their nodes, packed per bucket and flush."""
+    held_common = ship(docs.sparkSession, common)
+
     def flush(parts):
         sig, node = (np.concatenate(x) for x in zip(*parts, strict=True))
         b = (sig % K.U(buckets)).astype(np.int64)
@@ -184,18 +259,15 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         seen: set[int] = set()
+        often = unpack(held_common)
         parts, held = [], 0
         for batch in batches:
             for _, _, data, off in K.slices(batch):
                 h, d, n = slice_sets(data, off)
                 f = fingerprints(h, d, n)
-                new = np.zeros(len(n), bool)
-                for k in np.flatnonzero(n > 0):
-                    if int(f[k]) not in seen:
-                        seen.add(int(f[k]))
-                        new[k] = True
+                new = _unseen(f, n, seen)
                 h, d, n = _keep(h, d, n, new)
-                sig, doc = signatures(h, d, n)
+                sig, doc = signatures(h, d, n, often.has(h))
                 if len(sig):
                     parts.append((sig, f[new][doc]))
                     held += len(sig)
@@ -249,29 +321,18 @@ def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     A fixed-size bit filter of the needed nodes goes to the tasks (one
     megabyte whatever the input); a false hit only carries a set in vain.
     """
-    words = FILTER_BITS // 64
-    bits = (needed.select(F.expr(f"pmod(shiftright(node, 6), {words})").alias("w"),
-                          F.expr("shiftleft(1L, CAST(pmod(node, 64) AS INT))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
-    table = np.zeros(words, np.int64)
-    for w, b in bits:
-        table[w] = b
-    spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(table)
+    held = ship(docs.sparkSession, bit_filter(needed.select(F.col("node").alias("h")), FILTER_BITS))
 
     def run(batches):
         seen: set[int] = set()
+        wanted = unpack(held)
         for batch in batches:
             for _, _, data, off in K.slices(batch):
                 h, d, n = slice_sets(data, off)
-                f = K.as_i64(fingerprints(h, d, n))
-                hit = (n > 0) & ((held.value[(f >> 6) % words] >> (f % 64)) & 1 == 1)
+                f = fingerprints(h, d, n)
                 b = np.concatenate([[0], np.cumsum(n)])
-                out = []
-                for k in np.flatnonzero(hit):
-                    if int(f[k]) not in seen:
-                        seen.add(int(f[k]))
-                        out.append((int(f[k]), h[b[k]:b[k + 1]].tobytes()))
+                hit = np.flatnonzero(_unseen(f, n * wanted.has(f), seen))
+                out = [(x, h[b[k]:b[k + 1]].tobytes()) for k, x in zip(hit, K.as_i64(f[hit]).tolist(), strict=True)]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([x for _, x in out], pa.binary())], names=["node", "hashes"])
     return docs.select("text").mapInArrow(run, "node long, hashes binary").join(needed, "node", "left_semi").dropDuplicates(["node"])
@@ -325,14 +386,38 @@ def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
     return with_comp.join(mixed, "grp", "left_semi")
 
 
+def _group_pairs(t: pa.Table) -> pa.Table:
+    """Of one group: the pairs of nodes of different components that sizes and sketches allow to link.
+    Members are compared in blocks along the sizes, so only near sizes meet."""
+    n = t.column("n").to_numpy()
+    o = np.argsort(n, kind="stable")
+    n = n[o]
+    node, comp = t.column("node").to_numpy()[o], t.column("comp").to_numpy()[o]
+    sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)[o].astype(np.int16)
+    a, b = [], []
+    past = np.searchsorted(4 * n, 5 * n, side="right")  # partners of i are below past[i]
+    for i in range(len(n)):
+        lo, hi = i + 1, int(past[i])
+        for k in range(lo, hi, 4096):
+            j = np.arange(k, min(hi, k + 4096))
+            j = j[comp[j] != comp[i]]
+            j = j[9 * np.abs(sk[j] - sk[i]).sum(1, dtype=np.int64) <= n[i] + n[j]]
+            if len(j):
+                a.append(np.minimum(node[i], node[j]))
+                b.append(np.maximum(node[i], node[j]))
+    z = np.zeros(0, np.int64)
+    return pa.table({"a": np.concatenate(a) if a else z, "b": np.concatenate(b) if b else z})
+
+
 def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
     """(node, comp) of every node linked with another one; None when there is no link."""
     spark = docs.sparkSession
     total = info.agg(F.sum("n")).first()[0] or 0
     buckets = partitions_for(spark, int(total * 0.7 * 16))
-    hits = materialize(_packed(docs, buckets).groupBy("bucket").applyInArrow(_bucket_groups, "grp long, node long, center long")
+    common = bit_filter(_common(info), COMMON_BITS)
+    hits = materialize(_packed(docs, buckets, common).groupBy("bucket").applyInArrow(_bucket_groups, "grp long, node long, center long")
                        .dropDuplicates(["grp", "node"]), "hits")
-    facts = info.where("node IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"])
+    facts = info.where("node IS NOT NULL AND doc_id IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"])
     links, labels = None, None
 
     def add(pairs: DataFrame) -> None:
@@ -348,9 +433,7 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
     add(mixed.where("center <> node").join(heads, "grp").where("comp <> head")
         .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
     mixed = _labelled(hits, labels).where("center <> node").select("grp", "node", "comp")
-    x, y = mixed.alias("x"), mixed.alias("y")
-    add(x.join(y, F.col("x.grp") == F.col("y.grp")).where("x.node < y.node AND x.comp <> y.comp")
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
+    add(mixed.join(facts, "node").groupBy("grp").applyInArrow(_group_pairs, "a long, b long").distinct())
     return labels
 
 
@@ -358,7 +441,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     info = materialize(_sizes(own), "sets_info")
-    labels = node_links(own.where("doc_id IS NOT NULL"), info.where("doc_id IS NOT NULL"))
+    labels = node_links(own.where("doc_id IS NOT NULL"), info.where("doc_id IS NOT NULL OR common IS NOT NULL"))
+    info = info.where("common IS NULL")
     grouped = info.join(labels, "node", "left") if labels is not None else info.withColumn("comp", F.lit(None).cast("long"))
     grouped = grouped.withColumn("grp", F.coalesce("comp", "node"))
     least = grouped.where("grp IS NOT NULL").groupBy("grp").agg(F.min("doc_id").alias("least"))

@@ -33,6 +33,8 @@ from __future__ import annotations
 
 import itertools
 import re
+import sys
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,11 +47,12 @@ from . import kernels as K
 from .frames import materialize, ship, unpack
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK = 1 << 14
+CHUNK = 1 << 16
 FAN = 64
 NEG = np.int64(-(1 << 60))
 SPACE = "▁"
-CACHE_WORDS = 400_000
+#: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
+CACHE_WORDS = 250_000
 
 
 @dataclass
@@ -133,21 +136,32 @@ class Lattice:
         self.p = p
         self.rank = {t: p.order[i] for t, i in p.ids.items() if len(t) > 1}
         self.words: dict[str, tuple[bytes, int]] = {}
-        self.odd: dict[tuple[int, int], bool] = {}
+        self.older: dict[str, tuple[bytes, int]] = {}
+        self.pairs: dict[int, bool] = {}
         self.single = -1  # stands for a character without a piece
-        cut = f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if p.splits_at_space else r"(?s).+"
+        cut = f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+" if p.splits_at_space and "\n" not in "".join(p.joint) else r"(?s).+"
         self.split = re.compile(cut)
+        self.prefix = {t[:k]: -2 for t in p.ids for k in range(1, len(t))} | p.ids  # -2: only a prefix of pieces
 
     def allowed(self, a: int, b: int) -> bool:
         """Whether pieces a and b may stand side by side (weight 0, else minus infinity)."""
         p = self.p
         if not p.bpe or a < 0 or b < 0:
             return True
+        key = a << 32 | b
+        got = self.pairs.get(key)
+        if got is None:
+            if len(self.pairs) >= 2 * CACHE_WORDS:
+                self.pairs.clear()
+            got = self.pairs[key] = self._separate(a, b)
+        return got
+
+    def _separate(self, a: int, b: int) -> bool:
+        """Whether encoding the text of two pieces gives these two pieces back."""
+        p = self.p
         if not (p.regular[a] and p.regular[b]):
-            if (a, b) not in self.odd:
-                x, y = p.text[a], p.text[b]
-                self.odd[a, b] = _merge(list(x + y), self.rank)[0] == [x, y]
-            return self.odd[a, b]
+            x, y = p.text[a], p.text[b]
+            return _merge(list(x + y), self.rank)[0] == [x, y]
         order, text, ids = p.order, p.text, p.ids
         limit = float("inf")
         while True:  # undo the merges of both pieces, latest first, looking for an earlier merge across
@@ -181,14 +195,24 @@ class Lattice:
         neg = int(NEG)
         score, back, last = [neg] * (b - a + 1), [0] * (b - a + 1), [None] * (b - a + 1)
         score[0], last[0] = 0, before
-        for end in range(a + 1, b + 1):
-            for start, piece in self.ending(s, end, a):
-                got = score[start - a]
-                if got == neg or got + self.value(piece) <= score[end - a]:
-                    continue
-                prev = last[start - a]
-                if prev is None or self.allowed(prev, piece):
-                    score[end - a], back[end - a], last[end - a] = got + self.value(piece), start, piece
+        prefix, weight, bpe = self.prefix, self.p.weight, self.p.bpe
+        for start in range(a, b):
+            here = score[start - a]
+            if here == neg:
+                continue
+            prev, end, piece = last[start - a], start + 1, prefix.get(s[start])
+            if piece is None or piece == -2:  # a character that is no piece itself
+                if here > score[end - a]:
+                    score[end - a], back[end - a], last[end - a] = here, start, self.single
+            while piece is not None:
+                to = end - a
+                # with BPE one path at most is finite, so a position that is reached is settled
+                if piece >= 0 and (score[to] == neg or (not bpe and here + weight[piece] > score[to])) and (prev is None or self.allowed(prev, piece)):
+                    score[to], back[to], last[to] = here + weight[piece], start, piece
+                if end == b:
+                    break
+                end += 1
+                piece = prefix.get(s[start:end])
         return score, back, last
 
     def path(self, a: int, b: int, back: list[int], last: list) -> list[tuple[int, int]]:
@@ -207,15 +231,26 @@ class Lattice:
         """(ids as int32 bytes, weight) of a stretch between two forced cuts."""
         got = self.words.get(w)
         if got is None:
+            got = self.older.get(w)
             if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            score, back, last = self.forward(w, 0, len(w), None)
-            ids = [i for start, piece in self.path(0, len(w), back, last) for i in self.emit(w, start, piece)]
-            got = self.words[w] = (np.array(ids, np.int32).tobytes(), score[-1])
+                self.words, self.older = {}, self.words
+            if got is not None:
+                self.words[w] = got
+                return got
+            joint = self.p.joint
+            cuts = [i for i in range(1, len(w)) if w[i - 1:i + 1] not in joint]
+            if cuts:
+                parts = [self.word(w[i:j]) for i, j in itertools.pairwise([0, *cuts, len(w)])]
+                got = b"".join(x for x, _ in parts), sum(y for _, y in parts)
+            else:
+                score, back, last = self.forward(w, 0, len(w), None)
+                ids = [i for start, piece in self.path(0, len(w), back, last) for i in self.emit(w, start, piece)]
+                got = array("i", ids).tobytes(), score[-1]
+            self.words[w] = got
         return got
 
     def stretches(self, s: str) -> list[str]:
-        """``s`` cut before every run of spaces (a forced cut); finer forced cuts are left to the lattice."""
+        """``s`` cut before every run of spaces and around line feeds (forced cuts); ``word`` makes the others."""
         return self.split.findall(s)
 
     def encode(self, s: str) -> tuple[bytes, int]:
@@ -287,6 +322,16 @@ class Lattice:
         return b"".join(out) + np.array(self.emit(s, stop, piece), np.int32).tobytes()
 
 
+def lattice(held) -> Lattice:
+    """The lattice of a broadcast model, kept with its word cache for the life of a Python worker
+    (results don't depend on what the cache holds)."""
+    kept = sys.__dict__.setdefault("_sentencepiece_lattices", {})
+    if held.value not in kept:
+        kept.clear()
+        kept[held.value] = Lattice(unpack(held))
+    return kept[held.value]
+
+
 def marked(text: str) -> str:
     """The library's identity normalisation: dummy prefix, spaces as ``U+2581``."""
     return SPACE + text.replace(" ", SPACE) if text else ""
@@ -323,7 +368,7 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
     schema = T.StructType(docs.schema.fields + [T.StructField("_ids", T.ArrayType(T.IntegerType())), T.StructField("_score", T.LongType())])
 
     def run(batches):
-        lat = Lattice(unpack(held))
+        lat = lattice(held)
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(text))
             for i, j, _, _ in K.slices(batch, text):
@@ -378,7 +423,7 @@ def _encode_long(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
     chunks = materialize(_chunks(rows, held, text, chunk), "sp_chunks")
 
     def matrices(batches):
-        lat = Lattice(unpack(held))
+        lat = lattice(held)
         for batch in batches:
             out = [_pack(lat.matrix(r["s"], r["lo"], r["hi"], r["k"] == 0, r["last"])) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["row", "k", "m"])
@@ -401,7 +446,7 @@ def _encode_long(docs: DataFrame, held, text: str, chunk: int) -> DataFrame:
             _descend, "row long, k long, entry int, leave int")
 
     def trace(batches):
-        lat = Lattice(unpack(held))
+        lat = lattice(held)
         for batch in batches:
             out = [lat.backtrace(r["s"], r["lo"], r["hi"], r["k"] == 0, r["last"], r["entry"], r["leave"]) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _list_array(out)], names=["row", "k", "ids"])
