@@ -176,8 +176,8 @@ def cmd_ingest(spark, args) -> dict:
     weather = S.weather_context(S.read_json(spark, args.weather, S.WEATHER_SCHEMA)) if args.weather else None
     vac = spark.read.parquet(args.vacation) if args.vacation else None
     hol = spark.read.parquet(args.holidays) if args.holidays else None
-    stream = ST.snapshot_ingest(spark, args.status, info, weather, vac, hol, watermark=args.watermark)
-    q = ST.append_sink(stream, args.target, f"{args.checkpoint}/metrics", f"{args.checkpoint}/stream",
+    q = ST.append_sink(ST.snapshot_stream(spark, args.status), args.target, f"{args.checkpoint}/metrics",
+                       f"{args.checkpoint}/stream", transform=ST.snapshot_enrichment(info, weather, vac, hol),
                        max_records_per_file=args.max_records_per_file, available_now=args.once,
                        processing_time=args.every)
     q.awaitTermination()
@@ -227,7 +227,6 @@ def main(argv=None) -> int:
     p.add_argument("--holidays", default=None)
     p.add_argument("--target", required=True)
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--watermark", default="2 days")
     p.add_argument("--max-records-per-file", type=int, default=5_000_000)
     p.add_argument("--once", action="store_true", help="drain what has landed and stop")
     p.add_argument("--every", default="5 minutes")

@@ -93,7 +93,7 @@ def land_all(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 # ---------------------------------------------------------------------------
 
 def build_records(status: DataFrame, info: DataFrame | None, weather: DataFrame | None,
-                  vacation: DataFrame | None, holidays: DataFrame | None) -> DataFrame:
+                  vacation: DataFrame | None, holidays: DataFrame | None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Status rows -> enriched records of the readings schema."""
     s = S.enrich_status(status, info)
     s = S.attach_weather(s, weather)
@@ -101,7 +101,7 @@ def build_records(status: DataFrame, info: DataFrame | None, weather: DataFrame
     s = CAL.vacation_flag(s, vacation)
     bikes = F.col("bikes_mechanical") + F.col("bikes_ebike")
     s = s.withColumn("capacity_status", fill_rate_guarded(bikes, F.col("numdocksavailable")))
-    return s.select(*RECORD_COLUMNS)
+    return s.select(*RECORD_COLUMNS, *keep)
 
 
 def ingest_landed(spark: SparkSession, paths: dict[str, str], events: DataFrame) -> DataFrame:
@@ -287,7 +287,7 @@ def _append_batches(spark, sf_dir):
     batches = [r.where(day <= 15), r.where(day >= 12), r.where(day >= 12)]
     metrics = []
     for i, b in enumerate(batches):
-        res = W.append_dedup(b, target, max_records_per_file=2000)
+        res = W.append_dedup(b, target, ["datetime"], max_records_per_file=2000)
         metrics.append(W.metrics_row(spark, i, res))
     return target, union_all_by_name(metrics)
 

@@ -20,20 +20,22 @@ from ..streaming import ingest as ST
 from . import sqltext as Q
 from .catalog import output, register
 from .features import _ft_sql, final_rounding, lagged_features
-from .ingest import RECORDS_BODY, RECORDS_SQL, info_documents, land_text, status_documents, weather_documents
+from .ingest import RECORD_COLUMNS, RECORDS_BODY, RECORDS_SQL, info_documents, land_text, status_documents, weather_documents
+
+
+# Landed files per micro-batch of the registered queries (a drop has one file per task that wrote it).
+FILES_PER_BATCH = 8
 
 
 def land_status_weekly(r: DataFrame, path: str) -> None:
-    """Status documents in one file per week, in time order, then a repeat of week 1.
+    """Status documents in one drop per week, the weeks in reverse order, then a repeat of the last week.
 
-    The repeat arrives after later weeks: the dedup must drop it.
+    Most documents so arrive weeks late and the repeat must be dropped.
     """
-    docs = status_documents(r).withColumn("_w", F.floor((F.dayofmonth("datetime") - 1) / 7))
-    weeks = sorted(x[0] for x in docs.select("_w").distinct().collect())  # <= 5 values
-    for w in weeks:
-        land_text(docs.where(F.col("_w") == w).coalesce(1), path)
-    if weeks:
-        land_text(docs.where(F.col("_w") == weeks[0]).coalesce(1), path)
+    docs = status_documents(r).withColumn("_w", F.floor(F.datediff(F.to_date("datetime"), F.lit("1970-01-01")) / 7))
+    weeks = sorted((x[0] for x in docs.select("_w").distinct().collect()), reverse=True)  # one value per week
+    for w in weeks + weeks[:1]:
+        land_text(docs.where(F.col("_w") == w), path)
 
 
 def _context(spark: SparkSession, sf_dir: str, r: DataFrame):
@@ -46,20 +48,23 @@ def _context(spark: SparkSession, sf_dir: str, r: DataFrame):
     return info, weather, vac, hol
 
 
-def _ingest_stream(spark: SparkSession, sf_dir: str):
+def _sink(spark: SparkSession, stream: DataFrame, transform=None, **options) -> DataFrame:
+    target, metrics, ckpt = (scratch_path(spark, n) for n in ("append_target", "append_metrics", "append_ckpt"))
+    ST.append_sink(stream, target, metrics, ckpt, transform=transform, **options).awaitTermination()
+    return spark.read.parquet(target)
+
+
+def _ingest(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     r = readings(spark, sf_dir)
     status_dir = scratch_path(spark, "status_stream")
     land_status_weekly(r, status_dir)
-    info, weather, vac, hol = _context(spark, sf_dir, r)
-    return ST.snapshot_ingest(spark, status_dir, info, weather, vac, hol, max_files_per_trigger=1)
+    enrich = ST.snapshot_enrichment(*_context(spark, sf_dir, r))
+    return _sink(spark, ST.snapshot_stream(spark, status_dir, FILES_PER_BATCH), enrich, **options)
 
 
 @register("stream_snapshot_ingest", RECORDS_SQL)
 def q_stream_ingest(spark, sf_dir):
-    stream = _ingest_stream(spark, sf_dir)
-    sink = scratch_path(spark, "ingest_sink")
-    ST.run_to_parquet(stream, sink, scratch_path(spark, "ingest_ckpt"))
-    return output(spark.read.parquet(sink))
+    return output(_ingest(spark, sf_dir).select(*RECORD_COLUMNS))
 
 
 @register("stream_dedup", f"""WITH {Q.READINGS}
@@ -69,22 +74,14 @@ def q_stream_dedup(spark, sf_dir):
     r = readings(spark, sf_dir)
     status_dir = scratch_path(spark, "status_stream")
     land_status_weekly(r, status_dir)
-    stream = ST.dedup_stream(S.explode_status(ST.status_stream(spark, status_dir, 1)))
-    sink = scratch_path(spark, "dedup_sink")
-    ST.run_to_parquet(stream, sink, scratch_path(spark, "dedup_ckpt"))
-    return output(spark.read.parquet(sink))
+    return output(_sink(spark, ST.snapshot_stream(spark, status_dir, FILES_PER_BATCH)).drop("date"))
 
 
 @register("stream_append_rotate", f"""WITH {Q.READINGS},
 rec AS ({RECORDS_BODY})
 SELECT *, CAST(datetime AS DATE) AS date FROM rec""")
 def q_stream_append(spark, sf_dir):
-    stream = _ingest_stream(spark, sf_dir)
-    target = scratch_path(spark, "append_target")
-    metrics = scratch_path(spark, "append_metrics")
-    ckpt = scratch_path(spark, "append_ckpt")
-    ST.append_sink(stream, target, metrics, ckpt, max_records_per_file=5000).awaitTermination()
-    return output(spark.read.parquet(target))
+    return output(_ingest(spark, sf_dir, max_records_per_file=5000))
 
 
 @register("stream_trend_score", _ft_sql(

@@ -7,7 +7,6 @@ cuts lineage by writing a parquet table into that folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,6 +84,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete ``path`` (a folder this engine wrote) through its Hadoop FileSystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 
@@ -149,9 +154,3 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     _WRITTEN.append(path)
     return spark.read.parquet(path)
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import resolve_alias
 from ..operators.setops import dedup_keep_first
-from ..session import path_exists
+from ..session import materialize, path_exists
 from ..schema import KEY
 
 LAT_ALIASES = ["lat", "latitude", "Lat"]
@@ -70,49 +70,67 @@ class AppendResult:
         return self.n_batch - self.n_new
 
 
-def append_dedup(batch: DataFrame, path: str, key: Sequence[str] = tuple(KEY),
+METRICS_SCHEMA = "batch_id long, n_batch long, n_new long, n_dup long, n_total long"
+
+
+def new_rows(batch: DataFrame, path: str, order: Sequence[str], key: Sequence[str] = tuple(KEY),
+             ts: str = "datetime", partition: str = "date") -> DataFrame:
+    """The rows of ``batch`` whose key is not in the table yet, one per key, first by ``order``.
+
+    Only the ``date`` partitions the batch touches are read back for the
+    anti-join (partition pruning), never the whole history. Rows without a
+    time fall into the null partition like any other.
+    """
+    spark = batch.sparkSession
+    b = dedup_keep_first(batch.withColumn(partition, F.to_date(ts)), list(key), list(order))
+    if not _exists(spark, path):
+        return b
+    dates = [r[0] for r in b.select(partition).distinct().collect()]     # bounded by the days of a batch
+    touched = F.col(partition).isin([d for d in dates if d is not None])
+    old = spark.read.parquet(path).where(touched | F.col(partition).isNull()).select(*[F.col(k).alias(f"_k_{k}") for k in key])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    return b.join(old, cond, "left_anti")
+
+
+def append_dedup(batch: DataFrame, path: str, order: Sequence[str], key: Sequence[str] = tuple(KEY),
                  ts: str = "datetime", partition: str = "date",
-                 max_records_per_file: int | None = None,
-                 order: Sequence[str] | None = None) -> AppendResult:
+                 max_records_per_file: int | None = None, drop: Sequence[str] = (),
+                 n_before: int | None = None) -> AppendResult:
     """K3: append the rows of ``batch`` whose key is not in the table yet.
 
-    * rows are de-duplicated inside the batch first (U2, first by ``order``);
-    * only the ``date`` partitions the batch touches are read back for the
-      anti-join (partition pruning), never the whole history;
-    * ``maxRecordsPerFile`` bounds file size: the rotation of the reference
-      without renaming files;
-    * plain ``append`` mode, no rewrite of existing files.
+    The deduplicated new rows are written once to the shared scratch folder
+    and counted there, then appended: the batch plan runs once.
+    ``maxRecordsPerFile`` bounds file size (the rotation of the reference
+    without renaming files); existing files are never rewritten. ``order``
+    decides which of several rows of a key is the first; ``drop`` names
+    helper columns that are not stored. ``n_before`` is the size of the table
+    when the caller keeps it, else it is counted.
     """
     spark = batch.sparkSession
-    b = batch.withColumn(partition, F.to_date(ts))
-    if order:
-        b = dedup_keep_first(b, list(key), list(order))
-    else:
-        b = b.dropDuplicates(list(key))
-    n_batch = b.count()
-    if _exists(spark, path):
-        dates = [r[0] for r in b.select(partition).distinct().collect()]
-        existing = (spark.read.parquet(path).where(F.col(partition).isin(dates))
-                    .select(*key, partition))
-        new = b.join(existing, [*key, partition], "left_anti")
-    else:
-        new = b
-    new = new.cache()
-    n_new = new.count()
+    counted = batch.agg(F.count_distinct(F.struct(*key)).alias("n"))
+    new = materialize(new_rows(batch, path, order, key, ts, partition).drop(*drop), "append")
+    n_batch, n_new = counted.first()["n"], new.count()
+    if n_before is None:
+        n_before = spark.read.parquet(path).count() if _exists(spark, path) else 0
+    write_new(new, path, partition, max_records_per_file)
+    return AppendResult(n_batch, n_new, n_before + n_new)
+
+
+def write_new(new: DataFrame, path: str, partition: str = "date", max_records_per_file: int | None = None) -> None:
+    if new.isEmpty():
+        return
     w = new.write.mode("append").partitionBy(partition)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    if n_new:
-        w.parquet(path)
-    new.unpersist()
-    n_total = spark.read.parquet(path).count() if _exists(spark, path) else 0
-    return AppendResult(n_batch, n_new, n_total)
+    w.parquet(path)
 
 
 def metrics_row(spark: SparkSession, batch_id: int, r: AppendResult) -> DataFrame:
     """K8: one metrics row per appended batch."""
-    return spark.createDataFrame([(int(batch_id), r.n_batch, r.n_new, r.n_dup, r.n_total)],
-                                 "batch_id long, n_batch long, n_new long, n_dup long, n_total long")
+    return spark.createDataFrame([(int(batch_id), r.n_batch, r.n_new, r.n_dup, r.n_total)], METRICS_SCHEMA)
 
 
 def export_predictions(df: DataFrame, path: str) -> None:

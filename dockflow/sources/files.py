@@ -1,8 +1,10 @@
 """File sources: readings scan with an explicit schema (S1) and rotated
-datasets ``prefix_01 .. prefix_99`` (S2)."""
+datasets ``prefix_01, prefix_02, ...`` (S2)."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,11 +35,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, path)
 
 
-def rotated_paths(spark: SparkSession, base: str, prefix: str, suffix: str = "",
-                  max_files: int = 99) -> list[str]:
-    """Numbered paths from 01 upwards, stopping at the first missing number."""
+def rotated_paths(spark: SparkSession, base: str, prefix: str, suffix: str = "") -> list[str]:
+    """Numbered paths from 01 upwards (100 and on with three digits), stopping only at
+    the first missing number."""
     out = []
-    for i in range(1, max_files + 1):
+    for i in itertools.count(1):
         p = f"{base.rstrip('/')}/{prefix}{i:02d}{suffix}"
         if not _exists(spark, p):
             break

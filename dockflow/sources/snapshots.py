@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
+# Column of a document frame with the time it was polled (the landed file's time).
+POLL_TIME = "_poll_time"
 
 STATUS_STATION = T.StructType([
     T.StructField("station_id", T.LongType()),
@@ -48,7 +52,16 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     ``num_docks_available`` and ``numDocksAvailable`` differ beyond case, so
     both stay separate fields without a case-sensitive session.
     """
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(path).withColumn(POLL_TIME, F.col("_metadata.file_modification_time"))
+
+
+def document_time(text: Column, fallback: Column | None) -> Column:
+    """Time of a document: ISO text or epoch seconds / milliseconds, else the fallback
+    (when the document was polled). Unreadable text counts as absent."""
+    number = text.try_cast("double")
+    epoch = F.timestamp_micros((F.when(number > 1e11, number * 1e3).otherwise(number * 1e6)).cast("long"))
+    known = F.coalesce(epoch, text.try_cast("timestamp"))
+    return known if fallback is None else F.coalesce(known, fallback)
 
 
 def last_key_in_map_array(arr: Column, key: str) -> Column:
@@ -62,14 +75,16 @@ def coalesce_renamed(*cols: str, default=0) -> Column:
     return F.coalesce(*[F.col(c) for c in cols], F.lit(default))
 
 
-def explode_status(docs: DataFrame) -> DataFrame:
+def explode_status(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """S3: one row per station and snapshot, with P14 and P15 applied.
 
     ``is_renting`` defaults to 1 when absent and becomes a boolean ``== 1``.
-    The snapshot time is the UTC ``last_updated`` of the document.
+    The snapshot time is the ``last_updated`` of the document (ISO or epoch);
+    a document without one takes the time it was polled (``_poll_time``).
     """
-    s = docs.select(F.to_timestamp("last_updated").alias("datetime"),
-                    F.explode("data.stations").alias("s"))
+    polled = F.col(POLL_TIME) if POLL_TIME in docs.columns else None
+    s = docs.select(document_time(F.col("last_updated"), polled).alias("datetime"),
+                    F.explode("data.stations").alias("s"), *keep)
     arr = F.col("s.num_bikes_available_types")
     return s.select(
         F.col("s.station_id").cast("int").alias("station_id"),
@@ -77,7 +92,7 @@ def explode_status(docs: DataFrame) -> DataFrame:
         last_key_in_map_array(arr, "mechanical").alias("bikes_mechanical"),
         last_key_in_map_array(arr, "ebike").alias("bikes_ebike"),
         coalesce_renamed("s.num_docks_available", "s.numDocksAvailable").alias("numdocksavailable"),
-        (F.coalesce(F.col("s.is_renting"), F.lit(1)) == 1).alias("is_renting"),
+        (F.coalesce(F.col("s.is_renting"), F.lit(1)) == 1).alias("is_renting"), *keep,
     )
 
 
@@ -89,7 +104,8 @@ def station_info_dim(docs: DataFrame) -> DataFrame:
     before the shuffle, so a station repeated everywhere does not pile up in
     one task). Missing fields take the reference defaults.
     """
-    e = docs.select(F.to_timestamp("last_updated").alias("_t"),
+    polled = F.col(POLL_TIME) if POLL_TIME in docs.columns else None
+    e = docs.select(document_time(F.col("last_updated"), polled).alias("_t"),
                     F.posexplode("data.stations").alias("_pos", "s"))
     rec = F.struct(
         F.coalesce(F.col("s.name"), F.lit("")).alias("name"),
@@ -104,10 +120,37 @@ def station_info_dim(docs: DataFrame) -> DataFrame:
 
 
 def weather_context(docs: DataFrame) -> DataFrame:
-    """(time, apparent_temperature, weather_code) per weather document."""
-    return docs.select(F.to_timestamp("time").alias("datetime"),
-                       F.col("current.apparent_temperature").alias("apparent_temperature"),
-                       F.col("current.weather_code").alias("weather_code"))
+    """(datetime, apparent_temperature, weather_code), one row per weather time.
+
+    Documents may repeat a time; the smallest values of it stay, so the
+    context never multiplies status rows.
+    """
+    polled = F.col(POLL_TIME) if POLL_TIME in docs.columns else None
+    rows = docs.select(document_time(F.col("time"), polled).alias("datetime"),
+                       F.struct(F.col("current.apparent_temperature").alias("apparent_temperature"),
+                                F.col("current.weather_code").alias("weather_code")).alias("w"))
+    return rows.where("datetime IS NOT NULL").groupBy("datetime").agg(F.min("w").alias("w")).select("datetime", "w.*")
+
+
+def weather_at(times: DataFrame, weather: DataFrame) -> DataFrame:
+    """The latest weather at or before each of the distinct ``times`` (datetime).
+
+    Inside a day polls meet that day's weather; a poll before the first
+    weather of its day takes the last one of an earlier day. Only the
+    one-row-per-day table is ordered as a whole.
+    """
+    w = weather.select(F.struct(F.col("datetime").alias("t"), "apparent_temperature", "weather_code").alias("w"),
+                       F.to_date("datetime").alias("day"))
+    polls = times.select("datetime").distinct().withColumn("day", F.to_date("datetime"))
+    same = (polls.join(w, "day").where(F.col("w.t") <= F.col("datetime"))
+            .groupBy("datetime").agg(F.max("w").alias("same")))
+    days = (polls.select("day").distinct().withColumn("w", F.lit(None).cast(w.schema["w"].dataType))
+            .unionByName(w.select("day", "w")).groupBy("day").agg(F.max("w").alias("w")))
+    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("day", F.last("w", ignorenulls=True).over(before).alias("earlier"))
+    return (polls.join(same, "datetime", "left").join(days, "day", "left")
+            .select("datetime", F.coalesce("same", "earlier").alias("w"))
+            .select("datetime", "w.apparent_temperature", "w.weather_code"))
 
 
 def enrich_status(status: DataFrame, info: DataFrame | None) -> DataFrame:
@@ -127,10 +170,13 @@ def enrich_status(status: DataFrame, info: DataFrame | None) -> DataFrame:
 
 
 def attach_weather(status: DataFrame, weather: DataFrame | None) -> DataFrame:
-    """S5 applied: weather of the same poll time, default 0.0 / 0 when absent."""
+    """S5 applied: the weather current at the poll, default 0.0 / 0 when there is none yet.
+
+    Batch frames only (the stream applies it per micro-batch).
+    """
     from ..operators.joins import join_bounded
     if weather is None:
         return status.withColumns({"apparent_temperature": F.lit(0.0), "weather_code": F.lit(0)})
-    j = join_bounded(status, weather, "datetime", "left")
+    j = join_bounded(status, weather_at(status, weather), "datetime", "left")
     return j.withColumns({"apparent_temperature": F.coalesce("apparent_temperature", F.lit(0.0)),
                           "weather_code": F.coalesce("weather_code", F.lit(0))})

@@ -1,23 +1,28 @@
-"""Structured Streaming: snapshot ingest (ST1), dedup (ST2), bounded append
-sink with metrics (ST3), online trend scoring (ST4).
+"""Structured Streaming: snapshot ingest (ST1), dedup (ST2), append sink with
+metrics (ST3), online trend scoring (ST4).
 
 The reference polls an API every five minutes and rewrites a whole CSV;
-here landed JSON documents are a file stream, context tables are
-stream-static joins, the dedup state is bounded by a watermark and the sink
-appends only new keys, idempotently per micro-batch.
+here landed JSON documents are a file stream, context is joined per
+micro-batch, and the sink appends only the keys that the table does not hold,
+idempotently per query and micro-batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import profiles as PR
+from ..session import remove_path
 from ..sinks import writers as W
 from ..sources import snapshots as S
 
-DEFAULT_WATERMARK = "2 days"
+# Helper column: when and from which file a row arrived; decides which of several rows of a key is the first.
+ARRIVAL = "_arrival"
 
 
 def status_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -25,59 +30,80 @@ def status_stream(spark: SparkSession, path: str, max_files_per_trigger: int | N
     r = spark.readStream.schema(S.STATUS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return r.json(path)
-
+    return r.json(path).withColumn(S.POLL_TIME, F.col("_metadata.file_modification_time"))
 
-def dedup_stream(status: DataFrame, watermark: str = DEFAULT_WATERMARK,
-                 key=("station_id", "datetime")) -> DataFrame:
-    """ST2: drop repeated (station, time) keys across micro-batches.
 
-    The event time is part of the key, so the watermark lets Spark evict the
-    state of keys older than ``watermark``: state is bounded by the stations
-    times the polls inside the watermark, not by history. Rows older than the
-    watermark are late and dropped; set it wider than the largest expected
-    delay of a landed file.
-    """
-    return status.withWatermark("datetime", watermark).dropDuplicates(list(key))
+def snapshot_stream(spark: SparkSession, status_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """ST1, streaming part: landed snapshots exploded to station rows, tagged with their arrival."""
+    docs = status_stream(spark, status_dir, max_files_per_trigger)
+    arrival = F.struct(F.col(S.POLL_TIME).alias("t"), F.col("_metadata.file_path").alias("f"))
+    return S.explode_status(docs.withColumn(ARRIVAL, arrival), keep=(ARRIVAL,))
 
 
-def snapshot_ingest(spark: SparkSession, status_dir: str, info: DataFrame | None,
-                    weather: DataFrame | None, vacation: DataFrame | None,
-                    holidays: DataFrame | None, watermark: str = DEFAULT_WATERMARK,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    """ST1: landed snapshots -> explode -> dedup -> enrich (stream-static joins)."""
+def snapshot_enrichment(info: DataFrame | None, weather: DataFrame | None, vacation: DataFrame | None,
+                        holidays: DataFrame | None) -> Callable[[DataFrame], DataFrame]:
+    """ST1, per micro-batch: station, weather (as of the poll) and calendar context."""
     from ..plans.ingest import build_records
-    docs = status_stream(spark, status_dir, max_files_per_trigger)
-    status = dedup_stream(S.explode_status(docs), watermark)
-    return build_records(status, info, weather, vacation, holidays)
+    return lambda batch: build_records(batch, info, weather, vacation, holidays, keep=(ARRIVAL,))
 
 
 def append_sink(stream: DataFrame, target: str, metrics_path: str, checkpoint: str,
                 max_records_per_file: int | None = None, available_now: bool = True,
-                processing_time: str = "5 minutes") -> StreamingQuery:
-    """ST3: ``foreachBatch`` -> K3 append of new keys + K8 metrics row.
-
-    Idempotent per batch id: a batch already recorded in the metrics table
-    is skipped on replay, and the anti-join of K3 keeps a partial replay from
-    adding duplicates. ``available_now`` drains what has landed (tests,
-    backfills); otherwise the query polls every ``processing_time``.
+                processing_time: str = "5 minutes",
+                transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """ST2 + ST3: ``foreachBatch`` -> exact dedup against the table, append, metrics row.
+
+    A key is dropped only when the target (or the batch) really holds it: no
+    watermark, so late documents are kept however old they are, and the only
+    state is the table itself, of which a batch reads the dates it touches.
+
+    Replays are exact. A batch first stores its new rows and counts in a
+    folder of its own (named by checkpoint and batch id), then appends, then
+    writes the metrics row. A replay after a crash finds that folder: it
+    appends what is missing and records the stored counts. A recorded batch
+    is consumed and nothing else.
     """
+    name = checkpoint.rstrip("/")
+
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if W._exists(spark, metrics_path):
-            done = spark.read.parquet(metrics_path).where(F.col("batch_id") == batch_id).limit(1).count()
-            if done:
-                return
-        if batch.limit(1).count() == 0:      # no-data batch (watermark advance): nothing to record
+        log = f"{metrics_path}/query={quote(name, safe='')}"
+        recorded = W._exists(spark, f"{log}/batch={batch_id}/_SUCCESS")
+        if recorded:
+            batch.write.format("noop").mode("overwrite").save()     # the stream's state must still be committed
             return
-        res = W.append_dedup(batch, target, max_records_per_file=max_records_per_file)
-        W.metrics_row(spark, batch_id, res).write.mode("append").parquet(metrics_path)
+        staged = f"{name}-staged/batch={batch_id}"
+        if not W._exists(spark, f"{staged}/counts/_SUCCESS"):
+            rows = transform(batch) if transform else batch
+            order = [ARRIVAL] if ARRIVAL in rows.columns else list(rows.columns)
+            n_batch = rows.agg(F.count_distinct(F.struct("station_id", "datetime")).alias("n")).first()["n"]
+            W.new_rows(rows, target, order).drop(ARRIVAL).write.mode("overwrite").parquet(f"{staged}/rows")
+            n_new = spark.read.parquet(f"{staged}/rows").count()
+            spark.createDataFrame([(n_batch, n_new)], "n_batch long, n_new long").write.mode("overwrite").parquet(f"{staged}/counts")
+            missing = spark.read.parquet(f"{staged}/rows")
+        else:
+            staged_rows = spark.read.parquet(f"{staged}/rows")
+            missing = W.new_rows(staged_rows.drop("date"), target, ["station_id"])
+            batch.write.format("noop").mode("overwrite").save()
+        counts = spark.read.parquet(f"{staged}/counts").first()
+        if counts["n_batch"]:
+            W.write_new(missing, target, max_records_per_file=max_records_per_file)
+            before = (spark.read.schema(W.METRICS_SCHEMA).option("recursiveFileLookup", True).parquet(metrics_path)
+                      .agg(F.sum("n_new")).first()[0] or 0) if W._exists(spark, metrics_path) else 0
+            res = W.AppendResult(counts["n_batch"], counts["n_new"], before + counts["n_new"])
+            W.metrics_row(spark, batch_id, res).write.mode("overwrite").parquet(f"{log}/batch={batch_id}")
+        remove_path(spark, staged)
 
     w = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
 
 
+def read_metrics(spark: SparkSession, metrics_path: str) -> DataFrame:
+    """K8 rows of every query and batch of a sink."""
+    return spark.read.schema(W.METRICS_SCHEMA).option("recursiveFileLookup", True).parquet(metrics_path)
+
+
 def trend_score(stream: DataFrame, prof: PR.Profiles) -> DataFrame:
     """ST4: fitted profiles applied to new readings (stream-static left joins).
 

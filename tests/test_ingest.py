@@ -60,8 +60,8 @@ def test_append_dedup_idempotent(spark):
     rows = [(i % 3, f"2024-01-0{1 + i % 2} 00:00:0{i}", i) for i in range(6)]
     b = spark.createDataFrame(rows, "station_id int, ts string, v int") \
         .withColumn("datetime", F.to_timestamp("ts")).drop("ts")
-    r1 = W.append_dedup(b, path)
-    r2 = W.append_dedup(b, path)
+    r1 = W.append_dedup(b, path, ["v"])
+    r2 = W.append_dedup(b, path, ["v"])
     assert (r1.n_new, r1.n_total) == (6, 6)
     assert (r2.n_new, r2.n_dup, r2.n_total) == (0, 6, 6)
 
@@ -75,3 +75,36 @@ def test_rotated_gap_rule(spark):
     mk(9).write.parquet(f"{base}/raw_04")          # after the gap: ignored
     out = scan_rotated_files(spark, base, "raw_").collect()
     assert [r.v for r in out] == [1]                 # first file wins
+
+
+def test_more_than_a_hundred_rotated_datasets(spark):
+    base = scratch_path(spark, "t-rot-many")
+    df = spark.createDataFrame([(1,)], "v int").coalesce(1)
+    for i in range(1, 103):
+        df.select((F.col("v") * i).alias("station_id"), F.lit(i).alias("v"), F.to_timestamp(F.lit("2024-01-01")).alias("datetime")) \
+            .write.parquet(f"{base}/raw_{i:02d}")
+    assert scan_rotated_files(spark, base, "raw_").count() == 102
+
+
+def test_document_times(spark):
+    docs = [{"last_updated": t, "data": {"stations": [{"station_id": i}]}} for i, t in enumerate(
+        ["2024-01-02T03:04:05Z", "1704164645", 1704164645, 1704164645000, None, "soon"])]
+    polled = _docs(spark, docs).withColumn(S.POLL_TIME, F.to_timestamp(F.lit("2024-05-05 00:00:00")))
+    got = {r.station_id: str(r.datetime) for r in S.explode_status(polled).withColumn("datetime", F.col("datetime").cast("string")).collect()}
+    assert [got[i] for i in range(4)] == ["2024-01-02 03:04:05"] * 4
+    assert got[4] == got[5] == "2024-05-05 00:00:00"
+    bare = S.explode_status(_docs(spark, docs)).where("datetime IS NULL").count()
+    assert bare == 2
+
+
+def test_weather_is_the_latest_at_or_before_the_poll(spark):
+    ts = "datetime timestamp, apparent_temperature double, weather_code int"
+    mk = lambda rows, schema: spark.createDataFrame(rows, schema.replace("timestamp", "string")).withColumn("datetime", F.to_timestamp("datetime"))
+    docs = [("2024-01-01T10:00:00Z", 5.0, 1), ("2024-01-01T10:00:00Z", 5.0, 1), ("2024-01-01T12:00:00Z", 7.0, 2), ("2024-01-04T00:00:00Z", 1.0, 3)]
+    js = [json.dumps({"time": t, "current": {"apparent_temperature": a, "weather_code": c}}) for t, a, c in docs]
+    w = S.weather_context(spark.createDataFrame([(j,) for j in js], "value string").select(F.from_json("value", S.WEATHER_SCHEMA).alias("j")).select("j.*"))
+    assert w.count() == 3
+    polls = ["2024-01-01 09:59:59", "2024-01-01 10:00:05", "2024-01-01 23:00:00", "2024-01-03 08:00:00", "2024-01-04 00:00:00", "2024-01-01 10:00:05"]
+    status = mk([(p, i) for i, p in enumerate(polls)], "datetime timestamp, station_id int")
+    got = {r.station_id: (r.apparent_temperature, r.weather_code) for r in S.attach_weather(status, w).collect()}
+    assert [got[i] for i in range(6)] == [(0.0, 0), (5.0, 1), (7.0, 2), (7.0, 2), (1.0, 3), (5.0, 1)]

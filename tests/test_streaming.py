@@ -1,31 +1,63 @@
-"""ST1-ST3: repeated files dropped, restart from the checkpoint adds nothing."""
+"""ST1-ST3: late files kept, repeats dropped, replays exact around every crash point."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from dockflow.plans.ingest import status_documents
-from dockflow.plans.streams import land_status_weekly
+from dockflow.plans import streams as PS
+from dockflow.plans.ingest import land_text, status_documents
 from dockflow.session import scratch_path
-from dockflow.sources import snapshots as S
+from dockflow.sinks import writers as W
 from dockflow.sources.tables import readings
 from dockflow.streaming import ingest as ST
 
 from .conftest import SF_SMALL
 
 
-def test_stream_dedup_and_restart(spark):
-    r = readings(spark, SF_SMALL)
+def _three_months(spark):
+    r = readings(spark, SF_SMALL).limit(90)
+    return r.withColumn("datetime", F.expr("datetime + make_interval(0, 0, 0, cast(pmod(reading_id, 3) * 31 as int))"))
+
+
+def _run(spark, status_dir, paths, **kw):
+    target, metrics, ckpt = paths
+    ST.append_sink(ST.snapshot_stream(spark, status_dir, 8), target, metrics, ckpt, **kw).awaitTermination()
+
+
+def test_late_documents_are_kept_and_restart_adds_nothing(spark):
+    r = _three_months(spark).cache()
+    keys = r.select("station_id", "datetime").distinct().count()
     status_dir = scratch_path(spark, "t-status")
-    land_status_weekly(r, status_dir)
-    stream = ST.dedup_stream(S.explode_status(ST.status_stream(spark, status_dir, 1)))
-    target, metrics, ckpt = (scratch_path(spark, n) for n in ("t-target", "t-metrics", "t-ckpt"))
-    ST.append_sink(stream, target, metrics, ckpt).awaitTermination()
-    n1 = spark.read.parquet(target).count()
-    assert n1 == r.count()
-    # more landed documents: a repeat of everything; restart from the checkpoint
-    (status_documents(r).select("value").coalesce(1).write.mode("append").text(status_dir))
-    stream2 = ST.dedup_stream(S.explode_status(ST.status_stream(spark, status_dir, 1)))
-    ST.append_sink(stream2, target, metrics, ckpt).awaitTermination()
-    assert spark.read.parquet(target).count() == n1
-    m = spark.read.parquet(metrics)
-    assert m.agg(F.sum("n_new")).first()[0] == n1
+    PS.land_status_weekly(r, status_dir)
+    paths = [scratch_path(spark, n) for n in ("t-target", "t-metrics", "t-ckpt")]
+    _run(spark, status_dir, paths)
+    assert spark.read.parquet(paths[0]).count() == keys
+    land_text(status_documents(r), status_dir)
+    _run(spark, status_dir, paths)
+    assert spark.read.parquet(paths[0]).count() == keys
+    m = ST.read_metrics(spark, paths[1])
+    assert m.agg(F.sum("n_new")).first()[0] == keys
+    assert m.agg(F.max("n_total")).first()[0] == keys
     assert m.select("batch_id").distinct().count() == m.count()
+    # a second query on the same metrics table starts its own batch ids
+    _run(spark, status_dir, [paths[0], paths[1], scratch_path(spark, "t-ckpt2")])
+    assert spark.read.parquet(paths[0]).count() == keys
+
+
+@pytest.mark.parametrize("crash", ["write_new", "metrics_row", "remove_path"])
+def test_replay_after_a_crash(spark, monkeypatch, crash):
+    r = readings(spark, SF_SMALL).limit(60).cache()
+    keys = r.select("station_id", "datetime").distinct().count()
+    status_dir = scratch_path(spark, "t-status")
+    land_text(status_documents(r), status_dir)
+    paths = [scratch_path(spark, n) for n in ("t-target", "t-metrics", "t-ckpt")]
+
+    def boom(*a, **k):
+        raise RuntimeError("crash")
+    with monkeypatch.context() as m:
+        m.setattr(ST if crash == "remove_path" else W, crash, boom)
+        with pytest.raises(Exception, match="crash"):
+            _run(spark, status_dir, paths)
+    _run(spark, status_dir, paths)
+    assert spark.read.parquet(paths[0]).count() == keys
+    rows = ST.read_metrics(spark, paths[1]).collect()
+    assert sum(x["n_new"] for x in rows) == keys and len({x["batch_id"] for x in rows}) == len(rows)
