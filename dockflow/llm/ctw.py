@@ -52,6 +52,8 @@ from .frames import materialize, partitions_for, ship, unpack
 DEPTH = 5
 #: Bytes of text in a group (a single longer text is a group of its own).
 GROUP_BYTES = 32 << 20
+#: Bytes of text handled at once inside a group (temporary arrays take about 60 bytes per byte).
+SLICE = 1 << 19
 START, END = 0xFE, 0xFF
 GRAM = K.U(1 << 63)
 END_TOKEN = K.mix(np.array([K.U(0xE0D)]))[0] >> K.U(1)
@@ -85,36 +87,44 @@ def _group_slices(text: bytes, off: np.ndarray):
     data = np.frombuffer(text, np.uint8)
     i, n = 0, len(off) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + K.SLICE_BYTES, side="right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + SLICE, side="right")) - 1)
         yield i, j, data[off[i]:off[j]], off[i:j + 1] - off[i]
         i = j
 
 
 def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct features of a group in (bucket, key) order: (keys, training counts, buckets)."""
-    keys, counts = np.zeros(0, K.U), np.zeros(0, np.int64)
+    keys, counts = np.zeros(0, K.U), np.zeros(0, np.uint32)
     parts: list[tuple[np.ndarray, np.ndarray]] = []
 
     def fold() -> None:
         nonlocal keys, counts, parts
         all_k = np.concatenate([keys, *[k for k, _ in parts]])
+        if train is None:
+            keys, parts = np.unique(all_k), []
+            return
         all_c = np.concatenate([counts, *[c for _, c in parts]])
-        keys, inv = np.unique(all_k, return_inverse=True)
-        counts, parts = np.bincount(inv, all_c, len(keys)).astype(np.int64), []
+        o = np.argsort(all_k)
+        all_k, all_c = all_k[o], all_c[o]
+        at = np.flatnonzero(np.concatenate([[True], all_k[1:] != all_k[:-1]])) if len(all_k) else np.zeros(0, np.int64)
+        keys, counts, parts = all_k[at], np.add.reduceat(all_c, at).astype(np.uint32) if len(at) else all_c, []
     for i, _, data, o in _group_slices(text, off):
         w, wd, g, gd = slice_features(data, o, depth)
         for k, d in ((w, wd), (g, gd)):
-            u, c = np.unique(k, return_counts=True)
             if train is None:
-                c = np.zeros(len(u), np.int64)
-            elif not train[i + d].all():
+                parts.append((np.unique(k), counts[:0]))
+                continue
+            u, c = np.unique(k, return_counts=True)
+            if not train[i + d].all():
                 t, tc = np.unique(k[train[i + d]], return_counts=True)
-                c = np.zeros(len(u), np.int64)
+                c = np.zeros(len(u), np.uint32)
                 c[np.searchsorted(u, t)] = tc
-            parts.append((u, c.astype(np.int64)))
-        if len(parts) >= 16:
+            parts.append((u, c.astype(np.uint32)))
+        if len(parts) >= 32:
             fold()
     fold()
+    if train is None:
+        counts = np.zeros(len(keys), np.uint32)
     b = (K.mix(keys) % K.U(buckets)).astype(np.int64)
     o = np.argsort(b, kind="stable")
     return keys[o], counts[o], b[o]
