@@ -32,9 +32,9 @@ of differing elements), then verified on the full sets. Equal
 sets are one *node* (a fingerprint of the set) before signing, so copies never
 form pairs. Nodes under one signature are not expanded into all pairs: first
 each node is checked against the smallest node it meets, then against the
-smallest node of each of its groups, and only nodes that are still in
-different components after that are compared with each other, by size and
-sketch first, inside the group.
+node that a hash picks from each of its groups (``STARS`` times), and only
+nodes that share a group and are still in different components after that are
+compared with each other, by size and sketch first.
 
 Signatures leave a task as packed blocks per hash bucket, the bucket count
 follows the number of shingles, and a task sends a node once however many
@@ -63,6 +63,8 @@ WIDTH = 5
 SMALL, SMALL_PARTNER = 24, 30
 GROUP = 7
 FLUSH = 1 << 20
+#: Rounds in which the nodes of a group are checked against one of them.
+STARS = 3
 #: A shingle that so many different sets of one task share is common: it signs only where rare ones don't suffice.
 COMMON = 3
 COUNTED = 1 << 22
@@ -357,7 +359,7 @@ def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame |
     pairs = materialize(_possible(pairs, info), "pairs")
     if pairs.isEmpty():
         return None
-    sets = materialize(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    sets = materialize(_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()), "sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b"))
 
@@ -386,27 +388,32 @@ def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
     return with_comp.join(mixed, "grp", "left_semi")
 
 
-def _group_pairs(t: pa.Table) -> pa.Table:
-    """Of one group: the pairs of nodes of different components that sizes and sketches allow to link.
-    Members are compared in blocks along the sizes, so only near sizes meet."""
-    n = t.column("n").to_numpy()
-    o = np.argsort(n, kind="stable")
-    n = n[o]
-    node, comp = t.column("node").to_numpy()[o], t.column("comp").to_numpy()[o]
-    sk = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)[o].astype(np.int16)
-    a, b = [], []
-    past = np.searchsorted(4 * n, 5 * n, side="right")  # partners of i are below past[i]
-    for i in range(len(n)):
-        lo, hi = i + 1, int(past[i])
-        for k in range(lo, hi, 4096):
-            j = np.arange(k, min(hi, k + 4096))
-            j = j[comp[j] != comp[i]]
-            j = j[9 * np.abs(sk[j] - sk[i]).sum(1, dtype=np.int64) <= n[i] + n[j]]
-            if len(j):
-                a.append(np.minimum(node[i], node[j]))
-                b.append(np.maximum(node[i], node[j]))
-    z = np.zeros(0, np.int64)
-    return pa.table({"a": np.concatenate(a) if a else z, "b": np.concatenate(b) if b else z})
+def _cluster_pairs(t: pa.Table) -> pa.Table:
+    """Of all groups whose center lies in one component: the pairs of nodes that share a group, belong to
+    different components and that sizes and sketches allow to link, each once. Members are compared along
+    the sizes, so only near sizes meet."""
+    grp = t.column("grp").to_numpy()
+    node, first, back = np.unique(t.column("node").to_numpy(), return_index=True, return_inverse=True)
+    n = t.column("n").to_numpy()[first]
+    comp = t.column("comp").to_numpy()[first]
+    sk = K.text_views(t.column("sketch").take(pa.array(first)))[0].reshape(-1, BINS).astype(np.int16)
+    o = np.lexsort((n[back], grp))
+    at = np.flatnonzero(np.concatenate([[True], np.diff(grp[o]) != 0]))
+    found = np.zeros(0, np.int64)  # pairs as first * nodes + second
+    for lo, hi in itertools.pairwise([*at, len(o)]):
+        m = back[o[lo:hi]]
+        size, c, s = n[m], comp[m], sk[m]
+        past = np.searchsorted(4 * size, 5 * size, side="right")  # partners of i lie below past[i]
+        new = []
+        for i in range(len(m) - 1):
+            for k in range(i + 1, int(past[i]), 4096):
+                j = np.arange(k, min(int(past[i]), k + 4096))
+                j = j[c[j] != c[i]]
+                j = j[9 * np.abs(s[j] - s[i]).sum(1, dtype=np.int64) <= size[i] + size[j]]
+                new.append(np.minimum(m[i], m[j]) * len(node) + np.maximum(m[i], m[j]))
+        if new:
+            found = np.union1d(found, np.concatenate(new))
+    return pa.table({"a": node[found // max(1, len(node))], "b": node[found % max(1, len(node))]})
 
 
 def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
@@ -426,14 +433,16 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
         if more is not None:
             links = more if links is None else links.unionByName(more)
             labels = components(links)
-    first = materialize(hits.where("center <> node").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"), "pairs")
-    add(first)
+    add(hits.where("center <> node").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"))
+    for r in range(STARS):
+        mixed = _labelled(hits, labels)
+        heads = mixed.groupBy("grp").agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "comp")).alias("c"))
+        add(mixed.join(heads, "grp").where("comp <> c.comp")
+            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
     mixed = _labelled(hits, labels)
-    heads = mixed.where("center = node").select("grp", F.col("comp").alias("head"))
-    add(mixed.where("center <> node").join(heads, "grp").where("comp <> head")
-        .select(F.col("center").alias("a"), F.col("node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
-    mixed = _labelled(hits, labels).where("center <> node").select("grp", "node", "comp")
-    add(mixed.join(facts, "node").groupBy("grp").applyInArrow(_group_pairs, "a long, b long").distinct())
+    heads = mixed.where("center = node").select("grp", F.col("comp").alias("cluster"))
+    add(mixed.select("grp", "node", "comp").join(heads, "grp").join(facts, "node").groupBy("cluster")
+        .applyInArrow(_cluster_pairs, "a long, b long").distinct())
     return labels
 
 
