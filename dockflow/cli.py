@@ -127,11 +127,11 @@ def cmd_predict(spark, args) -> dict:
     from .schema import TARGET, TARGET_RAW
     from .sinks import writers as W
     _, test = _features_split(spark, args.features)
-    preds = M.score_and_reconstruct(M.load_model(args.model), test)
-    W.export_predictions(preds, args.out)
-    p = spark.read.parquet(args.out)
-    res = E.regression_metrics(p, TARGET, "residual_pred").first().asDict()
-    rec = E.regression_metrics(p, TARGET_RAW, "taux_pred").first().asDict()
+    model = M.load_model(args.model)
+    raw = E.reconstruct(M.predict(model, test))          # metrics of the unrounded predictions
+    res = E.regression_metrics(raw, TARGET, "residual_pred").first().asDict()
+    rec = E.regression_metrics(raw, TARGET_RAW, "taux_pred").first().asDict()
+    W.export_predictions(M.score_and_reconstruct(model, test), args.out)
     return {"residual": res, "reconstructed": rec}
 
 

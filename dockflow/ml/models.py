@@ -70,57 +70,43 @@ def fit_scaling(train: DataFrame, features: Sequence[str], medians: dict) -> dic
     return out
 
 
-LABEL_KEY = "__label__"
-ROWS_KEY = "__rows__"
-
-
 def fit_preprocessing(train: DataFrame, features: Sequence[str], label: str | None = None,
                       scale: bool = True):
-    """M1 + M2 (+ label moments) in one aggregation.
+    """M1 + M2 (+ label moments) in two aggregations.
 
-    Rows are unpivoted to (feature, value) and reduced to (feature, value,
-    count) map-side; one group-by per feature then gives the exact median
-    (percentile over counts) and the moments of the non-NULL values.
-    Mean and population sigma after median imputation follow from those:
-    the NULLs contribute ``n_null`` copies of the median. Returns
+    The first takes count, mean and population variance of every column in
+    one pass (Spark merges centred moments, so large means lose nothing). The
+    second unpivots to (feature, value, count) map-side for the exact medians.
+    Mean and sigma after median imputation follow from both: the NULLs are
+    ``n_null`` copies of the median. Returns
     ``(medians, scaling or None, (n, sigma_label) or None)``.
     """
-    cols = [F.col(c) for c in features] + ([F.col(label)] if label else []) + [F.lit(1.0)]
-    keys = list(features) + ([LABEL_KEY] if label else []) + [ROWS_KEY]
-    stack = F.explode(F.array(*[F.struct(F.lit(k).alias("feature"), c.cast("double").alias("v"))
-                                for k, c in zip(keys, cols)]))
+    cols = list(features) + ([label] if label else [])
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"k{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+    moments = train.agg(*aggs).first()
+    n = moments["n"]
+    stack = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features]))
     pairs = (train.select(stack.alias("p")).select("p.*").where(F.col("v").isNotNull())
              .groupBy("feature", "v").agg(F.count(F.lit(1)).alias("c")))
-    v = F.col("v")
-    stats = pairs.groupBy("feature").agg(
-        F.percentile("v", F.lit(0.5), F.col("c")).alias("median"),
-        F.sum("c").alias("k"),
-        F.sum(v * F.col("c")).alias("s1"),
-        F.sum(v * v * F.col("c")).alias("s2"))
-    rows = {r["feature"]: r for r in stats.collect()}          # one row per feature
-    n = rows[ROWS_KEY]["k"] if ROWS_KEY in rows else 0   # all rows (constant pseudo-feature)
-    medians = {f: (rows[f]["median"] if f in rows else None) for f in features}
-    scaling = None
-    if scale:
-        scaling = {}
-        for f in features:
-            r = rows.get(f)
-            if r is None or not n:
-                scaling[f] = (0.0, 1.0)
-                continue
-            m, nn = medians[f], n - r["k"]
-            s1 = r["s1"] + nn * m
-            s2 = r["s2"] + nn * m * m
-            mean = s1 / n
-            var = max(s2 / n - mean * mean, 0.0)
-            scaling[f] = (mean, math.sqrt(var) if var > 0 else 1.0)
+    found = pairs.groupBy("feature").agg(F.percentile("v", F.lit(0.5), F.col("c")).alias("median")).collect()
+    medians = dict.fromkeys(features) | {r["feature"]: r["median"] for r in found}     # one row per feature
+    scaling = {} if scale else None
+    for i, f in enumerate(features if scale else ()):
+        k, m, v, med = moments[f"k{i}"], moments[f"m{i}"], moments[f"v{i}"], medians[f]
+        if not k:
+            scaling[f] = (0.0, 1.0)
+            continue
+        mean = m + (med - m) * (n - k) / n
+        var = (k * (v + (m - mean) ** 2) + (n - k) * (med - mean) ** 2) / n
+        scaling[f] = (mean, math.sqrt(var) if var > 0 else 1.0)
     label_stats = None
     if label:
-        r = rows.get(LABEL_KEY)
-        if r is not None and r["k"]:
-            k = r["k"]
-            var = max(r["s2"] / k - (r["s1"] / k) ** 2, 0.0)
-            label_stats = (k, math.sqrt(var))
+        i = len(features)
+        if moments[f"k{i}"]:
+            label_stats = (moments[f"k{i}"], math.sqrt(moments[f"v{i}"]))
     return medians, scaling, label_stats
 
 
@@ -161,17 +147,6 @@ def mean_baseline(train: DataFrame, label: str = TARGET) -> PipelineModel:
     return PipelineModel(stages=[stage])
 
 
-def ridge_reg_param(train: DataFrame, alpha: float, label: str = TARGET) -> float:
-    """sklearn ``Ridge(alpha)`` in Spark terms.
-
-    ``LinearRegression`` (normal solver) standardizes the label, so its
-    penalty on the original scale is ``regParam / sigma_y`` against a loss
-    averaged over n rows: ``regParam = alpha / n * sigma_pop(y)``.
-    """
-    r = train.agg(F.count(F.col(label)).alias("n"), F.stddev_pop(label).alias("s")).first()
-    return alpha / r["n"] * (r["s"] or 1.0)
-
-
 def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params: dict | None = None,
                    label: str = TARGET, seed: int = RANDOM_SEED) -> Pipeline:
     """Imputer (+ scaler for the linear model) -> assembler -> regressor."""

@@ -93,29 +93,27 @@ def _adaptive_width(base: DataFrame, key: str, tolerance: int,
                     target_rows: int = TARGET_ROWS_PER_BUCKET, max_hot: int = MAX_HOT_KEYS):
     """Per-key bucket width (microseconds) from row density.
 
-    One partial aggregation gives (count, first, last) per key; only the
-    ``max_hot + 1`` densest keys reach the driver. The default width is what
-    the (max_hot + 1)-th densest key needs, so every key outside the
-    exception list is at most that dense; the exceptions get their own
-    width through a broadcast table of at most ``max_hot`` rows. Widths stay
-    within [tolerance, 1 day]: narrower buckets would only multiply copies.
+    Rows are counted per key and default bucket (a day); only keys with a day
+    of more than ``target_rows`` need narrower buckets, sized from their
+    densest day, so a burst counts and a key with a handful of rows never
+    does. The default width stays a day unless there are more than
+    ``max_hot`` such keys; then it is what the next one needs. At most
+    ``max_hot + 1`` rows reach the driver and the broadcast table. Widths
+    stay within [tolerance, 1 day].
     """
     lo_w = max(tolerance, 1) * _US_PER_MIN
     hi_w = MAX_BUCKET_MINUTES * _US_PER_MIN
 
-    def width_for(n, span):
-        if not n:
-            return hi_w
-        w = int(target_rows * max(span, 1) / n)
-        return max(lo_w, min(hi_w, w))
+    def width_for(n):
+        return max(lo_w, min(hi_w, int(target_rows * hi_w / n)))
 
     u = F.col("_us")
-    stats = (base.where(u.isNotNull() & F.col(key).isNotNull()).groupBy(key)
-             .agg(F.count(F.lit(1)).alias("n"), (F.max(u) - F.min(u) + 1).alias("span")))
-    dens = F.col("n") / F.col("span")
-    top = stats.orderBy(dens.desc(), F.col(key)).limit(max_hot + 1).collect()
-    default = hi_w if len(top) <= max_hot else width_for(top[-1]["n"], top[-1]["span"])
-    hot = [(r[key], width_for(r["n"], r["span"])) for r in top[:max_hot]]
+    days = (base.where(u.isNotNull() & F.col(key).isNotNull()).groupBy(key, F.floor(u / hi_w).alias("_day"))
+            .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target_rows))
+    top = (days.groupBy(key).agg(F.max("n").alias("n")).orderBy(F.col("n").desc(), F.col(key))
+           .limit(max_hot + 1).collect())
+    default = hi_w if len(top) <= max_hot else width_for(top[-1]["n"])
+    hot = [(r[key], width_for(r["n"])) for r in top[:max_hot]]
     hot = [(k, w) for k, w in hot if w < default]
     if not hot:
         return base, F.lit(default)

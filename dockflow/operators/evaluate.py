@@ -1,8 +1,8 @@
 """Evaluation tables: metrics (A25-A29), leaderboard (T2-T4), verdicts (P27), report (K6).
 
-Metric sums over 2-decimal quantities are accumulated as DECIMAL so they do
-not depend on partitioning or summation order; only the final divisions are
-done in double. Everything is one aggregation per table (partial + final),
+Metrics are computed from the values as they are (double sums, centred
+variance). For 2-decimal quantities ``exact=True`` accumulates DECIMALs, which
+do not depend on partitioning or summation order. Everything is one aggregation per table (partial + final),
 so a test set of any size reaches the driver as a handful of numbers.
 """
 
@@ -45,27 +45,30 @@ def prediction_columns(df: DataFrame, truth: str = TARGET_RAW, trend: str = "sta
                             "taux_pred": round_half_even("taux_pred", 2)})
 
 
-def metric_aggs(y: str, p: str, exact: bool = True, digits: int = 4) -> list[Column]:
-    """A25 aggregate expressions: MAE, RMSE, R2 (1 - SSE / SST, not squared corr)."""
+def metric_aggs(y: str, p: str, exact: bool = False, digits: int = 4) -> list[Column]:
+    """A25 aggregate expressions: MAE, RMSE, R2 (1 - SSE / SST, not squared corr).
+
+    ``exact`` rounds both inputs to 2 decimals first: only for data that has no more.
+    """
     if exact:
         e = _dec(y) - _dec(p)
         sae = F.sum(F.abs(e)).cast("double")
         sse = F.sum(e * e).cast("double")
         sy = F.sum(_dec(y)).cast("double")
         syy = F.sum(_dec(y) * _dec(y)).cast("double")
+        sst = syy - sy * sy / F.count(F.lit(1))
     else:
         e = F.col(y) - F.col(p)
         sae, sse = F.sum(F.abs(e)), F.sum(e * e)
-        sy, syy = F.sum(y), F.sum(F.col(y) * F.col(y))
+        sst = F.var_pop(y) * F.count(F.lit(1))
     n = F.count(F.lit(1))
-    sst = syy - sy * sy / n
     # Zero rows or a constant truth leave a ratio undefined: NULL, not an error.
     return [round_half_even(safe_ratio(sae, n), digits).alias("MAE"),
             round_half_even(F.sqrt(safe_ratio(sse, n)), digits).alias("RMSE"),
             round_half_even(F.lit(1.0) - safe_ratio(sse, sst), digits).alias("R2")]
 
 
-def regression_metrics(df: DataFrame, y: str, p: str, exact: bool = True,
+def regression_metrics(df: DataFrame, y: str, p: str, exact: bool = False,
                        by: Sequence[str] = ()) -> DataFrame:
     """A25 for any (truth, prediction) pair, optionally per group."""
     d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
@@ -73,12 +76,15 @@ def regression_metrics(df: DataFrame, y: str, p: str, exact: bool = True,
     return d.groupBy(*by).agg(*aggs) if by else d.agg(*aggs)
 
 
-def mean_baseline_mae(df: DataFrame, y: str) -> float | None:
-    """MAE of predicting mean(y) on the same rows, without a float sum of |y - m|.
+def mean_baseline_mae(df: DataFrame, y: str, exact: bool = False) -> float | None:
+    """MAE of predicting mean(y) on the same rows.
 
-    sum|y - m| = (S_hi - n_hi m) + (n_lo m - S_lo) with exact DECIMAL partial
-    sums above and below the fitted mean m.
+    ``exact`` (2-decimal data): sum|y - m| = (S_hi - n_hi m) + (n_lo m - S_lo)
+    with DECIMAL partial sums above and below the fitted mean m.
     """
+    if not exact:
+        m = df.agg(F.avg(y).alias("m")).first()["m"]
+        return None if m is None else df.agg(F.avg(F.abs(F.col(y) - F.lit(m))).alias("e")).first()["e"]
     s = fitted_scalars(df, sy=F.sum(_dec(y)).cast("double"), n=F.count(F.col(y)))
     if not s["n"]:
         return None
@@ -94,12 +100,13 @@ def mean_baseline_mae(df: DataFrame, y: str) -> float | None:
     return total / s["n"]
 
 
-def gain_vs_mean_baseline(df: DataFrame, y: str = TARGET_RAW, p: str = "taux_pred") -> DataFrame:
+def gain_vs_mean_baseline(df: DataFrame, y: str = TARGET_RAW, p: str = "taux_pred", exact: bool = False) -> DataFrame:
     """MAE of the model, MAE of predicting mean(y) on the same rows, gain in percent."""
     spark = df.sparkSession
     d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-    base = mean_baseline_mae(d, y)
-    mae = d.agg((F.sum(F.abs(_dec(y) - _dec(p))).cast("double") / F.count(F.lit(1))).alias("m")).first()["m"]
+    base = mean_baseline_mae(d, y, exact)
+    error = F.sum(F.abs(_dec(y) - _dec(p))).cast("double") if exact else F.sum(F.abs(F.col(y) - F.col(p)))
+    mae = d.agg(safe_ratio(error, F.count(F.lit(1))).alias("m")).first()["m"]
     gain = None if not base or mae is None else (base - mae) / base * 100.0  # base 0 -> NULL
     out = spark.createDataFrame([(mae, base, gain)], "mae double, baseline_mae double, gain_pct double")
     return out.select(round_half_even("mae", 4).alias("mae"),

@@ -58,7 +58,7 @@ def results_table(train: DataFrame, test: DataFrame) -> DataFrame:
     parts = [base]
     for name in (TREND_ONLY, PERSISTENCE):
         p = predictions(test, name)
-        parts.append(E.regression_metrics(p, TARGET, "residual_pred").withColumn("Modele", F.lit(name)))
+        parts.append(E.regression_metrics(p, TARGET, "residual_pred", exact=True).withColumn("Modele", F.lit(name)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -77,8 +77,8 @@ def report_tables(spark: SparkSession, train: DataFrame, test: DataFrame,
                          F.col("Modele").alias("label"), F.col("MAE").alias("value"))
     best = best_model(board)
     preds = predictions(test, best, train_mean(train))
-    met = E.regression_metrics(preds, TARGET_RAW, "taux_pred").first()
-    gain = E.gain_vs_mean_baseline(preds).first()
+    met = E.regression_metrics(preds, TARGET_RAW, "taux_pred", exact=True).first()
+    gain = E.gain_vs_mean_baseline(preds, exact=True).first()
     p90 = E.abs_error_percentile(preds).first()["p90"]
     fill = spark.createDataFrame(
         [("fill_rate", 1, "MAE", met["MAE"]), ("fill_rate", 2, "R2", met["R2"]),
@@ -163,6 +163,23 @@ def q_regression_metrics(spark, sf_dir):
     return results_table(train, test)
 
 
+_RAW_PRED = "(station_trend_avg * 0.98765 + lag_60min * 0.0123457)"
+
+
+@register("regression_metrics_unrounded", _ev(
+    f"SELECT {Q.r('avg(abs(y - p))', 4)} AS MAE, {Q.r('sqrt(avg((y - p) * (y - p)))', 4)} AS RMSE, "
+    f"{Q.r('1e0 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 4)} AS R2, "
+    f"{Q.r('avg(abs(y - m))', 4)} AS baseline_mae FROM u, (SELECT avg(y) AS m FROM u)",
+    f"u AS (SELECT CAST(capacity_status_calc AS DOUBLE) AS y, CAST({_RAW_PRED} AS DOUBLE) AS p FROM te "
+    "WHERE capacity_status_calc IS NOT NULL AND station_trend_avg IS NOT NULL AND lag_60min IS NOT NULL)"))
+def q_metrics_unrounded(spark, sf_dir):
+    """A25 / A26 on a predictor with many decimals."""
+    _, _, test = _tables(spark, sf_dir)
+    d = test.select(F.col(TARGET_RAW).cast("double").alias("y"), F.expr(_RAW_PRED).cast("double").alias("p")).dropna()
+    base = E.gain_vs_mean_baseline(d, "y", "p").select("baseline_mae").first()["baseline_mae"]
+    return E.regression_metrics(d, "y", "p").withColumn("baseline_mae", F.lit(base))
+
+
 @register("mean_baseline", _ev("SELECT MAE, RMSE, R2 FROM mres WHERE Modele = 'Baseline (moyenne)'"))
 def q_mean_baseline(spark, sf_dir):
     _, train, test = _tables(spark, sf_dir)
@@ -199,7 +216,7 @@ def q_score(spark, sf_dir):
 
 @register("reconstructed_metrics", _ev(f"SELECT {_metrics_sql('capacity_status_calc', 'taux_pred')} FROM preds"))
 def q_reconstructed_metrics(spark, sf_dir):
-    return E.regression_metrics(_best_preds(spark, sf_dir), TARGET_RAW, "taux_pred")
+    return E.regression_metrics(_best_preds(spark, sf_dir), TARGET_RAW, "taux_pred", exact=True)
 
 
 _MBASE = f"""mb AS (SELECT CAST(sum({_dec('capacity_status_calc')}) AS DOUBLE) / nullif(count(*), 0) AS m FROM preds),
@@ -217,7 +234,7 @@ g AS (SELECT mae, ((s_hi - n_hi * m) + (n_lo * m - s_lo)) / nullif(n, 0) AS base
     f"SELECT {Q.r('mae', 4)} AS mae, {Q.r('base', 4)} AS baseline_mae, "
     f"{Q.r('(base - mae) / nullif(base, 0) * 100e0')} AS gain_pct FROM g", _MBASE))
 def q_gain(spark, sf_dir):
-    return E.gain_vs_mean_baseline(_best_preds(spark, sf_dir))
+    return E.gain_vs_mean_baseline(_best_preds(spark, sf_dir), exact=True)
 
 
 _ABS_ERR = Q.r('abs(capacity_status_calc - taux_pred)')
@@ -324,10 +341,10 @@ def q_verdicts(spark, sf_dir):
     board = E.leaderboard(results_table(train, test))
     preds = predictions(test, best_model(board), train_mean(train))
     vals = {
-        "gain_pct": E.gain_vs_mean_baseline(preds).first()["gain_pct"],
+        "gain_pct": E.gain_vs_mean_baseline(preds, exact=True).first()["gain_pct"],
         "corr": trend_correlation(train).first()["corr"],
         "variance_reduction": variance_reduction(train, anomaly=None).first()["reduction"],
-        "r2": E.regression_metrics(preds, TARGET_RAW, "taux_pred").first()["R2"],
+        "r2": E.regression_metrics(preds, TARGET_RAW, "taux_pred", exact=True).first()["R2"],
         "gap": E.gap_to_second(board).first()["gap"],
     }
     row = spark.createDataFrame([tuple(vals.values())], ", ".join(f"{k} double" for k in vals))

@@ -37,7 +37,7 @@ _MED_SQL = " UNION ALL ".join(
 @register("median_impute", _ft_sql(_MED_SQL))
 def q_median_impute(spark, sf_dir):
     _, train, _ = _tables(spark, sf_dir)
-    med = M.fit_medians(train, FEATURES)
+    med, _, _ = M.fit_preprocessing(train, FEATURES, scale=False)
     df = spark.createDataFrame([(k, v) for k, v in med.items()], "feature string, median double")
     return df.select("feature", round6(F.col("median")).alias("median"))
 
@@ -52,8 +52,7 @@ _SCALE_SQL = " UNION ALL ".join(
 @register("standard_scale", _ft_sql(_SCALE_SQL))
 def q_standard_scale(spark, sf_dir):
     _, train, _ = _tables(spark, sf_dir)
-    med = M.fit_medians(train, FEATURES)
-    sc = M.fit_scaling(train, FEATURES, med)
+    _, sc, _ = M.fit_preprocessing(train, FEATURES)
     df = spark.createDataFrame([(f, m, s) for f, (m, s) in sc.items()], "feature string, mean double, scale double")
     return df.select("feature", round6(F.col("mean")).alias("mean"), round6(F.col("scale")).alias("scale"))
 

@@ -5,6 +5,7 @@ import datetime as dt
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from dockflow.operators.asof import asof_lag
 
@@ -97,3 +98,18 @@ def test_duplicates_dropped_before_lag(spark, bucket):
     out = asof_lag(_frame(spark, rows), value="v", lags={"lag": 60}, bucket_minutes=bucket,
                    dedup_order=["v"]).collect()
     assert sorted((r.v, r.lag) for r in out) == [(2.0, None), (9.0, 2.0)]
+
+
+def test_sparse_stations_do_not_narrow_the_buckets(spark):
+    from dockflow.operators import asof
+    steady = [(k, T0 + dt.timedelta(minutes=5 * i), float(i)) for k in range(10) for i in range(200)]
+    lone = [(1000 + k, T0, 1.0) for k in range(1500)]
+    burst = [(7777, T0 + dt.timedelta(seconds=i), 1.0) for i in range(900)]
+    frame = spark.createDataFrame(steady + lone + burst, "station_id int, datetime timestamp, v double")
+    base = frame.withColumn("_us", F.unix_micros("datetime"))
+    day = asof.MAX_BUCKET_MINUTES * 60 * 1_000_000
+    with_width, width = asof._adaptive_width(base, "station_id", 30, target_rows=500)
+    got = {r[0]: r[1] for r in with_width.select("station_id", width.alias("w")).distinct().collect()}
+    assert got.pop(7777) < day and set(got.values()) == {day}
+    copies = asof._bucketed(base, "station_id", "v", {"lag": 240}, 30, F.lit(day))
+    assert copies.count() == frame.count()

@@ -66,3 +66,16 @@ def test_histogram_and_bands(spark):
     assert bands == {"0-20": 2, "20-40": 1, "40-60": 1, "80-100": 1}       # exact 0 in no band
     incl = {r.band: r.n for r in fill_band_counts(df, "x", include_lowest=True).collect()}
     assert incl["0-20"] == 3
+
+
+def test_metrics_of_unrounded_values(spark):
+    rows = [(0.001, 0.004), (0.002, 0.001), (0.003, 0.002)]
+    df = spark.createDataFrame(rows, "y double, p double")
+    y, p = np.array(rows).T
+    r = df.agg(*E.metric_aggs("y", "p", digits=8)).first()
+    assert r.MAE == pytest.approx(np.mean(np.abs(y - p)), abs=1e-8)
+    assert r.RMSE == pytest.approx(np.sqrt(np.mean((y - p) ** 2)), abs=1e-8)
+    big = spark.createDataFrame([(1e9 + a, 1e9 + b) for a, b in rows], "y double, p double")
+    assert E.regression_metrics(big, "y", "p").first().R2 < 0
+    g = E.gain_vs_mean_baseline(df.selectExpr("y * 1000.125 AS y", "p * 1000.125 AS p"), "y", "p").first()
+    assert g.baseline_mae == pytest.approx(np.mean(np.abs(y - y.mean())) * 1000.125, abs=1e-4)

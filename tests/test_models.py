@@ -83,3 +83,13 @@ def test_gbt_early_stopping_keeps_best_count(spark):
                                     "subsample": 1.0, "min_child_weight": 5, "early_stopping_rounds": 5})
     assert 1 <= m.info["n_trees"] <= m.info["n_max"] == 30
     assert len(m.model.stages[-1].trees) == m.info["n_trees"]
+
+
+def test_preprocessing_keeps_digits_of_large_means(spark):
+    rows = [(1e9, 1.0, 0.5), (1e9 + 1, None, 1.5), (1e9 + 2, 5.0, 2.5), (None, 9.0, None)]
+    med, sc, label = M.fit_preprocessing(spark.createDataFrame(rows, "a double, b double, y double"), ["a", "b"], "y")
+    a = np.array([1e9, 1e9 + 1, 1e9 + 2, 1e9 + 1]) - 1e9
+    assert med == {"a": 1e9 + 1, "b": 5.0}
+    assert sc["a"] == pytest.approx((1e9 + a.mean(), a.std()), rel=1e-9)
+    assert sc["b"] == pytest.approx((5.0, np.std([1, 5, 5, 9])))
+    assert label == (3, pytest.approx(np.std([0.5, 1.5, 2.5])))
