@@ -88,15 +88,17 @@ def cmd_tune(spark, args) -> dict:
     train, _ = _features_split(spark, f"{args.features}")
     trials_path = f"{args.out}/trials"
     from .session import path_exists
-    if path_exists(spark, trials_path):
-        done = spark.read.parquet(trials_path)
-        todo = M.models_to_tune(spark.createDataFrame([(args.model,)], "model string"), done)
-        if todo.limit(1).count() == 0:
-            return {"skipped": args.model}
-    trials = M.param_search(args.model, train, FEATURES_SEARCH, args.trials, seed=args.seed,
-                            parallelism=args.parallelism)
-    trials.write.mode("append").parquet(trials_path)
-    best = M.best_trial_per_model(spark.read.parquet(trials_path))
+    done = []
+    if path_exists(spark, trials_path):     # a crash or a smaller search: go on with the missing trials
+        stored = M.read_trials(spark, trials_path).where(F.col("model") == args.model)
+        done = [r["trial"] for r in stored.select("trial").collect()]
+
+    def keep(row) -> None:
+        i = row.first()["trial"]
+        row.coalesce(1).write.mode("overwrite").parquet(f"{trials_path}/{args.model}-{i:05d}")
+    M.param_search(args.model, train, FEATURES_SEARCH, args.trials, seed=args.seed,
+                   parallelism=args.parallelism, done=done, on_trial=keep)
+    best = M.best_trial_per_model(M.read_trials(spark, trials_path))
     best.write.mode("overwrite").parquet(f"{args.out}/best")
     return {"best": [r.asDict(recursive=True) for r in best.collect()]}
 
@@ -200,7 +202,7 @@ def main(argv=None) -> int:
     p.add_argument("--out", required=True)
     p = sub.add_parser("tune")
     p.add_argument("--features", required=True)
-    p.add_argument("--model", default="ridge", choices=["ridge", "rf", "gbt"])
+    p.add_argument("--model", default="ridge", choices=["ridge", "rf", "gbt", "gbt_es"])
     p.add_argument("--trials", type=int, default=50)
     p.add_argument("--seed", type=int, default=42)
     p.add_argument("--parallelism", type=int, default=2)

@@ -11,22 +11,23 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression,
+                                   RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import round_half_even
 from ..operators import evaluate as E
 from ..operators import split as SP
-from ..schema import (BASELINE_NAME, GBT_PARAMS, RANDOM_SEED, RF_PARAMS, RIDGE_ALPHA, TARGET,
-                      TARGET_RAW, XGB_PARAMS)
+from ..schema import (BASELINE_NAME, GBT_PARAMS, RANDOM_SEED, RF_PARAMS, RIDGE_ALPHA, SEARCH_SPACES,
+                      TARGET, TARGET_RAW, XGB_PARAMS)
 
 PREFIX = "f__"
 
@@ -152,13 +153,13 @@ def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params:
     """Imputer (+ scaler for the linear model) -> assembler -> regressor."""
     params = dict(params or {})
     ridge = kind == "ridge"
-    medians, scaling, label_stats = fit_preprocessing(train, features, label if ridge else None,
+    medians, scaling, label_stats = fit_preprocessing(train, features, label if kind in ("ridge", "gbt_es") else None,
                                                       scale=ridge)
     stages = [preprocess_stage(features, medians, scaling), assembler(features)]
     if ridge:
         alpha = params.get("alpha", RIDGE_ALPHA)
         n_y, s_y = label_stats if label_stats else (1, 1.0)
-        # sklearn Ridge(alpha) = Spark regParam alpha / n * sigma_pop(y) (see ridge_reg_param).
+        # sklearn Ridge(alpha) = Spark regParam alpha / n * sigma_pop(y) .
         reg = LinearRegression(labelCol=label, featuresCol="features", solver="normal",
                                elasticNetParam=0.0, standardization=False, fitIntercept=True,
                                regParam=alpha / n_y * (s_y or 1.0))
@@ -182,12 +183,17 @@ def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params:
                            maxMemoryInMB=int(p.get("max_memory_mb", 1024)), cacheNodeIds=True)
     elif kind == "gbt_es":
         # XGBoost-like boosting (M7); the number of rounds is chosen afterwards
-        # on a time-ordered holdout by ``fit`` (patience, MAE).
+        # on a time-ordered holdout by ``fit`` (patience, MAE). A split's loss
+        # reduction (gamma) is summed over rows there, a mean per row here.
         p = {**XGB_PARAMS, **params}
+        columns = float(p.get("colsample_bytree", 1.0)) * float(p.get("colsample_bylevel", 1.0))
+        n_fit = label_stats[0] if label_stats else 1
         reg = GBTRegressor(labelCol=label, featuresCol="features", seed=seed,
                            maxIter=int(p["n_estimators"]), maxDepth=int(p["max_depth"]),
                            stepSize=float(p["learning_rate"]), subsamplingRate=float(p["subsample"]),
                            minInstancesPerNode=int(p.get("min_child_weight", 1)),
+                           featureSubsetStrategy=str(columns) if columns < 1 else "all",
+                           minInfoGain=2 * float(p.get("gamma", 0.0)) / n_fit,
                            lossType=str(p.get("loss", "squared")),
                            maxMemoryInMB=int(p.get("max_memory_mb", 1024)), cacheNodeIds=True)
     else:
@@ -225,6 +231,25 @@ def best_rounds(errors: Sequence[float], patience: int) -> int:
     return best_i + 1
 
 
+def first_trees(gbt: GBTRegressionModel, keep: int) -> GBTRegressionModel:
+    """The boosted model cut to its first ``keep`` trees, with the same columns."""
+    sc = SparkSession.getActiveSession().sparkContext
+    old, jvm = gbt._java_obj, sc._jvm
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
+    weights = sc._gateway.new_array(jvm.double, keep)
+    for i, t in enumerate(list(old.trees())[:keep]):
+        trees[i] = t
+        weights[i] = float(gbt.treeWeights[i])
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{gbt.uid}_{keep}", trees, weights, int(gbt.numFeatures))
+    out = GBTRegressionModel(cut)
+    out._resetUid(cut.uid())
+    for name in ("labelCol", "featuresCol", "predictionCol"):
+        value = gbt.getOrDefault(name)
+        cut.set(cut.getParam(name), value)
+        out._set(**{name: value})
+    return out
+
+
 def _fit_early_stopped(train: DataFrame, features: Sequence[str], params: dict | None,
                        label: str, patience: int = 50, ratio: float = 0.85):
     """M7: boosting stopped on the last 15 % of the training time.
@@ -250,7 +275,7 @@ def _fit_early_stopped(train: DataFrame, features: Sequence[str], params: dict |
     n_max = len(gbt.trees)
     keep = best_rounds(errors, patience) if errors else n_max
     if keep < n_max:
-        model = build_pipeline("gbt_es", fit_rows, features, {**p, "n_estimators": keep}, label).fit(fit_rows)
+        model = PipelineModel(stages=[*model.stages[:-1], first_trees(gbt, keep)])
     return model, {"n_trees": keep, "n_max": n_max,
                    "holdout_mae": float(errors[keep - 1]) if errors else None}
 
@@ -329,20 +354,10 @@ def time_series_cv_mae(kind: str, train: DataFrame, features: Sequence[str], par
 
 
 # Search spaces: (low, high, log scale, integer).
-SPACES = {
-    "ridge": {"alpha": (1e-4, 1e3, True, False)},
-    "rf": {"n_estimators": (100, 500, False, True), "max_depth": (4, 15, False, True),
-           "min_samples_leaf": (5, 150, False, True), "max_features": (0.3, 1.0, False, False)},
-    "gbt": {"n_estimators": (100, 500, False, True), "max_depth": (3, 7, False, True),
-            "learning_rate": (0.01, 0.3, True, False), "subsample": (0.5, 1.0, False, False),
-            "min_samples_leaf": (10, 150, False, True), "max_features": (0.3, 1.0, False, False)},
-}
-
-
 def draw_params(kind: str, n: int, seed: int = RANDOM_SEED, space: dict | None = None) -> list[dict]:
     """Seeded random draws from a search space (log-uniform where marked)."""
     rng = np.random.default_rng(seed)
-    space = space or SPACES[kind]
+    space = space or SEARCH_SPACES[kind]
     out = []
     for _ in range(n):
         p = {}
@@ -353,23 +368,47 @@ def draw_params(kind: str, n: int, seed: int = RANDOM_SEED, space: dict | None =
     return out
 
 
+TRIALS_SCHEMA = "model string, trial int, params map<string,string>, mae_cv double"
+
+
 def param_search(kind: str, train: DataFrame, features: Sequence[str], n_trials: int,
                  seed: int = RANDOM_SEED, parallelism: int = 2, space: dict | None = None,
-                 label: str = TARGET) -> DataFrame:
+                 label: str = TARGET, done: Sequence[int] = (),
+                 on_trial: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """M9: trials table (model, trial, params, mae_cv); candidates run as
-    concurrent Spark jobs from a small driver thread pool."""
+    concurrent Spark jobs from a small driver thread pool.
+
+    Trial i has the same parameters whatever ran before, so a search resumes
+    with the trials that are not ``done``. ``on_trial`` gets each finished
+    trial as a one-row frame (to store it at once). A trial of the
+    early-stopped booster first finds its number of trees (M7), is then
+    cross-validated with it and records it as ``best_n_estimators``.
+    """
     spark = train.sparkSession
     folds = SP.expanding_time_folds(train)
-    trials = draw_params(kind, n_trials, seed, space)
+    trials = [(i, p) for i, p in enumerate(draw_params(kind, n_trials, seed, space)) if i not in set(done)]
 
     def run(i_p):
         i, p = i_p
-        return (kind, i, {k: repr(v) for k, v in p.items()},
-                time_series_cv_mae(kind, train, features, p, label, folds=folds))
+        cv = p
+        if kind == "gbt_es":
+            _, info = _fit_early_stopped(train, features, p, label)
+            p = {**p, "best_n_estimators": info["n_trees"]}
+            cv = {**p, "n_estimators": info["n_trees"]}
+        row = (kind, i, {k: repr(v) for k, v in p.items()},
+               time_series_cv_mae(kind, train, features, cv, label, folds=folds))
+        if on_trial:
+            on_trial(spark.createDataFrame([row], TRIALS_SCHEMA))
+        return row
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, enumerate(trials)))
-    return spark.createDataFrame(rows, "model string, trial int, params map<string,string>, mae_cv double")
+        rows = list(pool.map(run, trials))
+    return spark.createDataFrame(rows, TRIALS_SCHEMA)
+
+
+def read_trials(spark: SparkSession, path: str) -> DataFrame:
+    """All stored trials below ``path`` (one folder per trial)."""
+    return spark.read.schema(TRIALS_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
 def best_trial_per_model(trials: DataFrame) -> DataFrame:

@@ -87,8 +87,23 @@ RF_PARAMS = {"n_estimators": 468, "max_depth": 15, "min_samples_leaf": 146,
 GBT_PARAMS = {"n_estimators": 237, "max_depth": 7, "learning_rate": 0.011993285040303257,
               "subsample": 0.9654593914385029, "min_samples_leaf": 97,
               "max_features": 0.9991537490907574}
-# XGBoost settings mapped onto Spark's GBT (no counterpart for the column
-# sampling and L1/L2 terms; min_child_weight -> minimum rows per node).
+# XGBoost settings mapped onto Spark's GBT: column sampling -> feature subset per
+# node, gamma -> minimum gain, min_child_weight -> minimum rows per node; the
+# L1/L2 terms have no counterpart.
 XGB_PARAMS = {"n_estimators": 232, "max_depth": 6, "learning_rate": 0.12272662063860754,
-              "subsample": 0.9372938568071518, "min_child_weight": 21}
+              "subsample": 0.9372938568071518, "colsample_bytree": 0.5236769398724859,
+              "colsample_bylevel": 0.562214355487758, "min_child_weight": 21, "gamma": 0.7759872843048987}
+# Search spaces: name -> (low, high, log scale, integer).
+SEARCH_SPACES = {
+    "ridge": {"alpha": (1e-4, 1e3, True, False)},
+    "rf": {"n_estimators": (100, 500, False, True), "max_depth": (4, 15, False, True),
+           "min_samples_leaf": (5, 150, False, True), "max_features": (0.3, 1.0, False, False)},
+    "gbt": {"n_estimators": (100, 500, False, True), "max_depth": (3, 7, False, True),
+            "learning_rate": (0.01, 0.3, True, False), "subsample": (0.5, 1.0, False, False),
+            "min_samples_leaf": (10, 150, False, True), "max_features": (0.3, 1.0, False, False)},
+    "gbt_es": {"n_estimators": (200, 800, False, True), "max_depth": (3, 9, False, True),
+               "learning_rate": (0.01, 0.3, True, False), "subsample": (0.5, 1.0, False, False),
+               "colsample_bytree": (0.5, 1.0, False, False), "colsample_bylevel": (0.5, 1.0, False, False),
+               "min_child_weight": (1, 30, False, True), "gamma": (1e-5, 5.0, True, False)},
+}
 RANDOM_SEED = 42

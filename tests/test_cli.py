@@ -14,7 +14,9 @@ def test_phases_end_to_end(spark, capsys):
     readings(spark, SF_CHECK).drop("reading_id").write.parquet(f"{base}/readings")
     steps = [
         ["features", "--readings", f"{base}/readings", "--out", f"{base}/f"],
-        ["train", "--features", f"{base}/f/features", "--models", "baseline,ridge", "--out", f"{base}/m"],
+        ["tune", "--features", f"{base}/f/features", "--model", "ridge", "--trials", "1", "--out", f"{base}/t"],
+        ["tune", "--features", f"{base}/f/features", "--model", "ridge", "--trials", "2", "--out", f"{base}/t"],
+        ["train", "--features", f"{base}/f/features", "--models", "baseline,ridge", "--params", f"{base}/t/best", "--out", f"{base}/m"],
         ["predict", "--features", f"{base}/f/features", "--model", f"{base}/m/best_model", "--out", f"{base}/p"],
         ["report", "--predictions", f"{base}/p", "--results", f"{base}/m/results",
          "--importance", f"{base}/m/importance", "--out", f"{base}/k"],
@@ -24,8 +26,10 @@ def test_phases_end_to_end(spark, capsys):
         assert main(["--master", "local[4]", *s]) == 0
         outs.append(json.loads(capsys.readouterr().out.strip().splitlines()[-1]))
     assert outs[0]["lookup_sizes"]["level2"] > 0
-    assert outs[1]["best"] in ("Baseline (moyenne)", "ridge")
-    assert outs[3]["rows"] >= 3 + 12 + 4 - 1
+    from dockflow.ml.models import read_trials
+    assert sorted(r.trial for r in read_trials(spark, f"{base}/t/trials").collect()) == [0, 1]     # the second call ran trial 1 only
+    assert outs[3]["best"] in ("Baseline (moyenne)", "ridge")
+    assert outs[5]["rows"] >= 3 + 12 + 4 - 1
     sections = {r.section for r in spark.read.parquet(f"{base}/k").collect()}
     assert {"benchmark", "fill_rate", "error_histogram"} <= sections
 

@@ -93,3 +93,33 @@ def test_preprocessing_keeps_digits_of_large_means(spark):
     assert sc["a"] == pytest.approx((1e9 + a.mean(), a.std()), rel=1e-9)
     assert sc["b"] == pytest.approx((5.0, np.std([1, 5, 5, 9])))
     assert label == (3, pytest.approx(np.std([0.5, 1.5, 2.5])))
+
+
+def test_truncated_booster_is_the_first_trees(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = rng.uniform(-1, 1, (400, 2))
+    df = spark.createDataFrame([(float(a), float(b), float(a * a + b)) for a, b in x], "a double, b double, y double")
+    full = M.build_pipeline("gbt_es", df, ["a", "b"], {"n_estimators": 6, "max_depth": 2, "subsample": 1.0, "min_child_weight": 1,
+                                                       "colsample_bytree": 1.0, "colsample_bylevel": 1.0, "gamma": 0.0}, "y").fit(df)
+    gbt = full.stages[-1]
+    cut = M.PipelineModel(stages=[*full.stages[:-1], M.first_trees(gbt, 3)])
+    got = [r.prediction for r in cut.transform(df).select("prediction").collect()]
+    part = full.transform(df).select("features").collect()
+    want = [sum(w * t.predict(r.features) for t, w in zip(gbt.trees[:3], gbt.treeWeights[:3])) for r in part[:20]]
+    assert got[:20] == pytest.approx(want)
+    cut.write().overwrite().save(str(tmp_path / "m"))
+    again = M.PipelineModel.load(str(tmp_path / "m"))
+    assert [r.prediction for r in again.transform(df).select("prediction").collect()] == pytest.approx(got)
+    assert len(again.stages[-1].trees) == 3
+
+
+def test_search_of_the_early_stopped_booster(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=i), float(i % 7), float(i % 7) + 0.1 * (i % 3)) for i in range(240)]
+    df = spark.createDataFrame(rows, "datetime timestamp, a double, residual double")
+    space = {k: (2, 3, False, True) if k in ("n_estimators", "max_depth") else v for k, v in M.SEARCH_SPACES["gbt_es"].items()}
+    seen = []
+    out = M.param_search("gbt_es", df, ["a"], 2, space=space, label="residual", parallelism=1, done=[0], on_trial=lambda r: seen.append(r.first()["trial"]))
+    r = out.collect()
+    assert [x.trial for x in r] == [1] == seen and 1 <= int(r[0].params["best_n_estimators"]) <= 3
