@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import pickle
 
+import numpy as np
 from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, materialize, scratch_path  # noqa: F401
+from .kernels import as_i64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +26,27 @@ def unpack(held: Broadcast) -> object:
     return pickle.loads(held.value)
 
 
+class BitFilter:
+    """A set of 64-bit hashes as a bit table of fixed size; a false hit is possible, a miss is not."""
+
+    def __init__(self, bits: int, words: dict[int, int]):
+        self.words = np.zeros(bits // 64, np.int64)
+        if words:
+            self.words[np.fromiter(words.keys(), np.int64)] = np.fromiter(words.values(), np.int64)
+
+    def has(self, h: np.ndarray) -> np.ndarray:
+        h = as_i64(h)
+        return (self.words[(h >> 6) % len(self.words)] >> (h % 64)) & 1 == 1
+
+
+def bit_filter(hashes: DataFrame, bits: int) -> BitFilter:
+    """Filter of the column ``h``: OR-ed per word in Spark, at most bits / 64 rows reach the driver."""
+    rows = (hashes.select(F.expr(f"pmod(shiftright(h, 6), {bits // 64})").alias("w"),
+                          F.expr("shiftleft(1L, CAST(pmod(h, 64) AS INT))").alias("b"))
+            .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
+    return BitFilter(bits, {r["w"]: r["b"] for r in rows})
+
+
 def partitions_for(spark: SparkSession, n_bytes: int, target: int = 16 << 20) -> int:
     """Buckets that hold about ``target`` bytes each, never fewer than the shuffle partitions."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), int(n_bytes // target) + 1)

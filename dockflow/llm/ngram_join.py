@@ -57,7 +57,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .frames import components, materialize, partitions_for, ship, unpack
+from .frames import BitFilter, bit_filter, components, materialize, partitions_for, ship, unpack
 
 WIDTH = 5
 SMALL, SMALL_PARTNER = 24, 30
@@ -217,27 +217,6 @@ def _unseen(f: np.ndarray, n: np.ndarray, seen: set[int]) -> np.ndarray:
     return new
 
 
-class BitFilter:
-    """A set of 64-bit hashes as a bit table of fixed size; a false hit is possible, a miss is not."""
-
-    def __init__(self, bits: int, words: dict[int, int]):
-        self.words = np.zeros(bits // 64, np.int64)
-        if words:
-            self.words[np.fromiter(words.keys(), np.int64)] = np.fromiter(words.values(), np.int64)
-
-    def has(self, h: np.ndarray) -> np.ndarray:
-        h = K.as_i64(h)
-        return (self.words[(h >> 6) % len(self.words)] >> (h % 64)) & 1 == 1
-
-
-def bit_filter(hashes: DataFrame, bits: int) -> BitFilter:
-    """Filter of the column ``h``: OR-ed per word in Spark, at most bits / 64 rows reach the driver."""
-    rows = (hashes.select(F.expr(f"pmod(shiftright(h, 6), {bits // 64})").alias("w"),
-                          F.expr("shiftleft(1L, CAST(pmod(h, 64) AS INT))").alias("b"))
-            .groupBy("w").agg(F.bit_or("b").alias("b")).collect())
-    return BitFilter(bits, {r["w"]: r["b"] for r in rows})
-
-
 def _common(info: DataFrame) -> DataFrame:
     """(h): the shingles that some task reported as common."""
     def fn(batch):

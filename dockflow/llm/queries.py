@@ -81,7 +81,7 @@ def op7(spark, sf_dir):
     toxic = TR.deletes(labels.where("toxic = 1"))
     store.commit(2, toxic)
     good = labels.where("quality = 1 AND toxic = 0").select("doc_id")
-    store.commit(3, TR.revisions(TR.count_tokens(docs.join(good, "doc_id", "left_semi"), "byte_bpe_multi_50k", TR.TOKENIZER_PATH_MULTI)))
+    store.commit(3, TR.revisions(TR.count_tokens(docs, "byte_bpe_multi_50k", TR.TOKENIZER_PATH_MULTI, only=good)))
     store.commit(2, toxic)
     return store.totals()
 

@@ -34,20 +34,29 @@ from pyspark.sql import functions as F
 
 from ..session import path_exists
 from . import kernels as K
+from .frames import bit_filter, materialize, ship, unpack
 
 TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 TOKENIZER_PATH_MULTI = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # Fixed value: the public split pattern of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+ONLY_BITS = 1 << 23
 GROUP = ["source", "lang", "version"]
 STATE = "doc_id long, source string, lang string, version string, n_tokens long, deleted boolean"
 
 
 def count_tokens(docs: DataFrame, version: str, path: str = TOKENIZER_PATH, pattern: str = PATTERN, doc_id: str = "doc_id",
-                 text: str = "text", source: str = "source", lang: str = "lang") -> DataFrame:
+                 text: str = "text", source: str = "source", lang: str = "lang", only: DataFrame | None = None) -> DataFrame:
     """(doc_id, source, lang, version, n_tokens): byte-level BPE tokens of every whole text.
-    The rank file is read on the driver (under 2 MB) and broadcast."""
+
+    The rank file is read on the driver (under 2 MB) and broadcast. With ``only``
+    (a frame with ``doc_id``) just these documents are counted: a bit filter of
+    fixed size spares the others the tokenizer, an exact join of the narrow
+    result drops its false hits, so texts are not shuffled.
+    """
+    wanted = None if only is None else ship(docs.sparkSession, bit_filter(
+        only.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("h")), ONLY_BITS))
     with open(path, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
@@ -55,15 +64,21 @@ def count_tokens(docs: DataFrame, version: str, path: str = TOKENIZER_PATH, patt
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in held.value.splitlines() if line)}
         enc = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        chosen = None if wanted is None else unpack(wanted)
         for batch in batches:
+            if chosen is not None:
+                ids = batch.column(0)
+                hit = chosen.has(ids.fill_null(0).to_numpy(zero_copy_only=False)) & ids.is_valid().to_numpy(zero_copy_only=False)
+                batch = batch.filter(pa.array(hit))
             for i, j, _, _ in K.slices(batch, "text"):
                 part = batch.slice(i, j - i)
                 n = [len(enc.encode_ordinary(t)) if t else 0 for t in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([version] * len(n)), pa.array(n, pa.int64())],
                                                  names=["doc_id", "source", "lang", "version", "n_tokens"])
-    return (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
-                        F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-            .mapInArrow(run, "doc_id long, source string, lang string, version string, n_tokens long"))
+    out = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"),
+                       F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
+           .mapInArrow(run, "doc_id long, source string, lang string, version string, n_tokens long"))
+    return out if only is None else out.join(only.select("doc_id"), "doc_id", "left_semi")
 
 
 def inserts(counted: DataFrame, seq: int = 0) -> DataFrame:
@@ -123,6 +138,7 @@ class RollupStore:
         later = [b for b in done if b > batch_id]
         if later:
             raise ValueError(f"batch {batch_id} comes after committed batches {later}")
+        changes = materialize(changes.select("doc_id", "seq", "op", *GROUP, "n_tokens"), "changes")  # counted once, read twice
         fields = F.struct("seq", F.col("op"), *GROUP, "n_tokens")
         known = (changes.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(fields).alias("c")).select("doc_id", "c.*"))
         blank = changes.where("doc_id IS NULL AND op = 'insert'").select("doc_id", "seq", "op", *GROUP, "n_tokens")
