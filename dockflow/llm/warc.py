@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import scratch_path
+from ..operators.joins import join_bounded
+from .frames import materialize, scratch_path
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 10_000
@@ -52,7 +53,8 @@ def classified(pages: DataFrame, page_id: str = "page_id", url: str = "url", pay
     rows = rows.withColumn("size", F.octet_length("body").cast("long")).withColumn("digest", F.sha2("body", 256))
     first = (rows.where(F.col("size") >= MIN_REVISIT).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
              .where("n > 1 AND first IS NOT NULL").select("digest", "first"))
-    return rows.join(first, "digest", "left").withColumn(
+    # bodies stay where they are while the repeated digests are few; past the bound both sides are shuffled
+    return join_bounded(rows, materialize(first, "warc_first"), "digest", "left").withColumn(
         "refers_to", F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))).drop("first")
 
 
