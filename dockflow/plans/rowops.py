@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ..functions import (capacity_group, cyclic, decode_tf, is_friday_evening, is_frozen,
                          is_monday_morning, is_peak_hour, is_stormy, project_features, truthy_flag,
-                         weather_severity)
+                         round6, round_half_even, safe_ratio, weather_severity)
 from ..operators import clean as C
 from ..operators import evaluate as E
 from ..operators import profiles as PR
 from ..operators.explore import morning_evening_ratio, station_map_table
 from ..operators.features import date_parts
-from ..schema import FEATURES
+from ..schema import FEATURES, TARGET
 from ..session import scratch_path
 from ..sinks import writers as W
 from ..sources.tables import readings
@@ -248,7 +248,35 @@ def q_report_tables(spark, sf_dir):
     return report_tables(spark, train, test)
 
 
-@register("evaluation_report", _report_sql())
+_SHARES_SQL = " UNION ALL ".join(
+    f"SELECT '{f}' AS feature, coalesce(abs({Q.r(f'covar_pop({f}, residual) / nullif(stddev_pop({f}) * stddev_pop(residual), 0)', 6)}), 0) AS c FROM ft WHERE split = 'train'"
+    for f in FEATURES)
+
+
+def correlation_shares(train):
+    """Importance rows (feature, importance) from the table itself: shares of |correlation with the target|."""
+    spread = lambda f: F.stddev_pop(f) * F.stddev_pop(TARGET)
+    row = train.agg(*[round6(safe_ratio(F.covar_pop(f, TARGET), spread(f))).alias(f) for f in FEATURES]).first()
+    c = {f: abs(row[f] or 0.0) for f in FEATURES}
+    total = sum(c.values()) or 1.0
+    return train.sparkSession.createDataFrame([(f, v / total * 100.0) for f, v in c.items()], "feature string, importance double") \
+        .select("feature", round_half_even("importance", 2).alias("importance"))
+
+
+_TOP_SQL = (f"SELECT feature, {Q.r('c / sum(c) OVER () * 100e0')} AS importance FROM ({_SHARES_SQL}) "
+            "ORDER BY importance DESC, feature LIMIT 10")
+
+
+@register("top_features", _ft_sql(_TOP_SQL))
+def q_top_features(spark, sf_dir):
+    """T4 over importance rows that SQL can derive."""
+    _, train, _ = _tables(spark, sf_dir)
+    return E.top_features(correlation_shares(train))
+
+
+@register("evaluation_report", _report_sql() + f"""
+UNION ALL SELECT 'features', 0, feature, importance FROM ({_TOP_SQL})""")
 def q_evaluation_report(spark, sf_dir):
-    """C7 = T2 T4 A25-A29 -> K6 for the deterministic predictors."""
-    return q_report_tables(spark, sf_dir)
+    """C7 = T2 T4 A25-A29 -> K6, with the top-features section (T4 over correlation shares)."""
+    _, train, test = _tables(spark, sf_dir)
+    return report_tables(spark, train, test, correlation_shares(train))
