@@ -14,31 +14,35 @@ from dockflow.llm import decontaminate as DC
 from dockflow.llm import ngram_join as NJ
 from dockflow.llm import quality_rules as QR
 from dockflow.llm import sentencepiece_scan as SP
-from dockflow.llm.frames import materialize, table
+from dockflow.llm.frames import materialize, small_batches, table
 from dockflow.plans.catalog import prepare
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: drop the documents that the base rule or the learned list rejects."""
+    small_batches(spark)
     return QR.keep_good(docs, QR.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: of each group of documents linked by similar shingle sets the smallest id stays."""
+    small_batches(spark)
     return NJ.one_per_component(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: drop the documents that hold a benchmark item."""
+    small_batches(spark)
     return DC.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: the training view of the kept documents: their ids, checked to decode to the text."""
-    back = SP.decode(SP.encode(docs))
-    plain = F.replace(F.coalesce("text", F.lit("")), F.lit(SP.SPACE), F.lit(" "))
+    small_batches(spark)
+    ids = SP.encode(docs.select("doc_id", "lang", "source", "text", SP.plain_digest("text").alias("_plain")))
+    back = SP.decode(ids.drop("text"))
     return back.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"),
-                       F.col("_ids").alias("ids"), (F.col("_decoded") == plain).alias("round_trip"))
+                       F.col("_ids").alias("ids"), (SP.plain_digest("_decoded") == F.col("_plain")).alias("round_trip"))
 
 
 STAGES = [

@@ -13,6 +13,11 @@ from ..session import ensure_checkpoint_dir, materialize, scratch_path  # noqa:
 from .kernels import as_i64
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Arrow batches of at most ``rows`` rows, so that a batch of texts stays a few megabytes in JVM and worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -39,7 +39,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,7 +53,8 @@ FAN = 64
 NEG = np.int64(-(1 << 60))
 SPACE = "▁"
 #: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 200_000
+DECODE_ROWS = 256
 
 
 @dataclass
@@ -468,6 +470,11 @@ def encode(docs: DataFrame, text: str = "text", model_path: str = MODEL_PATH, ch
     return _encode_short(docs.where(size < chunk), held, text).unionByName(_encode_long(docs.where(size >= chunk), held, text, chunk))
 
 
+def plain_digest(text: str) -> Column:
+    """Digest of a text as decoding can give it back (null as empty, ``U+2581`` as a space)."""
+    return F.sha2(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE), F.lit(" ")), 256)
+
+
 def decode(df: DataFrame, ids: str = "_ids", out: str = "_decoded", model_path: str = MODEL_PATH) -> DataFrame:
     """``df`` with the text of an id array; broken byte runs become ``U+FFFD``, null ids the empty string."""
     _fresh(df, [out])
@@ -481,12 +488,15 @@ def decode(df: DataFrame, ids: str = "_ids", out: str = "_decoded", model_path:
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def run(batches):
-        t = held.value
+        piece = held.value.__getitem__
         for batch in batches:
-            col = batch.column(batch.schema.get_field_index(ids))
-            texts = []
-            for x in col:
-                b = b"".join([t[i] for i in x.values.to_numpy(zero_copy_only=False)]) if x.is_valid else b""
-                texts.append((b[1:] if b[:1] == b" " else b).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(texts)], names=batch.schema.names + [out])
+            for at in range(0, batch.num_rows, DECODE_ROWS):
+                part = batch.slice(at, DECODE_ROWS)
+                col = part.column(part.schema.get_field_index(ids))
+                values, texts = col.flatten().to_pylist(), []
+                past = np.cumsum(np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(float))).astype(int).tolist()
+                for lo, hi in zip([0, *past], past, strict=False):
+                    b = b"".join(map(piece, values[lo:hi]))
+                    texts.append((b[1:] if b[:1] == b" " else b).decode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays(part.columns + [pa.array(texts, pa.string())], names=part.schema.names + [out])
     return df.mapInArrow(run, schema)
