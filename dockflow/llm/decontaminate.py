@@ -157,14 +157,14 @@ class ItemIndex:
                     for t in range(lo[k], hi[k]):
                         hits.add((d, int(item[t]), first - int(offset[t])))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        done: set[tuple[int, int, int]] = set()
+        done: set[tuple[int, int, int, int]] = set()
         for d, it, s in sorted(hits):
             pat = self.items[it][1]
             limit = int(self.max_rate * len(pat))
             lo, hi = max(int(bounds[d]), s - limit), min(int(bounds[d + 1]), s + len(pat) + limit)
-            if lo >= hi or (d, it, lo) in done:
+            if lo >= hi or (d, it, lo, hi) in done:
                 continue
-            done.add((d, it, lo))
+            done.add((d, it, lo, hi))
             if best.get((d, it), (1,))[0] == 0:
                 continue  # an earlier exact copy: nothing can be closer
             around = set(words[lo:hi].tolist())

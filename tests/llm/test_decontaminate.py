@@ -78,6 +78,19 @@ def test_short_items_and_short_documents():
     assert {k: v[0] for k, v in got.items()} == {(0, 1): 0, (1, 2): 0, (5, 5): 1, (6, 1): 0}
 
 
+def test_repeated_phrases_at_the_ends_of_documents():
+    twelve = [f"t{i}" for i in range(12)]
+    texts = ["a a a", " ".join(twelve * 2), "x y x y x y x y", " ".join(["p q r"] * 7), " ".join((twelve[:8] + ["s"]) * 3)]
+    items = list(enumerate(texts))
+    index = DC.ItemIndex(items, DC.MAX_RATE)
+    for before in range(5):
+        for behind in range(5):
+            docs = [" ".join([f"b{k}" for k in range(before)] + [t] + [f"e{k}" for k in range(behind)]) for t in texts]
+            got = found(index, docs)
+            for i, t in items:
+                assert got[i, i] == (0, before, len(t.split())), (i, before, behind)
+
+
 def test_spark_results_and_filter(spark, monkeypatch):
     docs = edge_docs(spark)
     items = spark.createDataFrame([(7, prose(1)), (7, prose(1)), (8, prose(99, 20)), (9, None), (None, prose(2))], "item_id long, text string")
