@@ -13,9 +13,14 @@ whose sampled words equal those of an item window share its bucket. Windows
 stand at every word of every document and at every word of every item; all
 windows of a size class have one size (the largest of ``SIZES`` that fits the
 item). Step 0 of a walk is the first word, so a walk is abandoned as soon as a
-sampled word occurs in no item at that step. Every bucket hit is then verified
-exactly: semi-global edit distance of the whole item against the span of the
-document that the hit points to.
+sampled word occurs in no item at that step.
+
+Sampling alone can miss: an item with one window has no bucket left when its
+first word is edited. So items are also cut into one part more than the edits
+they may have; a span within the limit holds one part unchanged, and equal
+parts are hits too. Every hit is then verified exactly: semi-global edit
+distance of the whole item against the span of the document that the hit
+points to. No span within the limit is missed.
 
 Tables of item keys are broadcast in blocks of at most ``ITEM_BLOCK`` items, so
 their size has a bound; more items mean more passes. A document is judged
@@ -111,6 +116,24 @@ class ItemIndex:
                 o = np.argsort(key, kind="stable")
                 runs.append((seed, sampled, self._flags(words, at, size, seed, sampled), key[o], np.array(mine)[owner[o]], (at - first[owner])[o]))
             self.classes.append((size, runs))
+        self.parts = self._parts()
+
+    def _parts(self):
+        """(width, 65,536 flags of the keys, sorted keys, items, offsets) of the parts of items."""
+        by_width: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, w) in enumerate(self.items):
+            width = min(SIZES[-1], max(1, len(w) // (int(self.max_rate * len(w)) + 1)))
+            by_width.setdefault(width, []).extend((k, o) for o in range(0, len(w) - width + 1, width))
+        out = []
+        for width, at in sorted(by_width.items()):
+            words = np.concatenate([self.items[k][1][o:o + width] for k, o in at])
+            key, _ = K.window_hashes(words, np.repeat(np.arange(len(at)), width), width)
+            o = np.argsort(key, kind="stable")
+            flags = np.zeros(65536, bool)
+            flags[(key & K.U(0xFFFF)).astype(np.int64)] = True
+            item, offset = np.array(at).T
+            out.append((width, flags, key[o], item[o], offset[o]))
+        return out
 
     @staticmethod
     def _flags(words, at, size, seed, sampled):
@@ -156,6 +179,14 @@ class ItemIndex:
                     first = int(where[k]) - pad * d  # position among the unpadded words
                     for t in range(lo[k], hi[k]):
                         hits.add((d, int(item[t]), first - int(offset[t])))
+        for width, flags, keys, item, offset in self.parts:
+            key, where = K.window_hashes(words, doc, width)
+            live = flags[(key & K.U(0xFFFF)).astype(np.int64)]
+            key, where = key[live], where[live]
+            lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
+            for k in np.flatnonzero(hi > lo):
+                for t in range(lo[k], hi[k]):
+                    hits.add((int(doc[where[k]]), int(item[t]), int(where[k]) - int(offset[t])))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: set[tuple[int, int, int, int]] = set()
         for d, it, s in sorted(hits):

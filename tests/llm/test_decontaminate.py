@@ -91,6 +91,26 @@ def test_repeated_phrases_at_the_ends_of_documents():
                 assert got[i, i] == (0, before, len(t.split())), (i, before, behind)
 
 
+def test_every_edit_position_of_every_length():
+    rng = random.Random(3)
+    lengths = [n for n in range(7, 42) for _ in range(3)]
+    items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate(lengths)]
+    for rate in (DC.MAX_RATE, 0.05, 0.0):
+        index = DC.ItemIndex(items, rate)
+        docs, truth = [], set()
+        for i, t in items:
+            limit = int(rate * len(t.split()))
+            for first in range(len(t.split())):
+                w = t.split()
+                at = [first, *rng.sample([x for x in range(len(w)) if x != first], max(0, limit - 1))][:limit]
+                for p in sorted(at, reverse=True):
+                    op = (i + first + p) % 3
+                    w[p:p + (op < 2)] = [["new"], [], ["more"]][op]
+                truth.add((len(docs), i))
+                docs.append(" ".join(["x"] * (first % 3) + w + ["y"] * (i % 2)))
+        assert truth <= set(found(index, docs)), rate
+
+
 def test_spark_results_and_filter(spark, monkeypatch):
     docs = edge_docs(spark)
     items = spark.createDataFrame([(7, prose(1)), (7, prose(1)), (8, prose(99, 20)), (9, None), (None, prose(2))], "item_id long, text string")
