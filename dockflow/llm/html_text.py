@@ -5,7 +5,9 @@ without scripts, styles, comments and other content that is never shown. Each
 block is described by its own word count and link density, those of the block
 before and behind it, whether it is a heading, and two facts of its ancestors:
 a container that is named as boilerplate (``nav``, ``footer``, ``form``, class
-``ad`` or ``comments`` ...) and a container that is named as the article. A CART
+``ad`` or ``comments`` ...; whole names or listed compounds, not of ``html``,
+``body``, ``main`` and ``article``, and left again in an article unless it is a
+reply or a teaser) and a container that is named as the article. A CART
 decision tree, trained on the blocks of a small labelled table of pages
 (``LABELLED_PAGES``), tells main text from the rest. Character references are
 decoded, white space inside a block becomes one space, and the main blocks are
@@ -50,13 +52,28 @@ BOILER_NAMES = re.compile(
     r"copyright|disclaimer|footer|foot|gdpr|header|masthead|topbar|login|menu|modal|nav|navbar|navigation|newsletter|notice|notification|"
     r"alert|pager|pagination|popup|promo|promoted|recommended|related|search|share|sharing|sidebar|sidenav|signup|skip|social|sponsor|"
     r"sponsored|subscribe|tags?|toolbar|tracking|widget|widgets|hidden|complementary|contentinfo|navigation)$")
+# Compounds that mark boilerplate; other compounds (has-sidebar, overflow-hidden, entry-header) say nothing.
+BOILER_COMPOUNDS = re.compile(
+    r"^(?:(?:ads?|advert|banner|breadcrumbs?|comments?|consent|cookies?|copyright|footer|gdpr|login|menu|modal|nav|navbar|newsletter|pagination|"
+    r"popup|promo|recommended|related|search|share|sharing|sidebar|signup|social|sponsored|subscribe|widget)[-_]+"
+    r"(?:area|bar|banner|block|box|buttons?|consent|form|icons?|items?|links?|list|menu|message|notice|panel|popup|posts?|section|slot|stories|thread|unit)"
+    r"|(?:ads?|advert|comments?|cookies?|footer)[-_]+(?:container|content|wrap|wrapper)"
+    r"|(?:article|bottom|entry|global|main|page|post|primary|secondary|site|story|top)[-_]+"
+    r"(?:ads?|breadcrumbs?|byline|comments?|footer|menu|nav|navbar|navigation|newsletter|pagination|related|share|sharing|social|tags)"
+    r"|(?:global|main|site|top)[-_]+header)$")
+# Named containers that hold articles of their own (teasers, replies): an article inside stays boilerplate.
+CARD_NAMES = re.compile(r"(?:^|[-_])(ads?|adv|advert|advertisement|comments?|commentlist|disqus|promo|promoted|recommended|related|reply|replies|respond|"
+                        r"sidebar|sidenav|sponsor|sponsored)(?:$|[-_])")
+# Levels of boilerplate: an article or main element ends FRAME, a main element CARDS, nothing HIDDEN.
+FRAME, CARDS, HIDDEN = 1, 2, 3
+FRAME_TAGS = frozenset(("form", "fieldset", "header"))
 MAIN_TAGS = frozenset(("article", "main"))
 MAIN_NAMES = re.compile(r"^(article|main|content|post|entry|story|body|text|articlebody|maintext)$")
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
-ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden|data-y)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
 
 FEATURES = ["words", "links", "prev_words", "prev_links", "next_words", "next_links", "heading", "boiler", "article"]
 
@@ -75,34 +92,33 @@ class Block:
 @dataclass
 class _Open:
     tag: str
-    boiler: bool
+    boiler: int
     article: bool
     label: bool
 
 
-def _names(attrs: str) -> tuple[bool, bool, bool]:
-    """(boilerplate, article, labelled) as named by an element's attributes."""
-    boiler = article = label = False
+def _names(attrs: str) -> tuple[int, int, bool, bool]:
+    """(level by name, level by hiding, article, labelled) of an element's attributes."""
+    named = hidden = 0
+    article = label = False
     for name, value in ATTR.findall(attrs):
         name, value = name.lower(), value.strip("\"'").lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            boiler = True
-        elif name == "style":
-            boiler |= "display:none" in value.replace(" ", "")
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in "".join(value.split())):
+            hidden = HIDDEN
         elif name == "data-y":
             label = value == "1"
         elif name in ("class", "id", "role"):
             for word in value.split():
-                parts = re.split(r"[-_]", word)
-                boiler |= any(BOILER_NAMES.match(p) for p in [word, *parts])
-                article |= any(MAIN_NAMES.match(p) for p in [word, *parts])
-    return boiler, article and not boiler, label
+                if BOILER_NAMES.match(word) or BOILER_COMPOUNDS.match(word):
+                    named = max(named, CARDS if CARD_NAMES.search(word) else FRAME)
+                article |= any(MAIN_NAMES.match(p) for p in [word, *re.split(r"[-_]", word)])
+    return named, hidden, article, label
 
 
 def blocks(page: str) -> list[Block]:
     """The flat text blocks of a page, in order."""
     out: list[Block] = []
-    stack = [_Open("", False, False, False)]
+    stack = [_Open("", 0, False, False)]
     held: list[tuple[str, bool]] = []
     heading = False
 
@@ -114,7 +130,7 @@ def blocks(page: str) -> list[Block]:
                 top = stack[-1]
                 n = len(text.split(" "))
                 linked = sum(len(t.split()) for t, a in held if a)
-                out.append(Block([text], n, min(linked, n), heading, top.boiler, top.article, top.label))
+                out.append(Block([text], n, min(linked, n), heading, top.boiler > 0, top.article, top.label))
         held, heading = [], False
 
     def drop(tag: str, stop: tuple[str, ...] = ()) -> bool:
@@ -162,11 +178,19 @@ def blocks(page: str) -> list[Block]:
             drop("p", ("article", "section", "div", "td", "li", "blockquote", "body"))
         if tag in SELF_ENDING:
             drop(tag, SELF_ENDING[tag])
-        boiler, article, label = _names(m["attrs"]) if m["attrs"].strip() else (False, False, False)
+        named, boiler, article, label = _names(m["attrs"]) if m["attrs"].strip() else (0, 0, False, False)
         top = stack[-1]
-        inside = top.article
-        boiler |= tag in BOILER_TAGS or (tag == "header" and not inside)
-        stack.append(_Open(tag, top.boiler or boiler, (inside or article or tag in MAIN_TAGS) and not boiler, top.label or label))
+        inside, held_by = top.article, top.boiler
+        if tag in ("html", "body"):
+            boiler = 0
+        elif tag in MAIN_TAGS:
+            if named < CARDS and held_by <= (CARDS if tag == "main" else FRAME):
+                held_by = 0
+        else:
+            boiler = max(boiler, named)
+            if tag in BOILER_TAGS or (tag == "header" and not inside):
+                boiler = max(boiler, FRAME if tag in FRAME_TAGS else CARDS)
+        stack.append(_Open(tag, max(held_by, boiler), (inside or (article and not named) or tag in MAIN_TAGS) and not boiler, top.label or label))
         if tag in HEADING:
             heading = True
     say(page[at:])

@@ -41,6 +41,21 @@ def test_cases(tree, page, want):
     assert HT.main_text(page, tree) == want
 
 
+@pytest.mark.parametrize("head", [
+    '<body class="has-sidebar"><div>', '<html class="no-sidebar hidden"><body class="widget modal">', '<main class="no-sidebar">', '<div class="overflow-hidden">',
+    '<div title="The hidden valley">', '<div data-hidden="false">', '<div data-id="share" data-role=nav>', "<div title='a class=ad id=menu'>",
+    '<form id="aspnetForm">', '<div class="search widget">', '<header class="hidden">', '<div data-class=comments>'])
+def test_containers_do_not_hide_the_article(tree, head):
+    assert HT.main_text(f"{head}<article class='post tags'><h1>T</h1><p>{L}<p>{M}</article>", tree) == f"T {L} {M}"
+
+
+@pytest.mark.parametrize("head", [
+    '<div class="comments"><article class="comment">', "<div class=related-posts><article>", "<aside><article>", "<div hidden><article>", "<article hidden>",
+    '<div style="display : none"><main>', '<div CLASS = "x cookie-notice">', "<div id=site-footer>", '<div class="post__comments">', "<nav><article>"])
+def test_boilerplate_stays_out(tree, head):
+    assert HT.main_text(f"<article><p>{L}</p></article>{head}<p>{M}</p>", tree) == L
+
+
 def test_blocks_without_named_containers(tree):
     page = f"<p><a href=1>Home</a></p><p>{L}</p><p>Then nothing.</p><p>{M}</p><p><a href=2>Next page</a></p>"
     assert HT.main_text(page, tree) == f"{L} Then nothing. {M}"
