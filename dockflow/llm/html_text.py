@@ -75,6 +75,9 @@ TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
 ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>]+))?""")
 
+# Searched in the page itself: lower() changes its length (U+0130).
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
+
 FEATURES = ["words", "links", "prev_words", "prev_links", "next_words", "next_links", "heading", "boiler", "article"]
 
 
@@ -146,7 +149,6 @@ def blocks(page: str) -> list[Block]:
         if raw:
             held.append((html.unescape(raw), any(x.tag == "a" for x in stack)))
     at = 0
-    lower = None
     for m in iter(lambda: TOKEN.search(page, at), None):
         say(page[at:m.start()])
         at = m.end()
@@ -157,9 +159,8 @@ def blocks(page: str) -> list[Block]:
         tag, closing = m["tag"].lower(), m["close"] == "/"
         if tag in RAW and not closing:
             if not m["attrs"].endswith("/"):
-                lower = page.lower() if lower is None else lower
-                end = lower.find(f"</{tag}", at)
-                at = len(page) if end < 0 else end
+                end = RAW_END[tag].search(page, at)
+                at = end.start() if end else len(page)
             if tag in BLOCK:
                 flush()
             continue

@@ -61,6 +61,12 @@ def test_blocks_without_named_containers(tree):
     assert HT.main_text(page, tree) == f"{L} Then nothing. {M}"
 
 
+def test_end_of_raw_elements_behind_letters_that_grow(tree):
+    i = "\u0130" * 40
+    page = f"<title>{i}</title><article><p>{i} {L}</p><SCRIPT>if (a</scripts) x</Script ><p>To.</p><style>p</STYLE><p>{M}</p></article>"
+    assert HT.main_text(page, tree) == f"{i} {L} To. {M}"
+
+
 def test_tree_separates_the_labelled_table(tree):
     right = total = 0
     for page in HT.LABELLED_PAGES:
