@@ -1,7 +1,9 @@
 """Operator 9: main text of HTML pages from flat text blocks and a decision tree.
 
 A page is cut into its flat text blocks: runs of text between block-level tags,
-without scripts, styles, comments and other content that is never shown. Each
+without scripts, styles, comments and other content that is never shown (the
+text of ``math``, ``object`` and ``button`` is shown; a button counts as a link).
+Each
 block is described by its own word count and link density, those of the block
 before and behind it, whether it is a heading, and two facts of its ancestors:
 a container that is named as boilerplate (``nav``, ``footer``, ``form``, class
@@ -40,7 +42,11 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table "
                   "tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math select button object".split())
+RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg select annotation annotation-xml".split())
+# Raw elements that the next block tag ends; the others do so only where they are not closed, script and style never.
+BREAKING = frozenset(("svg", "select"))
+UNENDING = frozenset(("script", "style"))
+LINKS = frozenset(("a", "button"))
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Elements that end at the next element of their own kind.
 SELF_ENDING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -77,6 +83,8 @@ ATTR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*(?:"|\Z)|'[^']*(?:'|
 
 # Searched in the page itself: lower() changes its length (U+0130).
 RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
+BREAK = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)|</?(?:{'|'.join(sorted(BLOCK - {'title', 'option', 'optgroup', 'hr'}))})(?=[\s/>])", re.I | re.A)
+         for tag in RAW - UNENDING}
 
 FEATURES = ["words", "links", "prev_words", "prev_links", "next_words", "next_links", "heading", "boiler", "article"]
 
@@ -147,8 +155,9 @@ def blocks(page: str) -> list[Block]:
 
     def say(raw: str) -> None:
         if raw:
-            held.append((html.unescape(raw), any(x.tag == "a" for x in stack)))
+            held.append((html.unescape(raw), any(x.tag in LINKS for x in stack)))
     at = 0
+    unclosed = set(BREAKING)
     for m in iter(lambda: TOKEN.search(page, at), None):
         say(page[at:m.start()])
         at = m.end()
@@ -159,7 +168,11 @@ def blocks(page: str) -> list[Block]:
         tag, closing = m["tag"].lower(), m["close"] == "/"
         if tag in RAW and not closing:
             if not m["attrs"].endswith("/"):
-                end = RAW_END[tag].search(page, at)
+                end = RAW_END[tag].search(page, at) if tag not in unclosed else None
+                if not end:
+                    unclosed.add(tag)  # no further end tag: searched once
+                if not end and tag not in UNENDING:
+                    end = BREAK[tag].search(page, at)
                 at = end.start() if end else len(page)
             if tag in BLOCK:
                 flush()
@@ -177,6 +190,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag in BLOCK and tag not in ("html", "body", "head"):
             drop("p", ("article", "section", "div", "td", "li", "blockquote", "body"))
+            drop("button", ("article", "section", "div", "td", "li", "blockquote", "body"))
         if tag in SELF_ENDING:
             drop(tag, SELF_ENDING[tag])
         named, boiler, article, label = _names(m["attrs"]) if m["attrs"].strip() else (0, 0, False, False)

@@ -67,6 +67,16 @@ def test_end_of_raw_elements_behind_letters_that_grow(tree):
     assert HT.main_text(page, tree) == f"{i} {L} To. {M}"
 
 
+@pytest.mark.parametrize(("inner", "want"), [
+    ("Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.", "Let x=2 be."),
+    ("<math><semantics><mi>y</mi><annotation encoding=tex>\\\\y</annotation></semantics></math> here", "y here"),
+    ("See <object data=a.svg><param name=x>the map</object> now.", "See the map now."), ("Press <button type=button>OK</button> twice.", "Press OK twice."),
+    ("Pie <svg><title>t</title><text>no</text></svg> chart", "Pie chart"), ("a <svg><path d=x> lost", "a"), ("a <select><option>no<option>no", "a"),
+    ("a <math><mi>x", "a x"), ("a <button>b", "a b"), ("a <object data=x>c", "a c"), ("a <noscript>no", "a"), ("a <svg/> b", "a b")])
+def test_inline_elements_and_unclosed_ones(tree, inner, want):
+    assert HT.main_text(f"<article><p>{inner}</p><p>{L}</p><h2>Next</h2><p>{M}</article><nav><svg></svg></nav>", tree) == f"{want} {L} Next {M}"
+
+
 def test_tree_separates_the_labelled_table(tree):
     right = total = 0
     for page in HT.LABELLED_PAGES:
