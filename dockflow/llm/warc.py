@@ -5,7 +5,9 @@ Writing: one record per row. Of the rows with equal payloads of at least
 others are ``revisit`` records that refer to it and hold no payload. Records
 leave through Spark's text writer (a record with a UTF-8 payload is text), so
 files appear in shared storage by Spark's commit protocol, also after task
-retries. ``maxRecordsPerFile`` bounds an archive.
+retries. An archive holds at most ``RECORDS_PER_FILE`` records and
+``ARCHIVE_BYTES`` bytes, or one record that is longer: records are written by
+levels of length, each with its own ``maxRecordsPerFile``, so nothing is shuffled.
 
 Reading: each archive (plain records, gzip members, or a mix) is parsed from
 its start. A record or member must pass its checks: version line, header
@@ -13,7 +15,8 @@ block, Content-Length, trailing blank line, block and payload digests, gzip
 checksum. Where a check fails the reader searches for the next version line or
 member magic from which a record does pass, goes on there, and logs the bytes
 in between as a quarantined gap with the reason of the first failure. An
-archive is read by one task and must fit in its memory (2 GB at most).
+archive is read by one task and must fit in its memory (2 GB at most). A
+header block may have any length.
 
 Defined results: a null payload is the empty payload; a null id is written as
 ``<urn:page:null>`` and comes back null, and is never the record that others
@@ -38,12 +41,12 @@ from .frames import materialize, scratch_path
 
 MIN_REVISIT = 100
 RECORDS_PER_FILE = 10_000
+ARCHIVE_BYTES = 128 << 20
 SCHEMA = ("archive string, start long, past long, kind string, reason string, record_type string, page_id long, url string, "
           "refers_to long, payload_digest string, payload_bytes long, payload binary")
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = b"\x1f\x8b\x08"
-MAX_HEADER = 1 << 16
 
 
 def classified(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
@@ -75,10 +78,24 @@ def record_text() -> F.Column:
         F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block, F.lit("\r\n\r"))
 
 
-def write_archives(pages: DataFrame, path: str, **columns: str) -> str:
+def length_level(size: F.Column, url: F.Column) -> F.Column:
+    """0 where ``RECORDS_PER_FILE`` such records fit in an archive, one more for each four times that length."""
+    most = size + 3 * F.coalesce(F.octet_length(url), F.lit(0)).cast("long") + 1024
+    level = F.lit(0)
+    for k in range(10):
+        level = level + (most > (ARCHIVE_BYTES << 2 * k) // RECORDS_PER_FILE).cast("int")
+    return level
+
+
+def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html") -> str:
     """Write one record per row of ``pages`` below ``path`` (shared storage); returns the path."""
-    (classified(pages, **columns).select(record_text().alias("value")).write.mode("overwrite")
-     .option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+    size = F.octet_length(F.coalesce(F.col(payload).cast("string"), F.lit(""))).cast("long")
+    levels = sorted(r[0] for r in pages.select(length_level(size, F.col(url))).distinct().collect()) or [0]
+    rows = classified(pages, page_id, url, payload)
+    for level in levels:
+        part = rows.where(length_level(F.col("size"), F.col("url")) == level) if len(levels) > 1 else rows
+        (part.select(record_text().alias("value")).write.mode("overwrite" if level == levels[0] else "append")
+         .option("lineSep", "\n").option("maxRecordsPerFile", max(1, RECORDS_PER_FILE >> 2 * level)).text(path))
     return path
 
 
@@ -86,14 +103,26 @@ class Damage(ValueError):
     """A check of a record or member failed."""
 
 
+def _header(line: bytes) -> tuple[str, str]:
+    name, colon, value = line.partition(b":")
+    if not colon:
+        raise Damage("header line without a colon")
+    return name.strip().lower().decode("latin-1"), value.strip().decode("utf-8", "replace")
+
+
 def _headers(block: bytes) -> dict[str, str]:
+    return dict(_header(line) for line in block.split(b"\r\n"))
+
+
+def _header_block(b: bytes, at: int) -> tuple[dict[str, str], int]:
+    """The header lines from ``at`` to the blank line, and the position behind it; ends at the first line that is none."""
     out = {}
-    for line in block.split(b"\r\n"):
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise Damage("header line without a colon")
-        out[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
-    return out
+    while (end := b.find(b"\r\n", at)) != at:
+        if end < 0:
+            raise Damage("headers without an end")
+        name, value = _header(b[at:end])
+        out[name], at = value, end + 2
+    return out, at + 2
 
 
 def _length(text: str | None, what: str) -> int:
@@ -117,12 +146,9 @@ def parse_record(b: bytes, at: int) -> tuple[dict, int]:
     line = b.find(b"\r\n", at, at + 16)
     if not re.fullmatch(rb"WARC/\d\.\d", b[at:line] if line > 0 else b""):
         raise Damage("no version line")
-    end = b.find(b"\r\n\r\n", line, line + MAX_HEADER)
-    if end < 0:
-        raise Damage("headers without an end")
-    h = _headers(b[line + 2:end])
+    h, body = _header_block(b, line + 2)
     n = _length(h.get("content-length"), "Content-Length")
-    block, past = b[end + 4:end + 4 + n], end + 4 + n + 4
+    block, past = b[body:body + n], body + n + 4
     if len(block) < n:
         raise Damage("truncated block")
     if b[past - 4:past] != b"\r\n\r\n":
@@ -202,7 +228,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 rows, held = [], 0
                 for r in salvage(content.as_py()):
                     rows.append(r | {"archive": archive.as_py()})
-                    held += len(r.get("payload") or b"") + 200
+                    held += len(r.get("payload") or b"") + len(r.get("url") or "") + 200
                     if held > 4 << 20:
                         yield out(rows)
                         rows, held = [], 0

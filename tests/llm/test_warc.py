@@ -42,6 +42,28 @@ def test_salvage_plain_and_members():
     assert seen(gzip.compress(rs[0] + rs[1]) + rs[2]) == [0, 1, 2]
 
 
+def test_headers_of_any_length():
+    long = record(1, b"body", **{"WARC-Target-URI": "http://x/" + "u" * 300_000})
+    assert seen(record(0, b"a") + long + record(2, b"b")) == [0, 1, 2]
+    assert seen(record(0, b"a") + long[:-9] + record(2, b"b")) == [0, "gap", 2]
+    assert seen(b"WARC/1.1\r\n" + b"x" * 100_000 + record(2, b"b")) == ["gap", 2]
+
+
+def test_long_urls_and_archives_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(WA, "ARCHIVE_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(WA, "RECORDS_PER_FILE", 200)
+    sizes = [(i * 7919) % 4000 for i in range(300)] + [60_000 + i for i in range(60)] + [2_000_000, 2_000_000]
+    rows = [(i, "http://x/" + "u" * (100_000 if i % 97 == 0 else 5), "é" + chr(97 + i % 26) * n) for i, n in enumerate(sizes)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    got = WA.round_trip(pages, str(tmp_path / "w")).collect()
+    assert all(r["kind"] == "record" for r in got)
+    assert sorted((r["page_id"], r["url"], bytes(r["payload"]).decode()) for r in got if r["record_type"] == "response") == sorted(
+        r for r in rows if r[0] not in {x["page_id"] for x in got if x["record_type"] == "revisit"})
+    assert sorted(r["page_id"] for r in got) == list(range(len(rows)))
+    files = [f for f in (tmp_path / "w").glob("part-*") if f.stat().st_size > 1 << 20]
+    assert len(files) == 2 and all(f.read_bytes().count(b"\r\nWARC-Record-ID") == 1 for f in files)
+
+
 def test_random_damage_never_hides_sound_records():
     rng = random.Random(7)
     rs = [record(i, rng.randbytes(rng.randrange(0, 500))) for i in range(30)]
