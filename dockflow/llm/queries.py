@@ -16,6 +16,7 @@ from . import sentencepiece_scan as SP
 from . import shards as SH
 from . import token_rollups as TR
 from . import warc as WA
+from . import whitening as WH
 from .frames import materialize, scratch_path, small_batches, table
 
 QUERIES: dict = {}
@@ -139,3 +140,8 @@ def op9(spark, sf_dir):
 @query("op2_ctw_score")
 def op2(spark, sf_dir):
     return CT.score(table(spark, sf_dir, "documents"))
+
+
+@query("op13_whitening")
+def op13(spark, sf_dir):
+    return WH.whiten(table(spark, sf_dir, "embeddings"))
