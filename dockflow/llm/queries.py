@@ -11,6 +11,7 @@ from . import ctw as CT
 from . import decontaminate as DC
 from . import html_text as HT
 from . import ngram_join as NJ
+from . import prefix_trie as PT
 from . import quality_rules as QR
 from . import sentencepiece_scan as SP
 from . import shards as SH
@@ -145,3 +146,32 @@ def op2(spark, sf_dir):
 @query("op13_whitening")
 def op13(spark, sf_dir):
     return WH.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_prefix_trie", r"""
+WITH m AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+     k AS (SELECT c, turn, sha256(octet_length(encode(role)) || ':' || role || text) AS digest,
+                  CAST(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS BIGINT) AS words FROM m),
+     p AS (SELECT c, digest, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, digest) - 1 AS pos FROM k),
+     b AS (SELECT DISTINCT c, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes FROM p),
+     i AS (SELECT c, c - c % 20 AS base,
+                  xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(bytes, lambda x: [x, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                                  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) % 4 AS h FROM b),
+     t AS (SELECT i.c, 0 AS part, p.pos, digest, words FROM i JOIN p ON p.c = i.base AND p.pos < i.h
+           UNION ALL SELECT i.c, 1, p.pos, digest, words FROM i JOIN p ON p.c = i.c AND p.pos >= i.h),
+     l AS (SELECT c, list(digest ORDER BY part, pos) AS ds, list(words ORDER BY part, pos) AS ws FROM t GROUP BY c),
+     s AS (SELECT i.c, coalesce(ds, []) AS ds, coalesce(ws, []) AS ws FROM i LEFT JOIN l USING (c)),
+     d AS (SELECT c, unnest(range(0, len(ds) + 1)) AS depth, ds, ws FROM s),
+     n AS (SELECT c, depth, sha256(array_to_string(ds[1:depth], ',')) AS node, depth = len(ds) AS ends,
+                  CASE WHEN depth > 0 THEN sha256(array_to_string(ds[1:depth - 1], ',')) END AS parent,
+                  CASE WHEN depth > 0 THEN ws[depth] ELSE 0 END AS words FROM d),
+     g AS (SELECT node, min(depth) AS depth, min(parent) AS parent, min(c) AS rep, count(*) AS n_convs, min(words) AS words,
+                  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM n GROUP BY node),
+     ch AS (SELECT parent AS node, count(*) AS n_children FROM g WHERE parent IS NOT NULL GROUP BY parent),
+     sub AS (SELECT n.node, count(*) FILTER (ch.node IS NULL) AS n_leaves, CAST(sum((g.n_convs - 1) * g.words) AS BIGINT) AS saved_tokens
+             FROM g JOIN n ON n.c = g.rep AND n.depth <= g.depth LEFT JOIN ch ON ch.node = g.node GROUP BY n.node)
+SELECT g.rep AS conv_id, CAST(g.depth AS BIGINT) AS depth, u.rep AS parent_conv_id, g.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, g.ends_sha256
+FROM g JOIN sub USING (node) LEFT JOIN ch USING (node) LEFT JOIN g AS u ON u.node = g.parent
+""")
+def op12(spark, sf_dir):
+    return PT.conversation_trie(table(spark, sf_dir, "conversations"))
