@@ -85,12 +85,12 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         i = j
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, document) of every word of a slice, in order."""
+def word_spans(data: np.ndarray, off: np.ndarray, outside: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document) of every word of a slice, in order; ``outside`` flags the byte values between words."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    inside = ~_WS[data]
+    inside = ~outside[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from . import chat as CH
 from . import ctw as CT
 from . import decontaminate as DC
 from . import html_text as HT
+from . import license_scan as LS
 from . import ngram_join as NJ
 from . import prefix_trie as PT
 from . import quality_rules as QR
@@ -175,3 +178,37 @@ FROM g JOIN sub USING (node) LEFT JOIN ch USING (node) LEFT JOIN g AS u ON u.nod
 """)
 def op12(spark, sf_dir):
     return PT.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def _license_sql() -> str:
+    """Every place and every block of every text, without any filter."""
+    quoted = lambda t: "[" + ", ".join(f"'{w}'" for w in re.findall("[0-9a-z]+", t.text.lower())) + "]"
+    rows = ",\n".join(f"({i}, '{t.label}', '{t.family}', {quoted(t)}, {t.percent}, {str(t.phrase).lower()})" for i, t in enumerate(LS.PHRASES + LS.NOTICES))
+    return rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+     v(id, label, family, ws, percent, phrase) AS (VALUES {rows}),
+     t AS (SELECT *, len(list_distinct(ws)) AS size, CAST(greatest({LS.SMALLEST}, 2 ** ceil(log2(len(ws)))) AS BIGINT) AS step FROM v),
+     u AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, unnest(range(0, len(ws))) AS pos FROM w),
+     places AS (SELECT u.doc_id, t.label, u.pos FROM u JOIN t ON t.phrase AND t.ws[1] = u.word JOIN w ON w.doc_id = u.doc_id
+                WHERE w.ws[u.pos + 1:u.pos + len(t.ws)] = t.ws),
+     tok AS (SELECT DISTINCT id, step, unnest(ws) AS word FROM t WHERE NOT phrase),
+     b AS (SELECT doc_id, n, id, step, word, unnest([pos // step - 1, pos // step]) AS k FROM u JOIN tok USING (word)),
+     c AS (SELECT doc_id, n, id, step, k, count(DISTINCT word) AS overlap FROM b WHERE k >= 0 AND k < greatest(1, (n + step - 1) // step - 1) GROUP BY ALL),
+     m AS (SELECT doc_id, label, family, k * c.step AS start, least((k + 2) * c.step, n) AS past, overlap, overlap / size AS containment
+           FROM c JOIN t USING (id) WHERE 100 * overlap >= percent * size),
+     best AS (SELECT doc_id, label FROM m QUALIFY rank() OVER (PARTITION BY doc_id, family, start, past ORDER BY containment DESC, overlap DESC) = 1),
+     labels AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels
+                FROM (SELECT doc_id, label FROM best UNION SELECT doc_id, label FROM places) GROUP BY doc_id),
+     base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+              FROM places GROUP BY doc_id),
+     score AS (SELECT doc_id, max(containment) AS score FROM (SELECT doc_id, containment FROM m UNION ALL SELECT doc_id, 1.0 FROM places) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN labels USING (doc_id) LEFT JOIN score USING (doc_id)
+"""
+
+
+@query("op11_license_scan", _license_sql())
+def op11(spark, sf_dir):
+    return LS.summary(LS.scan(table(spark, sf_dir, "documents")))
