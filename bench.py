@@ -147,7 +147,7 @@ def main() -> None:
     spark.stop()
     shuffle = _shuffle_bytes(log_dir)
     headline = ["c5_feature_table", "j1_asof_lag", "a1_a2_trend_profiles", "a4_morning_evening_ratio",
-                "a12_histogram", "a25_regression_metrics"]
+                "a12_histogram", "a25_regression_metrics", "st1_snapshot_ingest_batch"]
     result = {
         "metric": "headline_total_sec",
         "value": round(sum(times.get(k, 0.0) for k in headline), 3),

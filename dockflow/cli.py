@@ -178,15 +178,15 @@ def cmd_report(spark, args) -> dict:
 
 
 def cmd_ingest(spark, args) -> dict:
-    from .sources import calendars as CAL
-    from .sources import snapshots as S
     from .streaming import ingest as ST
-    info = S.station_info_dim(S.read_json(spark, args.info, S.INFO_SCHEMA)) if args.info else None
-    weather = S.weather_context(S.read_json(spark, args.weather, S.WEATHER_SCHEMA)) if args.weather else None
+    from .streaming.context import ContextTables
+    context = ContextTables(f"{args.checkpoint}/context")
     vac = spark.read.parquet(args.vacation) if args.vacation else None
     hol = spark.read.parquet(args.holidays) if args.holidays else None
-    q = ST.append_sink(ST.snapshot_stream(spark, args.status), args.target, f"{args.checkpoint}/metrics",
-                       f"{args.checkpoint}/stream", transform=ST.snapshot_enrichment(info, weather, vac, hol),
+    stream = ST.snapshot_stream(spark, args.status, info_dir=args.info, weather_dir=args.weather)
+    q = ST.append_sink(stream, args.target, f"{args.checkpoint}/metrics", f"{args.checkpoint}/stream",
+                       context=context if args.info or args.weather else None,
+                       transform=ST.snapshot_enrichment(context.info, context.weather, vac, hol),
                        max_records_per_file=args.max_records_per_file, available_now=args.once,
                        processing_time=args.every)
     q.awaitTermination()

@@ -93,10 +93,11 @@ def land_all(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 # ---------------------------------------------------------------------------
 
 def build_records(status: DataFrame, info: DataFrame | None, weather: DataFrame | None,
-                  vacation: DataFrame | None, holidays: DataFrame | None, keep: tuple[str, ...] = ()) -> DataFrame:
+                  vacation: DataFrame | None, holidays: DataFrame | None, keep: tuple[str, ...] = (),
+                  times: DataFrame | None = None) -> DataFrame:
     """Status rows -> enriched records of the readings schema."""
     s = S.enrich_status(status, info)
-    s = S.attach_weather(s, weather)
+    s = S.attach_weather(s, weather, times)
     s = CAL.holiday_flag(s, holidays)
     s = CAL.vacation_flag(s, vacation)
     bikes = F.col("bikes_mechanical") + F.col("bikes_ebike")
@@ -105,11 +106,13 @@ def build_records(status: DataFrame, info: DataFrame | None, weather: DataFrame
 
 
 def ingest_landed(spark: SparkSession, paths: dict[str, str], events: DataFrame) -> DataFrame:
-    status = S.explode_status(S.read_json(spark, paths["status"], S.STATUS_SCHEMA))
+    docs = S.read_json(spark, paths["status"], S.STATUS_SCHEMA)
+    status = S.explode_status(docs)
     info = S.station_info_dim(S.read_json(spark, paths["info"], S.INFO_SCHEMA))
     weather = S.weather_context(S.read_json(spark, paths["weather"], S.WEATHER_SCHEMA))
     vac, hol = CAL.calendars_from_events(events)
-    return build_records(status, info, weather, vac, hol)
+    times = docs.select(S.document_time(F.col("last_updated"), F.col(S.POLL_TIME)).alias("datetime"))
+    return build_records(status, info, weather, vac, hol, times=times)
 
 
 RECORDS_BODY = f"""SELECT station_id, coalesce(name, '') AS name, 0e0 AS lat, 0e0 AS lon, coalesce(capacity, 0) AS capacity,
@@ -285,9 +288,10 @@ def _append_batches(spark, sf_dir):
     day = F.dayofmonth("datetime")
     target = scratch_path(spark, "history")
     batches = [r.where(day <= 15), r.where(day >= 12), r.where(day >= 12)]
-    metrics = []
+    metrics, total = [], 0
     for i, b in enumerate(batches):
-        res = W.append_dedup(b, target, ["datetime"], max_records_per_file=2000)
+        res = W.append_dedup(b, target, ["datetime"], max_records_per_file=2000, n_before=total)
+        total = res.n_total
         metrics.append(W.metrics_row(spark, i, res))
     return target, union_all_by_name(metrics)
 

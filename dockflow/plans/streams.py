@@ -14,9 +14,9 @@ from ..operators import profiles as PR
 from ..operators import split as SP
 from ..session import materialize, scratch_path
 from ..sources import calendars as CAL
-from ..sources import snapshots as S
 from ..sources.tables import readings, table
 from ..streaming import ingest as ST
+from ..streaming.context import ContextTables
 from . import sqltext as Q
 from .catalog import output, register
 from .features import _ft_sql, final_rounding, lagged_features
@@ -39,13 +39,10 @@ def land_status_weekly(r: DataFrame, path: str) -> None:
 
 
 def _context(spark: SparkSession, sf_dir: str, r: DataFrame):
+    """Landing folders of the info and weather documents, and the calendars."""
     base = scratch_path(spark, "context")
-    info = S.station_info_dim(S.read_json(spark, land_text(info_documents(r), f"{base}/info"),
-                                          S.INFO_SCHEMA))
-    weather = S.weather_context(S.read_json(spark, land_text(weather_documents(r), f"{base}/weather"),
-                                            S.WEATHER_SCHEMA))
     vac, hol = CAL.calendars_from_events(table(spark, sf_dir, "events"))
-    return info, weather, vac, hol
+    return land_text(info_documents(r), f"{base}/info"), land_text(weather_documents(r), f"{base}/weather"), vac, hol
 
 
 def _sink(spark: SparkSession, stream: DataFrame, transform=None, **options) -> DataFrame:
@@ -58,8 +55,10 @@ def _ingest(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     r = readings(spark, sf_dir)
     status_dir = scratch_path(spark, "status_stream")
     land_status_weekly(r, status_dir)
-    enrich = ST.snapshot_enrichment(*_context(spark, sf_dir, r))
-    return _sink(spark, ST.snapshot_stream(spark, status_dir, FILES_PER_BATCH), enrich, **options)
+    info_dir, weather_dir, vac, hol = _context(spark, sf_dir, r)
+    context = ContextTables(scratch_path(spark, "context_tables"))
+    enrich = ST.snapshot_enrichment(context.info, context.weather, vac, hol)
+    return _sink(spark, ST.snapshot_stream(spark, status_dir, FILES_PER_BATCH, info_dir, weather_dir), enrich, context=context, **options)
 
 
 @register("stream_snapshot_ingest", RECORDS_SQL)

@@ -90,6 +90,41 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under ``path`` through its Hadoop FileSystem; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file (state of a sink), replaced as a whole: written aside, then renamed."""
+    jvm = spark.sparkContext._jvm
+    p, aside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(aside, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text written by ``write_text`` (also one whose rename was interrupted), None if there is none."""
+    jvm = spark.sparkContext._jvm
+    for name in (path, f"{path}.new"):
+        if path_exists(spark, name):
+            p = jvm.org.apache.hadoop.fs.Path(name)
+            stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+            try:
+                return bytes(stream.readAllBytes()).decode()
+            finally:
+                stream.close()
+    return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the cluster.
 

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import resolve_alias
 from ..operators.setops import dedup_keep_first
-from ..session import materialize, path_exists
+from ..session import list_names, materialize, path_exists, remove_path, scratch_path
 from ..schema import KEY
 
 LAT_ALIASES = ["lat", "latitude", "Lat"]
@@ -73,26 +74,41 @@ class AppendResult:
 METRICS_SCHEMA = "batch_id long, n_batch long, n_new long, n_dup long, n_total long"
 
 
-def new_rows(batch: DataFrame, path: str, order: Sequence[str], key: Sequence[str] = tuple(KEY),
-             ts: str = "datetime", partition: str = "date") -> DataFrame:
-    """The rows of ``batch`` whose key is not in the table yet, one per key, first by ``order``.
+def staged_keys(batch: DataFrame, path: str, order: Sequence[str], key: Sequence[str] = tuple(KEY),
+                ts: str = "datetime", partition: str = "date") -> tuple[DataFrame, list]:
+    """One row per key of ``batch``, the first by ``order``, written to ``path`` in a single run of its plan.
 
-    Only the ``date`` partitions the batch touches are read back for the
-    anti-join (partition pruning), never the whole history. Rows without a
-    time fall into the null partition like any other.
+    Returned with the partition values, taken from the folder names.
     """
+    one = dedup_keep_first(batch.withColumn(partition, F.to_date(ts)), list(key), list(order))
+    one.write.mode("overwrite").partitionBy(partition).parquet(path)
     spark = batch.sparkSession
-    b = dedup_keep_first(batch.withColumn(partition, F.to_date(ts)), list(key), list(order))
+    return spark.read.schema(one.schema).parquet(path), partition_dates(spark, path, partition)
+
+
+def partition_dates(spark: SparkSession, path: str, partition: str = "date") -> list:
+    """Dates of a table partitioned by ``partition``, from its folder names; None stands for the null partition."""
+    names = [n.split("=", 1)[1] for n in list_names(spark, path) if n.startswith(f"{partition}=")]
+    return [None if n == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(n) for n in names]
+
+
+def absent(rows: DataFrame, path: str, dates: Sequence, key: Sequence[str] = tuple(KEY), partition: str = "date") -> DataFrame:
+    """The ``rows`` (of the partitions ``dates``) whose key is not in the table yet.
+
+    Only these partitions are read back for the anti-join (partition
+    pruning), never the whole history. Rows without a time fall into the null
+    partition like any other.
+    """
+    spark = rows.sparkSession
     if not _exists(spark, path):
-        return b
-    dates = [r[0] for r in b.select(partition).distinct().collect()]     # bounded by the days of a batch
+        return rows
     touched = F.col(partition).isin([d for d in dates if d is not None])
     old = spark.read.parquet(path).where(touched | F.col(partition).isNull()).select(*[F.col(k).alias(f"_k_{k}") for k in key])
     same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in key]
     cond = same[0]
     for c in same[1:]:
         cond = cond & c
-    return b.join(old, cond, "left_anti")
+    return rows.join(old, cond, "left_anti")
 
 
 def append_dedup(batch: DataFrame, path: str, order: Sequence[str], key: Sequence[str] = tuple(KEY),
@@ -101,18 +117,21 @@ def append_dedup(batch: DataFrame, path: str, order: Sequence[str], key: Sequenc
                  n_before: int | None = None) -> AppendResult:
     """K3: append the rows of ``batch`` whose key is not in the table yet.
 
-    The deduplicated new rows are written once to the shared scratch folder
-    and counted there, then appended: the batch plan runs once.
-    ``maxRecordsPerFile`` bounds file size (the rotation of the reference
-    without renaming files); existing files are never rewritten. ``order``
-    decides which of several rows of a key is the first; ``drop`` names
-    helper columns that are not stored. ``n_before`` is the size of the table
-    when the caller keeps it, else it is counted.
+    The plan of ``batch`` runs once: its first row of each key is staged by
+    date in the shared scratch folder, and everything else (counts, the dates
+    touched, the anti-join, the append) reads that stage. ``maxRecordsPerFile``
+    bounds file size (the rotation of the reference without renaming files);
+    existing files are never rewritten. ``order`` decides which of several
+    rows of a key is the first; ``drop`` names helper columns that are not
+    stored. ``n_before`` is the size of the table when the caller keeps it,
+    else it is counted.
     """
     spark = batch.sparkSession
-    counted = batch.agg(F.count_distinct(F.struct(*key)).alias("n"))
-    new = materialize(new_rows(batch, path, order, key, ts, partition).drop(*drop), "append")
-    n_batch, n_new = counted.first()["n"], new.count()
+    stage = scratch_path(spark, "append")
+    one, dates = staged_keys(batch, stage, order, key, ts, partition)
+    new = materialize(absent(one, path, dates, key, partition).drop(*drop), "append")
+    n_batch, n_new = one.count(), new.count()
+    remove_path(spark, stage)
     if n_before is None:
         n_before = spark.read.parquet(path).count() if _exists(spark, path) else 0
     write_new(new, path, partition, max_records_per_file)

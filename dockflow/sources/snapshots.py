@@ -105,8 +105,12 @@ def station_info_dim(docs: DataFrame) -> DataFrame:
     one task). Missing fields take the reference defaults.
     """
     polled = F.col(POLL_TIME) if POLL_TIME in docs.columns else None
-    e = docs.select(document_time(F.col("last_updated"), polled).alias("_t"),
-                    F.posexplode("data.stations").alias("_pos", "s"))
+    return last_info(docs.select(document_time(F.col("last_updated"), polled).alias("_t"),
+                                 F.posexplode("data.stations").alias("_pos", "s")))
+
+
+def last_info(e: DataFrame) -> DataFrame:
+    """S4 over exploded documents (_t, _pos, s): the last info of each station, with defaults."""
     rec = F.struct(
         F.coalesce(F.col("s.name"), F.lit("")).alias("name"),
         F.coalesce(F.col("s.lat"), F.lit(0.0)).alias("lat"),
@@ -132,24 +136,35 @@ def weather_context(docs: DataFrame) -> DataFrame:
     return rows.where("datetime IS NOT NULL").groupBy("datetime").agg(F.min("w").alias("w")).select("datetime", "w.*")
 
 
-def weather_at(times: DataFrame, weather: DataFrame) -> DataFrame:
+def weather_at(times: DataFrame, weather: DataFrame, bucket_minutes: int = 60) -> DataFrame:
     """The latest weather at or before each of the distinct ``times`` (datetime).
 
-    Inside a day polls meet that day's weather; a poll before the first
-    weather of its day takes the last one of an earlier day. Only the
-    one-row-per-day table is ordered as a whole.
+    An as-of merge: polls and weather form one tagged sequence, and inside a
+    bucket of ``bucket_minutes`` each poll takes the last weather before it.
+    A poll ahead of the first weather of its bucket takes the carry: the last
+    weather of the buckets before, found along the buckets of a day and then
+    along the days. Each row is read once and sorted within its bucket, so
+    the cost is linear whatever the density; only one row a day is ordered
+    as a whole.
     """
-    w = weather.select(F.struct(F.col("datetime").alias("t"), "apparent_temperature", "weather_code").alias("w"),
-                       F.to_date("datetime").alias("day"))
-    polls = times.select("datetime").distinct().withColumn("day", F.to_date("datetime"))
-    same = (polls.join(w, "day").where(F.col("w.t") <= F.col("datetime"))
-            .groupBy("datetime").agg(F.max("w").alias("same")))
-    days = (polls.select("day").distinct().withColumn("w", F.lit(None).cast(w.schema["w"].dataType))
-            .unionByName(w.select("day", "w")).groupBy("day").agg(F.max("w").alias("w")))
-    before = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("day", F.last("w", ignorenulls=True).over(before).alias("earlier"))
-    return (polls.join(same, "datetime", "left").join(days, "day", "left")
-            .select("datetime", F.coalesce("same", "earlier").alias("w"))
+    width = int(bucket_minutes) * 60_000_000
+    us = F.unix_micros(F.col("datetime"))
+    kind = T.StructType([T.StructField("t", T.TimestampType()), T.StructField("apparent_temperature", T.DoubleType()),
+                         T.StructField("weather_code", T.IntegerType())])
+    polls = times.select("datetime").where("datetime IS NOT NULL").distinct().withColumn("w", F.lit(None).cast(kind))
+    known = weather.select("datetime", F.struct(F.col("datetime").alias("t"), F.col("apparent_temperature").cast("double").alias("apparent_temperature"),
+                                                F.col("weather_code").cast("int").alias("weather_code")).alias("w"))
+    merged = (polls.unionByName(known).withColumn("bucket", F.floor(us / width))
+              .withColumn("day", F.to_date(F.timestamp_micros(F.col("bucket") * width))))
+    up_to = Window.partitionBy("bucket").orderBy("datetime", F.col("w").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    own = merged.withColumn("own", F.last("w", ignorenulls=True).over(up_to)).where("w IS NULL")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = merged.groupBy("day", "bucket").agg(F.max("w").alias("w"))
+    buckets = buckets.withColumn("carry", F.last("w", ignorenulls=True).over(before(Window.partitionBy("day").orderBy("bucket"))))
+    days = merged.groupBy("day").agg(F.max("w").alias("w"))
+    days = days.select("day", F.last("w", ignorenulls=True).over(before(Window.orderBy("day"))).alias("earlier"))
+    return (own.join(buckets.select("bucket", "carry"), "bucket").join(days, "day")
+            .select("datetime", F.coalesce("own", "carry", "earlier").alias("w"))
             .select("datetime", "w.apparent_temperature", "w.weather_code"))
 
 
@@ -169,14 +184,16 @@ def enrich_status(status: DataFrame, info: DataFrame | None) -> DataFrame:
             .drop("_hit"))
 
 
-def attach_weather(status: DataFrame, weather: DataFrame | None) -> DataFrame:
+def attach_weather(status: DataFrame, weather: DataFrame | None, times: DataFrame | None = None) -> DataFrame:
     """S5 applied: the weather current at the poll, default 0.0 / 0 when there is none yet.
 
-    Batch frames only (the stream applies it per micro-batch).
+    ``times`` holds the poll times where they come cheaper than from
+    ``status`` (one row per document). Batch frames only (the stream applies
+    it per micro-batch).
     """
     from ..operators.joins import join_bounded
     if weather is None:
         return status.withColumns({"apparent_temperature": F.lit(0.0), "weather_code": F.lit(0)})
-    j = join_bounded(status, weather_at(status, weather), "datetime", "left")
+    j = join_bounded(status, weather_at(status if times is None else times, weather), "datetime", "left")
     return j.withColumns({"apparent_temperature": F.coalesce("apparent_temperature", F.lit(0.0)),
                           "weather_code": F.coalesce("weather_code", F.lit(0))})

@@ -2,6 +2,8 @@
 
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from dockflow.operators.setops import dedup_keep_first
@@ -108,3 +110,25 @@ def test_weather_is_the_latest_at_or_before_the_poll(spark):
     status = mk([(p, i) for i, p in enumerate(polls)], "datetime timestamp, station_id int")
     got = {r.station_id: (r.apparent_temperature, r.weather_code) for r in S.attach_weather(status, w).collect()}
     assert [got[i] for i in range(6)] == [(0.0, 0), (5.0, 1), (7.0, 2), (7.0, 2), (1.0, 3), (5.0, 1)]
+
+
+def test_weather_of_a_dense_day_and_of_gaps(spark):
+    """100,000 polls and 50,000 weather times in one day, then sparse ones with empty days between, against merge_asof."""
+    rng = np.random.default_rng(7)
+    day, us = 86_400_000_000, 1_704_067_200_000_000
+    polls = np.unique(np.concatenate([us + rng.integers(0, day, 100_000), us + day * rng.integers(-3, 40, 300) + rng.integers(0, day, 300)]))
+    times = np.unique(np.concatenate([us + rng.integers(day // 4, day, 50_000), us + day * rng.integers(0, 30, 20) + rng.integers(0, day, 20)]))
+    at = lambda v: pd.to_datetime(v, unit="us", utc=True)
+    weather = pd.DataFrame({"datetime": at(times), "apparent_temperature": np.arange(len(times), dtype=float), "weather_code": np.arange(len(times)) % 90})
+    want = pd.merge_asof(pd.DataFrame({"datetime": at(polls)}), weather, on="datetime")
+    frame = lambda t: spark.createDataFrame(t.assign(datetime=t["datetime"].dt.tz_localize(None)))
+    got = S.weather_at(frame(pd.DataFrame({"datetime": at(polls)})), frame(weather))
+    got = got.select(F.unix_micros("datetime").alias("us"), "apparent_temperature").toPandas().sort_values("us")
+    assert (got["us"].to_numpy() == polls).all()
+    np.testing.assert_array_equal(got["apparent_temperature"].to_numpy(float), want["apparent_temperature"].to_numpy())
+    plan = got_plan(S.weather_at(frame(pd.DataFrame({"datetime": at(polls[:5])})), frame(weather[:5])))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def got_plan(df):
+    return df._jdf.queryExecution().toString()
