@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import truthy
 from ..operators.clean import fill_rate_guarded
 from ..operators.setops import dedup_keep_first, union_all_by_name
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks import writers as W
 from ..sources import calendars as CAL
 from ..sources import files as FS
@@ -108,7 +108,7 @@ def build_records(status: DataFrame, info: DataFrame | None, weather: DataFrame
 def ingest_landed(spark: SparkSession, paths: dict[str, str], events: DataFrame) -> DataFrame:
     docs = S.read_json(spark, paths["status"], S.STATUS_SCHEMA)
     status = S.explode_status(docs)
-    info = S.station_info_dim(S.read_json(spark, paths["info"], S.INFO_SCHEMA))
+    info = materialize(S.station_info_dim(S.read_json(spark, paths["info"], S.INFO_SCHEMA)), "info")
     weather = S.weather_context(S.read_json(spark, paths["weather"], S.WEATHER_SCHEMA))
     vac, hol = CAL.calendars_from_events(events)
     times = docs.select(S.document_time(F.col("last_updated"), F.col(S.POLL_TIME)).alias("datetime"))

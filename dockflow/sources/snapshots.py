@@ -147,24 +147,34 @@ def weather_at(times: DataFrame, weather: DataFrame, bucket_minutes: int = 60) -
     the cost is linear whatever the density; only one row a day is ordered
     as a whole.
     """
-    width = int(bucket_minutes) * 60_000_000
-    us = F.unix_micros(F.col("datetime"))
+    return _last_before(_tagged(times, weather, bucket_minutes), bucket_minutes)
+
+
+def _tagged(times: DataFrame, weather: DataFrame, bucket_minutes: int = 60) -> DataFrame:
+    """(datetime, w, bucket): polls (w null) and weather as one table, written once."""
+    from ..session import materialize
     kind = T.StructType([T.StructField("t", T.TimestampType()), T.StructField("apparent_temperature", T.DoubleType()),
                          T.StructField("weather_code", T.IntegerType())])
     polls = times.select("datetime").where("datetime IS NOT NULL").distinct().withColumn("w", F.lit(None).cast(kind))
     known = weather.select("datetime", F.struct(F.col("datetime").alias("t"), F.col("apparent_temperature").cast("double").alias("apparent_temperature"),
                                                 F.col("weather_code").cast("int").alias("weather_code")).alias("w"))
-    merged = (polls.unionByName(known).withColumn("bucket", F.floor(us / width))
-              .withColumn("day", F.to_date(F.timestamp_micros(F.col("bucket") * width))))
+    bucket = F.floor(F.unix_micros(F.col("datetime")) / (int(bucket_minutes) * 60_000_000))
+    return materialize(polls.unionByName(known).withColumn("bucket", bucket), "asof")
+
+
+def _last_before(merged: DataFrame, bucket_minutes: int = 60) -> DataFrame:
+    """(datetime, apparent_temperature, weather_code) of the polls in ``_tagged``."""
+    width = int(bucket_minutes) * 60_000_000
     up_to = Window.partitionBy("bucket").orderBy("datetime", F.col("w").isNull()).rowsBetween(Window.unboundedPreceding, 0)
     own = merged.withColumn("own", F.last("w", ignorenulls=True).over(up_to)).where("w IS NULL")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    buckets = merged.groupBy("day", "bucket").agg(F.max("w").alias("w"))
-    buckets = buckets.withColumn("carry", F.last("w", ignorenulls=True).over(before(Window.partitionBy("day").orderBy("bucket"))))
-    days = merged.groupBy("day").agg(F.max("w").alias("w"))
+    buckets = (merged.groupBy("bucket").agg(F.max("w").alias("w"))
+               .withColumn("day", F.to_date(F.timestamp_micros(F.col("bucket") * width))))
+    days = buckets.groupBy("day").agg(F.max("w").alias("w"))
     days = days.select("day", F.last("w", ignorenulls=True).over(before(Window.orderBy("day"))).alias("earlier"))
-    return (own.join(buckets.select("bucket", "carry"), "bucket").join(days, "day")
-            .select("datetime", F.coalesce("own", "carry", "earlier").alias("w"))
+    carry = F.last("w", ignorenulls=True).over(before(Window.partitionBy("day").orderBy("bucket")))
+    buckets = buckets.select("bucket", "day", carry.alias("carry")).join(days, "day").select("bucket", F.coalesce("carry", "earlier").alias("carry"))
+    return (own.join(buckets, "bucket").select("datetime", F.coalesce("own", "carry").alias("w"))
             .select("datetime", "w.apparent_temperature", "w.weather_code"))
 
 
@@ -194,6 +204,8 @@ def attach_weather(status: DataFrame, weather: DataFrame | None, times: DataFram
     from ..operators.joins import join_bounded
     if weather is None:
         return status.withColumns({"apparent_temperature": F.lit(0.0), "weather_code": F.lit(0)})
-    j = join_bounded(status, weather_at(status if times is None else times, weather), "datetime", "left")
+    merged = _tagged(status if times is None else times, weather)
+    # the tagged table's count, from parquet footers, bounds the result without running the merge twice
+    j = join_bounded(status, _last_before(merged), "datetime", "left", proven_rows=merged.count())
     return j.withColumns({"apparent_temperature": F.coalesce("apparent_temperature", F.lit(0.0)),
                           "weather_code": F.coalesce("weather_code", F.lit(0))})
