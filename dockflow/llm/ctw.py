@@ -51,9 +51,11 @@ from .frames import materialize, partitions_for, ship, unpack
 
 DEPTH = 5
 #: Bytes of text in a group (a single longer text is a group of its own).
-GROUP_BYTES = 32 << 20
+GROUP_BYTES = 16 << 20
 #: Bytes of text handled at once inside a group (temporary arrays take about 60 bytes per byte).
 SLICE = 1 << 19
+#: Bytes of packed features in one Arrow batch, about.
+OUT_BYTES = 4 << 20
 START, END = 0xFE, 0xFF
 GRAM = K.U(1 << 63)
 END_TOKEN = K.mix(np.array([K.U(0xE0D)]))[0] >> K.U(1)
@@ -101,10 +103,11 @@ def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: in
         nonlocal keys, counts, parts
         all_k = np.concatenate([keys, *[k for k, _ in parts]])
         if train is None:
-            keys, parts = np.unique(all_k), []
+            all_k.sort(kind="stable")  # sorted runs are merged
+            keys, parts = all_k[np.flatnonzero(np.diff(all_k, prepend=~all_k[:1]))], []
             return
         all_c = np.concatenate([counts, *[c for _, c in parts]])
-        o = np.argsort(all_k)
+        o = np.argsort(all_k, kind="stable")
         all_k, all_c = all_k[o], all_c[o]
         at = np.flatnonzero(np.concatenate([[True], all_k[1:] != all_k[:-1]])) if len(all_k) else np.zeros(0, np.int64)
         keys, counts, parts = all_k[at], np.add.reduceat(all_c, at).astype(np.uint32) if len(at) else all_c, []
@@ -120,7 +123,7 @@ def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: in
                 c = np.zeros(len(u), np.uint32)
                 c[np.searchsorted(u, t)] = tc
             parts.append((u, c.astype(np.uint32)))
-        if len(parts) >= 32:
+        if len(parts) >= 16:
             fold()
     fold()
     if train is None:
@@ -148,8 +151,17 @@ def _scan(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
         keys, counts, b = group_keys(text, off, np.array([not held_out(i) for i in ids], bool), depth, buckets)
         at = np.flatnonzero(np.diff(b, prepend=-1))
         past = np.append(at[1:], len(b))
-        yield rows(grp, b[at].tolist(), [keys[i:j].tobytes() for i, j in zip(at, past, strict=True)],
-                   [counts[i:j].astype(np.uint32).tobytes() for i, j in zip(at, past, strict=True)], [b""] * len(at))
+        out, size = [], 0
+        for i, j in zip(at, past, strict=True):
+            out.append((int(b[i]), K.packed(keys[i:j]), K.packed(counts[i:j].astype(np.uint32)), b""))
+            size += len(out[-1][1]) + len(out[-1][2])
+            if size >= OUT_BYTES:
+                yield rows(grp, *zip(*out, strict=True))
+                out, size = [], 0
+        if out:
+            yield rows(grp, *zip(*out, strict=True))
+        del keys, counts, b, text
+        K.trim()
 
     def run(batches):
         ids, texts, held = [], [], 0
@@ -169,8 +181,8 @@ def _scan(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
 
 def _add_counts(t: pa.Table) -> pa.Table:
     """Of one bucket: every feature with its total training count, and the bucket's tokens and token types."""
-    keys = np.concatenate([np.frombuffer(x.as_buffer(), K.U) for x in t.column("a")])
-    n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in t.column("b")])
+    keys = np.concatenate([K.unpacked(x.as_py(), K.U) for x in t.column("a")])
+    n = np.concatenate([K.unpacked(x.as_py(), np.uint32) for x in t.column("b")])
     keys, inv = np.unique(keys, return_inverse=True)
     n = np.bincount(inv, n, len(keys)).astype(np.int64)
     w = keys < GRAM
@@ -320,7 +332,7 @@ def _answers(requests: pa.Table, words: pa.Table, grams: pa.Table) -> pa.Table:
     o = np.argsort(gk)
     keys = np.concatenate([wk, gk[o]])  # words sort below n-grams
     values = np.concatenate([wn.astype(float), grams.column("logp").to_numpy()[o]])
-    out = [values[np.searchsorted(keys, np.frombuffer(x.as_buffer(), K.U))].tobytes() for x in requests.column("a")]
+    out = [values[np.searchsorted(keys, K.unpacked(x.as_py(), K.U))].tobytes() for x in requests.column("a")]
     return pa.table({"grp": requests.column("grp"), "bucket": requests.column("bucket"), "v": pa.array(out, pa.binary())})
 
 

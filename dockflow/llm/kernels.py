@@ -9,6 +9,8 @@ the longest single document).
 
 from __future__ import annotations
 
+import ctypes
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -168,6 +170,32 @@ def arrow_map(fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]]):
     return run
 
 
+def trim() -> None:
+    """Hand freed memory back to the system (where the C library can), so that a worker that is kept for later
+    tasks doesn't keep its largest task's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def packed(a: np.ndarray) -> bytes:
+    """Unsigned integers, compressed: differences (when sorted), as byte planes, deflated."""
+    rising = len(a) == 0 or bool((a[1:] >= a[:-1]).all())
+    d = np.diff(a, prepend=a.dtype.type(0)) if rising else a
+    planes = np.ascontiguousarray(d.view(np.uint8).reshape(len(d), a.itemsize).T)
+    return bytes([rising]) + zlib.compress(planes.tobytes(), 1)
+
+
+def unpacked(raw: bytes, dtype: type) -> np.ndarray:
+    """What ``packed`` was given."""
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(zlib.decompress(memoryview(raw)[1:]), np.uint8).reshape(size, -1)
+    d = np.ascontiguousarray(planes.T).view(dtype).ravel()
+    return np.cumsum(d, dtype=dtype) if raw[0] else d
+
+
 def as_i64(x: np.ndarray) -> np.ndarray:
     """The same 64 bits as a signed number, for Spark's ``bigint``."""
     return x.view(np.int64) if x.dtype == U else x.astype(np.int64)
