@@ -14,8 +14,9 @@ from .kernels import as_i64
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Arrow batches of at most ``rows`` rows, so that a batch of texts stays a few megabytes in JVM and worker."""
+    """Arrow batches of at most ``rows`` rows and about 4 MB, so that a batch of texts stays small in JVM and worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +33,7 @@ def unpack(held: Broadcast) -> object:
 
 
 class BitFilter:
-    """A set of 64-bit hashes as a bit table of fixed size; a false hit is possible, a miss is not."""
+    """A set of 64-bit hashes as a bit table of given size; a false hit is possible, a miss is not."""
 
     def __init__(self, bits: int, words: dict[int, int]):
         self.words = np.zeros(bits // 64, np.int64)

@@ -56,23 +56,29 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import is_broadcastable
 from . import kernels as K
 from .frames import BitFilter, bit_filter, components, materialize, partitions_for, ship, unpack
 
 WIDTH = 5
 SMALL, SMALL_PARTNER = 24, 30
 GROUP = 7
-FLUSH = 1 << 20
+#: Signatures that a task packs at once.
+FLUSH = 1 << 18
 #: Rounds in which the nodes of a group are checked against one of them.
 STARS = 3
 #: A shingle that so many different sets of one task share is common: it signs only where rare ones don't suffice.
 COMMON = 3
-COUNTED = 1 << 22
+COUNTED = 1 << 21
+#: Bits of the table of common shingles. It holds the most shared ones, at most one per 16 bits: beyond that only
+#: shingles that more sets share count as common, so the table never fills up however large the corpus is.
 COMMON_BITS = 1 << 25
 #: Bins of a set's sketch, one byte each.
 BINS = 128
-#: Bits of the membership filter that keeps sets of nodes without candidates out of the shuffle.
-FILTER_BITS = 1 << 23
+#: Rows of hits that one task compares in the last round (or one larger group).
+CELL = 1 << 13
+#: Ids of documents whose sets are needed are broadcast up to this size, and joined by a shuffle beyond it.
+IDS_BYTES = 64 << 20
 _TAG = K.seeds(8, 901)
 
 
@@ -177,15 +183,16 @@ def sketches(h: np.ndarray, d: np.ndarray, n_docs: int) -> np.ndarray:
 
 
 def _sizes(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, sketch, common): set size, fingerprint and bin counts of every row (node null for an
-    empty set), and rows with ``common`` alone: shingles that ``COMMON`` or more different sets of one task share."""
-    names = ["doc_id", "n", "node", "sketch", "common"]
+    """(doc_id, key, n, node, sketch, common) of rows (doc_id, text, key): set size, fingerprint and bin counts of
+    every row (node null for an empty set), and rows with ``common`` alone: shingles that ``COMMON`` or more
+    different sets of one task share, with how many."""
+    names = ["doc_id", "key", "n", "node", "sketch", "common"]
 
     def shared(parts):
         h, n = np.unique(np.concatenate(parts), return_counts=True)
-        h = h[n >= COMMON]
-        return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                                           pa.nulls(1, pa.binary()), pa.array([h.tobytes()], pa.binary())], names=names)
+        h, n = h[n >= COMMON], n[n >= COMMON]
+        report = h.tobytes() + n.astype(np.int64).tobytes()
+        return pa.RecordBatch.from_arrays([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([report], pa.binary())], names=names)
 
     def run(batches):
         seen: set[int] = set()
@@ -195,7 +202,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
                 h, d, n = slice_sets(data, off)
                 f = fingerprints(h, d, n)
                 sk = pa.array([x.tobytes() for x in sketches(h, d, j - i)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(K.as_i64(f), mask=n == 0), sk,
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(n), pa.array(K.as_i64(f), mask=n == 0), sk,
                                                   pa.nulls(j - i, pa.binary())], names=names)
                 parts.append(_keep(h, d, n, _unseen(f, n, seen))[0])
                 held += len(parts[-1])
@@ -204,7 +211,8 @@ def _sizes(docs: DataFrame) -> DataFrame:
                     parts, held = [], 0
         if held:
             yield shared(parts)
-    return docs.mapInArrow(run, "doc_id long, n long, node long, sketch binary, common binary")
+        K.trim()
+    return docs.mapInArrow(run, "doc_id long, key long, n long, node long, sketch binary, common binary")
 
 
 def _unseen(f: np.ndarray, n: np.ndarray, seen: set[int]) -> np.ndarray:
@@ -218,11 +226,20 @@ def _unseen(f: np.ndarray, n: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def _common(info: DataFrame) -> DataFrame:
-    """(h): the shingles that some task reported as common."""
+    """(h): the shingles that tasks reported as common, the most shared ones if they are too many for the table."""
     def fn(batch):
-        h = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)])
-        yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
-    return info.where("common IS NOT NULL").select("common").mapInArrow(K.arrow_map(fn), "h long")
+        both = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0)]
+        h, n = (np.concatenate([x[k * len(x) // 2:(k + 1) * len(x) // 2] for x in both]) for k in (0, 1))
+        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], names=["h", "n"])
+    shared = (info.where("common IS NOT NULL").select("common").mapInArrow(K.arrow_map(fn), "h long, n long")
+              .groupBy("h").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("e")))
+    shared = materialize(shared, "common")
+    sizes = {r["e"]: r["count"] for r in shared.groupBy("e").count().collect()}  # at most 63 rows
+    least, held = 64, 0
+    while least > 0 and held + sizes.get(least - 1, 0) <= COMMON_BITS // 16:
+        least -= 1
+        held += sizes.get(least, 0)
+    return shared.where(F.col("e") >= least).select("h")
 
 
 def _packed(docs: DataFrame, buckets: int, common: BitFilter) -> DataFrame:
@@ -257,6 +274,7 @@ def _packed(docs: DataFrame, buckets: int, common: BitFilter) -> DataFrame:
                     parts, held = [], 0
         if parts:
             yield flush(parts)
+        K.trim()
     return docs.select("text").mapInArrow(run, "bucket int, block binary")
 
 
@@ -296,27 +314,27 @@ def _bucket_groups(t: pa.Table) -> pa.Table:
     return pa.table({"grp": K.as_i64(grp), "node": K.as_i64(node), "center": K.as_i64(center)})
 
 
-def _sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, reps: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, hashes): the sets of ``needed`` nodes, packed, once each.
 
-    A fixed-size bit filter of the needed nodes goes to the tasks (one
-    megabyte whatever the input); a false hit only carries a set in vain.
+    One document stands for a node (``reps``: node, doc_id); only the texts of
+    these documents go through the workers again.
     """
-    held = ship(docs.sparkSession, bit_filter(needed.select(F.col("node").alias("h")), FILTER_BITS))
+    ids = materialize(reps.join(needed, "node", "left_semi").select("doc_id", F.col("node").alias("wanted")), "needed")
+    n = ids.count()
 
     def run(batches):
-        seen: set[int] = set()
-        wanted = unpack(held)
         for batch in batches:
-            for _, _, data, off in K.slices(batch):
+            for i, j, data, off in K.slices(batch):
                 h, d, n = slice_sets(data, off)
-                f = fingerprints(h, d, n)
+                f = K.as_i64(fingerprints(h, d, n))
                 b = np.concatenate([[0], np.cumsum(n)])
-                hit = np.flatnonzero(_unseen(f, n * wanted.has(f), seen))
-                out = [(x, h[b[k]:b[k + 1]].tobytes()) for k, x in zip(hit, K.as_i64(f[hit]).tolist(), strict=True)]
+                hit = np.flatnonzero((n > 0) & (f == batch.column(1).slice(i, j - i).to_numpy()))  # an id may stand on several texts
+                out = [h[b[k]:b[k + 1]].tobytes() for k in hit]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out]), pa.array([x for _, x in out], pa.binary())], names=["node", "hashes"])
-    return docs.select("text").mapInArrow(run, "node long, hashes binary").join(needed, "node", "left_semi").dropDuplicates(["node"])
+                    yield pa.RecordBatch.from_arrays([pa.array(f[hit]), pa.array(out, pa.binary())], names=["node", "hashes"])
+    texts = docs.join(F.broadcast(ids) if is_broadcastable(ids, n, IDS_BYTES) else ids, "doc_id").select("text", "wanted")
+    return texts.mapInArrow(run, "node long, hashes binary").dropDuplicates(["node"])
 
 
 def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
@@ -333,12 +351,12 @@ def _possible(pairs: DataFrame, info: DataFrame) -> DataFrame:
             .mapInArrow(K.arrow_map(fn), "a long, b long"))
 
 
-def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame) -> DataFrame | None:
+def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame | None:
     """The pairs (a, b) whose whole sets reach the similarity; None when sketches rule all of them out."""
     pairs = materialize(_possible(pairs, info), "pairs")
     if pairs.isEmpty():
         return None
-    sets = materialize(_sets(docs, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()), "sets")
+    sets = materialize(_sets(docs, reps, pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()), "sets")
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb")), "b"))
 
@@ -368,7 +386,7 @@ def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _cluster_pairs(t: pa.Table) -> pa.Table:
-    """Of all groups whose center lies in one component: the pairs of nodes that share a group, belong to
+    """Of groups whose center lies in one component (a cell of them): the pairs of nodes that share a group, belong to
     different components and that sizes and sketches allow to link, each once. Members are compared along
     the sizes, so only near sizes meet."""
     grp = t.column("grp").to_numpy()
@@ -403,12 +421,14 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
     common = bit_filter(_common(info), COMMON_BITS)
     hits = materialize(_packed(docs, buckets, common).groupBy("bucket").applyInArrow(_bucket_groups, "grp long, node long, center long")
                        .dropDuplicates(["grp", "node"]), "hits")
-    facts = info.where("node IS NOT NULL AND doc_id IS NOT NULL").select("node", "n", "sketch").dropDuplicates(["node"])
+    rows = info.where("node IS NOT NULL AND doc_id IS NOT NULL")
+    facts = rows.select("node", "n", "sketch").dropDuplicates(["node"])
+    reps = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
     links, labels = None, None
 
     def add(pairs: DataFrame) -> None:
         nonlocal links, labels
-        more = _verified(pairs, facts, docs)
+        more = _verified(pairs, facts, docs, reps)
         if more is not None:
             links = more if links is None else links.unionByName(more)
             labels = components(links)
@@ -420,19 +440,25 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
             .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
     mixed = _labelled(hits, labels)
     heads = mixed.where("center = node").select("grp", F.col("comp").alias("cluster"))
-    add(mixed.select("grp", "node", "comp").join(heads, "grp").join(facts, "node").groupBy("cluster")
-        .applyInArrow(_cluster_pairs, "a long, b long").distinct())
+    cells = materialize(mixed.select("grp", "node", "comp").join(heads, "grp"), "cells")
+    spread = cells.groupBy("cluster").agg(F.ceil(F.count("*") / CELL).alias("parts"))
+    cells = cells.join(spread, "cluster").withColumn("part", F.expr("pmod(xxhash64(grp), parts)"))
+    add(cells.join(facts, "node").groupBy("cluster", "part").applyInArrow(_cluster_pairs, "a long, b long").distinct())
     return labels
 
 
-def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _classes(own: DataFrame) -> DataFrame:
+    """(doc_id, key, n, grp), one row per row of ``own`` (doc_id, text, key): set size and component (null: no words)."""
     info = materialize(_sizes(own), "sets_info")
     labels = node_links(own.where("doc_id IS NOT NULL"), info.where("doc_id IS NOT NULL OR common IS NOT NULL"))
     info = info.where("common IS NULL")
     grouped = info.join(labels, "node", "left") if labels is not None else info.withColumn("comp", F.lit(None).cast("long"))
-    grouped = grouped.withColumn("grp", F.coalesce("comp", "node"))
+    return grouped.withColumn("grp", F.coalesce("comp", "node"))
+
+
+def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id), one row per row of ``docs``."""
+    grouped = _classes(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("key")))
     least = grouped.where("grp IS NOT NULL").groupBy("grp").agg(F.min("doc_id").alias("least"))
     return grouped.join(least, "grp", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -440,9 +466,18 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_per_component(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their component (one row per id);
-    rows with a null id all stay, since they link with nothing."""
-    heads = (jaccard_components(docs, doc_id, text).where("doc_id = component_id")
-             .select(F.col("doc_id").alias("_head")).distinct())
-    kept = docs.join(heads, docs[doc_id] == F.col("_head"), "left_semi").dropDuplicates([doc_id])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    """One row of ``docs`` for each component: that of the smallest id, of several texts of this id the one with
+    the smallest hash. So texts that aren't linked all stay, also under one id. Rows that repeat id and text (null: empty)
+    count once (of rows that differ in other columns the one with the smallest hash stays); rows without words link with
+    nothing and stay, as do all rows with a null id."""
+    key = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    grouped = _classes(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), key.alias("key")))
+    grouped = grouped.where("doc_id IS NOT NULL")
+    heads = grouped.where("grp IS NOT NULL").groupBy("grp").agg(F.min(F.struct("doc_id", "key")).alias("h")).select("h.*")
+    lone = grouped.where("grp IS NULL").select("doc_id", "key")
+    heads = heads.unionByName(lone).distinct().select(F.col("doc_id").alias("_head"), F.col("key").alias("_key"))
+    times = grouped.groupBy(F.col("doc_id").alias("_head"), F.col("key").alias("_key")).agg(F.count("*").alias("_times"))
+    kept = docs.join(heads.join(times, ["_head", "_key"]), (docs[doc_id] == F.col("_head")) & (key == F.col("_key")))
+    many = (kept.where("_times > 1").groupBy("_head", "_key")
+            .agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row")).select("_row.*"))
+    return kept.where("_times = 1").select(*docs.columns).unionByName(many).unionByName(docs.where(F.col(doc_id).isNull()))

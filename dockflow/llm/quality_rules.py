@@ -260,7 +260,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                             .join(F.broadcast(ids), "_id"))
             .where(~base_failed())
             .select("_bad", (F.pmod(F.xxhash64("_id", F.lit("grow")), F.lit(3)) > 0).alias("_grow"),
-                    *[ratio(r).alias(r) for r in RATIOS]).limit(2 * max_rows).toPandas())
+                    *[ratio(r).alias(r) for r in RATIOS], F.xxhash64("_id").alias("_hash"))
+            .orderBy("_hash", *RATIOS).limit(2 * max_rows).drop("_hash").toPandas())  # repeated ids may give more rows than ids
     if not len(rows):
         return DecisionList()
     rows = rows.sort_values(list(rows.columns))  # row order must not decide ties

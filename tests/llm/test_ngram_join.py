@@ -123,3 +123,34 @@ def test_shingle_counts(text):
     _, _, n = NJ.slice_sets(data, np.array([0, len(data)]))
     w = text.lower().split()
     assert n[0] == (len({tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}) if w else 0)
+
+
+def test_one_row_of_each_component_is_kept(spark):
+    """Repeated ids: texts that aren't linked all stay, repeats of a row count once, the choice is the same every time."""
+    a, b, c = prose(1), prose(2), prose(3)
+    rows = [(5, a, "x"), (5, b, "x"), (9, a + " tail", "x"), (3, b, "x"), (5, c, "x"), (5, c, "y"), (5, c, "x"), (6, "", "x"), (6, None, "x"), (6, " ", "x"),
+            (7, " ".join(c.split()[:-1]), "x"), (None, a, "x"), (None, a, "x"), (8, a.replace(" ", "  "), "x"), (5, a.upper(), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, grp string")
+    runs = [sorted((tuple(r) for r in NJ.one_per_component(d).where("doc_id IS NOT NULL").collect()), key=repr) for d in (df, df.repartition(7))]
+    assert runs[0] == runs[1]
+    kept = [(i, t) for i, t, _ in runs[0]]
+    assert len(kept) == len(set(kept)) == 5
+    assert {(3, b), (5, c), (6, " ")} < set(kept) and len([1 for i, t in kept if i == 5 and (t or "").lower() == a.lower()]) == 1
+    assert len([1 for i, t in kept if i == 6]) == 2  # null and empty text are the same text
+    assert NJ.one_per_component(df).where("doc_id IS NULL").count() == 2
+
+
+def test_a_large_cluster_of_different_near_copies(spark, monkeypatch):
+    """Near copies that differ pairwise, in one cluster that takes several cells, beside a common table that is too small."""
+    monkeypatch.setattr(NJ, "CELL", 200)
+    monkeypatch.setattr(NJ, "COMMON_BITS", 1 << 10)
+    rng = random.Random(8)
+    base = prose(77, 120).split()
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.choice([1, 1, 2, 5, 9])):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    got = NJ.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
