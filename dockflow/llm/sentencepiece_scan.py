@@ -53,7 +53,8 @@ FAN = 64
 NEG = np.int64(-(1 << 60))
 SPACE = "▁"
 #: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 100_000
+CACHE_IDS = 4_000_000
 DECODE_ROWS = 256
 
 
@@ -324,6 +325,76 @@ class Lattice:
         return b"".join(out) + np.array(self.emit(s, stop, piece), np.int32).tobytes()
 
 
+class WordTable:
+    """Encodings of words as flat arrays, so that a slice of texts is encoded by gathering.
+
+    A word is known by the 64-bit hash of its bytes and checked against the bytes themselves; the lattice
+    only sees words that are new to the table. The table starts anew beyond ``CACHE_WORDS`` words or
+    ``CACHE_IDS`` ids.
+    """
+
+    def __init__(self, lat: Lattice):
+        self.lat = lat
+        self.usable = lat.p.splits_at_space and "\n" not in "".join(lat.p.joint)
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[int, int] = {}
+        self.raw: list[bytes] = []
+        self.past, self.weight, self.ids = array("q", [0]), array("q"), array("i")
+
+    def _numbers(self, hashes: list[int], words: list[bytes]) -> list[int]:
+        """Places of words in the table; unknown ones are encoded and added."""
+        out = []
+        for h, w in zip(hashes, words, strict=True):
+            k = self.number.get(h)
+            if k is None or self.raw[k] != w:
+                ids, weight = self.lat.word(w.decode().replace(" ", SPACE))
+                k = len(self.raw)
+                self.number[h] = k
+                self.raw.append(w)
+                self.ids.frombytes(ids)
+                self.past.append(len(self.ids))
+                self.weight.append(weight)
+            out.append(k)
+        return out
+
+    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a slice of texts: (ids, ids before each text and in all, path weights)."""
+        if len(self.raw) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
+            self.clear()
+        some = np.diff(off) > 0
+        off = off + np.concatenate([[0], np.cumsum(some)])
+        buf = np.insert(data, off[:-1][some] - np.arange(some.sum()), 32)  # the dummy prefix
+        if not len(buf):
+            return np.zeros(0, np.int32), np.zeros(len(off), np.int64), np.zeros(len(some), np.int64)
+        space, line = buf == 32, buf == 10
+        cut = space.copy()
+        cut[1:] &= ~space[:-1]
+        cut[1:] |= line[1:] != line[:-1]
+        cut[off[:-1][some]] = True
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(buf))
+        h, first, which = np.unique(K.span_hashes(buf, start, end, lower=False), return_index=True, return_inverse=True)
+        text = buf.tobytes()
+        words = [text[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        k = np.array(self._numbers(h.tolist(), words), np.int64)[which]
+        past, ids = np.frombuffer(self.past, np.int64), np.frombuffer(self.ids, np.int32)
+        n = (past[1:] - past[:-1])[k]
+        before = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(before[-1]) + np.repeat(past[k] - before[:-1], n)
+        edge = np.searchsorted(start, off)
+        total = np.concatenate([[0], np.cumsum(np.frombuffer(self.weight, np.int64)[k])])
+        return ids[at], before[edge], np.diff(total[edge])
+
+
+def word_table(lat: Lattice) -> WordTable:
+    """The word table that lives with a lattice."""
+    if getattr(lat, "table", None) is None:
+        lat.table = WordTable(lat)
+    return lat.table
+
+
 def lattice(held) -> Lattice:
     """The lattice of a broadcast model, kept with its word cache for the life of a Python worker
     (results don't depend on what the cache holds)."""
@@ -371,13 +442,18 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
 
     def run(batches):
         lat = lattice(held)
+        table = word_table(lat)
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(text))
-            for i, j, _, _ in K.slices(batch, text):
-                got = [lat.encode(marked(x or "")) for x in col.slice(i, j - i).to_pylist()]
+            for i, j, data, off in K.slices(batch, text):
                 part = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(part.columns + [_list_array([x for x, _ in got]), pa.array([y for _, y in got], pa.int64())],
-                                                 names=part.schema.names + ["_ids", "_score"])
+                if table.usable and SPACE.encode() not in data.tobytes():
+                    ids, edge, score = table.encode(data, off)
+                    lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids))
+                else:  # texts that hold the space mark itself, models with pieces across spaces or lines
+                    got = [lat.encode(marked(x or "")) for x in col.slice(i, j - i).to_pylist()]
+                    lists, score = _list_array([x for x, _ in got]), np.array([y for _, y in got], np.int64)
+                yield pa.RecordBatch.from_arrays(part.columns + [lists, pa.array(score)], names=part.schema.names + ["_ids", "_score"])
     return docs.mapInArrow(run, schema)
 
 
@@ -475,6 +551,27 @@ def plain_digest(text: str) -> Column:
     return F.sha2(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit(SPACE), F.lit(" ")), 256)
 
 
+def _texts(ids: np.ndarray, edge: np.ndarray, flat: np.ndarray, past: np.ndarray) -> pa.Array:
+    """The texts of id lists (list k: ``ids[edge[k]:edge[k + 1]]``), the dummy prefix taken off."""
+    n = (past[1:] - past[:-1])[ids]
+    before = np.concatenate([[0], np.cumsum(n)])
+    data = flat[np.arange(before[-1]) + np.repeat(past[ids] - before[:-1], n)]
+    off = before[edge]
+    prefix = off[:-1][np.diff(off) > 0]
+    prefix = prefix[data[prefix] == 32]
+    data, off = np.delete(data, prefix), off - np.searchsorted(prefix, off)
+    raw = data.tobytes()
+    starts = off[:-1][off[:-1] < len(data)]
+    try:
+        raw.decode()
+        whole = not ((data[starts] & 0xC0) == 0x80).any()  # no text starts inside a character
+    except UnicodeDecodeError:
+        whole = False
+    if whole:
+        return pa.StringArray.from_buffers(len(off) - 1, pa.py_buffer(off.astype(np.int32)), pa.py_buffer(raw))
+    return pa.array([raw[a:b].decode("utf-8", "replace") for a, b in itertools.pairwise(off.tolist())], pa.string())
+
+
 def decode(df: DataFrame, ids: str = "_ids", out: str = "_decoded", model_path: str = MODEL_PATH) -> DataFrame:
     """``df`` with the text of an id array; broken byte runs become ``U+FFFD``, null ids the empty string."""
     _fresh(df, [out])
@@ -484,19 +581,16 @@ def decode(df: DataFrame, ids: str = "_ids", out: str = "_decoded", model_path:
         table[i] = bytes([byte])
     if p.unknown >= 0:
         table[p.unknown] = " ⁇ ".encode()
-    held = df.sparkSession.sparkContext.broadcast(table)
+    held = ship(df.sparkSession, (np.frombuffer(b"".join(table), np.uint8), np.cumsum([0, *map(len, table)])))
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.StringType())])
 
     def run(batches):
-        piece = held.value.__getitem__
+        flat, past = unpack(held)
         for batch in batches:
             for at in range(0, batch.num_rows, DECODE_ROWS):
                 part = batch.slice(at, DECODE_ROWS)
                 col = part.column(part.schema.get_field_index(ids))
-                values, texts = col.flatten().to_pylist(), []
-                past = np.cumsum(np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(float))).astype(int).tolist()
-                for lo, hi in zip([0, *past], past, strict=False):
-                    b = b"".join(map(piece, values[lo:hi]))
-                    texts.append((b[1:] if b[:1] == b" " else b).decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays(part.columns + [pa.array(texts, pa.string())], names=part.schema.names + [out])
+                edge = np.concatenate([[0], np.cumsum(np.nan_to_num(pc.list_value_length(col).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64))])
+                yield pa.RecordBatch.from_arrays(part.columns + [_texts(col.flatten().to_numpy(zero_copy_only=False), edge, flat, past)],
+                                                 names=part.schema.names + [out])
     return df.mapInArrow(run, schema)
