@@ -54,7 +54,8 @@ NEG = np.int64(-(1 << 60))
 SPACE = "▁"
 #: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
 CACHE_WORDS = 100_000
-CACHE_IDS = 4_000_000
+#: Words and ids that a worker's word table holds at most (some 100 MB).
+TABLE_WORDS, TABLE_IDS = 400_000, 8_000_000
 DECODE_ROWS = 256
 
 
@@ -329,8 +330,8 @@ class WordTable:
     """Encodings of words as flat arrays, so that a slice of texts is encoded by gathering.
 
     A word is known by the 64-bit hash of its bytes and checked against the bytes themselves; the lattice
-    only sees words that are new to the table. The table starts anew beyond ``CACHE_WORDS`` words or
-    ``CACHE_IDS`` ids.
+    only sees words that are new to the table. The table starts anew beyond ``TABLE_WORDS`` words or
+    ``TABLE_IDS`` ids.
     """
 
     def __init__(self, lat: Lattice):
@@ -361,7 +362,7 @@ class WordTable:
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a slice of texts: (ids, ids before each text and in all, path weights)."""
-        if len(self.raw) > CACHE_WORDS or len(self.ids) > CACHE_IDS:
+        if len(self.raw) > TABLE_WORDS or len(self.ids) > TABLE_IDS:
             self.clear()
         some = np.diff(off) > 0
         off = off + np.concatenate([[0], np.cumsum(some)])
