@@ -56,6 +56,8 @@ SPACE = "▁"
 CACHE_WORDS = 100_000
 #: Words and ids that a worker's word table holds at most (some 100 MB).
 TABLE_WORDS, TABLE_IDS = 400_000, 8_000_000
+#: Longest words, in characters, whose lattices are walked together.
+TOGETHER = 48
 DECODE_ROWS = 256
 
 
@@ -326,6 +328,16 @@ class Lattice:
         return b"".join(out) + np.array(self.emit(s, stop, piece), np.int32).tobytes()
 
 
+def _char_sums(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial hash over the characters, and the factors that make a stretch's sum independent
+    of its place."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(K.U)
+    p, q = K._power_tables(len(c) + 1)
+    total = np.zeros(len(c) + 1, K.U)
+    np.cumsum(K.mix(c + K.U(1)) * p[:len(c)], out=total[1:])
+    return total, q
+
+
 class WordTable:
     """Encodings of words as flat arrays, so that a slice of texts is encoded by gathering.
 
@@ -337,6 +349,7 @@ class WordTable:
     def __init__(self, lat: Lattice):
         self.lat = lat
         self.usable = lat.p.splits_at_space and "\n" not in "".join(lat.p.joint)
+        self.slots = self.weights = None
         self.clear()
 
     def clear(self) -> None:
@@ -346,18 +359,97 @@ class WordTable:
 
     def _numbers(self, hashes: list[int], words: list[bytes]) -> list[int]:
         """Places of words in the table; unknown ones are encoded and added."""
-        out = []
-        for h, w in zip(hashes, words, strict=True):
-            k = self.number.get(h)
-            if k is None or self.raw[k] != w:
-                ids, weight = self.lat.word(w.decode().replace(" ", SPACE))
-                k = len(self.raw)
-                self.number[h] = k
-                self.raw.append(w)
+        raw = self.raw
+        out = [k if (k := self.number.get(h, -1)) >= 0 and raw[k] == w else -1 for h, w in zip(hashes, words, strict=True)]
+        new = [i for i, k in enumerate(out) if k < 0]
+        if new:
+            texts = [words[i].decode().replace(" ", SPACE) for i in new]
+            for i, (ids, weight) in zip(new, self.paths(texts), strict=True):
+                out[i] = self.number[hashes[i]] = len(raw)
+                raw.append(words[i])
                 self.ids.frombytes(ids)
                 self.past.append(len(self.ids))
                 self.weight.append(weight)
-            out.append(k)
+        return out
+
+    def paths(self, words: list[str]) -> list[tuple[bytes, int]]:
+        """(ids, weight) of words. Words of one length take the lattice's steps together (BPE models, where a
+        position that is reached is settled); what that leaves open goes through ``Lattice.word`` singly."""
+        out: list[tuple[bytes, int] | None] = [None] * len(words)
+        if self.lat.p.bpe:
+            lens = np.array([len(w) for w in words], np.int64)
+            first = np.cumsum(lens) - lens
+            sums = _char_sums("".join(words))
+            for n in np.unique(lens[lens <= TOGETHER]).tolist():
+                some = np.flatnonzero(lens == n)
+                for at in range(0, len(some), 1 << 14):
+                    part = some[at:at + (1 << 14)]
+                    for k, got in zip(part.tolist(), self._together(first[part], n, sums), strict=True):
+                        out[k] = got
+        return [self.lat.word(w) if got is None else got for w, got in zip(words, out, strict=True)]
+
+    def _together(self, base: np.ndarray, n: int, sums: tuple[np.ndarray, np.ndarray]) -> list[tuple[bytes, int] | None]:
+        """Paths of the words of ``n`` characters that start at ``base``; None where a character is no piece."""
+        lat, count = self.lat, len(base)
+        weight = np.array(lat.p.weight, np.int64) if self.weights is None else self.weights
+        self.weights = weight
+        total, unshift = sums
+        last = np.full((n + 1, count), -3, np.int64)  # piece that ends here; -3: not reached, -2: the word's start
+        back, score = np.zeros((n + 1, count), np.int64), np.zeros((n + 1, count), np.int64)
+        last[0] = -2
+        for s in range(n):
+            act = np.flatnonzero(last[s] != -3)
+            origin, unit = total[base[act] + s], unshift[base[act] + s]
+            for e in range(s + 1, min(n, s + lat.p.longest) + 1):
+                if not len(act):
+                    break
+                piece = self._find(K.mix((total[base[act] + e] - origin) * unit + K.U(e - s)))
+                i = np.flatnonzero((piece >= 0) & (last[e][act] == -3))
+                if len(i):
+                    prev, new = last[s][act[i]], piece[i]
+                    known = [True if s == 0 else lat.pairs.get(k) for k in (prev << 32 | new).tolist()]
+                    ok = np.array([lat.allowed(a, b) if g is None else g for g, a, b in zip(known, prev.tolist(), new.tolist(), strict=True)], bool)
+                    w, new = act[i[ok]], new[ok]
+                    last[e][w], back[e][w], score[e][w] = new, s, score[s][w] + weight[new]
+                more = piece != -1
+                act, origin, unit = act[more], origin[more], unit[more]
+        done = last[n] != -3
+        ids, at = np.full((count, n), -1, np.int32), np.where(done, n, 0)
+        for step in range(n - 1, -1, -1):
+            w = np.flatnonzero(at > 0)
+            if not len(w):
+                break
+            ids[w, step] = last[at[w], w]
+            at[w] = back[at[w], w]
+        flat, edge = ids[ids >= 0].tobytes(), np.concatenate([[0], np.cumsum((ids >= 0).sum(1))]) * 4
+        return [(flat[a:b], v) if ok else None for a, b, v, ok in zip(edge[:-1].tolist(), edge[1:].tolist(), score[n].tolist(), done.tolist(), strict=True)]
+
+    def _find(self, h: np.ndarray) -> np.ndarray:
+        """Piece ids by hash; -2 for texts that only begin a piece, -1 for others (open addressing)."""
+        if self.slots is None:
+            names = list(self.lat.prefix)
+            lens = np.array([len(t) for t in names], np.int64)
+            total, unshift = _char_sums("".join(names))
+            past = np.cumsum(lens)
+            keys = K.mix((total[past] - total[past - lens]) * unshift[past - lens] + lens.astype(K.U))
+            bits = int(4 * len(names)).bit_length()
+            slot_key, slot_id = np.zeros((1 << bits) + 64, K.U), np.full((1 << bits) + 64, -1, np.int64)
+            for k, v in zip(keys.tolist(), self.lat.prefix.values(), strict=True):
+                at = k >> (64 - bits)
+                while slot_id[at] != -1:
+                    at += 1
+                slot_key[at], slot_id[at] = k, v
+            self.slots = slot_key, slot_id, bits
+        slot_key, slot_id, bits = self.slots
+        at = (h >> K.U(64 - bits)).astype(np.int64)
+        out = np.where(slot_key[at] == h, slot_id[at], -1)
+        open_ = np.flatnonzero((slot_key[at] != h) & (slot_id[at] != -1))
+        while len(open_):
+            at[open_] += 1
+            spot = at[open_]
+            hit = slot_key[spot] == h[open_]
+            out[open_[hit]] = slot_id[spot[hit]]
+            open_ = open_[~hit & (slot_id[spot] != -1)]
         return out
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -89,3 +89,18 @@ def test_unigram_mode_is_viterbi():
         got, score = lat.encode(s)
         assert score == round(best(s)[0] * 1024)
         assert sum(p.weight[i] for i in np.frombuffer(got, np.int32)) == score
+
+
+def test_words_walked_together_equal_the_lattice_alone():
+    lat = SP.Lattice(SP.load())
+    table = SP.WordTable(lat)
+    rng = random.Random(4)
+    words = ["".join(rng.choice("theanoingr.,é日👍\t▁") for _ in range(rng.randrange(1, 60))) for _ in range(400)] + ["", "▁", "▁" * 70, "a"]
+    assert table.paths(words) == [lat.word(w) for w in words]
+    texts = ["the  river\n\n road ", "", " ", "\n", "x" * 500, "é\x00 日本", "the  river\n\n road "]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    for _ in range(2):  # new and known words
+        ids, edge, score = table.encode(data, off)
+        got = [(ids[a:b].tobytes(), s) for a, b, s in zip(edge[:-1], edge[1:], score.tolist(), strict=True)]
+        assert got == [lat.encode(SP.marked(t)) for t in texts]
