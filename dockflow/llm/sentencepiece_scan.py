@@ -55,7 +55,7 @@ SPACE = "▁"
 #: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
 CACHE_WORDS = 100_000
 #: Words and ids that a worker's word table holds at most (some 100 MB).
-TABLE_WORDS, TABLE_IDS = 400_000, 8_000_000
+TABLE_WORDS, TABLE_IDS = 250_000, 4_000_000
 #: Longest words, in characters, whose lattices are walked together.
 TOGETHER = 48
 DECODE_ROWS = 256
