@@ -9,6 +9,7 @@ and parameter maps reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import time
 from collections.abc import Callable, Sequence
@@ -16,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import (GBTRegressionModel, GBTRegressor, LinearRegression,
@@ -26,10 +28,13 @@ from pyspark.sql import functions as F
 from ..functions import round_half_even
 from ..operators import evaluate as E
 from ..operators import split as SP
+from ..session import materialize
 from ..schema import (BASELINE_NAME, GBT_PARAMS, RANDOM_SEED, RF_PARAMS, RIDGE_ALPHA, SEARCH_SPACES,
                       TARGET, TARGET_RAW, XGB_PARAMS)
 
 PREFIX = "f__"
+# Boosting rounds grown between two looks at the holdout (M7).
+BLOCK_ROUNDS = 25
 
 
 def _q(name: str) -> str:
@@ -151,12 +156,17 @@ def mean_baseline(train: DataFrame, label: str = TARGET) -> PipelineModel:
 def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params: dict | None = None,
                    label: str = TARGET, seed: int = RANDOM_SEED) -> Pipeline:
     """Imputer (+ scaler for the linear model) -> assembler -> regressor."""
-    params = dict(params or {})
-    ridge = kind == "ridge"
     medians, scaling, label_stats = fit_preprocessing(train, features, label if kind in ("ridge", "gbt_es") else None,
-                                                      scale=ridge)
-    stages = [preprocess_stage(features, medians, scaling), assembler(features)]
-    if ridge:
+                                                      scale=kind == "ridge")
+    return Pipeline(stages=[preprocess_stage(features, medians, scaling), assembler(features),
+                            regressor(kind, params, label, label_stats, seed)])
+
+
+def regressor(kind: str, params: dict | None, label: str = TARGET, label_stats: tuple[int, float] | None = None,
+              seed: int = RANDOM_SEED):
+    """The estimator of a model kind over assembled ``features``; ``label_stats``: count and sigma of the label."""
+    params = dict(params or {})
+    if kind == "ridge":
         alpha = params.get("alpha", RIDGE_ALPHA)
         n_y, s_y = label_stats if label_stats else (1, 1.0)
         # sklearn Ridge(alpha) = Spark regParam alpha / n * sigma_pop(y) .
@@ -198,7 +208,7 @@ def build_pipeline(kind: str, train: DataFrame, features: Sequence[str], params:
                            maxMemoryInMB=int(p.get("max_memory_mb", 1024)), cacheNodeIds=True)
     else:
         raise KeyError(kind)
-    return Pipeline(stages=stages + [reg])
+    return reg
 
 
 def fit(kind: str, train: DataFrame, features: Sequence[str], params: dict | None = None,
@@ -231,53 +241,91 @@ def best_rounds(errors: Sequence[float], patience: int) -> int:
     return best_i + 1
 
 
-def first_trees(gbt: GBTRegressionModel, keep: int) -> GBTRegressionModel:
-    """The boosted model cut to its first ``keep`` trees, with the same columns."""
-    sc = SparkSession.getActiveSession().sparkContext
-    old, jvm = gbt._java_obj, sc._jvm
-    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, keep)
-    weights = sc._gateway.new_array(jvm.double, keep)
-    for i, t in enumerate(list(old.trees())[:keep]):
+def joined_trees(parts: Sequence[GBTRegressionModel], keep: int) -> GBTRegressionModel:
+    """One boosted model of the first ``keep`` trees of several, in order, with the columns of the first."""
+    sc = SparkContext.getOrCreate()  # the active session is not known in a search's threads
+    jvm, first = sc._jvm, parts[0]
+    grown = [(t, w) for p in parts for t, w in zip(p._java_obj.trees(), p.treeWeights, strict=True)][:keep]
+    trees = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(grown))
+    weights = sc._gateway.new_array(jvm.double, len(grown))
+    for i, (t, w) in enumerate(grown):
         trees[i] = t
-        weights[i] = float(gbt.treeWeights[i])
-    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{gbt.uid}_{keep}", trees, weights, int(gbt.numFeatures))
+        weights[i] = float(w)
+    cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{first.uid}_{keep}", trees, weights, int(first.numFeatures))
     out = GBTRegressionModel(cut)
     out._resetUid(cut.uid())
     for name in ("labelCol", "featuresCol", "predictionCol"):
-        value = gbt.getOrDefault(name)
+        value = first.getOrDefault(name)
         cut.set(cut.getParam(name), value)
         out._set(**{name: value})
     return out
 
 
-def _fit_early_stopped(train: DataFrame, features: Sequence[str], params: dict | None,
-                       label: str, patience: int = 50, ratio: float = 0.85):
+def first_trees(gbt: GBTRegressionModel, keep: int) -> GBTRegressionModel:
+    """The boosted model cut to its first ``keep`` trees, with the same columns."""
+    return joined_trees([gbt], keep)
+
+
+@dataclass
+class Holdout:
+    """M7's preprocessed rows, written once: assembled training rows before the cut (W5) and validation rows behind it."""
+
+    stages: list
+    rows: DataFrame
+    holdout: DataFrame | None
+    label_stats: tuple[int, float] | None
+
+
+def hold_out(train: DataFrame, features: Sequence[str], label: str = TARGET, ratio: float = 0.85, ts: str = "datetime") -> Holdout:
+    """The last part of the training time is held out; medians come from the rows before it."""
+    cut = SP.early_stop_cutoff(train, ts, ratio)
+    early = train if cut is None else train.where(SP.before(cut, ts))
+    if early.limit(1).count() == 0:
+        raise ValueError("too few training rows for the 85/15 early-stopping split")
+    medians, _, stats = fit_preprocessing(early, features, label, scale=False)
+    stages = [preprocess_stage(features, medians, None), assembler(features)]
+    ready = PipelineModel(stages=stages)
+    rows = lambda df: materialize(ready.transform(df).select("features", label), "boost")
+    return Holdout(stages, rows(early), None if cut is None else rows(train.where(~SP.before(cut, ts))), stats)
+
+
+def _fit_early_stopped(train: DataFrame | None, features: Sequence[str], params: dict | None,
+                       label: str, patience: int = 50, ratio: float = 0.85, held: Holdout | None = None):
     """M7: boosting stopped on the last 15 % of the training time.
 
-    Trees are grown on the first 85 %; the holdout MAE after each round comes
-    from ``evaluateEachIteration`` (one pass per round over the holdout, no
-    refit per round); the kept count is the best round before ``patience``
-    rounds without improvement, and the model is refit with that many rounds
-    (same seed, so the first rounds are the same trees). The actual count is
-    returned, not the upper bound.
+    Trees are grown in blocks of ``BLOCK_ROUNDS``. Between blocks the rows are
+    written with the residual that is left, and the next block boosts that
+    residual (its first tree takes a full step, as the first tree of any
+    ``GBTRegressor`` does). ``evaluateEachIteration`` gives the holdout MAE
+    after each round of a block. A block never reaches further than
+    ``patience`` rounds behind the best one, so at most that many rounds are
+    grown in vain. The model is that of the best round; its count is
+    returned, not the upper bound. A search passes ``held`` to share the
+    prepared rows between trials.
     """
     p = {**XGB_PARAMS, **(params or {})}
-    patience = int(p.get("early_stopping_rounds", patience))
-    data = SP.early_stop_split(train, ratio=ratio)
-    fit_rows = data.where(~F.col("is_validation")).drop("is_validation")
-    holdout = data.where(F.col("is_validation")).drop("is_validation")
-    if fit_rows.limit(1).count() == 0:
-        raise ValueError("too few training rows for the 85/15 early-stopping split")
-    model = build_pipeline("gbt_es", fit_rows, features, p, label).fit(fit_rows)
-    gbt = model.stages[-1]
-    prepared = PipelineModel(stages=model.stages[:-1]).transform(holdout)
-    errors = gbt.evaluateEachIteration(prepared, "absolute") if holdout.limit(1).count() else []
-    n_max = len(gbt.trees)
-    keep = best_rounds(errors, patience) if errors else n_max
-    if keep < n_max:
-        model = PipelineModel(stages=[*model.stages[:-1], first_trees(gbt, keep)])
-    return model, {"n_trees": keep, "n_max": n_max,
-                   "holdout_mae": float(errors[keep - 1]) if errors else None}
+    patience, n_max = int(p.get("early_stopping_rounds", patience)), int(p["n_estimators"])
+    held = held or hold_out(train, features, label, ratio)
+    rows, holdout = held.rows, held.holdout
+    blocks, errors, grown, keep = [], [], 0, 0
+    while grown < n_max:
+        size = min(BLOCK_ROUNDS, n_max - grown, keep + patience - grown) if errors else min(BLOCK_ROUNDS, n_max)
+        if holdout is None:
+            size = n_max
+        if size <= 0:
+            break
+        model = regressor("gbt_es", {**p, "n_estimators": size}, label, held.label_stats, RANDOM_SEED + grown).fit(rows)
+        blocks.append(model)
+        grown += size
+        keep = grown
+        if holdout is not None:
+            errors += model.evaluateEachIteration(holdout, "absolute")
+            keep = best_rounds(errors, patience)
+        if grown < n_max and grown < keep + patience:
+            left = lambda df: materialize(model.transform(df).select("features", (F.col(label) - F.col("prediction")).alias(label)), "boost")  # noqa: B023, E731
+            rows, holdout = left(rows), left(holdout)
+    return PipelineModel(stages=[*held.stages, joined_trees(blocks, keep)]), {
+        "n_trees": keep, "n_max": n_max, "n_grown": grown, "holdout_mae": float(errors[keep - 1]) if errors else None}
 
 
 # ---------------------------------------------------------------------------
@@ -339,30 +387,64 @@ def load_model(path: str) -> PipelineModel:
 # Time-series CV, search, best trial
 # ---------------------------------------------------------------------------
 
-def time_series_cv_mae(kind: str, train: DataFrame, features: Sequence[str], params: dict | None = None,
-                       label: str = TARGET, n_splits: int = 3, folds: DataFrame | None = None) -> float:
-    """M8: mean MAE over expanding time folds (W4); fit on 'train', score 'test'."""
-    folds = folds if folds is not None else SP.expanding_time_folds(train, n_splits=n_splits)
+@dataclass
+class Fold:
+    train: DataFrame
+    test: DataFrame
+    label_stats: tuple[int, float] | None
+    mean: float
+
+
+class FoldStore:
+    """W4's folds ready for fitting: each fold's rows imputed (and scaled), assembled and written once.
+
+    Folds are time ranges of ``train``, so each is read by a pushed-down
+    filter. Medians and scales are those of the fold's own training rows.
+    Trials only fit and score; they share what is written here.
+    """
+
+    def __init__(self, train: DataFrame, features: Sequence[str], label: str = TARGET, n_splits: int = 3, scale: bool = False,
+                 ts: str = "datetime"):
+        self.folds = []
+        for lo, end in SP.fold_cutoffs(train, ts, n_splits):
+            past, block = train.where(SP.before(lo, ts)), train.where(~SP.before(lo, ts))
+            block = block if end is None else block.where(SP.before(end, ts))
+            medians, scaling, stats = fit_preprocessing(past, features, label, scale=scale)
+            ready = PipelineModel(stages=[preprocess_stage(features, medians, scaling), assembler(features)])
+            rows = [materialize(ready.transform(df).select("features", label), "fold") for df in (past, block)]
+            self.folds.append(Fold(*rows, stats, past.agg(F.avg(label)).first()[0]))
+
+
+def time_series_cv_mae(kind: str, train: DataFrame | None, features: Sequence[str], params: dict | None = None,
+                       label: str = TARGET, n_splits: int = 3, folds: FoldStore | None = None) -> float:
+    """M8: mean MAE over expanding time folds (W4); fit on a fold's past, score its block."""
+    folds = folds or FoldStore(train, features, label, n_splits, kind == "ridge")
     maes = []
-    for i in range(n_splits):
-        tr = folds.where((F.col("fold") == i) & (F.col("role") == "train")).drop("fold", "role")
-        te = folds.where((F.col("fold") == i) & (F.col("role") == "test")).drop("fold", "role")
-        m = fit(kind, tr, features, params, label)
-        p = predict(m.model, te)
-        maes.append(E.regression_metrics(p, label, "residual_pred", exact=False).first()["MAE"])
+    for f in folds.folds:
+        if kind == "baseline":
+            p = f.test.withColumn("prediction", F.lit(f.mean))
+        else:
+            p = regressor(kind, params, label, f.label_stats).fit(f.train).transform(f.test)
+        maes.append(E.regression_metrics(p, label, "prediction", exact=False).first()["MAE"])
     return float(np.mean(maes))
 
 
-# Search spaces: (low, high, log scale, integer).
+def uniform(seed: int, kind: str, trial: int, name: str) -> float:
+    """A repeatable draw from [0, 1): the first 8 hex digits of md5('seed:kind:trial:name')."""
+    return int(hashlib.md5(f"{seed}:{kind}:{trial}:{name}".encode()).hexdigest()[:8], 16) / 2 ** 32
+
+
 def draw_params(kind: str, n: int, seed: int = RANDOM_SEED, space: dict | None = None) -> list[dict]:
-    """Seeded random draws from a search space (log-uniform where marked)."""
-    rng = np.random.default_rng(seed)
-    space = space or SEARCH_SPACES[kind]
+    """Seeded random draws from a search space of (low, high, log scale, integer), log-uniform where marked.
+
+    A trial's parameters depend on nothing but seed, kind, trial and name.
+    """
     out = []
-    for _ in range(n):
+    for i in range(n):
         p = {}
-        for k, (lo, hi, log, integer) in space.items():
-            v = math.exp(rng.uniform(math.log(lo), math.log(hi))) if log else rng.uniform(lo, hi)
+        for k, (lo, hi, log, integer) in (space or SEARCH_SPACES[kind]).items():
+            u = uniform(seed, kind, i, k)
+            v = math.exp(math.log(lo) + u * (math.log(hi) - math.log(lo))) if log else lo + u * (hi - lo)
             p[k] = int(round(v)) if integer else float(v)
         out.append(p)
     return out
@@ -385,14 +467,15 @@ def param_search(kind: str, train: DataFrame, features: Sequence[str], n_trials:
     cross-validated with it and records it as ``best_n_estimators``.
     """
     spark = train.sparkSession
-    folds = SP.expanding_time_folds(train)
+    folds = FoldStore(train, features, label, scale=kind == "ridge")
+    held = hold_out(train, features, label) if kind == "gbt_es" else None
     trials = [(i, p) for i, p in enumerate(draw_params(kind, n_trials, seed, space)) if i not in set(done)]
 
     def run(i_p):
         i, p = i_p
         cv = p
         if kind == "gbt_es":
-            _, info = _fit_early_stopped(train, features, p, label)
+            _, info = _fit_early_stopped(None, features, p, label, held=held)
             p = {**p, "best_n_estimators": info["n_trees"]}
             cv = {**p, "n_estimators": info["n_trees"]}
         row = (kind, i, {k: repr(v) for k, v in p.items()},

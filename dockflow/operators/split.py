@@ -142,6 +142,25 @@ def split_summary(df: DataFrame, split_col: str = "split") -> DataFrame:
                     .alias("share"), F.lit(ncols).cast("bigint").alias("n_columns"))
 
 
+def before(us: int, ts: str = "datetime") -> Column:
+    """``ts`` earlier than a time in microseconds, as a plain timestamp comparison that reaches the parquet scan."""
+    return F.col(ts) < F.timestamp_micros(F.lit(int(us)))
+
+
+def fold_cutoffs(df: DataFrame, ts: str = "datetime", n_splits: int = 3) -> list[tuple[int, int | None]]:
+    """W4 as time ranges: for each fold the first microsecond of its test block and of the rows behind it (None at
+    the end). Training rows of a fold are those before the first, so folds are read by range, without exploding."""
+    x = micros(ts)
+    st = _stats(df, x)
+    n = st["n"]
+    size = n // (n_splits + 1)
+    if size == 0:
+        raise ValueError("too few rows for the folds")
+    starts = [n - (n_splits - i) * size for i in range(n_splits)]
+    v = order_statistics(df, x, starts, stats=st, pushdown_ts=ts)
+    return [(v[s], v[starts[i + 1]] if i + 1 < n_splits else None) for i, s in enumerate(starts)]
+
+
 def expanding_time_folds(df: DataFrame, ts: str = "datetime", n_splits: int = 3) -> DataFrame:
     """Expanding-window folds by time (train = past, test = next block).
 
@@ -151,21 +170,10 @@ def expanding_time_folds(df: DataFrame, ts: str = "datetime", n_splits: int = 3)
     Each row is emitted once per fold it belongs to (at most ``n_splits``
     rows), with columns ``fold`` and ``role``; no join, no global row number.
     """
-    x = micros(ts)
-    st = _stats(df, x)
-    n = st["n"]
-    size = n // (n_splits + 1)
-    if size == 0:
-        raise ValueError("too few rows for the folds")
-    starts = [n - (n_splits - i) * size for i in range(n_splits)]
-    ranks = starts + [s + size for s in starts if s + size < n]
-    v = order_statistics(df, x, ranks, stats=st)
     entries = []
-    for i, s in enumerate(starts):
-        lo = float(v[s])
-        end = s + size
-        role = F.when(x < F.lit(lo), F.lit("train"))
-        role = role.when(x < F.lit(float(v[end])), F.lit("test")) if end < n else role.otherwise(F.lit("test"))
+    for i, (lo, end) in enumerate(fold_cutoffs(df, ts, n_splits)):
+        role = F.when(before(lo, ts), F.lit("train"))
+        role = role.when(before(end, ts), F.lit("test")) if end is not None else role.when(F.col(ts).isNotNull(), F.lit("test"))
         entries.append(F.struct(F.lit(i).alias("fold"), role.alias("role")))
     folded = df.withColumn("_f", F.explode(F.array(*entries)))
     return (folded.where(F.col("_f.role").isNotNull())
@@ -175,11 +183,13 @@ def expanding_time_folds(df: DataFrame, ts: str = "datetime", n_splits: int = 3)
 def early_stop_split(df: DataFrame, ts: str = "datetime", ratio: float = 0.85,
                      out: str = "is_validation") -> DataFrame:
     """First ``int(n * ratio)`` rows by time train, the rest validate."""
+    cut = early_stop_cutoff(df, ts, ratio)
+    return df.withColumn(out, F.lit(False) if cut is None else ~before(cut, ts))
+
+
+def early_stop_cutoff(df: DataFrame, ts: str = "datetime", ratio: float = 0.85) -> int | None:
+    """W5 as a time: the first microsecond of the validation rows, None if there are none."""
     x = micros(ts)
     st = _stats(df, x)
-    n = st["n"]
-    k = int(n * ratio)
-    if k >= n:
-        return df.withColumn(out, F.lit(False))
-    cut = float(order_statistics(df, x, [k], stats=st)[k])
-    return df.withColumn(out, x >= F.lit(cut))
+    k = int(st["n"] * ratio)
+    return order_statistics(df, x, [k], stats=st, pushdown_ts=ts)[k] if k < st["n"] else None

@@ -17,6 +17,7 @@ from ..operators import evaluate as E
 from ..operators.explore import profile_by_weekday
 from ..functions import clip
 from ..schema import BASELINE_NAME, SEVERITY_LABELS, TARGET, TARGET_RAW, WEEKDAY_LABELS
+from ..session import materialize
 from ..sources.tables import readings
 from . import sqltext as Q
 from .catalog import output, register
@@ -27,7 +28,9 @@ PERSISTENCE = "Persistance residu 240min"
 
 
 def _tables(spark: SparkSession, sf_dir: str):
+    """The C5 table, written once by split, and its two splits: every metric and fit reads the written table."""
     ft, _, _ = feature_table(readings(spark, sf_dir))
+    ft = materialize(ft, "ft", partition_by="split")
     train = ft.where(F.col("split") == "train")
     test = ft.where(F.col("split") == "test")
     return ft, train, test

@@ -175,17 +175,19 @@ def release_tables(spark: SparkSession) -> int:
     return n
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as parquet into the shared checkpoint folder and read it back.
 
     Used where a data-sized intermediate feeds several later jobs (cutoff,
     fitting, output): the expensive plan runs once, lineage is cut, and the
     re-read gets column pruning and filter pushdown, unlike an RDD checkpoint.
-    Survives executor loss because the folder is shared storage.
+    Survives executor loss because the folder is shared storage. With
+    ``partition_by`` a filter on that column reads only its folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path) if partition_by else spark.read.parquet(path)
 

@@ -83,6 +83,44 @@ def test_gbt_early_stopping_keeps_best_count(spark):
                                     "subsample": 1.0, "min_child_weight": 5, "early_stopping_rounds": 5})
     assert 1 <= m.info["n_trees"] <= m.info["n_max"] == 30
     assert len(m.model.stages[-1].trees) == m.info["n_trees"]
+    assert m.info["n_trees"] <= m.info["n_grown"] <= m.info["n_trees"] + 5
+
+
+def test_boosting_in_blocks_stops_saves_and_scores(spark, monkeypatch, tmp_path):
+    """Noise behind a step: a few rounds help, then the holdout gets worse; grown rounds stay within the patience."""
+    monkeypatch.setattr(M, "BLOCK_ROUNDS", 4)
+    rng = np.random.default_rng(5)
+    x = np.round(rng.uniform(-1, 1, (600, 3)), 2)
+    rows = [(float(a), float(b), float(c), float(10 * (a > 0) + rng.normal(0, 3))) for a, b, c in x]
+    df = spark.createDataFrame(rows, "x1 double, x2 double, x3 double, residual double").withColumn("datetime", F.timestamp_seconds(F.monotonically_increasing_id()))
+    df = M.materialize(df, "t-rows")
+    p = {"n_estimators": 60, "max_depth": 4, "learning_rate": 0.3, "subsample": 1.0, "min_child_weight": 2, "gamma": 0.0, "early_stopping_rounds": 6,
+         "colsample_bytree": 1.0, "colsample_bylevel": 1.0}
+    m = M.fit("gbt_es", df, FEATS, p)
+    keep, grown = m.info["n_trees"], m.info["n_grown"]
+    assert keep <= grown <= keep + 6 and grown < 60
+    cut = M.SP.early_stop_cutoff(df)
+    hold = df.where(~M.SP.before(cut))
+    scored = m.model.transform(hold)
+    assert scored.select(F.avg(F.abs(F.col("residual") - F.col("prediction")))).first()[0] == pytest.approx(m.info["holdout_mae"])
+    m.model.write().overwrite().save(str(tmp_path / "m"))
+    again = M.PipelineModel.load(str(tmp_path / "m")).transform(hold)
+    assert [r.prediction for r in again.select("prediction").collect()] == pytest.approx([r.prediction for r in scored.select("prediction").collect()])
+
+
+def test_fold_store_equals_fits_of_each_fold(spark):
+    df, _, _ = _planted(spark, 400)
+    df = M.materialize(df.withColumn("datetime", F.timestamp_seconds(F.monotonically_increasing_id() % 97)), "t-rows")
+    folds = M.SP.expanding_time_folds(df)
+    for kind, params in (("ridge", {"alpha": 5.0}), ("baseline", None)):
+        want = []
+        for i in range(3):
+            tr, te = (folds.where((F.col("fold") == i) & (F.col("role") == r)) for r in ("train", "test"))
+            p = M.predict(M.fit(kind, tr, FEATS, params).model, te)
+            want.append(E.regression_metrics(p, "residual", "residual_pred", exact=False).first()["MAE"])
+        assert M.time_series_cv_mae(kind, df, FEATS, params) == pytest.approx(np.mean(want), rel=1e-6)
+    plan = df.where(M.SP.before(M.SP.fold_cutoffs(df)[0][0]))._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(datetime), LessThan(datetime" in plan
 
 
 def test_preprocessing_keeps_digits_of_large_means(spark):
