@@ -108,12 +108,13 @@ def _fit_and_compare(spark, sf_dir, kind):
 @register("ridge_fit_predict", _ft_sql(" UNION ALL ".join(
     f"SELECT '{f}' AS feature, count(*) AS n_train, true AS balanced FROM ft WHERE split = 'train'" for f in FEATURES)))
 def q_ridge(spark, sf_dir):
-    """The normal equations of the fit, a row per feature: z'(y - prediction) = alpha w, z the scaled feature."""
+    """The normal equations of the fit, a row per feature: z'(y - prediction) = alpha w, z the scaled feature (up to
+    1e-5 of count times sigma: equal columns make the solver iterate)."""
     _, train, _ = _tables(spark, sf_dir)
     model = M.fit("ridge", train, FEATURES).model
     rest = F.col(TARGET) - F.col("prediction")
-    sums = model.transform(train).agg(F.count("*").alias("n"), *[F.sum(F.col(M.PREFIX + f) * rest).alias(f) for f in FEATURES]).first()
-    rows = [(f, sums["n"], abs(sums[f] - RIDGE_ALPHA * w) <= 1e-6 * sums["n"]) for f, w in zip(FEATURES, model.stages[-1].coefficients.toArray().tolist())]
+    sums = model.transform(train).agg(F.count("*").alias("n"), F.stddev_pop(TARGET).alias("sigma"), *[F.sum(F.col(M.PREFIX + f) * rest).alias(f) for f in FEATURES]).first()
+    rows = [(f, sums["n"], abs(sums[f] - RIDGE_ALPHA * w) <= 1e-5 * sums["n"] * sums["sigma"]) for f, w in zip(FEATURES, model.stages[-1].coefficients.toArray().tolist())]
     return spark.createDataFrame(rows, "feature string, n_train long, balanced boolean")
 
 
