@@ -54,7 +54,7 @@ NEG = np.int64(-(1 << 60))
 SPACE = "▁"
 #: Words (and as many piece pairs) remembered per generation; two generations live in a Python worker.
 CACHE_WORDS = 100_000
-#: Words and ids that a worker's word table holds at most (some 100 MB).
+#: Words and ids that a task's word table holds at most (some 60 MB).
 TABLE_WORDS, TABLE_IDS = 250_000, 4_000_000
 #: Longest words, in characters, whose lattices are walked together.
 TOGETHER = 48
@@ -547,6 +547,8 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
                     got = [lat.encode(marked(x or "")) for x in col.slice(i, j - i).to_pylist()]
                     lists, score = _list_array([x for x, _ in got]), np.array([y for _, y in got], np.int64)
                 yield pa.RecordBatch.from_arrays(part.columns + [lists, pa.array(score)], names=part.schema.names + ["_ids", "_score"])
+        table.clear()  # the worker goes on to other tasks, also of other stages
+        K.trim()
     return docs.mapInArrow(run, schema)
 
 
