@@ -111,6 +111,43 @@ def test_every_edit_position_of_every_length():
         assert truth <= set(found(index, docs)), rate
 
 
+def test_recall_by_length_and_position():
+    """Only the walks find spans here, so recall is measured; the exact check decides what is reported."""
+    rng = random.Random(11)
+    lengths = [n for n in [*range(7, 21), 26, 33, 59] for _ in range(8)]
+    items = [(i, " ".join(rng.choices(VOCAB, k=n))) for i, n in enumerate(lengths)]
+    index = DC.ItemIndex(items, DC.MAX_RATE)
+    docs, truth = [], []
+    for i, t in items:
+        n, limit = len(t.split()), int(DC.MAX_RATE * len(t.split()))
+        for first in range(n):
+            w = t.split()
+            for p in sorted([first, *rng.sample([x for x in range(n) if x != first], limit - 1)], reverse=True):
+                op = rng.randrange(3)
+                w[p:p + (op < 2)] = [[rng.choice(VOCAB)], [], [rng.choice(VOCAB)]][op]
+            truth.append((len(docs), i, n, first))
+            docs.append(" ".join(rng.choices(VOCAB, k=9) + w + rng.choices(VOCAB, k=9)))
+    got = set(found(index, docs))
+    for place in (lambda n, f: n, lambda n, f: (n, f)):
+        caught = {}
+        for d, i, n, f in truth:
+            caught.setdefault(place(n, f), []).append((d, i) in got)
+        assert min(sum(v) / len(v) for v in caught.values()) >= (0.97 if place(1, 2) == 1 else 0.75)
+    for n in range(7, 80):
+        size = DC.window_size(n, DC.MAX_RATE)
+        assert n - size + 1 >= int(DC.MAX_RATE * n) + 2
+
+
+def test_walks_skip_the_first_word_in_some_repetitions():
+    firsts = [sampled[0] for _, sampled in DC.plan(12, DC.REPETITIONS, DC.SAMPLES)]
+    assert firsts.count(0) == 6 and set(firsts) <= {0, 1, 2}
+    words = np.arange(1, 13, dtype=K.U) * K.U(7919)
+    for size in DC.SIZES:
+        for seed, sampled in DC.plan(size, DC.REPETITIONS, DC.SAMPLES):
+            assert sampled == sorted(set(sampled)) and sampled[-1] < max(1, 2 * size)
+            assert len(DC.walk_keys(words, np.arange(13 - size), size, seed, sampled)[0]) == 13 - size
+
+
 def test_spark_results_and_filter(spark, monkeypatch):
     docs = edge_docs(spark)
     items = spark.createDataFrame([(7, prose(1)), (7, prose(1)), (8, prose(99, 20)), (9, None), (None, prose(2))], "item_id long, text string")
