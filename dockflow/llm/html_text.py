@@ -144,18 +144,21 @@ def blocks(page: str) -> list[Block]:
                 out.append(Block([text], n, min(linked, n), heading, top.boiler > 0, top.article, top.label))
         held, heading = [], False
 
-    def drop(tag: str, stop: tuple[str, ...] = ()) -> bool:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag == tag:
-                del stack[k:]
-                return True
-            if stack[k].tag in stop:
-                return False
-        return False
+    where: dict[str, list[int]] = {}  # the places of each tag's open elements in the stack
+
+    def drop(tag: str, stop: tuple[str, ...] = ()) -> None:
+        """Close the innermost open ``tag`` and all inside it, unless a ``stop`` element lies between."""
+        if not where.get(tag):
+            return
+        k = where[tag][-1]
+        if all(not where.get(s) or where[s][-1] < k for s in stop):
+            for x in stack[k:]:
+                where[x.tag].pop()
+            del stack[k:]
 
     def say(raw: str) -> None:
         if raw:
-            held.append((html.unescape(raw), any(x.tag in LINKS for x in stack)))
+            held.append((html.unescape(raw), any(where.get(t) for t in LINKS)))
     at = 0
     unclosed = set(BREAKING)
     for m in iter(lambda: TOKEN.search(page, at), None):
@@ -205,6 +208,7 @@ def blocks(page: str) -> list[Block]:
             boiler = max(boiler, named)
             if tag in BOILER_TAGS or (tag == "header" and not inside):
                 boiler = max(boiler, FRAME if tag in FRAME_TAGS else CARDS)
+        where.setdefault(tag, []).append(len(stack))
         stack.append(_Open(tag, max(held_by, boiler), (inside or (article and not named) or tag in MAIN_TAGS) and not boiler, top.label or label))
         if tag in HEADING:
             heading = True

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -86,6 +87,23 @@ def test_tree_separates_the_labelled_table(tree):
     assert right >= 0.93 * total and total > 60
 
 
+@pytest.mark.parametrize("page", [
+    lambda n: "<div>a " * n,
+    lambda n: "<b>" * n + "x</i> " * n,
+    lambda n: "<p><div>" + "<b>" * n + "<h1>y</h1>" * n,
+    lambda n: "<li><ul>" + "<i>" * n + "<li>z</li>" * n,
+    lambda n: "<a href=x>" + "<span>w " * n + "</span>" * n])
+def test_time_grows_with_the_page_not_with_its_depth(page):
+    def seconds(n):
+        best = 9e9
+        for _ in range(3):
+            t = time.process_time()
+            HT.blocks(page(n))
+            best = min(best, time.process_time() - t)
+        return best
+    assert seconds(24_000) < 9 * seconds(6_000) + 0.05  # four times the page; a walk over the open elements takes 16 times as long
+
+
 def test_edges(spark, tree):
     big = "<article>" + "".join(f"<p>Paragraph {i} of a very long page.</p>" for i in range(20_000)) + "</article>"
     rows = [(1, "u", None), (1, "u", f"<p>{L}</p>"), (None, None, f"<p>{L}</p>"), (2, "u", big), (3, "u", "<" * 500 + "p>" * 500), (4, "u", "<a title='x" * 300)]
