@@ -1,21 +1,27 @@
 """Operator 7: token counts as delta-maintained rollups.
 
-A store keeps two tables under one folder of shared storage, each with one
+A store keeps three tables under one folder of shared storage, each with one
 folder per batch:
 
 * ``ledger/batch_id=K``: the state that batch K leaves behind for each document
   it changed (source, language, tokenizer version, tokens; or deleted);
 * ``deltas/batch_id=K``: the signed sums of documents and tokens by source,
-  language and tokenizer version that batch K adds to the totals.
+  language and tokenizer version that batch K adds to the totals;
+* ``snapshot/batch_id=K``: the state of all documents after batch K, written
+  once every ``COMPACT_EVERY`` batches. The state before a batch is read from
+  the newest snapshot and the fewer than ``COMPACT_EVERY`` ledger folders behind
+  it, cut down to the changed ids before anything is grouped; so a commit
+  depends on the size of the corpus and of the batch, not on the number of
+  batches before.
 
 ``commit`` turns changes into signed rows: minus the state before the batch,
 plus the new state. An insert and a revision set a document's state, a delete
 ends it; so a revision under another tokenizer version moves the counts
 between the two versions. Totals are the sum of all deltas. A batch only reads
-batches with smaller ids and writes its own two folders, the deltas last. A
+batches with smaller ids and writes its own folders, the deltas after the ledger. A
 batch whose deltas are complete is committed, and committing it again does
-nothing; one that was cut short is written anew. Batch ids must grow: a new
-batch below a committed one is an error.
+nothing but finish its snapshot; one that was cut short is written anew. Batch
+ids must grow: a new batch below a committed one is an error.
 
 Defined results: a null or empty text has 0 tokens; a null source or language
 is a group of its own; of several changes to one id in a batch the one with
@@ -42,6 +48,7 @@ TOKENIZER_PATH_MULTI = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 ONLY_BITS = 1 << 23
+COMPACT_EVERY = 8
 GROUP = ["source", "lang", "version"]
 STATE = "doc_id long, source string, lang string, version string, n_tokens long, deleted boolean"
 
@@ -97,10 +104,10 @@ def deletes(ids: DataFrame, doc_id: str = "doc_id", seq: int = 0) -> DataFrame:
 
 
 class RollupStore:
-    """The two tables under ``root`` (a path that driver and executors share)."""
+    """The three tables under ``root`` (a path that driver and executors share)."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, compact_every: int = COMPACT_EVERY):
+        self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
 
     def _batches(self, table: str) -> list[int]:
         base = f"{self.root}/{table}"
@@ -123,18 +130,35 @@ class RollupStore:
         """Batch ids whose deltas are in the totals."""
         return self._batches("deltas")
 
-    def ledger(self, before: int | None = None) -> DataFrame:
-        """The latest state of every document with an id (before a batch, if given)."""
-        done = [b for b in self._batches("ledger") if b in set(self.committed()) and (before is None or b < before)]
-        rows = self._read("ledger", STATE, done).where("doc_id IS NOT NULL")
+    def _history(self, before: int | None) -> tuple[list[int], list[int]]:
+        """(the newest snapshot, the ledger batches behind it) among committed batches below ``before``."""
+        done = [b for b in self.committed() if before is None or b < before]
+        base = [b for b in self._batches("snapshot") if b in set(done)][-1:]
+        return base, [b for b in done if not base or b > base[0]]
+
+    def ledger(self, before: int | None = None, ids: DataFrame | None = None) -> DataFrame:
+        """The latest state of every document with an id (before a batch, of some ids, if given)."""
+        base, behind = self._history(before)
+        rows = self._read("ledger", STATE, behind)
+        if base:
+            rows = rows.unionByName(self._read("snapshot", STATE, base))
+        rows = rows.where("doc_id IS NOT NULL")
+        if ids is not None:
+            rows = rows.join(ids, "doc_id", "left_semi")
         last = rows.groupBy("doc_id").agg(F.max_by(F.struct(*GROUP, "n_tokens", "deleted"), "batch_id").alias("s"))
         return last.select("doc_id", "s.*").where("NOT deleted").drop("deleted")
 
+    def _compact(self, batch_id: int) -> None:
+        """Write the snapshot after a committed batch once enough ledger batches lie behind the last one."""
+        if len(self._history(batch_id + 1)[1]) >= self.compact_every:
+            (self.ledger(batch_id + 1).withColumn("deleted", F.lit(False))
+             .write.mode("overwrite").parquet(f"{self.root}/snapshot/batch_id={batch_id}"))
+
     def commit(self, batch_id: int, changes: DataFrame) -> None:
         """Apply one batch of changes (doc_id, op, source, lang, version, n_tokens, seq); safe to repeat."""
         done = self.committed()
         if batch_id in done:
-            return
+            return self._compact(done[-1])
         later = [b for b in done if b > batch_id]
         if later:
             raise ValueError(f"batch {batch_id} comes after committed batches {later}")
@@ -147,10 +171,11 @@ class RollupStore:
         state.write.mode("overwrite").parquet(f"{self.root}/ledger/batch_id={batch_id}")
         state = self._read("ledger", STATE, [batch_id])
         plus = state.where("NOT deleted").select(*GROUP, F.lit(1).alias("d"), F.col("n_tokens").alias("t"))
-        minus = (self.ledger(batch_id).join(state.select("doc_id"), "doc_id", "left_semi")
+        minus = (self.ledger(batch_id, state.select("doc_id"))
                  .select(*GROUP, F.lit(-1).alias("d"), (-F.col("n_tokens")).alias("t")))
         delta = plus.unionByName(minus).groupBy(*GROUP).agg(F.sum("d").alias("d_docs"), F.sum("t").alias("d_tokens"))
         delta.write.mode("overwrite").parquet(f"{self.root}/deltas/batch_id={batch_id}")
+        self._compact(batch_id)
 
     def totals(self) -> DataFrame:
         """(source, lang, version, n_docs, n_tokens): the sum of all deltas, groups without documents left out."""

@@ -1,5 +1,6 @@
 import base64
 import heapq
+import os
 import random
 import shutil
 import zlib
@@ -21,9 +22,30 @@ def totals(store):
 CHANGES = "doc_id long, op string, source string, lang string, version string, n_tokens long, seq long"
 
 
-def test_rollups_follow_a_reference_ledger(spark, tmp_path):
+def test_a_commit_reads_a_snapshot_and_few_ledger_batches(spark, tmp_path):
+    store = TR.RollupStore(spark, str(tmp_path / "s"), 3)
+    for batch in range(1, 9):
+        rows = [(batch, "insert", "s", "en", "v1", 10, 0), (batch - 1, "revise", "s", "en", "v2", 1, 0), (batch - 2, "delete", *[None] * 4, 0)]
+        store.commit(batch, spark.createDataFrame(rows, CHANGES))
+        base, behind = store._history(None)
+        assert base == ([batch // 3 * 3] if batch > 2 else []) and len(behind) == batch % 3
+        state = {r["doc_id"]: (r["version"], r["n_tokens"]) for r in store.ledger().collect()}
+        assert state == {batch: ("v1", 10), batch - 1: ("v2", 1)}
+        assert totals(store) == {("s", "en", "v1"): (1, 10), ("s", "en", "v2"): (1, 1)}
+        files = [f for f in store.ledger().inputFiles() if "/ledger/" in f]
+        assert {int(f.split("batch_id=")[1].split("/")[0]) for f in files} == set(behind)
+    # a snapshot that was cut short is ignored and written anew by a repeated commit
+    os.remove(tmp_path / "s" / "snapshot" / "batch_id=6" / "_SUCCESS")
+    assert store._history(None) == ([3], [4, 5, 6, 7, 8])
+    assert {r["doc_id"] for r in store.ledger().collect()} == {7, 8}
+    store.commit(8, spark.createDataFrame([], CHANGES))
+    assert store._history(None) == ([8], []) and {r["doc_id"] for r in store.ledger().collect()} == {7, 8}
+
+
+@pytest.mark.parametrize("every", [TR.COMPACT_EVERY, 2, 1])
+def test_rollups_follow_a_reference_ledger(spark, tmp_path, every):
     rng = random.Random(1)
-    store, ledger, blanks = TR.RollupStore(spark, str(tmp_path / "s")), {}, []
+    store, ledger, blanks = TR.RollupStore(spark, str(tmp_path / "s"), every), {}, []
     for batch in range(1, 5):
         rows = []
         for i in rng.sample(range(30), 15):
