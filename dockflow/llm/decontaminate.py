@@ -107,6 +107,9 @@ class ItemIndex:
     def __init__(self, items: list[tuple], max_rate: float, repetitions: int = REPETITIONS, samples: int = SAMPLES):
         self.items = [(i, w) for i, w in ((i, item_words(t)) for i, t in items) if len(w)]
         self.max_rate = max_rate
+        self.lens = np.array([len(w) for _, w in self.items], np.int64)
+        self.first = np.cumsum(self.lens) - self.lens
+        self.bits = np.concatenate([np.zeros(0, K.U), *(w for _, w in self.items)]) & K.U(63)
         self.classes = []
         for size in SIZES:
             mine = [k for k, (_, w) in enumerate(self.items) if window_size(len(w), max_rate) == size]
@@ -146,7 +149,7 @@ class ItemIndex:
         words = K.span_hashes(data, start, end)
         n_docs = len(off) - 1
         bounds = K.doc_bounds(doc, n_docs)
-        hits: set[tuple[int, int, int]] = set()
+        found = []
         for size, runs in self.classes:
             pad = size // 4  # a document may lack the last words of a window
             counts = np.diff(bounds)
@@ -162,14 +165,17 @@ class ItemIndex:
             for seed, sampled, flags, keys, item, offset in runs:
                 key, where = walk_keys(padded, at, size, seed, sampled, flags)
                 lo, hi = np.searchsorted(keys, key), np.searchsorted(keys, key, side="right")
-                for k in np.flatnonzero(hi > lo):
-                    d = int(pdoc[where[k]])
-                    first = int(where[k]) - pad * d  # position among the unpadded words
-                    for t in range(lo[k], hi[k]):
-                        hits.add((d, int(item[t]), first - int(offset[t])))
+                n = hi - lo
+                k = np.repeat(np.arange(len(where)), n)
+                t = np.arange(len(k)) - np.repeat(np.cumsum(n) - n, n) + lo[k]
+                d = pdoc[where[k]]
+                found.append((d, item[t], where[k] - pad * d - offset[t]))  # the place among the unpadded words
+        if not found:
+            return []
+        hits = self._possible(words, bounds, *(np.concatenate(c) for c in zip(*found, strict=True)))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         done: set[tuple[int, int, int, int]] = set()
-        for d, it, s in sorted(hits):
+        for d, it, s in hits:
             pat = self.items[it][1]
             limit = int(self.max_rate * len(pat))
             lo, hi = max(int(bounds[d]), s - limit), min(int(bounds[d + 1]), s + len(pat) + limit)
@@ -187,6 +193,39 @@ class ItemIndex:
                 best[d, it] = min(best.get((d, it), row), row)
         return [(d, it, *v) for (d, it), v in sorted(best.items())]
 
+    def _possible(self, words: np.ndarray, bounds: np.ndarray, doc: np.ndarray, item: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int]]:
+        """The distinct hits, in order, without those whose span lacks more of the item's words than
+        the item may have edits. Words are looked up as one of 64 bits, so only some of the lacking
+        ones are seen and no span within the limit is dropped."""
+        order = np.lexsort((at, item, doc))
+        doc, item, at = doc[order], item[order], at[order]
+        new = np.ones(len(doc), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (at[1:] != at[:-1])
+        doc, item, at = doc[new], item[new], at[new]
+        size = self.lens[item]
+        limit = (self.max_rate * size).astype(np.int64)
+        lo, hi = np.maximum(bounds[doc], at - limit), np.minimum(bounds[doc + 1], at + size + limit)
+        live = lo < hi
+        doc, item, at, size, limit, lo, hi = (c[live] for c in (doc, item, at, size, limit, lo, hi))
+        if not len(doc):
+            return []
+        bit = K.U(1) << (words & K.U(63))
+        seen = np.zeros(len(doc), K.U)  # the bits of the span's words: two overlapping runs of a power of two
+        width = 1
+        while True:
+            mine = (hi - lo >= width) & (hi - lo < 2 * width)
+            seen[mine] = bit[lo[mine]] | bit[hi[mine] - width]
+            if 2 * width > int((hi - lo).max()):
+                break
+            bit[:-width] |= bit[width:].copy()
+            width *= 2
+        lacking = np.zeros(len(doc), np.int64)
+        for i in range(int(size.max())):
+            k = np.flatnonzero(size > i)
+            lacking[k] += (seen[k] >> self.bits[self.first[item[k]] + i]) & K.U(1) == 0
+        live = lacking <= limit
+        return list(zip(doc[live].tolist(), item[live].tolist(), at[live].tolist(), strict=True))
+
 
 def closest_span(pattern: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(edit distance, first, past) of the span of ``text`` closest to the whole pattern:
