@@ -94,7 +94,11 @@ def _group_slices(text: bytes, off: np.ndarray):
         i = j
 
 
-def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return (K.mix(keys) % K.U(buckets)).astype(np.int64)
+
+
+def group_keys(text: bytes, off: np.ndarray, train: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct features of a group in (bucket, key) order: (keys, training counts, buckets)."""
     keys, counts = np.zeros(0, K.U), np.zeros(0, np.uint32)
     parts: list[tuple[np.ndarray, np.ndarray]] = []
@@ -102,10 +106,6 @@ def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: in
     def fold() -> None:
         nonlocal keys, counts, parts
         all_k = np.concatenate([keys, *[k for k, _ in parts]])
-        if train is None:
-            all_k.sort(kind="stable")  # sorted runs are merged
-            keys, parts = all_k[np.flatnonzero(np.diff(all_k, prepend=~all_k[:1]))], []
-            return
         all_c = np.concatenate([counts, *[c for _, c in parts]])
         o = np.argsort(all_k, kind="stable")
         all_k, all_c = all_k[o], all_c[o]
@@ -114,9 +114,6 @@ def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: in
     for i, _, data, o in _group_slices(text, off):
         w, wd, g, gd = slice_features(data, o, depth)
         for k, d in ((w, wd), (g, gd)):
-            if train is None:
-                parts.append((np.unique(k), counts[:0]))
-                continue
             u, c = np.unique(k, return_counts=True)
             if not train[i + d].all():
                 t, tc = np.unique(k[train[i + d]], return_counts=True)
@@ -126,13 +123,24 @@ def group_keys(text: bytes, off: np.ndarray, train: np.ndarray | None, depth: in
         if len(parts) >= 16:
             fold()
     fold()
-    if train is None:
-        counts = np.zeros(len(keys), np.uint32)
-    b = (K.mix(keys) % K.U(buckets)).astype(np.int64)
+    b = _bucket(keys, buckets)
     o = np.argsort(b, kind="stable")
     return keys[o], counts[o], b[o]
 
 
+def sliced_keys(text: bytes, off: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple]]:
+    """A group's features once more, for scoring: all distinct keys, sorted, and of every slice its first and past
+    document, the distinct keys and each occurrence's place among them of words (and their documents) and of n-grams."""
+    sliced = []
+    for i, j, data, o in _group_slices(text, off):
+        w, wd, g, _ = slice_features(data, o, depth)
+        (wu, wat), (gu, gat) = np.unique(w, return_inverse=True), np.unique(g, return_inverse=True)
+        sliced.append((i, j, wu, wat.astype(np.int32), wd.astype(np.int32), gu, gat.astype(np.int32)))
+    keys = np.concatenate([np.zeros(0, K.U), *[x[k] for x in sliced for k in (2, 5)]])
+    keys.sort(kind="stable")  # sorted runs are merged
+    return keys[np.flatnonzero(np.diff(keys, prepend=~keys[:1]))], sliced
+
+
 def _scan(docs: DataFrame, depth: int, buckets: int) -> DataFrame:
     """Packed groups (bucket -1: ids, lengths, texts) and their features per bucket (keys, counts)."""
     schema = "grp long, bucket int, a binary, b binary, c binary"
@@ -371,19 +379,21 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", depth: in
         text = zlib.decompress(texts.column("c")[0].as_py())
         order = np.argsort(values.column("bucket").to_numpy())
         got = np.concatenate([np.frombuffer(values.column("v")[int(k)].as_buffer(), float) for k in order])
-        keys, _, _ = group_keys(text, off, None, depth, buckets)
-        o = np.argsort(keys)
-        keys, got = keys[o], got[o]
         n = len(off) - 1
         tokens, hits, base, full = (np.zeros(n) for _ in range(4))
-        for i, j, data, so in _group_slices(text, off):
-            w, wd, g, gd = slice_features(data, so, depth)
-            c = got[np.searchsorted(keys, w)]
+        keys, sliced = sliced_keys(text, off, depth)
+        got = got[np.argsort(np.argsort(_bucket(keys, buckets), kind="stable"))]  # from the order sent to that of keys
+        del text
+        for i, j, w, wat, wd, g, gat in sliced:
+            c = got[np.searchsorted(keys, w)][wat]
             m = j - i
+            gd = np.concatenate([np.repeat(np.arange(m), np.diff(off[i:j + 1])), np.arange(m)])  # as in slice_features
             tokens[i:j] = np.bincount(wd, minlength=m)
             hits[i:j] = np.bincount(wd, c > 0, m)
             base[i:j] = np.bincount(wd, np.log10(c + 0.5), m)
-            full[i:j] = np.bincount(gd, got[np.searchsorted(keys, g)], m)
+            full[i:j] = np.bincount(gd, got[np.searchsorted(keys, g)][gat], m)
+        del keys, got, sliced
+        K.trim()
         ids = pa.array(ident, mask=known == 0)
         return pa.table({"doc_id": ids, "held_out": [held_out(x) for x in ids.to_pylist()], "n_tokens": tokens.astype(np.int64), "n_known": hits.astype(np.int64),
                          "train_tokens": np.full(n, n_train, np.int64), "base_score": base - tokens * norm, "score": full,

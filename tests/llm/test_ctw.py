@@ -3,6 +3,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from dockflow.llm import ctw
@@ -100,3 +101,17 @@ def test_training_text_is_cheaper_than_noise(spark):
 
 def test_empty_table(spark):
     assert ctw.score(empty_docs(spark)).count() == 0
+
+
+def test_scoring_looks_up_every_distinct_feature_once_a_slice(monkeypatch):
+    """A slice's keys are its distinct ones, and places and documents give every occurrence back in order."""
+    monkeypatch.setattr(ctw, "SLICE", 40)
+    texts = [b"a b a b a b", b"", b"Tower tower tower tower tower tower", b"a b"]
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    keys, sliced = ctw.sliced_keys(b"".join(texts), off, 3)
+    assert (np.diff(keys.astype(object)) > 0).all() and len(sliced) > 1
+    for i, j, w, wat, wd, g, gat in sliced:
+        data, so = np.frombuffer(b"".join(texts[i:j]), np.uint8), off[i:j + 1] - off[i]
+        ws, docs, gs, _ = ctw.slice_features(data, so, 3)
+        assert (w[wat] == ws).all() and (wd == docs).all() and (g[gat] == gs).all()
+        assert len(w) < len(ws) and len(set(g.tolist())) == len(g) and np.isin(np.concatenate([w, g]), keys).all()
