@@ -161,3 +161,33 @@ def test_search_of_the_early_stopped_booster(spark):
     out = M.param_search("gbt_es", df, ["a"], 2, space=space, label="residual", parallelism=1, done=[0], on_trial=lambda r: seen.append(r.first()["trial"]))
     r = out.collect()
     assert [x.trial for x in r] == [1] == seen and 1 <= int(r[0].params["best_n_estimators"]) <= 3
+
+
+def test_searches_share_folds(spark, monkeypatch):
+    """A search with given folds writes none of its own and finds the same errors."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0 + dt.timedelta(minutes=i), float(i % 7), float(i % 7) + 0.1 * (i % 3)) for i in range(240)]
+    df = spark.createDataFrame(rows, "datetime timestamp, a double, residual double")
+    space = {"n_estimators": (2, 3, False, True), "max_depth": (2, 3, False, True)}
+    own = M.param_search("rf", df, ["a"], 1, space=space, label="residual").first()
+    folds = M.FoldStore(df, ["a"], "residual")
+    monkeypatch.setattr(M, "FoldStore", None)
+    shared = M.param_search("rf", df, ["a"], 1, space=space, label="residual", folds=folds).first()
+    assert shared["params"] == own["params"] and shared["mae_cv"] == pytest.approx(own["mae_cv"], rel=0.05)
+
+
+def test_preprocessing_takes_one_aggregation(spark):
+    """Medians come from the pass over the moments, equal to those of ``fit_medians``; a column without values has none."""
+    class Once:
+        def __init__(self, df):
+            self.df, self.passes = df, 0
+
+        def agg(self, *a):
+            self.passes += 1
+            return self.df.agg(*a)
+    df = _planted(spark)[0].withColumn("x4", F.lit(None).cast("double"))
+    seen = Once(df)
+    med, _, stats = M.fit_preprocessing(seen, [*FEATS, "x4"], "residual")
+    assert med == M.fit_medians(df, [*FEATS, "x4"]) and med["x4"] is None
+    assert seen.passes == 1 and stats[0] == 2000
