@@ -34,7 +34,10 @@ form pairs. Nodes under one signature are not expanded into all pairs: first
 each node is checked against the smallest node it meets, then against the
 node that a hash picks from each of its groups (``STARS`` times), and only
 nodes that share a group and are still in different components after that are
-compared with each other, by size and sketch first.
+compared with each other, by size and sketch first. This last round works in
+cells of bounded size: a cell gets the sets of those nodes that sketches allow a
+link for, joins components as it verifies, and gives only the links that
+joined some, so its output never grows with the square of a group.
 
 Signatures leave a task as packed blocks per hash bucket, the bucket count
 follows the number of shingles, and a task sends a node once however many
@@ -53,7 +56,7 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import is_broadcastable
@@ -75,8 +78,10 @@ COUNTED = 1 << 21
 COMMON_BITS = 1 << 25
 #: Bins of a set's sketch, one byte each.
 BINS = 128
-#: Rows of hits that one task compares in the last round (or one larger group).
-CELL = 1 << 13
+#: Rows of hits, and bytes of their sets, that one task compares in the last round.
+CELL, CELL_BYTES = 1 << 13, 1 << 25
+#: Pairs whose sketches are compared at once.
+PAIRS = 1 << 14
 #: Ids of documents whose sets are needed are broadcast up to this size, and joined by a shuffle beyond it.
 IDS_BYTES = 64 << 20
 _TAG = K.seeds(8, 901)
@@ -364,13 +369,7 @@ def _verified(pairs: DataFrame, info: DataFrame, docs: DataFrame, reps: DataFram
         ha, hb = batch.column(2), batch.column(3)
         ok = np.zeros(batch.num_rows, bool)
         for k in range(batch.num_rows):
-            x = np.frombuffer(ha[k].as_buffer(), K.U)
-            y = np.frombuffer(hb[k].as_buffer(), K.U)
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            common = int((y[at] == x).sum())
-            ok[k] = 100 * common >= 80 * (len(x) + len(y) - common)
+            ok[k] = _linked(np.frombuffer(ha[k].as_buffer(), K.U), np.frombuffer(hb[k].as_buffer(), K.U))
         keep = pa.array(ok)
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
     return materialize(both.select("a", "b", "ha", "hb").mapInArrow(K.arrow_map(fn), "a long, b long"), "links")
@@ -385,32 +384,92 @@ def _labelled(hits: DataFrame, labels: DataFrame | None) -> DataFrame:
     return with_comp.join(mixed, "grp", "left_semi")
 
 
-def _cluster_pairs(t: pa.Table) -> pa.Table:
-    """Of groups whose center lies in one component (a cell of them): the pairs of nodes that share a group, belong to
-    different components and that sizes and sketches allow to link, each once. Members are compared along
-    the sizes, so only near sizes meet."""
-    grp = t.column("grp").to_numpy()
-    node, first, back = np.unique(t.column("node").to_numpy(), return_index=True, return_inverse=True)
+def _dealt(rows: DataFrame, weight: Column, most: int) -> DataFrame:
+    """``rows`` (grp, node, cluster, ...) with (c, p, q), the cell they are compared in: cells of about ``most`` weight.
+
+    The groups of a cluster (those whose center lies in one component) share cells. A group above ``most`` is split
+    into blocks of nodes, and every two blocks of it meet in a cell, so a cell never holds more than two blocks. Only
+    groups and clusters above ``most`` are broadcast: there are at most total weight / ``most`` of each.
+    """
+    heavy = rows.groupBy("grp").agg(F.sum(weight).alias("w")).where(F.col("w") > most).select("grp", F.ceil(2 * F.col("w") / most).cast("long").alias("k"))
+    wide = rows.groupBy("cluster").agg(F.sum(weight).alias("w")).where(F.col("w") > most).select("cluster", F.ceil(F.col("w") / most).cast("long").alias("parts"))
+    cell = """CASE WHEN k IS NULL THEN array(named_struct('c', cluster, 'p', pmod(xxhash64(grp), coalesce(parts, 1L)), 'q', -1L))
+        ELSE transform(sequence(0L, k - 1), x -> named_struct('c', grp, 'p', least(pmod(xxhash64(node), k), x), 'q', greatest(pmod(xxhash64(node), k), x))) END"""
+    return (rows.join(F.broadcast(wide), "cluster", "left").join(F.broadcast(heavy), "grp", "left")
+            .withColumn("cell", F.explode(F.expr(cell))).select(*rows.columns, "cell.c", "cell.p", "cell.q"))
+
+
+def _group_pairs(grp: np.ndarray, at: np.ndarray, n: np.ndarray):
+    """Of rows (group, position of the node, sizes by position): the pairs of a group's nodes whose sizes allow a
+    link, as two arrays of positions, ``PAIRS`` at once."""
+    o = np.lexsort((n[at], grp))
+    grp, at, size = grp[o], at[o], n[at[o]]
+    past = np.zeros(len(o), np.int64)  # partners of row i lie behind it and before past[i]
+    for lo, hi in itertools.pairwise([*np.flatnonzero(np.diff(grp, prepend=~grp[:1])), len(o)]):
+        past[lo:hi] = lo + np.searchsorted(4 * size[lo:hi], 5 * size[lo:hi], side="right")
+    before = np.concatenate([[0], np.cumsum(past - np.arange(len(o)) - 1)])
+    for k in range(0, int(before[-1]), PAIRS):
+        flat = np.arange(k, min(k + PAIRS, int(before[-1])))
+        i = np.searchsorted(before, flat, side="right") - 1
+        yield at[i], at[i + 1 + flat - before[i]]
+
+
+def _distances(sk: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.abs(sk[a] - sk[b]).sum(1, dtype=np.int64)
+
+
+def _near_nodes(t: pa.Table) -> pa.Table:
+    """Of a cell: the nodes with a partner in a group, in another component, that sizes and sketches allow a link with."""
+    node, first, at = np.unique(t.column("node").to_numpy(), return_index=True, return_inverse=True)
     n = t.column("n").to_numpy()[first]
     comp = t.column("comp").to_numpy()[first]
     sk = K.text_views(t.column("sketch").take(pa.array(first)))[0].reshape(-1, BINS).astype(np.int16)
-    o = np.lexsort((n[back], grp))
-    at = np.flatnonzero(np.concatenate([[True], np.diff(grp[o]) != 0]))
-    found = np.zeros(0, np.int64)  # pairs as first * nodes + second
-    for lo, hi in itertools.pairwise([*at, len(o)]):
-        m = back[o[lo:hi]]
-        size, c, s = n[m], comp[m], sk[m]
-        past = np.searchsorted(4 * size, 5 * size, side="right")  # partners of i lie below past[i]
-        new = []
-        for i in range(len(m) - 1):
-            for k in range(i + 1, int(past[i]), 4096):
-                j = np.arange(k, min(int(past[i]), k + 4096))
-                j = j[c[j] != c[i]]
-                j = j[9 * np.abs(s[j] - s[i]).sum(1, dtype=np.int64) <= size[i] + size[j]]
-                new.append(np.minimum(m[i], m[j]) * len(node) + np.maximum(m[i], m[j]))
-        if new:
-            found = np.union1d(found, np.concatenate(new))
-    return pa.table({"a": node[found // max(1, len(node))], "b": node[found % max(1, len(node))]})
+    near = np.zeros(len(node), bool)
+    for a, b in _group_pairs(t.column("grp").to_numpy(), at, n):
+        m = (comp[a] != comp[b]) & ~(near[a] & near[b])
+        a, b = a[m], b[m]
+        m = 9 * _distances(sk, a, b) <= n[a] + n[b]
+        near[a[m]] = near[b[m]] = True
+    return pa.table({"node": node[near]})
+
+
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Do two sorted sets reach the similarity?"""
+    if len(x) > len(y):
+        x, y = y, x
+    common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * common >= 80 * (len(x) + len(y) - common)
+
+
+def _cell_links(rows: pa.Table, members: pa.Table) -> pa.Table:
+    """Of a cell (rows: grp, member; members: its nodes with their sets): links (a, b) that join whatever components are
+    linked inside a group. Near ones are verified first, and components that are joined by then are not
+    compared, so there are fewer links than components."""
+    names = members.column("node").to_numpy()
+    o = np.argsort(names)
+    names, hashes = names[o], [members.column("hashes")[int(k)] for k in o]
+    sets = [np.frombuffer(x.as_buffer(), K.U) for x in hashes]
+    n = np.array([len(x) for x in sets], np.int64)
+    comp = np.unique(members.column("comp").to_numpy()[o], return_inverse=True)[1]
+    sk = K.text_views(members.column("sketch").take(pa.array(o)))[0].reshape(-1, BINS).astype(np.int16)
+    label = np.arange(len(names))  # of each component, as joined so far
+    links: list[tuple[int, int]] = []
+    apart: set[int] = set()  # pairs found not to link, to be met in other groups
+    for a, b in _group_pairs(rows.column("grp").to_numpy(), np.searchsorted(names, rows.column("member").to_numpy()), n):
+        m = label[comp[a]] != label[comp[b]]
+        a, b = a[m], b[m]
+        d = _distances(sk, a, b)
+        m = np.flatnonzero(9 * d <= n[a] + n[b])
+        for i, j in zip(*(x[m[np.argsort(d[m])]].tolist() for x in (np.minimum(a, b), np.maximum(a, b))), strict=True):
+            u, v = label[comp[i]], label[comp[j]]
+            if u == v or i * len(names) + j in apart:
+                continue
+            if _linked(sets[i], sets[j]):
+                links.append((names[i], names[j]))
+                label[label == u] = v
+            elif len(apart) < PAIRS * 16:
+                apart.add(i * len(names) + j)
+    return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
 
 def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
@@ -426,24 +485,29 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
     reps = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
     links, labels = None, None
 
-    def add(pairs: DataFrame) -> None:
+    def add(more: DataFrame | None) -> None:
         nonlocal links, labels
-        more = _verified(pairs, facts, docs, reps)
         if more is not None:
             links = more if links is None else links.unionByName(more)
             labels = components(links)
-    add(hits.where("center <> node").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"))
+    add(_verified(hits.where("center <> node").groupBy(F.col("node").alias("b")).agg(F.min("center").alias("a")).select("a", "b"), facts, docs, reps))
     for r in range(STARS):
         mixed = _labelled(hits, labels)
         heads = mixed.groupBy("grp").agg(F.min(F.struct(F.xxhash64("node", F.lit(r)).alias("h"), "node", "comp")).alias("c"))
-        add(mixed.join(heads, "grp").where("comp <> c.comp")
-            .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct())
+        add(_verified(mixed.join(heads, "grp").where("comp <> c.comp")
+                      .select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), facts, docs, reps))
     mixed = _labelled(hits, labels)
     heads = mixed.where("center = node").select("grp", F.col("comp").alias("cluster"))
-    cells = materialize(mixed.select("grp", "node", "comp").join(heads, "grp"), "cells")
-    spread = cells.groupBy("cluster").agg(F.ceil(F.count("*") / CELL).alias("parts"))
-    cells = cells.join(spread, "cluster").withColumn("part", F.expr("pmod(xxhash64(grp), parts)"))
-    add(cells.join(facts, "node").groupBy("cluster", "part").applyInArrow(_cluster_pairs, "a long, b long").distinct())
+    rows = materialize(mixed.select("grp", "node", "comp").join(heads, "grp").join(facts.select("node", "n"), "node"), "cells")
+    near = materialize(_dealt(rows, F.lit(1), CELL).join(facts.select("node", "sketch"), "node")
+                       .groupBy("c", "p", "q").applyInArrow(_near_nodes, "node long").distinct(), "near")
+    if near.isEmpty():
+        return labels
+    cells = _dealt(materialize(rows.join(near, "node", "left_semi"), "cells"), 8 * F.col("n") + BINS, CELL_BYTES)
+    sets = _sets(docs, reps, near).join(facts.select("node", "sketch"), "node")
+    members = cells.select("c", "p", "q", "node", "comp").distinct().join(sets, "node")
+    groups = cells.select("c", "p", "q", "grp", "node").toDF("c_", "p_", "q_", "grp", "member")  # names apart from those of members
+    add(materialize(groups.groupBy("c_", "p_", "q_").cogroup(members.groupBy("c", "p", "q")).applyInArrow(_cell_links, "a long, b long"), "links"))
     return labels
 
 

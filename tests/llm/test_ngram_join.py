@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dockflow.llm import frames
@@ -154,3 +155,41 @@ def test_a_large_cluster_of_different_near_copies(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = NJ.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
+def test_a_cell_gives_fewer_links_than_components():
+    """All of 90 near copies link pairwise and 10 others with nobody: 89 links, not 4,005 pairs, also with groups that repeat pairs."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 62, 200, dtype=np.int64)
+    sets = [np.unique(np.append(base[4:] if k < 90 else rng.integers(0, 1 << 62, 196, dtype=np.int64), rng.integers(0, 1 << 62, 4, dtype=np.int64))) for k in range(100)]
+    sk = NJ.sketches(np.concatenate(sets).view(K.U), np.repeat(np.arange(100), [len(x) for x in sets]), 100)
+    node = rng.permutation(100)
+    members = pa.table({"node": node, "comp": node, "hashes": [sets[k].tobytes() for k in node], "sketch": [sk[k].tobytes() for k in node]})
+    rows = pa.table({"grp": np.repeat([7, 8, 9], [100, 60, 40]), "member": np.concatenate([np.arange(100), np.arange(20, 80), np.arange(40)])})
+    got = NJ._cell_links(rows, members).to_pylist()
+    up = list(range(100))
+    for r in got:
+        u, v = up[r["a"]], up[r["b"]]
+        assert u != v
+        up = [v if x == u else x for x in up]
+    assert len(got) == 89 and len(set(up[:90])) == 1
+    cell = pa.table({"grp": rows.column("grp"), "node": rows.column("member"), "comp": rows.column("member"),
+                     "n": np.array([len(x) for x in sets])[rows.column("member").to_numpy()], "sketch": [sk[k].tobytes() for k in rows.column("member").to_pylist()]})
+    assert NJ._near_nodes(cell).column("node").to_pylist() == list(range(90))
+
+
+def test_blocks_of_a_large_group_meet_in_small_cells(spark, monkeypatch):
+    """Without star rounds the last one gets every near copy, and its groups are split into blocks by rows and bytes."""
+    monkeypatch.setattr(NJ, "STARS", 0)
+    monkeypatch.setattr(NJ, "CELL", 40)
+    monkeypatch.setattr(NJ, "CELL_BYTES", 20_000)
+    rng = random.Random(9)
+    base = prose(78, 120).split()
+    rows = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(rng.choice([1, 3, 4, 5, 9])):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    got = NJ.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
