@@ -30,7 +30,10 @@ No link can be missed. A candidate pair is first held against sketches of the
 two sets (element counts in 128 bins, whose distance can't exceed the number
 of differing elements), then verified on the full sets. Equal
 sets are one *node* (a fingerprint of the set) before signing, so copies never
-form pairs. Nodes under one signature are not expanded into all pairs: first
+form pairs. Nodes under one signature are a *group*. Groups with the same
+smallest node (their *center*) become one where that adds few pairs, so near
+copies of a long text meet once for each center instead of once for each of the
+many signatures they share. Groups are not expanded into all pairs: first
 each node is checked against the smallest node it meets, then against the
 node that a hash picks from each of its groups (``STARS`` times), and only
 nodes that share a group and are still in different components after that are
@@ -68,6 +71,10 @@ SMALL, SMALL_PARTNER = 24, 30
 GROUP = 7
 #: Signatures that a task packs at once.
 FLUSH = 1 << 18
+#: Bytes of texts in a slice.
+SLICE = 1 << 18
+#: The groups of one center are merged up to so many nodes, or up to twice the nodes of the largest of them.
+FEW = 32
 #: Rounds in which the nodes of a group are checked against one of them.
 STARS = 3
 #: A shingle that so many different sets of one task share is common: it signs only where rare ones don't suffice.
@@ -203,7 +210,7 @@ def _sizes(docs: DataFrame) -> DataFrame:
         seen: set[int] = set()
         parts, held = [], 0
         for batch in batches:
-            for i, j, data, off in K.slices(batch):
+            for i, j, data, off in K.slices(batch, limit=SLICE):
                 h, d, n = slice_sets(data, off)
                 f = fingerprints(h, d, n)
                 sk = pa.array([x.tobytes() for x in sketches(h, d, j - i)], pa.binary())
@@ -265,7 +272,7 @@ def _packed(docs: DataFrame, buckets: int, common: BitFilter) -> DataFrame:
         often = unpack(held_common)
         parts, held = [], 0
         for batch in batches:
-            for _, _, data, off in K.slices(batch):
+            for _, _, data, off in K.slices(batch, limit=SLICE):
                 h, d, n = slice_sets(data, off)
                 f = fingerprints(h, d, n)
                 new = _unseen(f, n, seen)
@@ -319,6 +326,17 @@ def _bucket_groups(t: pa.Table) -> pa.Table:
     return pa.table({"grp": K.as_i64(grp), "node": K.as_i64(node), "center": K.as_i64(center)})
 
 
+def _by_center(hits: DataFrame) -> DataFrame:
+    """``hits`` (grp, node, center) with the groups of a center merged, where that makes at most ``FEW`` nodes or twice
+    those of the largest group: every two nodes of a group still share one, with at most four times its pairs."""
+    largest = hits.groupBy("center", "grp").agg(F.count("*").alias("m")).groupBy("center").agg(F.max("m").alias("m"))
+    stars = hits.select("center", "node").distinct()
+    apart = materialize(stars.groupBy("center").agg(F.count("*").alias("u")).join(largest, "center")
+                        .where(F.col("u") > F.greatest(F.lit(FEW), 2 * F.col("m"))).select("center"), "apart")
+    return (stars.join(apart, "center", "left_anti").select(F.col("center").alias("grp"), "node", "center")
+            .unionByName(hits.join(apart, "center", "left_semi").select("grp", "node", "center")))
+
+
 def _sets(docs: DataFrame, reps: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, hashes): the sets of ``needed`` nodes, packed, once each.
 
@@ -330,7 +348,7 @@ def _sets(docs: DataFrame, reps: DataFrame, needed: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for i, j, data, off in K.slices(batch):
+            for i, j, data, off in K.slices(batch, limit=SLICE):
                 h, d, n = slice_sets(data, off)
                 f = K.as_i64(fingerprints(h, d, n))
                 b = np.concatenate([[0], np.cumsum(n)])
@@ -480,6 +498,7 @@ def node_links(docs: DataFrame, info: DataFrame) -> DataFrame | None:
     common = bit_filter(_common(info), COMMON_BITS)
     hits = materialize(_packed(docs, buckets, common).groupBy("bucket").applyInArrow(_bucket_groups, "grp long, node long, center long")
                        .dropDuplicates(["grp", "node"]), "hits")
+    hits = materialize(_by_center(hits), "hits")
     rows = info.where("node IS NOT NULL AND doc_id IS NOT NULL")
     facts = rows.select("node", "n", "sketch").dropDuplicates(["node"])
     reps = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")

@@ -193,3 +193,42 @@ def test_blocks_of_a_large_group_meet_in_small_cells(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = NJ.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+
+
+def test_long_texts_that_share_many_signatures_meet_once(spark, monkeypatch):
+    """Twelve texts hold different two thirds of the paragraphs of one: none links, and subsets of them share hundreds of signatures.
+    Groups go by center, so no node meets another more than once for each."""
+    rng = random.Random(10)
+    paragraphs = [prose(700 + k, 40) for k in range(90)]
+    rows = [(i, " ".join(p for p in paragraphs if rng.random() < 0.67)) for i in range(12)]
+    rows += [(20 + i, t + " tail") for i, t in rows[:3]]
+    met = []
+    write = NJ.materialize
+
+    def counted(df, name="t", *more):
+        out = write(df, name, *more)
+        met.extend([out.count()] if name == "cells" else [])
+        return out
+    monkeypatch.setattr(NJ, "materialize", counted)
+    got = NJ.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(rows)
+    assert max(met) <= 15 * 15
+
+
+def test_groups_of_a_center_are_merged_unless_pairs_multiply(spark):
+    rng = random.Random(11)
+    near = [(k, n, 1) for k in range(400) for n in {1, *rng.sample(range(2, 27), 12)}]
+    large = [(1000 + k, n, 30) for k in range(3) for n in {30, *rng.sample(range(31, 131), 80)}]
+    hub = [(2000 + k, n, 200) for k in range(300) for n in (200, 201 + k)]
+    rows = near + large + hub
+    got = [tuple(r) for r in NJ._by_center(spark.createDataFrame(rows, "grp long, node long, center long")).collect()]
+
+    def pairs(rows):
+        by = defaultdict(set)
+        for g, n, _ in rows:
+            by[g].add(n)
+        return {(a, b) for v in by.values() for a in v for b in v if a < b}
+    assert pairs(rows) <= pairs(got) and len(got) == len(set(got))
+    assert len([g for g, _, c in got if c == 1]) == 26 and len({g for g, _, c in got if c == 30}) == 1
+    assert sorted(r for r in got if r[2] == 200) == sorted(hub)
+    assert all((g, c, c) in set(got) for g, _, c in got)
