@@ -37,10 +37,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: the training view of the kept documents: their ids, checked to decode to the text."""
+    """Operator 1: the training view of the kept documents: their ids, checked to decode to the text.
+
+    The ids are written before they are decoded: in one stage each core would hold two Python workers, one with the
+    encoder's tables and one that decodes."""
     small_batches(spark)
     ids = SP.encode(docs.select("doc_id", "lang", "source", "text", SP.plain_digest("text").alias("_plain")))
-    back = SP.decode(ids.drop("text"))
+    back = SP.decode(materialize(ids.drop("text"), "token_ids"))
     return back.select("doc_id", "lang", "source", F.size("_ids").cast("long").alias("n_tokens"),
                        F.col("_ids").alias("ids"), (SP.plain_digest("_decoded") == F.col("_plain")).alias("round_trip"))
 

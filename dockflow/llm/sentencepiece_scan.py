@@ -58,6 +58,8 @@ CACHE_WORDS = 100_000
 TABLE_WORDS, TABLE_IDS = 250_000, 4_000_000
 #: Longest words, in characters, whose lattices are walked together.
 TOGETHER = 48
+#: Bytes of texts encoded at once: with their dummy prefixes below a power of two, to which the hash tables grow.
+SLICE = 1_000_000
 DECODE_ROWS = 256
 
 
@@ -538,7 +540,7 @@ def _encode_short(docs: DataFrame, held, text: str) -> DataFrame:
         table = word_table(lat)
         for batch in batches:
             col = batch.column(batch.schema.get_field_index(text))
-            for i, j, data, off in K.slices(batch, text):
+            for i, j, data, off in K.slices(batch, text, SLICE):
                 part = batch.slice(i, j - i)
                 if table.usable and SPACE.encode() not in data.tobytes():
                     ids, edge, score = table.encode(data, off)

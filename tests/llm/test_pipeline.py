@@ -35,3 +35,10 @@ def test_stages_take_awkward_rows(spark):
             out.count()
         name, last = corpus_pipeline.STAGES[-1]
         assert last(spark, docs, SF_SMALL).count() == docs.count()
+
+
+def test_encoding_and_decoding_do_not_share_a_stage(spark):
+    """A core that encodes and decodes in one stage holds two Python workers, with the tables of both."""
+    out = corpus_pipeline.token_stage(spark, edge_docs(spark), SF_SMALL)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert all(r["round_trip"] for r in out.collect())
