@@ -330,7 +330,7 @@ def _by_center(hits: DataFrame) -> DataFrame:
     """``hits`` (grp, node, center) with the groups of a center merged, where that makes at most ``FEW`` nodes or twice
     those of the largest group: every two nodes of a group still share one, with at most four times its pairs."""
     largest = hits.groupBy("center", "grp").agg(F.count("*").alias("m")).groupBy("center").agg(F.max("m").alias("m"))
-    stars = hits.select("center", "node").distinct()
+    stars = materialize(hits.select("center", "node").distinct(), "stars")
     apart = materialize(stars.groupBy("center").agg(F.count("*").alias("u")).join(largest, "center")
                         .where(F.col("u") > F.greatest(F.lit(FEW), 2 * F.col("m"))).select("center"), "apart")
     return (stars.join(apart, "center", "left_anti").select(F.col("center").alias("grp"), "node", "center")
