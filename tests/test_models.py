@@ -191,3 +191,28 @@ def test_preprocessing_takes_one_aggregation(spark):
     med, _, stats = M.fit_preprocessing(seen, [*FEATS, "x4"], "residual")
     assert med == M.fit_medians(df, [*FEATS, "x4"]) and med["x4"] is None
     assert seen.passes == 1 and stats[0] == 2000
+
+
+def test_ranking_fits_the_tuned_models(spark, monkeypatch):
+    """The four models of the ranking have the reference's parameters and get all rows."""
+    from dockflow.plans import models as P
+    from dockflow.schema import RF_PARAMS, RIDGE_ALPHA, XGB_PARAMS
+    train, test = spark.range(50).toDF("i"), spark.range(7).toDF("i")
+    built, seen = {}, []
+
+    def fit(kind, rows, features, params=None, label=None, name=None):
+        seen.append((kind, rows.count(), len(features), label))
+        if kind != "baseline":
+            built[kind] = M.regressor(kind, params, label)
+        return M.Fitted(name, None, 0.0, {})
+    monkeypatch.setattr(P, "_planted_tables", lambda *_: (train, test))
+    monkeypatch.setattr(M, "fit", fit)
+    monkeypatch.setattr(M, "train_and_rank", lambda fitted, rows, label: rows.count())
+    fitted, scored = P._ranked(spark, "")
+    assert [f.name for f in fitted] == list(P.NAMES.values()) and scored == 7
+    assert seen == [(k, 50, 24, P.PLANTED) for k in ("baseline", "ridge", "rf", "gbt_es")]
+    rf, boosted = built["rf"], built["gbt_es"]
+    assert built["ridge"].getRegParam() == RIDGE_ALPHA
+    assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getMinInstancesPerNode()) == (RF_PARAMS["n_estimators"], RF_PARAMS["max_depth"], RF_PARAMS["min_samples_leaf"]) == (468, 15, 146)
+    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getMinInstancesPerNode()) == (XGB_PARAMS["n_estimators"], XGB_PARAMS["max_depth"], XGB_PARAMS["min_child_weight"]) == (232, 6, 21)
+    assert rf.getMaxMemoryInMB() <= 256      # four tasks fit a heap of 3 GB
